@@ -98,7 +98,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         star = materialised(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return star.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    roots = star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return star.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
 class Union:
