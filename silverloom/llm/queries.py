@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, langid, minhash, packing, urlfilter
+from silverloom.llm import bpe, fingerprint, langid, minhash, packing, urlfilter
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 LISTED = ["http://spam-farm.example.org/", "http://cheap-pills.example.com/"]
@@ -23,6 +23,12 @@ def fold(id_col: str, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.beside_next(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
+    return found.select("doc_id", "n_chars", digest, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocklist = spark.createDataFrame([(u,) for u in LISTED], "url string")
     return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, blocklist)
@@ -50,6 +56,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprints": op1_fingerprints,
         "op4_url_filter": op4_url_filter,
         "op5_language_id": op5_language_id,
         "op6_best_fit_packing": op6_best_fit_packing,
