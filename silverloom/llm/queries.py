@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, fingerprint, langid, minhash, packing, urlfilter
+from silverloom.llm import bpe, embedjoin, fingerprint, langid, minhash, packing, urlfilter
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 LISTED = ["http://spam-farm.example.org/", "http://cheap-pills.example.com/"]
@@ -29,6 +29,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_chars", digest, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op2_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedjoin.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocklist = spark.createDataFrame([(u,) for u in LISTED], "url string")
     return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, blocklist)
@@ -57,6 +62,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
+        "op2_embedding_join": op2_embedding_join,
         "op4_url_filter": op4_url_filter,
         "op5_language_id": op5_language_id,
         "op6_best_fit_packing": op6_best_fit_packing,
