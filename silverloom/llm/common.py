@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def materialised(df: DataFrame) -> DataFrame:
@@ -38,7 +39,9 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: dict[str, s
     """
     kept = [f"_{i}" for i in range(len(keep))]
     slim = df.select(*[df[c].alias(k) for c, k in zip(keep, kept)], df[text_col].alias("_text"))
-    kinds = {k: df.schema[c].dataType.simpleString() for c, k in zip(keep, kept)} | fields
+    schema = T.StructType([T.StructField(k, df.schema[c].dataType) for c, k in zip(keep, kept)])
+    for name, kind in fields.items():
+        schema = schema.add(name, T.DataType.fromDDL(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -48,9 +51,9 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: dict[str, s
                 at = pa.array(np.asarray(rows, np.int64))
                 own = [c.take(at) for c in own]
             made = [pa.array(c, ARROW[kind], from_pandas=False) for c, kind in zip(columns, fields.values(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*own, *made], names=list(kinds))
+            yield pa.RecordBatch.from_arrays([*own, *made], names=schema.names)
 
-    out = slim.mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in kinds.items()))
+    out = slim.mapInArrow(run, schema)
     return out.withColumnsRenamed(dict(zip(kept, keep)))
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, embedjoin, fingerprint, langid, minhash, packing, urlfilter
+from silverloom.llm import bpe, embedjoin, fingerprint, langid, linededup, minhash, packing, urlfilter
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 LISTED = ["http://spam-farm.example.org/", "http://cheap-pills.example.com/"]
@@ -54,6 +54,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "text", "n_lines", "removed_lines")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, similarity=(85, 100))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": op5_language_id,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_bpe": op7_bpe,
+        "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
     }
 
