@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, embedjoin, fingerprint, langid, linededup, minhash, packing, urlfilter
+from silverloom.llm import bpe, embedjoin, fingerprint, langid, linededup, lm, minhash, packing, urlfilter
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 LISTED = ["http://spam-farm.example.org/", "http://cheap-pills.example.com/"]
@@ -34,6 +34,11 @@ def op2_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return found.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocklist = spark.createDataFrame([(u,) for u in LISTED], "url string")
     return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, blocklist)
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
         "op2_embedding_join": op2_embedding_join,
+        "op3_lm_score": op3_lm_score,
         "op4_url_filter": op4_url_filter,
         "op5_language_id": op5_language_id,
         "op6_best_fit_packing": op6_best_fit_packing,
