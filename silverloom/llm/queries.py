@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, embedjoin, fingerprint, langid, linededup, lm, minhash, packing, urlfilter
+from silverloom.llm import bpe, embedjoin, fingerprint, htmltext, langid, linededup, lm, minhash, packing, urlfilter
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 LISTED = ["http://spam-farm.example.org/", "http://cheap-pills.example.com/"]
@@ -59,6 +59,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.deduplicate(table(spark, sf_dir, "documents"))
     return found.select("row.doc_id", "text", "n_lines", "removed_lines")
@@ -78,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": op5_language_id,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_bpe": op7_bpe,
+        "op8_html_text": op8_html_text,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
     }
