@@ -71,7 +71,8 @@ def _furniture(rng: random.Random) -> dict[str, str]:
 
 def _main(rng: random.Random, extra: list[str]) -> str:
     """The article's inside: marked text in usual elements, with furniture between some of them."""
-    m = lambda lo, hi: MARK + _words(rng, lo, hi)
+    tiny = rng.random() < 0.25
+    m = lambda lo, hi: MARK + _words(rng, 1 if tiny else lo, 4 if tiny else hi)
     parts = []
     title = f"<h{rng.choice('1112')}>{m(2, 14)}</h1>"
     parts.append(rng.choice([title, title, f"<header>{title}<p>{m(3, 20)}</p></header>", ""]))
