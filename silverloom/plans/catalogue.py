@@ -1,0 +1,22 @@
+"""Named queries over the test tables, one for each operator family, with their SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))
+    return events.withColumn("rn", place).where("rn = 1").select("user_id", "event_id", "event_type")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {"latest_snapshot": latest_snapshot}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
