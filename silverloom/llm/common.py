@@ -76,7 +76,7 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], weight: str, tota
     return by_broadcast.unionByName(rest.select(*by_broadcast.columns))
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, per_task: int = 50_000) -> DataFrame:
     """Connected components of an undirected graph: (node, component), component = smallest node.
 
     Alternating large-star and small-star rounds, each two joins on the node and a
@@ -93,12 +93,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         if mark == tuple(seen) or not seen[0]:
             break
         mark = tuple(seen)
+        tasks = max(1, -(-seen[0] // per_task))  # few edges go to few tasks, which keeps shuffle files few
+        star = star.coalesce(tasks)
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        star = materialised(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        small = large.join(low, "u").select("u", "v", "m", F.explode(F.array(F.lit(True), F.lit(False))).alias("own"))
+        small = small.select(F.when(F.col("own"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        star = materialised(small.where("u <> v").coalesce(tasks).distinct().coalesce(tasks))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
