@@ -1,22 +1,531 @@
-"""Named queries over the test tables, one for each operator family, with their SQL."""
+"""Named queries over the test tables, one or more for each operator family, with their SQL.
+
+Stand-ins: orders are contracts (customer = coworker, order date = start, priority =
+tariff), events are bronze snapshots (user = key, props = payload), pages hold HTML.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverloom.functions import dates as D
+from silverloom.functions import json as J
+from silverloom.functions import numbers as N
+from silverloom.functions import strings as S
+from silverloom.operators import profile
+from silverloom.operators import tables as O
+from silverloom.plans import reports
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+#: The date from which reports look; a parameter of every report.
+AS_OF = dt.date(1997, 6, 15)
+TEXT_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+
 
-def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))
-    return events.withColumn("rn", place).where("rn = 1").select("user_id", "event_id", "event_type")
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
 
+    return add
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"latest_snapshot": latest_snapshot}
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def day(c: str = "o_orderdate") -> Column:
+    return F.col(c).cast("date")
+
+
+# --- latest rows, typed JSON, labels ---------------------------------------------------------
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn FROM events)
+SELECT user_id, event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+  CASE event_type WHEN 'click' THEN 'Click' WHEN 'view' THEN 'View' WHEN 'purchase' THEN 'Purchase' ELSE 'Unknown' END AS label
+FROM r WHERE rn = 1 AND user_id NOT IN (3, 5, 8)""")
+def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest event of each user that isn't excluded, its payload typed and its type labelled."""
+    rows = t(spark, sf, "events").where(~F.coalesce(F.col("user_id").isin(3, 5, 8), F.lit(False)))
+    rows = O.latest(rows, ["user_id"], [F.desc("ts"), F.desc("event_id")])
+    label = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for x in ("click", "Click", "view", "View", "purchase", "Purchase")]), "event_type"), F.lit("Unknown"))
+    return rows.select("user_id", "event_id", J.field(J.parsed(F.col("props")), "k", "bigint").alias("k"), label.alias("label"))
+
+
+@query("SELECT e.user_id, e.event_id, e.event_type FROM events e JOIN (SELECT user_id, max(ts) m FROM events GROUP BY 1) x ON e.user_id = x.user_id AND e.ts = x.m")
+def latest_snapshot_ties(spark: SparkSession, sf: str) -> DataFrame:
+    return O.latest_with_ties(t(spark, sf, "events"), ["user_id"], "ts").select("user_id", "event_id", "event_type")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k_int, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k_double, CASE WHEN json_extract_string(props, '$.k') IS NULL THEN NULL ELSE CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) <> 0 AS INT) END AS k_bit, json_extract_string(props, '$.none') AS none FROM events")
+def typed_json_projection(spark: SparkSession, sf: str) -> DataFrame:
+    v = J.parsed(F.col("props"))
+    return t(spark, sf, "events").withColumn("v", v).select(
+        "event_id", J.field(F.col("v"), "k", "bigint").alias("k_int"), J.field(F.col("v"), "k", "double").alias("k_double"), N.flag(J.truthy(F.col("v"), "k")).alias("k_bit"), J.text(F.col("v"), "none").alias("none")
+    )
+
+
+@query(r"SELECT page_id, nullif(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \t\n\r\f\v]+', ' ', 'g')), '') AS body FROM pages")
+def strip_html(spark: SparkSession, sf: str) -> DataFrame:
+    return t(spark, sf, "pages").select("page_id", S.strip_html(F.col("html")).alias("body"))
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' ELSE 'Unknown' END AS status_label FROM orders WHERE o_custkey NOT IN (1, 2, 3)")
+def label_and_exclude(spark: SparkSession, sf: str) -> DataFrame:
+    rows = t(spark, sf, "orders").where(~F.coalesce(F.col("o_custkey").isin(1, 2, 3), F.lit(False)))
+    return rows.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "Finished").when(F.col("o_orderstatus") == "O", "Open").otherwise("Unknown").alias("status_label"))
+
+
+@query("SELECT c_custkey, coalesce(nullif(CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END, ''), nullif(c_mktsegment, ''), 'Unknown') AS name FROM customer")
+def fallback_chain(spark: SparkSession, sf: str) -> DataFrame:
+    own = F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_name"))
+    return t(spark, sf, "customer").select("c_custkey", S.first_truthy(own, F.col("c_mktsegment"), F.lit("Unknown")).alias("name"))
+
+
+@query("""SELECT o_orderkey, d.n AS day_of_week, d.name AS day_name,
+  CASE WHEN a = 0 AND b = 0 THEN NULL ELSE a END AS open_minutes, CASE WHEN a = 0 AND b = 0 THEN NULL ELSE b END AS close_minutes, d.n = 3 AS is_closed
+FROM (SELECT o_orderkey, CAST(o_orderkey % 3 AS INT) * 300 AS a0, CAST(o_orderkey % 2 AS INT) * 1020 AS b0 FROM orders) o,
+  (VALUES (1, 'Monday'), (2, 'Tuesday'), (3, 'Wednesday')) d(n, name), LATERAL (SELECT a0 * (d.n - 1) AS a, b0 * (d.n - 1) AS b)""")
+def hours_unpivot(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = (F.col("o_orderkey") % 3).cast("int") * 300, (F.col("o_orderkey") % 2).cast("int") * 1020
+    days = [(i, n, a * (i - 1), b * (i - 1), F.lit(i == 3)) for i, n in ((1, "Monday"), (2, "Tuesday"), (3, "Wednesday"))]
+    return O.unpivot_days(t(spark, sf, "orders"), "o_orderkey", days)
+
+
+# --- upserts and refreshes -------------------------------------------------------------------
+
+
+def _split_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Stored orders (key not 0 mod 3), and newly read ones (key not 1 mod 3) with another price and status."""
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    new = o.where("o_orderkey % 3 <> 1").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return o.where("o_orderkey % 3 <> 0"), new
+
+
+SPLIT = """WITH old AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0),
+new AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 3 <> 1) """
+
+
+@query(SPLIT + """SELECT coalesce(old.o_orderkey, new.o_orderkey) AS o_orderkey,
+ CASE WHEN new.o_orderkey IS NOT NULL THEN new.o_orderstatus ELSE old.o_orderstatus END AS o_orderstatus,
+ CASE WHEN new.o_orderkey IS NOT NULL THEN new.o_totalprice ELSE old.o_totalprice END AS o_totalprice,
+ CASE WHEN old.o_orderkey IS NOT NULL THEN 1 ELSE 2 END AS first_seen FROM old FULL JOIN new ON old.o_orderkey = new.o_orderkey""")
+def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
+    old, new = _split_orders(spark, sf)
+    return O.upsert(old.withColumn("first_seen", F.lit(1)), new, ["o_orderkey"], first_seen="first_seen", now=F.lit(2))
+
+
+@query(SPLIT + """SELECT coalesce(old.o_orderkey, new.o_orderkey) AS o_orderkey, CASE WHEN old.o_orderkey IS NULL THEN new.o_orderstatus ELSE old.o_orderstatus END AS o_orderstatus,
+ coalesce(new.o_totalprice, old.o_totalprice) AS o_totalprice FROM old FULL JOIN new ON old.o_orderkey = new.o_orderkey""")
+def upsert_subset(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the price is updated on a match, as the day name is kept for opening hours."""
+    old, new = _split_orders(spark, sf)
+    return O.upsert(old, new, ["o_orderkey"], update=["o_totalprice"])
+
+
+@query(SPLIT + "SELECT count(*) FILTER (old.o_orderkey IS NULL) AS inserted, count(*) FILTER (old.o_orderkey IS NOT NULL) AS updated FROM new LEFT JOIN old ON old.o_orderkey = new.o_orderkey")
+def upsert_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return O.upsert_counts(*_split_orders(spark, sf), ["o_orderkey"])
+
+
+@query(SPLIT + "SELECT * FROM old UNION ALL SELECT * FROM new WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.o_orderkey = new.o_orderkey)")
+def insert_only(spark: SparkSession, sf: str) -> DataFrame:
+    return O.insert_only(*_split_orders(spark, sf), ["o_orderkey"])
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 5 <> 0
+UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1 FROM lineitem WHERE l_orderkey % 5 = 0 AND l_linenumber <= 2""")
+def replace_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    lines = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    keys = lines.where("l_orderkey % 5 = 0")
+    new = keys.where("l_linenumber <= 2").withColumn("l_quantity", F.col("l_quantity") + 1)
+    return O.replace_by_key(lines, new, keys, ["l_orderkey"])
+
+
+# --- joins -----------------------------------------------------------------------------------
+
+
+@query("SELECT c_custkey, c_name FROM customer c WHERE c_acctbal IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o_orderstatus = 'F')")
+def unenriched_anti(spark: SparkSession, sf: str) -> DataFrame:
+    done = t(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return O.missing(t(spark, sf, "customer").where("c_acctbal is not null"), done, ["c_custkey"]).select("c_custkey", "c_name")
+
+
+@query("""SELECT c_custkey, o_orderkey, CASE WHEN o_orderdate IS NOT NULL THEN 'enriched' ELSE 'pending' END AS enrichment FROM customer LEFT JOIN
+(SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) rn FROM orders WHERE o_orderpriority = '1-URGENT') o ON o_custkey = c_custkey AND rn = 1""")
+def enrichment_status(spark: SparkSession, sf: str) -> DataFrame:
+    log = O.latest(t(spark, sf, "orders").where("o_orderpriority = '1-URGENT'"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    both = t(spark, sf, "customer").join(log, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return both.select("c_custkey", "o_orderkey", F.when(F.col("o_orderdate").isNotNull(), "enriched").otherwise("pending").alias("enrichment"))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE list_contains(string_split(p_name, ' '), (SELECT string_split(p_name, ' ')[1] FROM part WHERE p_partkey = (SELECT min(p_partkey) FROM part)))")
+def product_exists_in_list(spark: SparkSession, sf: str) -> DataFrame:
+    parts = t(spark, sf, "part")
+    word = parts.agg(F.min_by(F.get(F.split("p_name", " "), F.lit(0)), "p_partkey")).scalar()
+    return parts.where(F.array_contains(F.split("p_name", " "), word)).select("p_partkey", "p_name")
+
+
+@query("""WITH d AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
+SELECT l_orderkey AS source_id, CAST(coalesce(sum(p_size), 0) AS BIGINT) AS capacity FROM d LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1""")
+def list_capacity_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """Desk lists are comma strings with brackets and repeats; each desk counts once."""
+    lists = t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.col("l_partkey").cast("string")), ", "), F.lit("]")).alias("floor_plan_desk_ids"))
+    parts = t(spark, sf, "part").select(F.col("p_partkey").alias("source_id"), F.col("p_size").alias("capacity"))
+    return reports.desk_capacity(lists.withColumnRenamed("l_orderkey", "source_id"), parts).select("source_id", F.col("capacity").cast("bigint").alias("capacity"))
+
+
+def _rooms(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    rooms = t(spark, sf, "customer").select(F.col("c_custkey").alias("room"), F.col("c_nationkey").alias("location_source_id"), F.when(F.col("c_custkey") % 7 != 0, F.left("c_mktsegment", F.lit(4))).alias("resource_type_name"))
+    services = t(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("service"), F.col("s_nationkey").alias("location_source_id"),
+        F.when(F.col("s_suppkey") % 3 == 0, "BUILDING,MACHINERY").when(F.col("s_suppkey") % 3 == 1, "AUTOMOBILE").alias("resource_type_names"), F.col("s_acctbal").alias("price"),
+    )
+    return rooms, services
+
+
+ROOMS = """WITH r AS (SELECT c_custkey AS room, c_nationkey AS loc, CASE WHEN c_custkey % 7 <> 0 THEN left(c_mktsegment, 4) END AS kind FROM customer),
+s AS (SELECT s_suppkey AS service, s_nationkey AS loc, CASE WHEN s_suppkey % 3 = 0 THEN 'BUILDING,MACHINERY' WHEN s_suppkey % 3 = 1 THEN 'AUTOMOBILE' END AS names, s_acctbal AS price FROM supplier) """
+
+
+@query(ROOMS + "SELECT room, service, price FROM r JOIN s ON r.loc = s.loc AND (names IS NULL OR contains(names, kind))")
+def room_pricing_theta(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.room_prices(*_rooms(spark, sf)).select("room", "service", "price")
+
+
+@query(ROOMS + "SELECT n_name AS location, room, kind AS room_type, service, price FROM r JOIN nation ON n_nationkey = r.loc LEFT JOIN s ON r.loc = s.loc AND (names IS NULL OR contains(names, kind))")
+def full_picture(spark: SparkSession, sf: str) -> DataFrame:
+    rooms, services = _rooms(spark, sf)
+    r = rooms.join(t(spark, sf, "nation"), F.col("n_nationkey") == F.col("location_source_id")).alias("r")
+    s = services.alias("s")
+    fits = F.col("s.resource_type_names").isNull() | F.col("s.resource_type_names").contains(F.col("r.resource_type_name"))
+    both = r.join(s, (F.col("r.location_source_id") == F.col("s.location_source_id")) & fits, "left")
+    return both.select(F.col("n_name").alias("location"), "room", F.col("r.resource_type_name").alias("room_type"), "service", "price")
+
+
+@query("SELECT p_partkey, s_suppkey FROM part JOIN supplier ON CAST(p_size % 25 AS VARCHAR) = CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey || ',' || s_suppkey ELSE CAST(s_nationkey AS VARCHAR) END")
+def multi_value_equality(spark: SparkSession, sf: str) -> DataFrame:
+    """Equality with a list text matches lists of one value only."""
+    s = t(spark, sf, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, F.concat_ws(",", F.col("s_nationkey").cast("string"), F.col("s_suppkey").cast("string"))).otherwise(F.col("s_nationkey").cast("string")).alias("names"))
+    p = t(spark, sf, "part").select("p_partkey", (F.col("p_size") % 25).cast("string").alias("names"))
+    return p.join(s, "names").select("p_partkey", "s_suppkey")
+
+
+@query("SELECT DISTINCT l_suppkey AS location_id, l_partkey AS resource_id FROM lineitem WHERE l_suppkey <> 0 AND l_partkey <> 0")
+def resource_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    from silverloom.sources.lookups import resource_pairs as pairs
+
+    return pairs(t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("location_id"), F.col("l_partkey").alias("resource_id")))
+
+
+# --- contracts -------------------------------------------------------------------------------
+
+
+def contracts(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as contracts: open ones have no cancellation, every third has no term."""
+    start = day()
+    return t(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("source_id"), F.col("o_custkey").alias("coworker_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("coworker_name"), start.alias("start_date"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.add_months(start, (F.col("o_orderkey") % 40).cast("int"))).alias("contract_term"),
+        F.when(F.col("o_orderstatus") == "F", F.date_add(start, (F.col("o_orderkey") % 400).cast("int"))).alias("cancellation_date"),
+        F.col("o_orderpriority").alias("tariff_name"), F.col("o_orderpriority").alias("next_tariff_name"), F.when(F.col("o_orderkey") % 5 != 0, "1,2").alias("floor_plan_desk_ids"),
+    )
+
+
+CONTRACTS = """WITH c AS (SELECT o_orderkey AS source_id, o_custkey AS coworker_id, 'c' || o_custkey AS coworker_name, CAST(o_orderdate AS DATE) AS start_date,
+ CASE WHEN o_orderkey % 3 <> 0 THEN CAST(CAST(o_orderdate AS DATE) + to_months(CAST(o_orderkey % 40 AS INT)) AS DATE) END AS contract_term,
+ CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INT) END AS cancellation_date,
+ o_orderpriority AS tariff_name, CASE WHEN o_orderkey % 5 <> 0 THEN '1,2' END AS desks FROM orders),
+v AS (SELECT * FROM c WHERE tariff_name ILIKE '%urgent%' AND (cancellation_date IS NULL OR start_date <> cancellation_date)),
+w AS (SELECT *, row_number() OVER (PARTITION BY coworker_id ORDER BY start_date, source_id) rf, row_number() OVER (PARTITION BY coworker_id ORDER BY start_date DESC, source_id DESC) rl FROM v),
+fl AS (SELECT l.coworker_id, l.coworker_name, f.start_date AS first_start, l.source_id, l.start_date, l.contract_term, l.cancellation_date FROM w l JOIN w f ON l.coworker_id = f.coworker_id AND f.rf = 1 WHERE l.rl = 1) """
+
+
+@query(CONTRACTS + "SELECT coworker_id, coworker_name, first_start, cancellation_date, date_diff('month', first_start, cancellation_date) AS tenure_months FROM fl WHERE cancellation_date IS NOT NULL")
+def first_last_tenure(spark: SparkSession, sf: str) -> DataFrame:
+    """Coworkers whose last valid contract is cancelled, with their tenure."""
+    out = reports.cancelled_coworkers(contracts(spark, sf), "urgent")
+    return out.select("coworker_id", "coworker_name", "first_start", "cancellation_date", F.col("tenure_months").cast("bigint").alias("tenure_months"))
+
+
+@query(CONTRACTS + ", x AS (SELECT coworker_id, date_diff('month', first_start, start_date) AS tenure_months FROM fl) SELECT *, CAST(floor(avg(tenure_months) OVER ()) AS BIGINT) AS average_months FROM x WHERE tenure_months > 0")
+def tenure_with_avg(spark: SparkSession, sf: str) -> DataFrame:
+    """Positive tenures beside their truncated average."""
+    x = reports.first_and_last(reports.valid_contracts(contracts(spark, sf), "urgent"))
+    x = x.select("coworker_id", D.month_boundaries(F.col("first_start"), F.col("start_date")).cast("bigint").alias("tenure_months")).where("tenure_months > 0")
+    return reports.with_average(x, "tenure_months", "average_months")
+
+
+@query(CONTRACTS + """, n AS (SELECT *, row_number() OVER (PARTITION BY coworker_id ORDER BY start_date DESC, source_id DESC) rn FROM c
+ WHERE (start_date >= DATE '1997-06-15' OR (start_date < DATE '1997-06-15' AND coalesce(contract_term, DATE '1997-06-15') >= DATE '1997-06-15'))
+ AND coalesce(contract_term, DATE '1997-12-15') >= DATE '1997-12-15' AND desks IS NOT NULL AND tariff_name ILIKE '%urgent%'),
+f AS (SELECT coworker_id, min(start_date) AS first_start FROM c WHERE tariff_name ILIKE '%urgent%' GROUP BY 1)
+SELECT n.coworker_id, n.source_id, f.first_start, date_diff('month', f.first_start, coalesce(contract_term, DATE '1997-06-15')) AS tenure_months FROM n JOIN f ON n.coworker_id = f.coworker_id WHERE rn = 1""")
+def future_contracts(spark: SparkSession, sf: str) -> DataFrame:
+    out = reports.future_contracts(contracts(spark, sf), "urgent", F.lit(AS_OF))
+    return out.select("coworker_id", "source_id", "first_start", F.col("tenure_months").cast("bigint").alias("tenure_months"))
+
+
+@query(CONTRACTS + "SELECT coworker_id, source_id, start_date FROM w WHERE rl = 1 AND contract_term IS NULL AND cancellation_date IS NULL")
+def open_ended(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.open_ended(contracts(spark, sf), "urgent").select("coworker_id", "source_id", "start_date")
+
+
+@query(CONTRACTS + "SELECT coworker_id, source_id FROM w WHERE rl = 1")
+def latest_valid_contract(spark: SparkSession, sf: str) -> DataFrame:
+    return O.latest(reports.valid_contracts(contracts(spark, sf), "urgent"), ["coworker_id"], [F.desc("start_date"), F.desc("source_id")]).select("coworker_id", "source_id")
+
+
+@query("""WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 900 AS INT) - 300 AS b FROM orders),
+m AS (SELECT *, date_diff('month', a, b) AS n FROM o)
+SELECT o_orderkey, n AS boundaries, CASE WHEN b >= a THEN n - CASE WHEN CAST(a + to_months(CAST(n AS INT)) AS DATE) > b THEN 1 ELSE 0 END
+ ELSE n + CASE WHEN CAST(a + to_months(CAST(n AS INT)) AS DATE) < b THEN 1 ELSE 0 END END AS complete FROM m""")
+def complete_months(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = day(), F.date_add(day(), (F.col("o_orderkey") % 900).cast("int") - 300)
+    return t(spark, sf, "orders").select("o_orderkey", D.month_boundaries(a, b).cast("bigint").alias("boundaries"), D.complete_months(a, b).cast("bigint").alias("complete"))
+
+
+#: Terms for the roll-forward: the end lies 1 to 14 months and up to 27 days after the start.
+TERMS = """WITH RECURSIVE o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate + to_months(CAST(o_orderkey % 14 + 1 AS INT)) AS DATE) + CAST(o_orderkey % 28 AS INT) AS e, o_orderkey % 2 = 0 AS monthly FROM orders),
+x AS (SELECT *, date_diff('month', s, e) AS n FROM o),
+y AS (SELECT *, n - CASE WHEN CAST(s + to_months(CAST(n AS INT)) AS DATE) > e THEN 1 ELSE 0 END AS cm FROM x),
+z AS (SELECT o_orderkey, s, e, CASE WHEN monthly THEN 1 ELSE cm END AS m, CASE WHEN monthly THEN 0 ELSE e - CAST(s + to_months(CAST(cm AS INT)) AS DATE) END AS d FROM y),
+r AS (SELECT o_orderkey, s, e, m, d FROM z UNION ALL SELECT o_orderkey, s, CAST(e + to_months(CAST(m AS INT)) AS DATE) + CAST(d AS INT), m, d FROM r WHERE e < DATE '1997-06-15'),
+f AS (SELECT o_orderkey, s, m, d, max(e) AS rolled FROM r GROUP BY ALL) """
+
+
+def _terms(spark: SparkSession, sf: str) -> DataFrame:
+    start = day()
+    end = F.date_add(F.add_months(start, (F.col("o_orderkey") % 14 + 1).cast("int")), (F.col("o_orderkey") % 28).cast("int"))
+    rows = t(spark, sf, "orders").select("o_orderkey", start.alias("s"), end.alias("e"), F.when(F.col("o_orderkey") % 2 == 0, "monthly").otherwise("same_duration").alias("category"))
+    m, d = D.renewal_delta(F.col("s"), F.col("e"), F.col("category"))
+    rows = rows.withColumns({"m": m, "d": d})
+    return rows.withColumn("rolled", D.roll_forward(F.col("e"), F.col("m"), F.col("d"), F.lit(AS_OF)))
+
+
+@query(TERMS + "SELECT o_orderkey, m AS months, CAST(d AS BIGINT) AS days, rolled FROM f")
+def roll_forward(spark: SparkSession, sf: str) -> DataFrame:
+    return _terms(spark, sf).select("o_orderkey", F.col("m").cast("bigint").alias("months"), F.col("d").cast("bigint").alias("days"), "rolled")
+
+
+@query(TERMS + """, g AS (SELECT *, CASE WHEN date_diff('month', s, DATE '1997-06-15') <= 23 THEN 2 ELSE 6 END AS notice FROM f),
+q AS (SELECT o_orderkey, m, d, notice, rolled AS e, 0 AS k FROM g UNION ALL SELECT o_orderkey, m, d, notice, CAST(e + to_months(CAST(m AS INT)) AS DATE) + CAST(d AS INT), k + 1 FROM q WHERE e < DATE '1997-06-15' + to_months(notice) AND k < 120)
+SELECT o_orderkey, notice AS notice_months, max(e) AS real_end FROM q GROUP BY 1, 2""")
+def notice_period(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _terms(spark, sf).withColumn("notice", F.when(D.month_boundaries(F.col("s"), F.lit(AS_OF)) <= 23, 2).otherwise(6))
+    return rows.select("o_orderkey", F.col("notice").alias("notice_months"), D.notice_end(F.col("rolled"), F.col("m"), F.col("d"), F.lit(AS_OF), F.col("notice")).alias("real_end"))
+
+
+@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS iso, CAST(o_orderdate AS DATE) AS dmy, CAST(o_orderdate AS DATE) AS dotted, CAST(o_orderdate AS DATE) AS cut,
+ last_day(CAST(o_orderdate AS DATE)) AS clamped, CAST(NULL AS DATE) AS none FROM orders""")
+def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every written form of the order date, a day beyond its month, and a text without a date."""
+    f = lambda p: F.date_format("o_orderdate", p)
+    forms = {"iso": f("yyyy-MM-dd"), "dmy": f("d/M/yyyy"), "dotted": f("dd.MM.yyyy"), "cut": F.concat(f("dd.MM.yyyy"), F.lit(", then monthly")), "clamped": F.concat(F.lit("31/"), f("M/yyyy")), "none": F.lit("TBD")}
+    return t(spark, sf, "orders").select("o_orderkey", *[D.parse_date(c).alias(n) for n, c in forms.items()])
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) - INTERVAL 2 HOUR AS at, CAST(NULL AS TIMESTAMP) AS bad FROM orders")
+def parse_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))
+    return t(spark, sf, "orders").select("o_orderkey", D.parse_timestamp(text).cast("timestamp_ntz").alias("at"), D.parse_timestamp(F.lit("10:30")).cast("timestamp_ntz").alias("bad"))
+
+
+@query("""WITH x AS (SELECT o_orderkey, ['Month-to-month', 'same period as before', 'by agreement', '', 'monthly; same duration'][CAST(o_orderkey % 5 + 1 AS INT)] AS t FROM orders)
+SELECT o_orderkey, CASE WHEN t = '' THEN 'unknown' WHEN t ILIKE '%month-to-month%' THEN 'monthly' WHEN t ILIKE '%same period%' OR t ILIKE '%same duration%' THEN 'same_period' ELSE 'personalized' END AS extracted,
+ CASE WHEN t = '' THEN 'unknown' WHEN t ILIKE '%same duration%' THEN 'same_duration' WHEN t ILIKE '%month%' THEN 'monthly' ELSE 'personalized' END AS reported FROM x""")
+def renewal_classify(spark: SparkSession, sf: str) -> DataFrame:
+    texts = F.array(*[F.lit(x) for x in ("Month-to-month", "same period as before", "by agreement", "", "monthly; same duration")])
+    text = F.get(texts, (F.col("o_orderkey") % 5).cast("int"))
+    return t(spark, sf, "orders").select("o_orderkey", S.classify_renewal(text).alias("extracted"), S.renewal_category(text).alias("reported"))
+
+
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INT) AS q, CAST(l_quantity AS INT) || ' Months notice' AS t FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN q - 5 <= 11 THEN '1-11 months' WHEN q - 5 <= 23 THEN '12-23 months' ELSE '24+ months' END AS tenure, CASE WHEN q * 2 <= 24 THEN '0-24' WHEN q * 2 <= 74 THEN '25-74' ELSE '75+' END AS capacity,
+ q AS anchored, 0 AS other FROM x""")
+def buckets(spark: SparkSession, sf: str) -> DataFrame:
+    q = F.col("l_quantity").cast("int")
+    text = F.concat(q.cast("string"), F.lit(" Months notice"))
+    return t(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", S.tenure_bucket(q - 5).alias("tenure"), S.capacity_bucket(q * 2).alias("capacity"), S.notice_months(text).alias("anchored"), S.notice_months(F.concat(F.lit("at least "), text)).alias("other")
+    )
+
+
+# --- aggregates ------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS customers, count(DISTINCT CAST(o_orderdate AS DATE)) AS days FROM orders GROUP BY 1, 2")
+def distinct_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return t(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"), F.count_distinct("o_custkey").alias("customers"), F.count_distinct(day()).alias("days"))
+
+
+@query("SELECT o_orderpriority, count(*) AS n, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS finished, count(CASE WHEN o_totalprice > 100000 THEN 1 END) AS large FROM orders GROUP BY 1")
+def bit_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return t(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.sum(N.flag(F.col("o_orderstatus") == "F")).alias("finished"), F.count(F.when(F.col("o_totalprice") > 100000, 1)).alias("large"))
+
+
+@query("SELECT n_name, count(c_custkey) AS n, count(DISTINCT c_mktsegment) AS segments, min(c_acctbal) AS lowest, max(c_acctbal) AS highest FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1")
+def minmax_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    both = t(spark, sf, "nation").join(t(spark, sf, "customer"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return both.groupBy("n_name").agg(F.count("c_custkey").alias("n"), F.count_distinct("c_mktsegment").alias("segments"), F.min("c_acctbal").alias("lowest"), F.max("c_acctbal").alias("highest"))
+
+
+@query("SELECT user_id, CAST(sum(CASE WHEN value <= 50 AND event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS clicks, CAST(sum(CASE WHEN value <= 50 AND event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS views, count(*) AS n FROM events GROUP BY 1")
+def conditional_counts(spark: SparkSession, sf: str) -> DataFrame:
+    one = lambda k: F.sum(F.when((F.col("value") <= 50) & (F.col("event_type") == k), 1).otherwise(0))
+    return t(spark, sf, "events").groupBy("user_id").agg(one("click").alias("clicks"), one("view").alias("views"), F.count("*").alias("n"))
+
+
+@query("SELECT event_type, count(*) AS n, round(count(*) FILTER (value > 10) * 100.0 / count(*), 6) AS success_pct FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1")
+def success_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """Success rate of the last seven days by function."""
+    e = t(spark, sf, "events")
+    recent = e.where(F.col("ts") > e.agg(F.max("ts")).scalar() - F.expr("interval 7 days"))
+    return recent.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.count_if(F.col("value") > 10) * 100.0 / F.count("*"), 6).alias("success_pct"))
+
+
+@query("SELECT o_custkey, o_orderdate, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(*) > 1")
+def duplicate_guard(spark: SparkSession, sf: str) -> DataFrame:
+    return O.duplicates(t(spark, sf, "orders"), ["o_custkey", "o_orderdate"])
+
+
+@query("SELECT 'UQ_custkey_date' AS \"constraint\", CASE WHEN (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)) > 0 THEN 'SKIP' ELSE 'ADDED' END AS outcome")
+def constraint_guard(spark: SparkSession, sf: str) -> DataFrame:
+    return O.unique_guard(t(spark, sf, "orders"), "UQ_custkey_date", ["o_custkey", "o_orderdate"], exists=False)
+
+
+NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in NAMES))
+def table_counts_union(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.table_counts({n: t(spark, sf, n) for n in NAMES})
+
+
+@query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10")
+def topn_recent(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten latest runs: the limit is the report."""
+    return t(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(10)
+
+
+@query("""WITH x AS (SELECT l_suppkey, l_partkey, l_linenumber, l_orderkey, row_number() OVER (PARTITION BY l_suppkey, l_linenumber ORDER BY l_shipdate DESC, l_orderkey) AS rk FROM lineitem),
+y AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY l_linenumber, rk) AS rn FROM x WHERE rk <= 20)
+SELECT l_suppkey, l_partkey, l_linenumber AS category, rk AS result_rank FROM y WHERE rn = 1""")
+def first_category_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """Each search is capped first; then a place keeps its first category only."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("l_suppkey", "l_linenumber").orderBy(F.desc("l_shipdate"), "l_orderkey")
+    x = t(spark, sf, "lineitem").withColumn("result_rank", F.row_number().over(w).cast("bigint")).where("result_rank <= 20")
+    return O.first_category(x, ["l_suppkey", "l_partkey"], ["l_linenumber", "result_rank"]).select("l_suppkey", "l_partkey", F.col("l_linenumber").alias("category"), "result_rank")
+
+
+@query("""WITH x AS (SELECT c_custkey, 40 + c_custkey % 10 / 100.0 AS la, -3 - c_nationkey / 200.0 AS lo FROM customer),
+h AS (SELECT *, power(sin(radians(la - 40.05) / 2), 2) + cos(radians(40.05)) * cos(radians(la)) * power(sin(radians(lo + 3.01) / 2), 2) AS a FROM x),
+d AS (SELECT c_custkey, CAST(trunc(2 * 6371000 * atan2(sqrt(a), sqrt(1 - a))) AS INT) AS metres FROM h)
+SELECT c_custkey, metres, greatest(1, CAST(round_even(metres / 80.0, 0) AS INT)) AS minutes FROM d""")
+def haversine_walk(spark: SparkSession, sf: str) -> DataFrame:
+    la, lo = F.lit(40.0) + (F.col("c_custkey") % 10) / F.lit(100.0), F.lit(-3.0) - F.col("c_nationkey") / F.lit(200.0)
+    metres = N.haversine_m(F.lit(40.05), F.lit(-3.01), la, lo)
+    return t(spark, sf, "customer").select("c_custkey", metres.alias("metres"), N.walking_minutes(metres).alias("minutes"))
+
+
+@query()
+def geocode_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordered fold over address components, by nation; the second sublocality falls through to the district."""
+    c = lambda kinds, name: F.struct(F.array(*[F.lit(k) for k in kinds]).alias("types"), name.alias("long_name"))
+    n = F.col("n_name")
+    parts = F.array(c(["sublocality", "sublocality_level_1"], n), c(["sublocality", "sublocality_level_1"], F.lower(n)), c(["locality"], F.col("n_regionkey").cast("string")), c(["postal_code"], F.col("n_nationkey").cast("string")))
+    return t(spark, sf, "nation").select("n_nationkey", J.address_parts(parts).alias("a")).select("n_nationkey", "a.*")
+
+
+# --- profiling and quality -------------------------------------------------------------------
+
+
+@query("""SELECT event_type, 'k' AS path, count(*) AS n, count(*) AS records, 100.0::DOUBLE AS coverage_pct, 0.0::DOUBLE AS null_pct,
+ CASE WHEN count(DISTINCT json_extract_string(props, '$.k')) = 1 THEN 'constant' ELSE '' END AS flag FROM events GROUP BY 1""")
+def key_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.coverage(t(spark, sf, "events"), "props", ["event_type"]).select("event_type", "path", "n", "records", F.col("coverage_pct").cast("double").alias("coverage_pct"), F.col("null_pct").cast("double").alias("null_pct"), "flag")
+
+
+@query("""WITH x AS (SELECT event_type, count(*) AS n, count(*) FILTER (event_id % 4 = 0 OR event_type = 'click') AS m FROM events GROUP BY 1), p AS (SELECT event_type, round(m * 100.0 / n, 1) AS pct FROM x)
+SELECT 'b.c' AS path, max(CASE WHEN event_type = 'click' THEN pct END)::DOUBLE AS click, max(CASE WHEN event_type = 'view' THEN pct END)::DOUBLE AS view FROM p""")
+def coverage_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths whose coverage differs between two event types by more than 20 points."""
+    more = F.when((F.col("event_id") % 4 == 0) | (F.col("event_type") == "click"), F.concat(F.lit('{"a": 1, "b": {"c": '), F.col("event_id").cast("string"), F.lit("}}"))).otherwise('{"a": null}')
+    rows = t(spark, sf, "events").select("event_type", more.alias("raw"))
+    out = profile.coverage_pivot(rows, "raw", "event_type", ["click", "view"])
+    return out.where("path like '%.c'").select("path", F.col("click").cast("double").alias("click"), F.col("view").cast("double").alias("view"))
+
+
+@query("SELECT l_orderkey, l_linenumber, 'open day without times' AS problem FROM lineitem WHERE l_returnflag = 'N' AND (l_discount = 0 OR l_tax = 0)")
+def hours_quality(spark: SparkSession, sf: str) -> DataFrame:
+    rows = t(spark, sf, "lineitem").where("l_returnflag = 'N'")
+    opens, closes = F.nullif(F.col("l_discount"), F.lit(0.0)), F.nullif(F.col("l_tax"), F.lit(0.0))
+    return rows.where(opens.isNull() | closes.isNull()).select("l_orderkey", "l_linenumber", F.lit("open day without times").alias("problem"))
+
+
+@query("""SELECT event_id, concat_ws(',', CASE WHEN event_id % 10 = 0 THEN 'json' END, CASE WHEN NOT value <= 95 THEN 'range' END) AS broken FROM events WHERE event_id % 10 = 0 OR NOT value <= 95""")
+def rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with malformed payloads or values out of range, with the rules that they break."""
+    raw = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{"), "props")).otherwise(F.col("props"))
+    _, bad = O.checked(t(spark, sf, "events").withColumn("raw", raw), {"json": J.parsed(F.col("raw")).isNotNull(), "range": F.col("value") <= 95})
+    return bad.select("event_id", F.array_join("broken_rules", ",").alias("broken"))
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn FROM events) SELECT user_id, event_id, event_type, ts FROM r WHERE rn = 1 AND event_type = 'click'""")
+def run_log_current(spark: SparkSession, sf: str) -> DataFrame:
+    """The current state of each run, where it failed."""
+    return O.latest(t(spark, sf, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]).where("event_type = 'click'").select("user_id", "event_id", "event_type", "ts")
+
+
+@query("""SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS total, min(n_chars) AS least, max(n_chars) AS most, round(avg(n_chars), 1) AS mean, count(*) FILTER (n_chars < 300) AS review FROM documents GROUP BY 1""")
+def page_stats_flags(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col("n_chars")
+    return t(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.sum(c).alias("total"), F.min(c).alias("least"), F.max(c).alias("most"), F.round(F.avg(c), 1).alias("mean"), F.count_if(c < 300).alias("review"))
+
+
+@query(r"""WITH x AS (SELECT page_id, page_id || '_' || split_part(url, '/', 3) || '_' || split_part(url, '/', 5) AS s FROM pages), p AS (SELECT *, string_split(s, '_') AS q FROM x)
+SELECT page_id, q[1] AS coworker_id, q[2] AS coworker_name, array_to_string(q[3:], '_') AS file_id FROM p""")
+def filename_split(spark: SparkSession, sf: str) -> DataFrame:
+    url = F.split("url", "/")
+    stem = F.concat_ws("_", F.col("page_id").cast("string"), F.get(url, F.lit(2)), F.get(url, F.lit(4)))
+    return t(spark, sf, "pages").select("page_id", S.stem_parts(stem).alias("s")).select("page_id", "s.*")
+
+
+@query(r"SELECT page_id, trim(regexp_replace(url, '[^\p{L}\p{N} _-]', '_', 'g')) AS name, left(url, 4) || '...' || right(url, 4) AS masked, printf('%02d:%02d', CAST((page_id % 1440) // 60 AS INT), CAST((page_id % 1440) % 60 AS INT)) AS clock FROM pages")
+def small_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return t(spark, sf, "pages").select("page_id", S.safe_filename(F.col("url")).alias("name"), S.masked(F.col("url")).alias("masked"), S.hhmm(F.col("page_id") % 1440).alias("clock"))
+
+
+@query()
+def fence_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies in a code fence, and one that is no JSON."""
+    reply = F.when(F.col("r_regionkey") % 2 == 0, F.concat(F.lit('```json\n{"name": "'), "r_name", F.lit('"}\n```'))).otherwise(F.col("r_name"))
+    v = J.fenced_json(reply)
+    return t(spark, sf, "region").select("r_regionkey", J.field(v, "name").alias("name"), J.field(v, "raw_response").alias("raw_response"))
+
+
+@query()
+def map_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Two notice tables merged; the first wins where both have a cell."""
+    a = F.create_map(F.lit("1-11 months"), F.create_map(F.lit("0-24"), F.col("r_name")))
+    b = F.create_map(F.lit("1-11 months"), F.create_map(F.lit("0-24"), F.lit("x"), F.lit("75+"), F.lit("y")), F.lit("24+ months"), F.create_map(F.lit("0-24"), F.lit("z")))
+    return t(spark, sf, "region").select("r_regionkey", F.to_json(J.merged_tables(a, b)).alias("merged"))
