@@ -24,6 +24,8 @@ from silverloom.llm.common import map_texts, materialised
 SHARD = 16_384
 #: Words kept by a worker; a bound of memory, results don't depend on it.
 CACHE = 400_000
+#: Pairs of bins that the local search looks at for each item before it stops.
+EFFORT = 64
 
 
 class WordIds:
@@ -119,22 +121,29 @@ def best_fit(sizes: list[int], limit: int) -> list[list[int]]:
 def local_search(bins: list[list[int]], sizes: list[int], limit: int) -> list[list[int]]:
     """Fewer bins by moves and exchanges that increase the sum of squared fills.
 
-    The emptiest bin gives: an item moves to the fullest bin with room for it; or it is
-    exchanged for one or two smaller items of a fuller bin; or two of its items for one.
-    Each step raises the squared fill (the fuller bin gains what the emptier loses), so
-    the search ends; a bin that has given all is dropped. It stops when the bins are as
-    few as the total allows, or when the emptiest bin can give nothing more.
+    A bin gives to fuller ones, the emptiest bin first: an item moves to the fullest bin with
+    room for it; or it is exchanged for one or two smaller items of a fuller bin; or two of
+    its items for one. Each step raises the squared fill (the fuller bin gains what the
+    emptier loses), so the search ends; a bin that has given all is dropped. It stops when the
+    bins are as few as the total allows, when no bin can give anything more, or after EFFORT
+    pairs of bins looked at for each item, which bounds its time and never leaves an item out.
     """
     fill = [sum(sizes[i] for i in b) for b in bins]
     least = -(-sum(fill) // limit)
     alive = set(range(len(bins)))
-    while len(alive) > least:
-        poor = min(alive, key=lambda b: (fill[b], b))
-        others = sorted((b for b in alive if b != poor and fill[b] < limit), key=lambda b: (-fill[b], b))
-        if not _give(poor, others, bins, sizes, fill, limit):
+    effort = EFFORT * len(sizes)
+    while len(alive) > least and effort > 0:
+        under = sorted((b for b in alive if fill[b] < limit), key=lambda b: (-fill[b], b))
+        for k in range(len(under) - 1, 0, -1):
+            effort -= k
+            if _give(under[k], under[:k], bins, sizes, fill, limit):
+                if not bins[under[k]]:
+                    alive.discard(under[k])
+                break
+            if effort <= 0:
+                break
+        else:
             break
-        if not bins[poor]:
-            alive.discard(poor)
     return [bins[b] for b in sorted(alive)]
 
 
