@@ -1,7 +1,8 @@
 """Line dedup by content-defined chunks of lines.
 
 A rolling hash over the hashes of neighbouring lines chooses where chunks of lines begin,
-so boundaries move with the content; a long line is a chunk of its own. Chunks that
+so boundaries move with the content; the more words the lines have, the likelier a boundary
+is, so that chunks have about a sentence's words or are one longer line. Chunks that
 occur more than once anywhere are found by digest, compared byte by byte, and all but the
 first occurrence are removed where they form a passage of several lines or many words.
 """
@@ -19,9 +20,9 @@ from pyspark.sql import types as T
 
 from silverloom.llm.common import attach, map_texts, materialised
 
-#: A chunk begins on average at every so many lines.
-SPACING = 2
-#: A line of so many words is a chunk of its own, and enough to be removed alone.
+#: Words of a chunk: a line of so many or more is a chunk of its own.
+SPACING = 12
+#: Words that are enough for a chunk or run of chunks to be removed.
 LONG = 50
 #: Lines with words that a removed run of chunks has at least, unless it has LONG words.
 LINES = 2
@@ -33,12 +34,13 @@ MASK = (1 << 64) - 1
 def chunks(text: str) -> list[tuple[int, int]]:
     """Half-open ranges of line numbers; they cover all lines of the text in order."""
     lines = text.split("\n")
-    wide = [line.count(" ") + 1 >= LONG and len(line.split()) >= LONG for line in lines]
+    words = [len(line.split()) for line in lines]
     starts, before = [0], xxhash.xxh3_64_intdigest(lines[0].encode("utf-8", "surrogatepass"))
     for i in range(1, len(lines)):
         own = xxhash.xxh3_64_intdigest(lines[i].encode("utf-8", "surrogatepass"))
         rolled = (before * 0x9E3779B97F4A7C15 + own) & MASK
-        if wide[i] or wide[i - 1] or ((rolled ^ (rolled >> 29)) * 0xBF58476D1CE4E5B9 & MASK) >> 40 & 0xFFFF < 0x10000 // SPACING:
+        chance = ((rolled ^ (rolled >> 29)) * 0xBF58476D1CE4E5B9 & MASK) >> 40 & 0xFFFF
+        if chance * SPACING < max(words[i - 1], words[i]) << 16:
             starts.append(i)
         before = own
     return list(zip(starts, [*starts[1:], len(lines)]))
