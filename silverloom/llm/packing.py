@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
+from struct import pack as pack_ints
 
 import numpy as np
 import pandas as pd
@@ -18,12 +19,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silverloom.llm.bpe import byte_alphabet
 from silverloom.llm.common import map_texts, materialised
 
 #: Pieces of a shard: enough that the one open bin a shard may leave doesn't count.
 SHARD = 16_384
 #: Words kept by a worker; a bound of memory, results don't depend on it.
-CACHE = 400_000
+CACHE = 200_000
+#: Code points below this one are the same kind of character in all Unicode versions.
+LATIN = "\u0250"
 #: Pairs of bins that the local search looks at for each item before it stops.
 EFFORT = 64
 
@@ -32,7 +36,10 @@ class WordIds:
     """Token ids of texts by the tokenizers library, each distinct word encoded once.
 
     For vocabularies that normalise a text, cut it by one pattern and encode each match on
-    its own. `cut` must be the file's pattern; matches are encoded by the library itself.
+    its own. `cut` must be the file's pattern. A match of Latin text goes to the library's
+    model in the printable spelling of its bytes; others go through the whole library, since
+    Unicode versions differ on what a letter is. No match holds white space, so ids are first looked up by what stands between white
+    space, and only what is new there is cut.
     """
 
     #: The file's split pattern.
@@ -46,23 +53,40 @@ class WordIds:
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         #: Planes where Unicode versions differ on what a letter is: the library takes the whole text.
         self.beyond = regex.compile("[\U00011000-\U0010ffff]")
+        #: Control characters that Python takes for white space and the pattern doesn't.
+        self.odd = regex.compile("[\x1c-\x1f]")
+        self.spelled = {b: ord(c) for c, b in byte_alphabet().items()}
         self.known: dict[str, bytes] = {}
+        self.whole: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if any(s in text for s in self.added) or not text.isascii() and self.beyond.search(text):
+        if any(s in text for s in self.added) or self.odd.search(text) or not text.isascii() and self.beyond.search(text):
             return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        text = text.lower() if text.isascii() else self.tok.normalizer.normalize_str(text)
-        words, known = self.cut.findall(text), self.known
+        parts, whole = text.split(), self.whole
         try:
-            return b"".join([known[w] for w in words])
+            return b"".join([whole[p] for p in parts])
         except KeyError:
-            if len(known) > CACHE:
-                known.clear()
-            new = list({w for w in words if w not in known})
-            for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+            if len(whole) > CACHE:
+                whole.clear()
+            self.learn([p for p in set(parts) if p not in whole])
+            return b"".join([whole[p] for p in parts])
+
+    def learn(self, parts: list[str]) -> None:
+        """Adds the ids of parts without white space."""
+        lowered = [p.lower() if p.isascii() else self.tok.normalizer.normalize_str(p) for p in parts]
+        cut, known = [self.cut.findall(p) for p in lowered], self.known
+        if len(known) > CACHE:
+            known.clear()
+        bpe, spelled = self.tok.model.tokenize, self.spelled
+        for w in {w for ws in cut for w in ws if w not in known}:
+            if max(w) < LATIN:
+                as_bytes = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(spelled)
+                ids = [t.id for t in bpe(as_bytes)]
+            else:
+                ids = self.tok.encode(w, add_special_tokens=False).ids
+            known[w] = pack_ints(f"<{len(ids)}I", *ids)
+        self.whole.update(zip(parts, [b"".join([known[w] for w in ws]) for ws in cut], strict=True))
 
 
 @lru_cache(maxsize=1)
