@@ -30,6 +30,18 @@ ARROW = {
 }
 
 
+#: Rows and bytes of an Arrow batch that a task turns into Python values at once; bounds of memory.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1024, 4 << 20
+
+
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of bounded size, one row at least; an empty batch gives none."""
+    for b in batches:
+        rows = max(1, min(ROWS_AT_ONCE, BYTES_AT_ONCE * b.num_rows // max(1, b.nbytes)))
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: dict[str, str], make: Callable) -> DataFrame:
     """Narrow pass: the kept columns of each row, unchanged, with the fields made from its text.
 
@@ -44,7 +56,7 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: dict[str, s
         schema = schema.add(name, T.DataType.fromDDL(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in portions(batches):
             rows, columns = make([t if isinstance(t, str) else "" for t in b.column(len(kept)).to_pylist()])
             own = b.columns[: len(kept)]
             if rows is not None:

@@ -12,10 +12,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import map_texts
+from silverloom.llm.common import map_texts, portions
 
 #: N-grams of a profile.
 PROFILE = 300
@@ -109,23 +110,25 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", size: i
     adds up its own rows before the shuffle. The driver gets `size` codes a language.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pd.DataFrame] = []
-        for b in batches:
-            texts, langs = list(b["text"]), b["lang"].to_numpy(object)
+        for b in portions(batches):
+            texts, langs = b.column(0).to_pylist(), np.asarray(b.column(1).to_pylist(), object)
             for at, group in groups(texts):
                 doc, code, n = gram_counts(group)
                 parts.append(pd.DataFrame({"lang": langs[at + doc], "gram": code, "n": n}))
                 if len(parts) > 8:
                     parts = [_summed(parts)]
-                if len(parts[0]) > 2_000_000:
-                    yield parts.pop(0)
+                if len(parts[0]) > 500_000:
+                    yield pa.RecordBatch.from_pandas(parts.pop(0), kinds, preserve_index=False)
         if parts:
-            yield _summed(parts)
+            yield pa.RecordBatch.from_pandas(_summed(parts), kinds, preserve_index=False)
 
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null")
-    total = rows.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    total = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = total.withColumn("place", place).where(F.col("place") <= size).select("lang", "place", "gram").collect()
     out: dict[str, list[int]] = {}

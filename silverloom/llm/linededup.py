@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverloom.llm.common import attach, map_texts, materialised
+from silverloom.llm.common import attach, map_texts, materialised, portions
 
 #: Words of a chunk: a line of so many or more is a chunk of its own.
 SPACING = 12
@@ -134,7 +134,7 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     whole = whole.join(later, "id", "left").select("row", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in portions(batches):
             out = []
             for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 if text is None:
