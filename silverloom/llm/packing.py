@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from collections.abc import Callable
 from functools import lru_cache
 from struct import pack as pack_ints
 
@@ -24,22 +25,40 @@ from silverloom.llm.common import map_texts, materialised
 
 #: Pieces of a shard: enough that the one open bin a shard may leave doesn't count.
 SHARD = 16_384
-#: Words kept by a worker; a bound of memory, results don't depend on it.
-CACHE = 200_000
+#: Words of a generation that a worker remembers; a bound of memory, results don't depend on it.
+CACHE = 250_000
 #: Code points below this one are the same kind of character in all Unicode versions.
 LATIN = "\u0250"
 #: Pairs of bins that the local search looks at for each item before it stops.
 EFFORT = 64
 
 
+class Remembered(dict):
+    """Values of a function by its argument, in two generations of CACHE entries at most.
+
+    When the newer one is full it becomes the older one; what is still in use moves over.
+    """
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= CACHE:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(key)
+        self[key] = value = self.make(key) if value is None else value
+        return value
+
+
 class WordIds:
-    """Token ids of texts by the tokenizers library, each distinct word encoded once.
+    """Token ids of texts by the tokenizers library, each word encoded once while remembered.
 
     For vocabularies that normalise a text, cut it by one pattern and encode each match on
-    its own. `cut` must be the file's pattern. A match of Latin text goes to the library's
+    its own. `CUT` must be the file's pattern. A match of Latin text goes to the library's
     model in the printable spelling of its bytes; others go through the whole library, since
-    Unicode versions differ on what a letter is. No match holds white space, so ids are first looked up by what stands between white
-    space, and only what is new there is cut.
+    Unicode versions differ on what a letter is. No match holds white space, so ids are first
+    looked up by what stands between white space, and only what is new there is cut.
     """
 
     #: The file's split pattern.
@@ -56,37 +75,29 @@ class WordIds:
         #: Control characters that Python takes for white space and the pattern doesn't.
         self.odd = regex.compile("[\x1c-\x1f]")
         self.spelled = {b: ord(c) for c, b in byte_alphabet().items()}
-        self.known: dict[str, bytes] = {}
-        self.whole: dict[str, bytes] = {}
+        self.known = Remembered(self.of_part)
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if any(s in text for s in self.added) or self.odd.search(text) or not text.isascii() and self.beyond.search(text):
             return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts, whole = text.split(), self.whole
-        try:
-            return b"".join([whole[p] for p in parts])
-        except KeyError:
-            if len(whole) > CACHE:
-                whole.clear()
-            self.learn([p for p in set(parts) if p not in whole])
-            return b"".join([whole[p] for p in parts])
-
-    def learn(self, parts: list[str]) -> None:
-        """Adds the ids of parts without white space."""
-        lowered = [p.lower() if p.isascii() else self.tok.normalizer.normalize_str(p) for p in parts]
-        cut, known = [self.cut.findall(p) for p in lowered], self.known
-        if len(known) > CACHE:
-            known.clear()
-        bpe, spelled = self.tok.model.tokenize, self.spelled
-        for w in {w for ws in cut for w in ws if w not in known}:
-            if max(w) < LATIN:
-                as_bytes = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(spelled)
-                ids = [t.id for t in bpe(as_bytes)]
-            else:
-                ids = self.tok.encode(w, add_special_tokens=False).ids
-            known[w] = pack_ints(f"<{len(ids)}I", *ids)
-        self.whole.update(zip(parts, [b"".join([known[w] for w in ws]) for ws in cut], strict=True))
+        return b"".join(map(self.known.__getitem__, text.split()))
+
+    def of_part(self, part: str) -> bytes:
+        """Ids of a text without white space. A match of the pattern is the same alone as beside others."""
+        lowered = part.lower() if part.isascii() else self.tok.normalizer.normalize_str(part)
+        if lowered != part and lowered.isalpha() and max(lowered) < LATIN:
+            return self.known[lowered]
+        matches = self.cut.findall(lowered)
+        return self.of_match(part) if matches == [part] else b"".join([self.known[m] if max(m) < LATIN else self.of_match(m) for m in matches])
+
+    def of_match(self, word: str) -> bytes:
+        if max(word) < LATIN:
+            as_bytes = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.spelled)
+            ids = [t.id for t in self.tok.model.tokenize(as_bytes)]
+        else:
+            ids = self.tok.encode(word, add_special_tokens=False).ids
+        return pack_ints(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=1)
