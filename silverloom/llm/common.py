@@ -42,22 +42,25 @@ def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(at, rows)
 
 
-def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: dict[str, str], make: Callable) -> DataFrame:
+def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: dict[str, str], make: Callable, within: str | None = None) -> DataFrame:
     """Narrow pass: the kept columns of each row, unchanged, with the fields made from its text.
 
     make(texts) gets the texts of an Arrow batch, nulls as empty texts, and returns
     (rows, columns): a column of values for each field, and the number of the input row of
     each value, or None for one value a row. Batches are bounded in rows and bytes by Spark.
+    `within` names a kept struct, never null, that holds the text, so that it travels once.
     """
     kept = [f"_{i}" for i in range(len(keep))]
-    slim = df.select(*[df[c].alias(k) for c, k in zip(keep, kept)], df[text_col].alias("_text"))
+    slim = df.select(*[df[c].alias(k) for c, k in zip(keep, kept)], *([] if within else [df[text_col].alias("_text")]))
+    place = keep.index(within) if within else len(keep)
     schema = T.StructType([T.StructField(k, df.schema[c].dataType) for c, k in zip(keep, kept)])
     for name, kind in fields.items():
         schema = schema.add(name, T.DataType.fromDDL(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in portions(batches):
-            rows, columns = make([t if isinstance(t, str) else "" for t in b.column(len(kept)).to_pylist()])
+            texts = b.column(place).field(text_col) if within else b.column(place)
+            rows, columns = make([t if isinstance(t, str) else "" for t in texts.to_pylist()])
             own = b.columns[: len(kept)]
             if rows is not None:
                 at = pa.array(np.asarray(rows, np.int64))

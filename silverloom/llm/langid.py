@@ -118,7 +118,7 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", size: i
             texts, langs = b.column(0).to_pylist(), np.asarray(b.column(1).to_pylist(), object)
             for at, group in groups(texts):
                 doc, code, n = gram_counts(group)
-                parts.append(pd.DataFrame({"lang": langs[at + doc], "gram": code, "n": n}))
+                parts.append(_summed([pd.DataFrame({"lang": langs[at + doc], "gram": code, "n": n})]))
                 if len(parts) > 8:
                     parts = [_summed(parts)]
                 if len(parts[0]) > 500_000:
@@ -137,7 +137,7 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", size: i
     return out
 
 
-def predict(df: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text", size: int = PROFILE, keep: list[str] | None = None) -> DataFrame:
+def predict(df: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text", size: int = PROFILE, keep: list[str] | None = None, within: str | None = None) -> DataFrame:
     """(id, lang_pred, score) of every row, one narrow pass over the whole texts.
 
     The language with the smallest out-of-place distance wins, ties by name; the score is
@@ -170,7 +170,7 @@ def predict(df: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id
         best = [names[i] if i >= 0 else UNKNOWN for f in found for i in f[0]]
         return None, [best, np.concatenate([f[1] for f in found]) if found else []]
 
-    return map_texts(df, keep or [id_col], text_col, {"lang_pred": "string", "score": "double"}, make)
+    return map_texts(df, keep or [id_col], text_col, {"lang_pred": "string", "score": "double"}, make, within)
 
 
 def identified(df: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE, training: Column | None = None) -> DataFrame:
@@ -181,5 +181,5 @@ def identified(df: DataFrame, text_col: str = "text", lang_col: str = "lang", si
     merged. Without any labelled row nothing can be told and nothing is kept.
     """
     profiles = learn(df if training is None else df.where(training), text_col, lang_col, size)
-    whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[text_col].alias("text"))
-    return predict(whole, profiles, text_col="text", keep=["row"], size=size).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
+    return predict(whole, profiles, text_col=text_col, keep=["row"], size=size, within="row").where(F.col("lang_pred") != UNKNOWN).select("row.*")
