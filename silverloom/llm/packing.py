@@ -43,11 +43,13 @@ class Remembered(dict):
         self.make, self.older = make, {}
 
     def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= CACHE:
             self.older = dict(self)
             self.clear()
-        value = self.older.get(key)
-        self[key] = value = self.make(key) if value is None else value
+        self[key] = value
         return value
 
 
@@ -68,6 +70,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
         self.cut = regex.compile(self.CUT)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         #: Planes where Unicode versions differ on what a letter is: the library takes the whole text.
@@ -85,16 +88,21 @@ class WordIds:
 
     def of_part(self, part: str) -> bytes:
         """Ids of a text without white space. A match of the pattern is the same alone as beside others."""
-        lowered = part.lower() if part.isascii() else self.tok.normalizer.normalize_str(part)
-        if lowered != part and lowered.isalpha() and max(lowered) < LATIN:
-            return self.known[lowered]
+        if part.isascii() or max(part) < LATIN:  # these stay as they are but for case
+            lowered = part.lower()
+            if lowered.isalpha():
+                return self.of_match(part) if lowered == part else self.known[lowered]
+            if lowered[-1] in ".,;:!?" and lowered[:-1].isalpha():
+                return self.known[lowered[:-1]] + self.known[lowered[-1]]
+        else:
+            lowered = self.tok.normalizer.normalize_str(part)
         matches = self.cut.findall(lowered)
         return self.of_match(part) if matches == [part] else b"".join([self.known[m] if max(m) < LATIN else self.of_match(m) for m in matches])
 
     def of_match(self, word: str) -> bytes:
         if max(word) < LATIN:
             as_bytes = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.spelled)
-            ids = [t.id for t in self.tok.model.tokenize(as_bytes)]
+            ids = [t.id for t in self.model.tokenize(as_bytes)]
         else:
             ids = self.tok.encode(word, add_special_tokens=False).ids
         return pack_ints(f"<{len(ids)}I", *ids)

@@ -220,6 +220,14 @@ def test_word_ids_like_library():
             assert own(s) == np.asarray(tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes(), hex(i)
 
 
+def test_word_ids_when_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 3)
+    tok, own = Tokenizer.from_file(P.path("word_bpe_49k.json")), packing.WordIds(P.path("word_bpe_49k.json"))
+    for s in ["One, two; ONE two. one's two's", "a.b ..! é, É. İ. İx ŉ' don't 12, 3", "", " ", "one two three four five six one two?"] * 3:
+        assert own(s) == np.asarray(tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes(), s
+        assert len(own.known) <= 3 and len(own.known.older) <= 3
+
+
 def test_local_search_empties_bins():
     sizes = [6, 6, 5, 3, 4, 4, 2]
     bins = packing.local_search([[0, 3], [1, 6], [2, 4], [5]], sizes, 10)
