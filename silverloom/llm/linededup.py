@@ -2,14 +2,19 @@
 
 A rolling hash over the hashes of neighbouring lines chooses where chunks of lines begin,
 so boundaries move with the content; the more words the lines have, the likelier a boundary
-is, so that chunks have about a sentence's words or are one longer line. Chunks that
-occur more than once anywhere are found by digest, compared byte by byte, and all but the
-first occurrence are removed where they form a passage of several lines or many words.
+is, so that chunks have about a sentence's words. Longer lines are chunks of their own and
+are cut in parts at words that a rolling hash over words chooses, so that a passage inside
+a line is found too. Chunks that occur more than once anywhere are found by digest, compared
+byte by byte, and all but the first occurrence are removed where they form a passage of
+several lines or many words.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +25,12 @@ from pyspark.sql import types as T
 
 from silverloom.llm.common import attach, map_texts, materialised, portions
 
-#: Words of a chunk: a line of so many or more is a chunk of its own.
+#: Words of a chunk of lines: a line of so many or more is cut in parts.
 SPACING = 12
+#: A part of a long line begins at the least hash of so many words on either side.
+NEAR, PERIOD = 4, 12
+#: Words with the white space around them.
+WORDS = re.compile(rb"\s*\S+\s*").findall
 #: Words that are enough for a chunk or run of chunks to be removed.
 LONG = 50
 #: Lines with words that a removed run of chunks has at least, unless it has LONG words.
@@ -31,10 +40,8 @@ FILTER = 1 << 18
 MASK = (1 << 64) - 1
 
 
-def chunks(text: str) -> list[tuple[int, int]]:
-    """Half-open ranges of line numbers; they cover all lines of the text in order."""
-    lines = text.split("\n")
-    words = [len(line.split()) for line in lines]
+def line_starts(lines: list[str], words: list[int]) -> list[int]:
+    """Numbers of the lines that chunks of lines begin with."""
     starts, before = [0], xxhash.xxh3_64_intdigest(lines[0].encode("utf-8", "surrogatepass"))
     for i in range(1, len(lines)):
         own = xxhash.xxh3_64_intdigest(lines[i].encode("utf-8", "surrogatepass"))
@@ -43,36 +50,120 @@ def chunks(text: str) -> list[tuple[int, int]]:
         if chance * SPACING < max(words[i - 1], words[i]) << 16:
             starts.append(i)
         before = own
-    return list(zip(starts, [*starts[1:], len(lines)]))
+    return starts
+
+
+def cuts(lines: list[bytes]) -> list[list[int]]:
+    """Numbers of the words inside each line that its parts begin with.
+
+    They are those whose hash, rolled with that of the word before, is less than those of the
+    NEAR words on either side; the words of other lines don't count. Where words recur within
+    NEAR, so that hashes are equal, parts have PERIOD words, which any such recurrence divides.
+    """
+    if not lines:
+        return []
+    gap, values, first = [1 << 32] * NEAR, [], []
+    for line in lines:
+        values += gap
+        first.append(len(values))
+        values.extend(map(crc32, line.split()))
+    own = np.asarray(values + gap, np.uint64)
+    rolled = own.copy()
+    rolled[1:] += own[:-1] * np.uint64(0x9E3779B97F4A7C15)
+    rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    rolled = (rolled ^ (rolled >> np.uint64(32))) >> np.uint64(1)
+    rolled[own == 1 << 32] = MASK
+    n = len(rolled) - NEAR
+    middle = rolled[NEAR:n]
+    least, alone = own[NEAR:n] < 1 << 32, np.ones(len(middle), bool)
+    for k in range(1, NEAR + 1):
+        least &= (middle <= rolled[NEAR - k : n - k]) & (middle <= rolled[NEAR + k : n + k])
+        alone &= middle < rolled[NEAR - k : n - k]
+    at = np.flatnonzero(least)
+    alone, at = alone[at].tolist(), at + NEAR
+    of = np.searchsorted(first, at, "right") - 1
+    at -= np.asarray(first)[of]
+    out: list[list[int]] = [[] for _ in lines]
+    for i, k, a in zip(of.tolist(), at.tolist(), alone):
+        if k and (a or k - (out[i][-1] if out[i] else 0) >= PERIOD):
+            out[i].append(k)
+    return out
+
+
+def parted(line: str, n: int, own: bytes, at: list[int]) -> list[str]:
+    """The parts of a line of n words, own in bytes, that begin at these words; white space stays with the word before."""
+    if line.count(" ") + 1 == n:
+        words = line.split(" ")
+        return [" ".join(words[x:y]) + " " for x, y in zip([0, *at], at)] + [" ".join(words[at[-1] if at else 0 :])]
+    words = WORDS(own)
+    return [b"".join(words[x:y]).decode("utf-8", "surrogatepass") for x, y in zip([0, *at], [*at, len(words)])]
+
+
+def chunks_of(texts: list[str]) -> list[list[tuple[str, int, bool]]]:
+    """For each text: (text, line number, whether a line begins here) of chunks of lines and parts of long lines, in order.
+
+    They hold the whole text but for the line ends between them."""
+    found, long = [], []
+    for text in texts:
+        lines = text.split("\n")
+        words = [len(line.split()) for line in lines]
+        starts = line_starts(lines, words)
+        found.append((lines, words, list(zip(starts, [*starts[1:], len(lines)]))))
+        long += [lines[i].encode("utf-8", "surrogatepass") for i in starts if words[i] >= SPACING]  # each is a chunk of its own
+    parts, every = iter(zip(long, cuts(long))), []
+    for lines, words, ranges in found:
+        out = []
+        for a, b in ranges:
+            if words[a] < SPACING:
+                out.append(("\n".join(lines[a:b]), a, True))
+            else:
+                out += [(t, a, not k) for k, t in enumerate(parted(lines[a], words[a], *next(parts)))]
+        every.append(out)
+    return every
+
+
+def pieces_of(texts: list[str]) -> list[list[str]]:
+    """The texts of the chunks of each text; white space after a part inside a line doesn't count."""
+    out = []
+    for parts in chunks_of(texts):
+        lasts = [*(head for _, _, head in parts[1:]), True]
+        out.append([t if last else t.rstrip() for (t, _, _), last in zip(parts, lasts)])
+    return out
 
 
 def pieces(text: str) -> list[str]:
-    lines = text.split("\n")
-    return ["\n".join(lines[a:b]) for a, b in chunks(text)]
+    return pieces_of([text])[0]
 
 
 def without(text: str, repeated: set[int]) -> tuple[str, int, int]:
-    """The text without its removed chunks, its number of lines, and of removed lines.
+    """The text without its removed chunks, its number of lines, and of lines that went or lost a part.
 
-    A run of repeated chunks goes if it has LONG words, or LINES lines with words."""
-    lines, ranges = text.split("\n"), chunks(text)
-    kept, at, removed = [], 0, 0
-    while at < len(ranges):
+    A run of repeated chunks goes if it has LONG words, or LINES whole lines with words."""
+    parts = chunks_of([text])[0]
+    of = Counter(line for _, line, _ in parts)
+    gone, at = set(), 0
+    while at < len(parts):
         to = at
-        while to < len(ranges) and to in repeated:
+        while to < len(parts) and to in repeated:
             to += 1
         if to > at:
-            run = lines[ranges[at][0] : ranges[to - 1][1]]
-            counts = [len(line.split()) for line in run]
-            if sum(counts) >= LONG or sum(c > 0 for c in counts) >= LINES:
-                removed += len(run)
+            run = parts[at:to]
+            mine = Counter(line for _, line, _ in run)
+            whole = sum(sum(bool(x.strip()) for x in t.split("\n")) for t, line, head in run if head and mine[line] == of[line])
+            if sum(len(t.split()) for t, _, _ in run) >= LONG or whole >= LINES:
+                gone.update(range(at, to))
+        at = max(to, at + 1)
+    kept, open_ = [], False
+    for i, (t, _, head) in enumerate(parts):
+        open_ = open_ and not head
+        if i not in gone:
+            if open_:
+                kept[-1] += t
             else:
-                kept += run
-            at = to
-        else:
-            kept += lines[slice(*ranges[at])]
-            at += 1
-    return "\n".join(kept), len(lines), removed
+                kept.append(t)
+            open_ = True
+    removed = sum({parts[i][1]: parts[i][0].count("\n") + 1 for i in gone}.values())
+    return "\n".join(kept), text.count("\n") + 1, removed
 
 
 def repeated_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -83,19 +174,17 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
 
     def digests(texts: list[str]) -> tuple[list[int], list]:
-        rows, marks, keys = [], [], []
-        for i, t in enumerate(texts):
-            for p in pieces(t) if t else []:
-                d = xxhash.xxh3_128_digest(p.encode("utf-8", "surrogatepass"))
-                rows.append(i)
-                marks.append(d)
-                keys.append(int.from_bytes(d[:8], "little", signed=True))
-        return rows, [marks, keys]
+        rows, keys = [], []
+        for i, own in enumerate(pieces_of(texts)):
+            own = [xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")) for p in own] if texts[i] else []
+            rows += [i] * len(own)
+            keys += own
+        return rows, [np.asarray(keys, np.uint64).view(np.int64)]
 
     rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     total = rows.count()
-    every = map_texts(rows, [id_col], text_col, {"digest": "binary", "key": "long"}, digests)
-    again = materialised(every.groupBy("digest", "key").agg(F.count("*").alias("n")).where("n > 1"))
+    every = map_texts(rows, [id_col], text_col, {"key": "long"}, digests)
+    again = materialised(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned("key", 32), F.lit(64)).cast("int"))
     words = again.groupBy(F.pmod("key", F.lit(FILTER)).alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
     table = np.zeros(FILTER, np.int64)
@@ -104,17 +193,16 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def candidates(texts: list[str]) -> tuple[list[int], list]:
         bits, rows, out = shared.value.view(np.uint64), [], []
-        for i, t in enumerate(texts):
-            for no, p in enumerate(pieces(t) if t else []):
-                d = xxhash.xxh3_128_digest(p.encode("utf-8", "surrogatepass"))
-                key = int.from_bytes(d[:8], "little", signed=True)
-                if int(bits[key % FILTER]) >> ((key & MASK) >> 32) % 64 & 1:
+        for i, own in enumerate(pieces_of(texts)):
+            for no, p in enumerate(own if texts[i] else []):
+                key = xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass"))
+                if int(bits[key % FILTER]) >> (key >> 32) % 64 & 1:
                     rows.append(i)
-                    out.append((no, d, p))
+                    out.append((no, key - (key >> 63 << 64), p))
         return rows, list(zip(*out)) or [[]] * 3
 
-    possible = map_texts(rows, [id_col], text_col, {"no": "int", "digest": "binary", "chunk": "string"}, candidates)
-    found = materialised(attach(possible, again.select("digest", "n"), ["digest"], "n", total, "inner").select(id_col, "no", "chunk"))
+    possible = map_texts(rows, [id_col], text_col, {"no": "int", "key": "long", "chunk": "string"}, candidates)
+    found = materialised(attach(possible, again, ["key"], "n", total, "inner").select(id_col, "no", "chunk"))
     groups = found.groupBy("chunk").agg(F.min(F.struct(id_col, "no")).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = attach(found, groups, ["chunk"], "n", total, "inner")
     return later.where((F.col(id_col) != F.col("first")[id_col]) | (F.col("no") != F.col("first.no"))).select(id_col, "no")

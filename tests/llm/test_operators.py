@@ -295,6 +295,26 @@ def test_line_dedup(spark, docs, odd, empty):
     assert linededup.deduplicate(empty).count() == 0
 
 
+def test_line_dedup_inside_lines(spark):
+    """A passage that stands at different places of long lines goes from the later one, and nothing else does."""
+    passage = " ".join(f"p{i * i % 1009}" for i in range(100))
+    one, two = (" ".join(f"{x}{i * i % 997}" for i in range(80)) for x in "ab")
+    texts = {1: f"{one} {passage} {one[::-1]}", 2: f"{two}\n{two[::-1]} {passage}\tand {two.upper()}", 3: f"{passage}\u00a0é"}
+    got = by_id(linededup.deduplicate(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).select("row.doc_id", "text", "n_lines", "removed_lines"))
+    assert tuple(got[1])[1:] == (texts[1], 1, 0) and tuple(got[2])[2:] == (2, 1) and tuple(got[3])[2:] == (1, 1)
+    for d in (2, 3):
+        left = got[d].text.split(" ")
+        assert sum(w in left for w in passage.split()) < linededup.LONG
+    assert got[2].text.startswith(f"{two}\n{two[::-1]} ") and got[2].text.endswith(f"\tand {two.upper()}") and got[3].text.endswith("\u00a0é")
+
+
+@pytest.mark.parametrize("unit", ["and", "ha ho", "one two three"])
+def test_parts_of_recurring_words(unit):
+    """However a run of few words begins, its parts are alike."""
+    one, two = (linededup.pieces(f"{start} " + " ".join([unit] * 60) + f" {end}") for start, end in (("x y z", "a b c"), (f"q {unit.split()[-1]}", "d e")))
+    assert sum(len(p.split()) for p in one if p in two) >= 60 * len(unit.split()) - 40
+
+
 def exact_groups(texts, size, num, den):
     sets = {}
     for d, t in texts.items():
