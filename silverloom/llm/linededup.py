@@ -6,7 +6,7 @@ is, so that chunks have about a sentence's words. Longer lines are chunks of the
 are cut in parts at words that a rolling hash over words chooses, so that a passage inside
 a line is found too. Chunks that occur more than once anywhere are found by digest, compared
 byte by byte, and all but the first occurrence are removed where they form a passage of
-several lines or many words.
+several lines or many words, in which all neighbouring chunks repeat together.
 """
 
 from __future__ import annotations
@@ -135,23 +135,32 @@ def pieces(text: str) -> list[str]:
     return pieces_of([text])[0]
 
 
-def without(text: str, repeated: set[int]) -> tuple[str, int, int]:
+def whole_lines(parts: list[tuple[str, int, bool]], of: Counter, run: range) -> list[int]:
+    """The chunks of a run that make up whole lines, if LINES of these have words; `of` counts the chunks of each line."""
+    mine = Counter(parts[i][1] for i in run)
+    whole = [i for i in run if mine[parts[i][1]] == of[parts[i][1]]]
+    lines = sum(bool(line.strip()) for i in whole if parts[i][2] for line in parts[i][0].split("\n"))
+    return whole if lines >= LINES else []
+
+
+def without(text: str, repeated: set[int], joined: set[int] | None = None, parts: list | None = None) -> tuple[str, int, int]:
     """The text without its removed chunks, its number of lines, and of lines that went or lost a part.
 
-    A run of repeated chunks goes if it has LONG words, or LINES whole lines with words."""
-    parts = chunks_of([text])[0]
+    A run of repeated chunks goes if it has LONG words; of a shorter one, LINES or more whole lines
+    with words go. `joined`: chunks that repeat together with the one before them, as those of a
+    run must; None is all. `parts`: the text's chunks, if they are known."""
+    parts = parts or chunks_of([text])[0]
     of = Counter(line for _, line, _ in parts)
+    size = [len(t.split()) for t, _, _ in parts]
     gone, at = set(), 0
     while at < len(parts):
         to = at
         while to < len(parts) and to in repeated:
             to += 1
-        if to > at:
-            run = parts[at:to]
-            mine = Counter(line for _, line, _ in run)
-            whole = sum(sum(bool(x.strip()) for x in t.split("\n")) for t, line, head in run if head and mine[line] == of[line])
-            if sum(len(t.split()) for t, _, _ in run) >= LONG or whole >= LINES:
-                gone.update(range(at, to))
+        breaks = [i for i in range(at + 1, to) if joined is not None and i not in joined]
+        runs = [range(x, y) for x, y in zip([at, *breaks], [*breaks, to])]
+        for run in runs:
+            gone.update(run if sum(size[i] for i in run) >= LONG else whole_lines(parts, of, run))
         at = max(to, at + 1)
     kept, open_ = [], False
     for i, (t, _, head) in enumerate(parts):
@@ -167,10 +176,11 @@ def without(text: str, repeated: set[int]) -> tuple[str, int, int]:
 
 
 def repeated_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, no) of all chunk occurrences but the first of each repeated chunk, confirmed byte by byte.
+    """(id, no, joined) of all chunk occurrences but the first of each repeated chunk, confirmed byte by byte.
 
     The first has the smallest id, then number. Digests alone are shuffled to find what
-    repeats; texts are shuffled only for chunks that pass a filter of these digests.
+    repeats; texts are shuffled only for chunks that pass a filter of these digests. joined: the
+    chunk and the one before it stand together elsewhere too, and not here first.
     """
 
     def digests(texts: list[str]) -> tuple[list[int], list]:
@@ -194,18 +204,27 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def candidates(texts: list[str]) -> tuple[list[int], list]:
         bits, rows, out = shared.value.view(np.uint64), [], []
         for i, own in enumerate(pieces_of(texts)):
+            before = None
             for no, p in enumerate(own if texts[i] else []):
-                key = xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass"))
+                raw = p.encode("utf-8", "surrogatepass")
+                key = xxhash.xxh3_64_intdigest(raw)
                 if int(bits[key % FILTER]) >> (key >> 32) % 64 & 1:
                     rows.append(i)
-                    out.append((no, key - (key >> 63 << 64), p))
-        return rows, list(zip(*out)) or [[]] * 3
+                    out.append((no, key - (key >> 63 << 64), p, None if before is None else xxhash.xxh3_128_digest(before + b"\n" + raw)))
+                    before = raw
+                else:
+                    before = None
+        return rows, list(zip(*out)) or [[]] * 4
 
-    possible = map_texts(rows, [id_col], text_col, {"no": "int", "key": "long", "chunk": "string"}, candidates)
-    found = materialised(attach(possible, again, ["key"], "n", total, "inner").select(id_col, "no", "chunk"))
-    groups = found.groupBy("chunk").agg(F.min(F.struct(id_col, "no")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = attach(found, groups, ["chunk"], "n", total, "inner")
-    return later.where((F.col(id_col) != F.col("first")[id_col]) | (F.col("no") != F.col("first.no"))).select(id_col, "no")
+    possible = map_texts(rows, [id_col], text_col, {"no": "int", "key": "long", "chunk": "string", "joint": "binary"}, candidates)
+    found = materialised(attach(possible, again, ["key"], "n", total, "inner").select(id_col, "no", "chunk", "joint"))
+    here = F.struct(id_col, "no")
+    groups, joints = (found.where(f"{k} is not null").groupBy(k).agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1") for k in ("chunk", "joint"))
+    later = attach(found, groups, ["chunk"], "n", total, "inner").where(here != F.col("first"))
+    own = F.concat_ws(" ", F.col(id_col).cast("string"), F.col("no").cast("string")).cast("binary")  # like no digest, deals rows evenly
+    later = later.select(id_col, "no", F.coalesce("joint", own).alias("joint"))
+    later = attach(later, joints, ["joint"], "n", total)
+    return later.select(id_col, "no", F.coalesce(here != F.col("first"), F.lit(False)).alias("joined"))
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,18 +236,20 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     may have any names, and come back unchanged in the struct.
     """
     plain = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    later = repeated_chunks(plain, "id", "text").groupBy("id").agg(F.collect_set("no").alias("gone"))
+    later = repeated_chunks(plain, "id", "text").groupBy("id")
+    later = later.agg(F.collect_set("no").alias("gone"), F.collect_set(F.when(F.col("joined"), F.col("no"))).alias("joined"))
     whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    whole = whole.join(later, "id", "left").select("row", "text", "gone")
+    whole = whole.join(later, "id", "left").select("row", "text", "gone", "joined")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in portions(batches):
-            out = []
-            for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            out, rows = [], list(zip(*(c.to_pylist() for c in b.columns[1:])))
+            parts = iter(chunks_of([text for text, gone, _ in rows if text is not None and gone]))
+            for text, gone, joined in rows:
                 if text is None:
                     out.append((None, 0, 0))
                 else:
-                    out.append(without(text, set(gone)) if gone else (text, text.count("\n") + 1, 0))
+                    out.append(without(text, set(gone), set(joined), next(parts)) if gone else (text, text.count("\n") + 1, 0))
             cols = list(zip(*out)) or [[]] * 3
             made = [pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([b.column(0), *made], names=["row", "text", "n_lines", "removed_lines"])

@@ -315,6 +315,16 @@ def test_parts_of_recurring_words(unit):
     assert sum(len(p.split()) for p in one if p in two) >= 60 * len(unit.split()) - 40
 
 
+def test_line_dedup_of_lines_that_meet_once(spark):
+    """Short lines that each repeat, but never side by side, stay; side by side again they go from the later text."""
+    x, y = "Menteases ue por las llbo.", "Released under the MIT License."
+    own = [f"Row {i} holds just what no other row of all these ever says again here." for i in range(6)]
+    texts = {1: [own[0], x, own[1]], 2: [own[2], y, own[3]], 3: [own[4], x, y, own[5]], 4: [own[0][::-1], x, y, own[1][::-1]]}
+    df = spark.createDataFrame([(d, "\n".join(t)) for d, t in texts.items()], "doc_id long, text string")
+    got = {r.row.doc_id: (r.text.split("\n"), r.removed_lines) for r in linededup.deduplicate(df).collect()}
+    assert got == {d: (t, 0) for d, t in texts.items() if d < 4} | {4: (texts[4][:1] + texts[4][3:], 2)}
+
+
 def exact_groups(texts, size, num, den):
     sets = {}
     for d, t in texts.items():
