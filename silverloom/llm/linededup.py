@@ -175,10 +175,11 @@ def without(text: str, repeated: set[int], joined: set[int] | None = None, parts
     return "\n".join(kept), text.count("\n") + 1, removed
 
 
-def repeated_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, no, joined) of all chunk occurrences but the first of each repeated chunk, confirmed byte by byte.
+def repeated_chunks(df: DataFrame) -> DataFrame:
+    """(id, digest, no, joined) of all chunk occurrences of df (id, digest, text) but the first of each repeated chunk, confirmed byte by byte.
 
-    The first has the smallest id, then number. Digests alone are shuffled to find what
+    The first has the smallest id, then digest of the text, then number. Several texts of one id
+    have chunks of their own. Digests alone are shuffled to find what
     repeats; texts are shuffled only for chunks that pass a filter of these digests. joined: the
     chunk and the one before it stand together elsewhere too, and not here first.
     """
@@ -191,9 +192,10 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             keys += own
         return rows, [np.asarray(keys, np.uint64).view(np.int64)]
 
-    rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    own = ["id", "digest"]
+    rows = df.where("id is not null and text is not null")
     total = rows.count()
-    every = map_texts(rows, [id_col], text_col, {"key": "long"}, digests)
+    every = map_texts(rows, own, "text", {"key": "long"}, digests)
     again = materialised(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned("key", 32), F.lit(64)).cast("int"))
     words = again.groupBy(F.pmod("key", F.lit(FILTER)).alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
@@ -216,15 +218,15 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     before = None
         return rows, list(zip(*out)) or [[]] * 4
 
-    possible = map_texts(rows, [id_col], text_col, {"no": "int", "key": "long", "chunk": "string", "joint": "binary"}, candidates)
-    found = materialised(attach(possible, again, ["key"], "n", total, "inner").select(id_col, "no", "chunk", "joint"))
-    here = F.struct(id_col, "no")
+    possible = map_texts(rows, own, "text", {"no": "int", "key": "long", "chunk": "string", "joint": "binary"}, candidates)
+    found = materialised(attach(possible, again, ["key"], "n", total, "inner").select(*own, "no", "chunk", "joint"))
+    here = F.struct(*own, "no")
     groups, joints = (found.where(f"{k} is not null").groupBy(k).agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1") for k in ("chunk", "joint"))
     later = attach(found, groups, ["chunk"], "n", total, "inner").where(here != F.col("first"))
-    own = F.concat_ws(" ", F.col(id_col).cast("string"), F.col("no").cast("string")).cast("binary")  # like no digest, deals rows evenly
-    later = later.select(id_col, "no", F.coalesce("joint", own).alias("joint"))
+    place = F.concat_ws(" ", *[F.col(c).cast("string") for c in (*own, "no")]).cast("binary")  # like no digest, deals rows evenly
+    later = later.select(*own, "no", F.coalesce("joint", place).alias("joint"))
     later = attach(later, joints, ["joint"], "n", total)
-    return later.select(id_col, "no", F.coalesce(here != F.col("first"), F.lit(False)).alias("joined"))
+    return later.select(*own, "no", F.coalesce(here != F.col("first"), F.lit(False)).alias("joined"))
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,14 +234,15 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     One occurrence of every passage stays: that in the smallest id. A null text stays null, with
     no lines; an empty text has one empty line. Rows without id are left as they are. Rows that
-    repeat an id with the same text count as one document and get the same result. df's columns
-    may have any names, and come back unchanged in the struct.
+    repeat an id with the same text count as one document and get the same result; with
+    different texts they are documents of their own. df's columns may have any names, and come
+    back unchanged in the struct.
     """
-    plain = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    later = repeated_chunks(plain, "id", "text").groupBy("id")
+    key = [F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text")]
+    later = repeated_chunks(df.select(*key)).groupBy("id", "digest")
     later = later.agg(F.collect_set("no").alias("gone"), F.collect_set(F.when(F.col("joined"), F.col("no"))).alias("joined"))
-    whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    whole = whole.join(later, "id", "left").select("row", "text", "gone", "joined")
+    whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *key)
+    whole = whole.join(later, ["id", "digest"], "left").select("row", "text", "gone", "joined")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in portions(batches):
