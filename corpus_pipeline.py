@@ -38,11 +38,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest id.
 
     Groups are connected by links of 0.8 or more on five-word shingles. Rows without id or
-    words are linked with nothing and stay, as do rows that repeat an id that stays.
+    words are linked with nothing and stay. If an id has several texts, each is judged by itself.
     """
-    found = minhash.near_duplicates(docs, shingle=5, similarity=(4, 5))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
+    return minhash.one_of_each(docs, shingle=5, similarity=(4, 5))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

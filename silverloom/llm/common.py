@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -15,12 +16,17 @@ from pyspark.sql import types as T
 def materialised(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and cut its lineage.
 
-    The folder is the session's spark.checkpoint.dir. Only where that is unset, as
-    in tests, a temporary folder takes its place.
+    The folder is the session's spark.checkpoint.dir. A session without one, as in tests, gets
+    a temporary folder if all of it runs on this machine; on a cluster it is an error, since
+    executors don't see each other's folders. Spark removes a checkpoint with its DataFrame
+    if spark.cleaner.referenceTracking.cleanCheckpoints is set.
     """
     sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp())
     return df.checkpoint(eager=True)
 
 
@@ -91,34 +97,35 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], weight: str, tota
     return by_broadcast.unionByName(rest.select(*by_broadcast.columns))
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, per_task: int = 50_000) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", per_task: int = 50_000) -> DataFrame:
     """Connected components of an undirected graph: (node, component), component = smallest node.
 
     Alternating large-star and small-star rounds, each two joins on the node and a
     checkpoint, until the edges no longer change; a logarithmic number of rounds.
-    Nothing but two numbers a round reaches the driver. Self loops and nulls are
-    ignored, nodes without edges are not returned.
+    Nothing but two numbers a round reaches the driver. A node with a large share of the
+    edges, as the centre of a star, is joined by broadcast, so its edges stay where they are.
+    Self loops and nulls are ignored, nodes without edges are not returned.
     """
     star = materialised(
         edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     )
     mark = None
-    for _ in range(max_rounds):
-        seen = star.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if mark == tuple(seen) or not seen[0]:
+    while True:
+        seen = tuple(star.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+        if mark == seen or not seen[0]:
             break
-        mark = tuple(seen)
+        mark = seen
         tasks = max(1, -(-seen[0] // per_task))  # few edges go to few tasks, which keeps shuffle files few
         star = star.coalesce(tasks)
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select("u", "v", "m", F.explode(F.array(F.lit(True), F.lit(False))).alias("own"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        large = attach(both, least, ["u"], "n", 2 * seen[0], "inner").where("v > u")
+        large = large.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).coalesce(tasks)
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = attach(large, low, ["u"], "n", seen[0], "inner")
+        small = small.select("u", "v", "m", F.explode(F.array(F.lit(True), F.lit(False))).alias("own"))
         small = small.select(F.when(F.col("own"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         star = materialised(small.where("u <> v").coalesce(tasks).distinct().coalesce(tasks))
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return star.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

@@ -9,6 +9,7 @@ may reach the threshold are confirmed on the whole sets before they count as lin
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,10 +23,12 @@ from silverloom.llm.common import Union, attach, components, map_texts, material
 BANDS, ROWS = 32, 5
 #: Low bits kept of each minimum.
 BITS = 2
-#: Documents of a block; larger candidate groups are split into such blocks.
-BLOCK = 512
-#: Documents of a large group that every block of it is compared with.
+#: Documents of a block, and shingles on average; larger candidate groups are split into such blocks.
+BLOCK, WEIGHT = 512, 4_000_000
+#: Documents of a large group that every block of it is compared with, besides its head.
 PIVOTS = 16
+#: Rows of about 50 bytes that may be broadcast; more are joined by a shuffle.
+FEW = 500_000
 #: Standard errors that an estimate may lie below the threshold before a pair is skipped.
 SLACK = 6.0
 
@@ -102,8 +105,8 @@ def floor_of(num: int, den: int) -> float:
     return t - SLACK * (p * (1 - p) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
 
 
-def signed(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, class, n_shingles, signature, bands) of every row; class: digest of the word sequence."""
+def signed(df: DataFrame, keep: list[str], text_col: str, size: int) -> DataFrame:
+    """(keep..., class, n_shingles, signature, bands) of every row; class: digest of the word sequence."""
 
     def make(texts: list[str]) -> tuple[None, list]:
         out = []
@@ -116,52 +119,183 @@ def signed(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
         return None, list(zip(*out)) or [[]] * 4
 
     fields = {"class": "binary", "n_shingles": "long", "signature": "binary", "bands": "array<long>"}
-    return map_texts(df, [id_col], text_col, fields, make)
+    return map_texts(df, keep, text_col, fields, make)
 
 
-def confirm(rows: pd.DataFrame, size: int, num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the rows of one block, as pairs of ids.
+def whole_sets(rows: DataFrame, need: DataFrame, size: int, few: bool) -> DataFrame:
+    """(node, shingles) of the classes of need (node, class, rep): whole sets, from a row (id, text) of that id with that text."""
 
-    rows: rep, class, text, signature, own (at home in this block), open (not yet settled),
-    known (an id of its component so far). Pairs already connected are skipped, as are pairs
-    that sizes or signatures rule out, and pairs with no row at home here or none open; all
-    others are confirmed on the full sets.
+    def make(texts: list[str]) -> tuple[None, list]:
+        words = [tokens(t) for t in texts]
+        return None, [[hashlib.md5(b" ".join(w)).digest() for w in words], [shingles(w, size).tobytes() for w in words]]
+
+    own = need.select("node", F.col("class").alias("want"), F.col("rep").alias("id"))
+    found = map_texts(rows.join(F.broadcast(own) if few else own, "id"), ["node", "want"], "text", {"class": "binary", "shingles": "binary"}, make)
+    return found.where("class = want").select("node", "shingles").dropDuplicates(["node"])
+
+
+def likely(rows: pd.DataFrame, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a block, the later ones that it may be linked with by sizes and signatures, the likeliest first.
+
+    Pairs of rows of one side are left out if the block has two sides.
     """
-    rows = rows.assign(words=[tokens(t) for t in rows["text"].fillna("")])
-    rows = rows[[hashlib.md5(b" ".join(w)).digest() == bytes(c) for w, c in zip(rows["words"], rows["class"])]]
-    rows = rows.sort_values(["rep", "own"], ascending=[True, False], kind="stable").drop_duplicates("rep")
-    reps, own, open_ = [int(x) for x in rows["rep"]], rows["own"].to_numpy(bool), rows["open"].to_numpy(bool)
-    if len(reps) < 2:
-        return []
-    sets = [shingles(w, size) for w in rows["words"]]
-    sizes = np.asarray([len(s) for s in sets])
-    sigs = np.frombuffer(b"".join(map(bytes, rows["signature"])), np.uint8).reshape(len(reps), -1)
-    low, union, out = floor_of(num, den), Union(), []
-    for x, k in zip(reps, rows["known"]):
-        union.join(x, int(k))
-    for i in range(len(reps) - 1):
+    sigs = np.frombuffer(b"".join(map(bytes, rows["signature"])), np.uint8).reshape(len(rows), -1)
+    sizes, side, low = rows["n_shingles"].to_numpy(np.int64), rows["side"].to_numpy(), floor_of(num, den)
+    two = side.min() < side.max()
+    for i in range(len(rows) - 1):
         near = estimate(sigs[i], sigs[i + 1 :])
         small, large = np.minimum(sizes[i], sizes[i + 1 :]), np.maximum(sizes[i], sizes[i + 1 :])
-        may = (near >= low) & (small * den >= large * num) & (own[i] | own[i + 1 :]) & (open_[i] | open_[i + 1 :])
+        may = (near >= low) & (small * den >= large * num)
+        if two:
+            may &= side[i] != side[i + 1 :]
         at = np.flatnonzero(may)
-        for j in at[np.argsort(-near[at], kind="stable")] + i + 1:
-            if union.root(reps[i]) == union.root(reps[j]):
+        yield i, at[np.argsort(-near[at], kind="stable")] + i + 1
+
+
+def confirm(rows: pd.DataFrame, num: int, den: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among the rows of one block, as pairs of nodes.
+
+    rows: node, n_shingles, signature, shingles, side, known (a node of its component so far).
+    Pairs already connected are skipped; likely ones are confirmed on the full sets.
+    """
+    rows = rows.sort_values("node", kind="stable").drop_duplicates("node")
+    if len(rows) < 2:
+        return []
+    nodes, sets = [int(x) for x in rows["node"]], [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+    union, out = Union(), []
+    for x, k in zip(nodes, rows["known"]):
+        union.join(x, int(k))
+    for i, others in likely(rows, num, den):
+        for j in others:
+            if union.root(nodes[i]) == union.root(nodes[j]):
                 continue
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if both * den >= num * (sizes[i] + sizes[j] - both):
-                union.join(reps[i], reps[j])
-                out.append((reps[i], reps[j]))
+            if both * den >= num * (len(sets[i]) + len(sets[j]) - both):
+                union.join(nodes[i], nodes[j])
+                out.append((nodes[i], nodes[j]))
     return out
 
 
-def links(rows: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Confirmed links (a, b) of blocks: rows (task, at, grp, rep, class, signature, own, open, known) with their texts."""
+def links(rows: DataFrame, sets: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
+    """Confirmed links (a, b) of blocks: rows (keys..., grp, node, n_shingles, signature, side, known) with their sets."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [e for _, g in pdf.groupby("grp", sort=True) for e in confirm(g, size, num, den)]
+        found = [e for _, g in pdf.groupby("grp", sort=True) for e in confirm(g, num, den)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return rows.join(texts, "rep").groupBy("task", "at").applyInPandas(run, "a long, b long")
+    return rows.join(sets, "node").groupBy(*keys).applyInPandas(run, "a long, b long")
+
+
+def first_round(groups: DataFrame, sets: DataFrame, total: int, num: int, den: int) -> DataFrame:
+    """Links within blocks of groups (grp, node, blocks, home, ...): a small group is one block, and small ones share tasks."""
+    large = F.col("blocks") > 1
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    pivot = (F.col("node") == F.col("grp")) | (F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("members") / PIVOTS)) == 0)
+    shared = F.pmod(F.xxhash64("grp"), F.lit(max(1, total // (BLOCK // 2))))
+    rows = groups.withColumn("at", F.explode(F.when(large & pivot, every).otherwise(F.array("home")))).select(
+        F.when(large, F.col("grp")).alias("task"), F.when(large, F.col("at")).otherwise(shared).alias("at"),
+        "grp", "node", "n_shingles", "signature", F.lit(0).alias("side"), F.col("node").alias("known"),
+    )
+    return links(rows, sets, ["task", "at"], num, den)
+
+
+def second_round(big: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The links of large groups between blocks, given those found within them.
+
+    Rows outside a group's main component are open. Blocks of open rows meet each block of
+    the others and each other, two blocks a task. There signatures alone are compared first;
+    only rows with a likely partner of another component go on with their whole sets.
+    """
+    so_far = components(found)
+    big = big.join(so_far, "node", "left").withColumn("known", F.coalesce("component", "node"))
+    parts = big.groupBy("grp", "known").count()
+    main = parts.groupBy("grp").agg(F.max(F.struct("count", "known")).alias("top"), F.sum("count").alias("all"))
+    main = main.select("grp", F.col("top.known").alias("main"), F.col("all").alias("n"), F.ceil((F.col("all") - F.col("top.count")) / BLOCK).alias("q"))
+    big = attach(big.drop("component"), main, ["grp"], "n", big.count(), "inner").where("q > 0")
+    is_open, p, q, none = F.col("known") != F.col("main"), F.col("blocks"), F.col("q"), F.lit(0).cast("long")
+    home = F.pmod(F.xxhash64("node", F.lit(1)), F.when(is_open, q).otherwise(p))
+    upto = lambda n: F.sequence(none, n - 1)
+    met = lambda one, kind, two, side: F.struct(one.alias("one"), F.lit(kind).alias("kind"), two.alias("two"), side.cast("int").alias("side"))
+    of_open = F.concat(
+        F.transform(upto(p), lambda c: met(home, 0, c, none)),
+        F.transform(upto(q), lambda o: met(F.least(home, o), 1, F.greatest(home, o), F.when(home > o, 1).otherwise(0))),
+    )
+    of_rest = F.transform(upto(q), lambda o: met(o, 0, home, F.lit(1)))
+    keys = ["grp", "one", "kind", "two"]
+    rows = big.select("grp", "node", "n_shingles", "signature", "known", F.explode(F.when(is_open, of_open).otherwise(of_rest)).alias("m"))
+    rows = rows.select("grp", "m.*", "node", "n_shingles", "signature", "known")
+
+    def active(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", kind="stable").reset_index(drop=True)
+        known, on = pdf["known"].to_numpy(), np.zeros(len(pdf), bool)
+        for i, others in likely(pdf, num, den):
+            apart = others[known[others] != known[i]]
+            on[apart] = True
+            on[i] |= len(apart) > 0
+        return pdf[on]
+
+    kept = rows.groupBy(*keys).applyInPandas(active, rows.schema)
+    return links(kept, sets, keys, num, den)
+
+
+def groups_of(df: DataFrame, id_col: str, text_col: str, shingle: int, similarity: tuple[int, int], by_id: bool = True) -> DataFrame:
+    """(id, key, n_shingles, first) of every row: key is a hash of its text, first the smallest (id, key) of its group.
+
+    Groups are connected by links between texts and, with by_id, by texts that share an id. A row
+    without id has a null `first`, one without words is a group of its own. How links are found:
+
+    Exact copies (equal word sequences) form a class, a node that is handled once. The classes
+    that share a band form a bucket; all classes of the buckets with the same smallest node, their
+    head, form a group, in which links are confirmed. Any two classes that share a band are
+    together in a group, and no group grows by chains of chance collisions. A group up to BLOCK
+    classes is one block; for larger ones see first_round and second_round. No link is left out
+    because of a group's size, and no task holds more than two blocks. Components are taken of
+    confirmed links alone.
+    """
+    num, den = similarity
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    docs = materialised(signed(rows, ["id", "key"], "text", shingle))
+    total = docs.count()
+    classes = docs.where("n_shingles > 0 and id is not null").groupBy("class").agg(
+        F.min(F.struct("id", "key")).alias("first"), F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in ("n_shingles", "signature", "bands")]
+    )
+    classes = materialised(classes.withColumn("node", F.monotonically_increasing_id()))
+    band = classes.select("node", F.explode("bands").alias("key"))
+    heads = band.groupBy("key").agg(F.min("node").alias("grp"), F.count("*").alias("n")).where("n > 1")
+    star = attach(band, heads, ["key"], "n", total, "inner").select("grp", "node").distinct()
+    star = materialised(star.join(classes.select("node", "n_shingles", "signature"), "node"))
+    sizes = star.groupBy("grp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    sizes = sizes.select("grp", "n", F.col("n").alias("members"), F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("weight") / WEIGHT)).alias("blocks"))
+    members = star.count()
+    groups = attach(star, sizes, ["grp"], "n", members, "inner").withColumn("home", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")))
+    nodes = star.select("node").distinct()
+    need = classes.join(nodes, "node", "left_semi").select("node", "class", F.col("first.id").alias("rep"))
+    sets = materialised(whole_sets(rows, need, shingle, nodes.count() <= FEW))
+    found = materialised(first_round(groups, sets, members, num, den))
+    big = groups.where("blocks > 1")
+    if not big.isEmpty():
+        found = materialised(found.unionByName(second_round(big, found, sets, num, den)))
+    if by_id:
+        found = found.unionByName(texts_of_one_id(docs, classes))
+    ends = components(found)
+    tops = classes.select("node", "class", "first", "copies").join(ends, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    tops = materialised(tops)
+    best = tops.groupBy("component").agg(F.min("first").alias("top"), F.count("*").alias("n"))
+    tops = attach(tops, best, ["component"], "n", classes.count(), "inner").select("class", "top", "copies")
+    out = attach(docs.select("id", "key", "class", "n_shingles"), tops, ["class"], "copies", total)
+    own = F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("top")), F.struct("id", "key")))
+    return out.select("id", "key", "n_shingles", own.alias("first"))
+
+
+def texts_of_one_id(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes of texts that share an id: to the smallest one."""
+    pairs = docs.where("n_shingles > 0 and id is not null").select("id", "class").distinct()
+    several = materialised(pairs.groupBy("id").agg(F.count("*").alias("n")).where("n > 1"))
+    if several.isEmpty():
+        return several.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    pairs = attach(pairs, several, ["id"], "n", pairs.count(), "inner").join(classes.select("class", "node"), "class").select("id", "node")
+    least = pairs.groupBy("id").agg(F.min("node").alias("b"), F.count("*").alias("n"))
+    return attach(pairs, least, ["id"], "n", pairs.count(), "inner").select(F.col("node").alias("a"), "b")
 
 
 def near_duplicates(
@@ -170,60 +304,23 @@ def near_duplicates(
     """(id, n_shingles, component_id) of every row of df.
 
     Two documents are linked if the Jaccard similarity of their shingle sets is at least
-    similarity[0] / similarity[1]; component_id is the smallest id that links reach.
-    Exact copies (equal word sequences) form a class that is handled once. Classes sharing a
-    band are brought together by connected components. A group of up to BLOCK classes is
-    one block; a larger one is split in blocks that share PIVOTS pivots, and what is then
-    not in the group's main component is compared with all blocks. No link is left out
-    because of a group's size, and no task holds more than a block and what is unsettled.
+    similarity[0] / similarity[1]; component_id is the smallest id that links reach. See groups_of.
 
     A null, empty or blank text has no shingles and is linked with nothing. A row with a
     null id gets a null component and is linked with nothing. Rows that repeat an id are
-    each returned; their texts share its component. Other columns are ignored.
+    each returned; those with words share one component, whatever their texts. Other columns are ignored.
     """
-    num, den = similarity
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    docs = materialised(signed(rows, "id", "text", shingle))
-    total = docs.count()
-    classes = docs.where("n_shingles > 0 and id is not null").groupBy("class").agg(
-        F.min("id").alias("rep"), F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in ("n_shingles", "signature", "bands")]
-    )
-    classes = materialised(classes)
-    band = classes.select("rep", F.explode("bands").alias("key"))
-    heads = band.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1")
-    star = attach(band, heads, ["key"], "n", total, "inner").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
-    groups = components(star).select(F.col("node").alias("rep"), F.col("component").alias("grp"))
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
-    groups = attach(groups, sizes.withColumn("n", F.col("members")), ["grp"], "n", total, "inner")
-    groups = materialised(groups.join(classes.select("rep", "class", "signature"), "rep"))
-    texts = rows.withColumnRenamed("id", "rep")
-    if (n := groups.count()) <= 1_000_000:  # 8 bytes each
-        texts = texts.join(F.broadcast(groups.select("rep")), "rep", "left_semi")
-    blocks = F.ceil(F.col("members") / BLOCK)
-    groups = groups.withColumns({"blocks": blocks, "home": F.pmod(F.xxhash64("rep", F.lit(1)), blocks)})
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    pivot = F.pmod(F.xxhash64("rep", F.lit(2)), F.ceil(F.col("members") / PIVOTS)) == 0
-    large = F.col("blocks") > 1
-    first = groups.withColumn("at", F.explode(F.when(large & pivot, every).otherwise(F.array("home")))).select(
-        F.when(large, F.col("grp")).alias("task"),
-        F.when(large, F.col("at")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(max(1, n // (BLOCK // 2))))).alias("at"),
-        "grp", "rep", "class", "signature", (F.col("at") == F.col("home")).alias("own"), F.lit(True).alias("open"), F.col("rep").alias("known"),
-    )
-    found = materialised(links(first, texts, shingle, num, den))
-    big = groups.where(large)
-    if not big.isEmpty():
-        so_far = components(found)
-        big = big.join(so_far, big["rep"] == so_far["node"], "left").withColumn("known", F.coalesce("component", "rep"))
-        big = materialised(big.drop("node", "component"))
-        main = big.groupBy("grp", "known").count().groupBy("grp").agg(F.max(F.struct("count", "known"))["known"].alias("main"))
-        big = big.join(F.broadcast(main) if n <= 1_000_000 else main, "grp").withColumn("open", F.col("known") != F.col("main"))
-        second = big.withColumn("at", F.explode(F.when(F.col("open"), every).otherwise(F.array("home")))).select(
-            F.col("grp").alias("task"), "at", "grp", "rep", "class", "signature", (F.col("at") == F.col("home")).alias("own"), "open", "known"
-        )
-        found = materialised(found.unionByName(links(second, texts, shingle, num, den)))
-    ends = components(found)
-    classes = classes.select("class", "rep", "copies").join(ends, F.col("rep") == F.col("node"), "left")
-    classes = classes.select("class", F.coalesce("component", "rep").alias("component"), "copies")
-    out = attach(docs.select("id", "class", "n_shingles"), classes, ["class"], "copies", total)
-    own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", own.alias("component_id"))
+    out = groups_of(df, id_col, text_col, shingle, similarity)
+    return out.select(F.col("id").alias(id_col), "n_shingles", F.col("first.id").alias("component_id"))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
+    """df, with the columns it has, but for all texts of each group of near-duplicates except that of the smallest id.
+
+    Groups are connected by links between texts alone, so a text stays although another text
+    of its id goes. Rows without id or words stay, as do rows that repeat id and text of one that stays.
+    """
+    found = groups_of(df, id_col, text_col, shingle, similarity, by_id=False)
+    gone = found.where(F.struct("id", "key") != F.col("first")).select("id", "key").distinct()
+    same = (df[id_col].cast("long") == gone["id"]) & (F.xxhash64(df[text_col]) == gone["key"])
+    return df.join(gone, same, "left_anti")

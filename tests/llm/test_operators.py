@@ -325,6 +325,14 @@ def test_line_dedup_of_lines_that_meet_once(spark):
     assert got == {d: (t, 0) for d, t in texts.items() if d < 4} | {4: (texts[4][:1] + texts[4][3:], 2)}
 
 
+def test_line_dedup_of_texts_that_share_an_id(spark):
+    """What repeats in one text of an id isn't cut out of another text of that id."""
+    p, q = ("\n".join(f"{x} {i} has words {i * 7} of its own {i * i}" for i in range(12)) for x in "pq")
+    df = spark.createDataFrame([(1, p), (2, p), (2, q), (None, p), (None, q)], "doc_id long, text string")
+    got = [(r.row.doc_id, r.row.text == p, r.removed_lines, r.text) for r in linededup.deduplicate(df).collect()]
+    assert sorted(got, key=repr) == sorted([(1, True, 0, p), (2, True, 12, ""), (2, False, 0, q), (None, True, 0, p), (None, False, 0, q)], key=repr)
+
+
 def exact_groups(texts, size, num, den):
     sets = {}
     for d, t in texts.items():
@@ -359,3 +367,32 @@ def test_minhash_large_groups(spark, monkeypatch):
     n, root = exact_groups(texts, 3, 85, 100)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df, shingle=3, similarity=(85, 100)).collect()} == root
+
+
+def changed(words, *at):
+    return " ".join(f"x{k}" if k in at else w for k, w in enumerate(words))
+
+
+def test_minhash_of_texts_that_share_an_id(spark):
+    """An id that holds two texts joins what is near either; each text of it is judged by itself where one of a group stays."""
+    a, b, u = ([f"{x}{i}" for i in range(80)] for x in "abu")
+    rows = [(1, changed(a)), (1, changed(b)), (2, changed(a, 40)), (3, changed(b, 9)), (4, changed(u)), (4, ""), (5, None), (4, changed(u)), (None, changed(a))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1))
+    got = sorted((r.doc_id or 0, r.n_shingles > 0, r.component_id or 0) for r in minhash.near_duplicates(df, shingle=3, similarity=(85, 100)).collect())
+    assert got == [(0, True, 0), (1, True, 1), (1, True, 1), (2, True, 1), (3, True, 1), (4, False, 4), (4, True, 4), (4, True, 4), (5, False, 5)]
+    rows = [(1, changed(a)), (2, changed(a, 40)), (2, changed(u)), (3, changed(u, 5)), (2, changed(u)), (None, changed(u)), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("x")).withColumn("key", F.lit(1))
+    kept = minhash.one_of_each(df, shingle=3, similarity=(85, 100))
+    assert kept.columns == df.columns and sorted([(r.doc_id or 0, r.text) for r in kept.collect()], key=repr) == sorted([(1, changed(a)), (2, changed(u)), (2, changed(u)), (0, changed(u)), (6, None)], key=repr)
+
+
+def test_minhash_of_templates(spark, monkeypatch):
+    """Texts that all have half of their words in common are glued by no chain of chance collisions, and the few links among them are found."""
+    monkeypatch.setattr(minhash, "BLOCK", 64)
+    frame = [f"t{i}" for i in range(70)]
+    texts = {d: " ".join([*frame, *(f"d{d // 2 if d % 50 == 1 else d}x{i}" for i in range(30))]) for d in range(1000)}
+    texts |= {1000 + d: texts[d * 100 + 1] for d in range(10)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    first = {}
+    want = {d: first.setdefault(t, d) for d, t in texts.items()}
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df, shingle=3, similarity=(85, 100)).collect()} == want
