@@ -147,7 +147,7 @@ def predict(df: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id
     """
     names = sorted(profiles)
     grams = np.unique(np.asarray([g for p in profiles.values() for g in p], np.int64))
-    ranks = np.full((len(grams) + 1, len(names)), size, np.int64)
+    ranks = np.full((len(grams) + 1, len(names)), 2 * size, np.int64)  # a language without the n-gram: out of place by `size` at any rank
     for k, n in enumerate(names):
         ranks[np.searchsorted(grams, np.asarray(profiles[n], np.int64)), k] = np.arange(len(profiles[n]))
 
