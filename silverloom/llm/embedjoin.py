@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverloom.llm.common import Union, attach, components, materialised
 
@@ -28,10 +29,15 @@ INTERVAL, LEAF = 1024, 128
 TINY = 1e-9
 
 
-def unit(flat: np.ndarray, size: int) -> np.ndarray:
-    """Rows of length one in double precision; the largest component is scaled out first."""
+def scaled(flat: np.ndarray, size: int) -> np.ndarray:
+    """Rows in double precision times powers of two (which changes no digit), so that no product overflows or vanishes."""
     x = flat.reshape(-1, size).astype(np.float64)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def unit(flat: np.ndarray, size: int) -> np.ndarray:
+    """Rows of length one in double precision."""
+    x = scaled(flat, size)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -41,11 +47,20 @@ def rows_of(batch: pa.RecordBatch, at: int) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
 
-def principal(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """For each vector size the leading principal axes (size x up to DIMS) of all unit vectors.
+def principal(vectors: DataFrame, rounds: int = 2) -> dict[int, np.ndarray]:
+    """For each vector size the leading principal axes (size x up to DIMS) of all unit vectors, nearly.
 
-    Tasks sum the products of their rows; the driver gets size x size numbers a size.
+    Subspace iteration from fixed random axes: in each of `rounds` passes tasks sum the products
+    of their vectors with the axes so far; the driver gets `size` short rows a size. Any
+    orthonormal axes give right results; good ones keep distant vectors apart.
     """
+    spare = DIMS + 4
+    axes: dict[int, np.ndarray] = {}
+
+    def start(n: int) -> np.ndarray:
+        return np.linalg.qr(np.random.default_rng(n).normal(size=(n, min(n, spare))))[0]
+
+    names = [f"s{k}" for k in range(spare + 1)]  # the last column: the sum of the vectors; row -1: sums of the products and the count
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -54,21 +69,27 @@ def principal(vectors: DataFrame) -> dict[int, np.ndarray]:
             for v in rows_of(b, 0):
                 by.setdefault(len(v), []).append(v)
             for n, vs in by.items():
-                u = np.hstack([unit(np.concatenate(vs), n), np.ones((len(vs), 1))])
-                sums[n] = sums.get(n, 0) + u.T @ u
+                u = unit(np.concatenate(vs), n)
+                y = u @ axes.get(n, start(n))
+                out = sums.setdefault(n, np.zeros((n + 1, spare + 1)))
+                out[:n, : y.shape[1]] += u.T @ y
+                out[:n, spare] += u.sum(axis=0)
+                out[n, : y.shape[1]] += y.sum(axis=0)
+                out[n, spare] += len(u)
         for n, s in sums.items():
-            i, j = (x.ravel() for x in np.indices(s.shape))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), n)), pa.array(i), pa.array(j), pa.array(s.ravel())], names=["n", "i", "j", "s"])
+            cols = [pa.array(np.full(n + 1, n)), pa.array(np.arange(n + 1)), *map(pa.array, s.T)]
+            yield pa.RecordBatch.from_arrays(cols, names=["n", "i", *names])
 
-    cells = vectors.select("embedding").mapInArrow(products, "n long, i long, j long, s double")
-    out: dict[int, np.ndarray] = {}
-    sums: dict[int, np.ndarray] = {}
-    for n, i, j, s in cells.groupBy("n", "i", "j").agg(F.sum("s")).collect():
-        sums.setdefault(n, np.zeros((n + 1, n + 1)))[i, j] = s
-    for n, s in sums.items():
-        mean = s[n, :n] / s[n, n]
-        out[n] = np.linalg.eigh(s[:n, :n] / s[n, n] - np.outer(mean, mean))[1][:, ::-1][:, :DIMS]
-    return out
+    for _ in range(rounds):
+        rows = vectors.select("embedding").mapInArrow(products, ", ".join(["n long", "i long", *(f"{c} double" for c in names)]))
+        sums: dict[int, np.ndarray] = {}
+        for n, i, *s in rows.groupBy("n", "i").agg(*[F.sum(c) for c in names]).collect():
+            sums.setdefault(n, np.zeros((n + 1, spare + 1)))[i] = s
+        for n, s in sums.items():
+            k = min(n, spare)
+            spread = s[:n, :k] / s[n, spare] - np.outer(s[:n, spare], s[n, :k]) / s[n, spare] ** 2
+            axes[n] = np.linalg.svd(spread + 1e-12 * start(n), full_matrices=False)[0]
+    return {n: x[:, :DIMS] for n, x in axes.items()}
 
 
 def cells_of(vectors: DataFrame, axes: dict[int, np.ndarray], eps: float) -> DataFrame:
@@ -91,7 +112,7 @@ def intervals(ordered: DataFrame, axes: dict[int, np.ndarray]) -> DataFrame:
     def packed(part: int, at: int, held: list[tuple]) -> tuple:
         size = held[0][3]
         u = unit(np.concatenate([h[2] for h in held]), size) @ axes[size]
-        flat = np.concatenate([h[2] for h in held]).astype(np.float32).tobytes()
+        flat = np.concatenate([h[2] for h in held]).tobytes()
         ids, copies = (np.asarray([h[i] for h in held], np.int64).tobytes() for i in (0, 4))
         return part * (1 << 32) + at, held[0][1], size, u.min(axis=0), u.max(axis=0), ids, copies, flat
 
@@ -99,6 +120,7 @@ def intervals(ordered: DataFrame, axes: dict[int, np.ndarray]) -> DataFrame:
         part, at, held = TaskContext.get().partitionId(), 0, []
         out = []
         for b in batches:
+            kind = b.schema.field("label").type
             cols = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names) if n != "embedding"}
             for rep, label, v, size, copies in zip(cols["rep"], cols["label"], rows_of(b, b.schema.names.index("embedding")), cols["size"], cols["copies"]):
                 if held and (len(held) == INTERVAL or (label, size) != (held[0][1], held[0][3])):
@@ -106,17 +128,16 @@ def intervals(ordered: DataFrame, axes: dict[int, np.ndarray]) -> DataFrame:
                     at, held = at + 1, []
                 held.append((rep, label, v.copy(), size, copies))
             if out:
-                yield rows(out)
+                yield rows(out, kind)
                 out = []
         if held:
-            yield rows([packed(part, at, held)])
+            yield rows([packed(part, at, held)], kind)
 
-    def rows(out: list[tuple]) -> pa.RecordBatch:
+    def rows(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
         kinds = [pa.int64(), kind, pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["chunk", "label", "size", "lo", "hi", "ids", "copies", "flat"])
 
     name = ordered.schema["label"].dataType.simpleString()
-    kind = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[name]
     return ordered.mapInArrow(run, f"chunk long, label {name}, size int, lo array<double>, hi array<double>, ids binary, copies binary, flat binary")
 
 
@@ -162,13 +183,20 @@ def joined(a: dict, b: dict, axes: np.ndarray, least: float, eps: float) -> tupl
     return np.concatenate(left or none), np.concatenate(right or none)
 
 
-def linked(chunks: DataFrame, axes: dict[int, np.ndarray], least: float, eps: float, salts: int = 8) -> DataFrame:
-    """(id, links, anchor) of the vectors that interval pairs link: rows that it gains, and a vector of its component."""
+def linked(chunks: DataFrame, axes: dict[int, np.ndarray], least: float, eps: float, kind: type, salts: int = 8) -> DataFrame:
+    """(id, links, anchor) of the vectors that interval pairs link: rows that it gains, and a vector of its component.
+
+    Pairs are found by the cells that boxes cover on the first two dimensions; boxes and no vectors
+    take part in that. kind: numpy's type of the components."""
     box = chunks.select("chunk", "label", "size", "lo", "hi")
-    cell = lambda c: F.floor(c[0] / eps)
-    one = box.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")) - 1, cell(F.col("hi")) + 1))).withColumn("salt", F.pmod("chunk", F.lit(salts)))
+
+    def cells(lo: str, hi: str, more: int) -> Column:
+        side = lambda k: F.sequence(F.floor(F.coalesce(F.get(lo, F.lit(k)), F.lit(0.0)) / eps) - more, F.floor(F.coalesce(F.get(hi, F.lit(k)), F.lit(0.0)) / eps) + more)
+        return F.explode(F.flatten(F.transform(side(0), lambda x: F.transform(side(1), lambda y: F.struct(x.alias("x"), y.alias("y"))))))
+
+    one = box.withColumn("cell", cells("lo", "hi", 1)).withColumn("salt", F.pmod("chunk", F.lit(salts)))
     two = box.select(F.col("chunk").alias("chunk2"), "label", "size", F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    two = two.withColumn("cell", F.explode(F.sequence(cell(F.col("lo2")), cell(F.col("hi2")))))
+    two = two.withColumn("cell", cells("lo2", "hi2", 0))
     two = two.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     gap = F.zip_with(F.arrays_zip("lo", "hi"), F.arrays_zip("lo2", "hi2"), lambda x, y: F.greatest(F.lit(0.0), x["lo"] - y["hi2"], y["lo2"] - x["hi"]))
     far = F.aggregate(gap, F.lit(0.0), lambda s, g: s + g * g) > eps * eps + TINY
@@ -178,8 +206,8 @@ def linked(chunks: DataFrame, axes: dict[int, np.ndarray], least: float, eps: fl
     full = pairs.join(load, "chunk").join(other, "chunk2")
 
     def side(size: int, ids: bytes, copies: bytes, flat: bytes) -> dict:
-        x = np.frombuffer(flat, np.float32)
-        return {"ids": np.frombuffer(ids, np.int64), "copies": np.frombuffer(copies, np.int64), "u": unit(x, size), "x": x.reshape(-1, size).astype(np.float64)}
+        x = scaled(np.frombuffer(flat, kind), size)
+        return {"ids": np.frombuffer(ids, np.int64), "copies": np.frombuffer(copies, np.int64), "u": unit(x, size), "x": x}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -209,13 +237,15 @@ def near_vectors(
 
     component_id is the smallest id that links reach. Equal vectors of a label are joined as
     one with its number of copies, so a vector that a third of the rows share is one row of
-    the join. Rows that are null, empty or zero, hold a null or non-finite component, or lack
+    the join. Cosines are taken in double precision of the components as they are: array<float> as
+    floats, all others as doubles. Labels may be of any type that can be grouped. Rows that are null, empty or zero, hold a null or non-finite component, or lack
     a label or id are linked with nothing: n_links is 0 and component_id the row's own id.
     Rows that repeat an id are rows of their own. Other columns are ignored.
     """
     eps = float(np.sqrt(max(0.0, 2 - 2 * least)))
+    name, kind = ("float", np.float32) if df.schema[vector_col].dataType == T.ArrayType(T.FloatType()) else ("double", np.float64)
     rows = df.select(
-        F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<float>").alias("embedding")
+        F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast(f"array<{name}>").alias("embedding")
     )
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = rows.withColumn("fine", F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & fine, F.lit(False)))
@@ -227,7 +257,7 @@ def near_vectors(
     grid = cells_of(vectors, axes, eps)
     keys = [F.col("label"), F.col("size"), F.col("cells"), F.col("rep")]
     chunks = materialised(intervals(grid.repartitionByRange(*keys).sortWithinPartitions(*keys), axes))
-    found = materialised(linked(chunks, axes, least, eps))
+    found = materialised(linked(chunks, axes, least, eps, kind))
     ends = components(found.select(F.col("id").alias("a"), F.col("anchor").alias("b")))
     gains = found.groupBy("id").agg(F.sum("links").alias("links"))
     ends = gains.join(ends, F.col("id") == F.col("node"), "left").select(F.col("id").alias("rep"), "links", "component")
