@@ -3,7 +3,9 @@
 A text is cut at the added tokens' strings and then into short words. Each distinct
 word is encoded once per worker by the contiguous rank array: the part boundaries and
 the rank of each adjacent pair lie in two small lists; the lowest rank is found by
-scanning, its boundary is deleted, and the neighbouring ranks are looked up again.
+scanning, its boundary is deleted, and the neighbouring ranks are looked up again. Words
+of more than SHORT bytes make the same merges with a heap and linked parts, since scans
+would take time in the square of their length.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 import regex
@@ -23,6 +26,8 @@ from silverloom.llm.common import map_texts
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words kept by a worker before it starts anew; a bound of memory, results don't depend on it.
 CACHE = 400_000
+#: Bytes of a word that is scanned, and characters of a word that is kept.
+SHORT, KEPT = 400, 64
 NO_RANK = 1 << 60
 
 
@@ -39,6 +44,8 @@ class Codec:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        if spec["pre_tokenizer"].get("type") != "ByteLevel" or not spec["pre_tokenizer"].get("use_regex") or spec["pre_tokenizer"].get("add_prefix_space") or spec["normalizer"]:
+            raise ValueError(f"{path}: texts are not cut by the byte-level split pattern alone")
         alphabet = byte_alphabet()
         as_bytes = lambda s: bytes(alphabet[c] for c in s)
         self.ids = {as_bytes(s): i for s, i in spec["model"]["vocab"].items() if all(c in alphabet for c in s)}
@@ -56,6 +63,8 @@ class Codec:
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one word, by the contiguous rank array."""
+        if len(word) > SHORT:
+            return self.merge_long(word)
         parts = [self.single[b] for b in word]
         none = (NO_RANK, -1)
         ranks = self.ranks
@@ -73,11 +82,32 @@ class Codec:
                 pairs[i - 1] = ranks.get((parts[i - 1], parts[i]), none)
         return parts
 
+    def merge_long(self, word: bytes) -> list[int]:
+        """The same merges, the lowest rank and then the leftmost first, by a heap of the pairs of linked parts."""
+        parts, ranks, n = [self.single[b] for b in word], self.ranks, len(word)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r[0], i, *p) for i, p in enumerate(zip(parts, parts[1:])) if (r := ranks.get(p))]
+        heapify(heap)
+        while heap:
+            _, i, left, right = heappop(heap)
+            j = after[i]
+            if parts[i] != left or j >= n or parts[j] != right:  # one of the two has changed
+                continue
+            parts[i], parts[j], after[i] = ranks[left, right][1], -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (r := ranks.get((parts[a], parts[b]))):
+                    heappush(heap, (r[0], a, parts[a], parts[b]))
+        return [p for p in parts if p >= 0]
+
     def learn(self, word: str) -> tuple[str, int, bytes]:
         ids = self.merge(word.encode())
-        if len(self.known) >= CACHE:
-            self.known.clear()
-        out = self.known[word] = (",".join(map(str, ids)), len(ids), self.decode_bytes(ids))
+        out = (",".join(map(str, ids)), len(ids), self.decode_bytes(ids))
+        if len(word) <= KEPT:
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            self.known[word] = out
         return out
 
     def words(self, text: str) -> Iterator[str | int]:
@@ -145,7 +175,6 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     One narrow pass without a shuffle. Null texts count as empty; other columns are ignored.
     """
 
-
     def make(texts: list[str]) -> tuple[None, list]:
         own = codec(path)
         return None, list(zip(*map(own.digest, texts))) or [[], [], []]
