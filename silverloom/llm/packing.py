@@ -8,6 +8,7 @@ bins are empty. The bins that stay open in the shards are packed again together.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable
@@ -25,8 +26,8 @@ from silverloom.llm.common import map_texts, materialised
 
 #: Pieces of a shard: enough that the one open bin a shard may leave doesn't count.
 SHARD = 16_384
-#: Words of a generation that a worker remembers; a bound of memory, results don't depend on it.
-CACHE = 250_000
+#: Words of a generation that a worker remembers, and their characters at most; bounds of memory, results don't depend on them.
+CACHE, KEPT = 250_000, 64
 #: Code points below this one are the same kind of character in all Unicode versions.
 LATIN = "\u0250"
 #: Pairs of bins that the local search looks at for each item before it stops.
@@ -46,6 +47,8 @@ class Remembered(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        if len(key) > KEPT:
+            return value
         if len(self) >= CACHE:
             self.older = dict(self)
             self.clear()
@@ -71,6 +74,9 @@ class WordIds:
 
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
+        own = self.tok.pre_tokenizer.__getstate__().decode()
+        if json.loads(own)["pretokenizers"][0].get("pattern") != {"Regex": self.CUT}:
+            raise ValueError(f"{path}: texts are not cut by {self.CUT}")
         self.cut = regex.compile(self.CUT)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         #: Planes where Unicode versions differ on what a letter is: the library takes the whole text.
@@ -137,6 +143,20 @@ def pieces(df: DataFrame, path: str, limit: int = 4096, end_id: int = 1, id_col:
     return map_texts(df, [id_col], text_col, {"piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}, make)
 
 
+def fewest(sizes: list[int], limit: int) -> int:
+    """A lower bound of the bins: for each size k up to half a bin, items of more than limit - k are alone with what is
+    smaller than k, those above half a bin are in bins of their own, and only what these leave takes up the rest from k on."""
+    s = np.sort(np.asarray(sizes, np.int64))
+    total = np.concatenate([[0], np.cumsum(s)])
+    half = np.searchsorted(s, limit // 2, "right")
+    k = np.concatenate([[0], np.unique(s[:half])])
+    alone, low = np.searchsorted(s, limit - k, "right"), np.searchsorted(s, k, "left")
+    alone = np.maximum(alone, half)
+    free = (alone - half) * limit - (total[alone] - total[half])
+    more = -(-(total[half] - total[low] - free) // limit)
+    return int((len(s) - half + np.maximum(0, more)).max())
+
+
 def best_fit(sizes: list[int], limit: int) -> list[list[int]]:
     """Bins (lists of item numbers) by best fit over decreasing sizes."""
     bins: list[list[int]] = []
@@ -168,11 +188,11 @@ def local_search(bins: list[list[int]], sizes: list[int], limit: int) -> list[li
     room for it; or it is exchanged for one or two smaller items of a fuller bin; or two of
     its items for one. Each step raises the squared fill (the fuller bin gains what the
     emptier loses), so the search ends; a bin that has given all is dropped. It stops when the
-    bins are as few as the total allows, when no bin can give anything more, or after EFFORT
+    bins are as few as the sizes allow, when no bin can give anything more, or after EFFORT
     pairs of bins looked at for each item, which bounds its time and never leaves an item out.
     """
     fill = [sum(sizes[i] for i in b) for b in bins]
-    least = -(-sum(fill) // limit)
+    least = fewest(sizes, limit)
     alive = set(range(len(bins)))
     effort = EFFORT * len(sizes)
     while len(alive) > least and effort > 0:
