@@ -21,7 +21,7 @@ from silverloom.llm.common import map_texts
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: Elements whose content is never text of the page.
-HIDDEN = {"head", "script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio", "video", "select", "option", "button", "textarea", "title", "datalist"}
+HIDDEN = {"head", "script", "style", "noscript", "template", "iframe", "object", "svg", "canvas", "audio", "video", "select", "option", "button", "textarea", "title", "datalist"}
 BLOCKS = (
     "body html div section article main nav header footer aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "blockquote pre figure figcaption details summary address fieldset legend caption hgroup menu dialog center"
@@ -67,7 +67,7 @@ class Page(HTMLParser):
         if tag in ("html", "body") and any(t == tag for t, _ in self.open):
             return
         if tag in VOID:
-            if not self.hidden:
+            if not self.hidden and tag != "wbr":  # a place where a word may be broken isn't a space
                 self.runs.append((self.open[-1][1], " ") if tag != "hr" else (self.open[-1][1], ""))
             return
         ends, until = ENDS.get(tag, ((), ()))
@@ -212,7 +212,7 @@ def blocks(page: Page, kept: np.ndarray) -> list[str]:
 
 @lru_cache(maxsize=2)
 def model(pages: int = 1000, seed: int = 3) -> trees.Boosted:
-    """Trees fitted to `pages` generated pages; the training is deterministic and takes seconds."""
+    """Trees fitted to `pages` generated pages; the training is deterministic, on the driver, about ten seconds once a session."""
     xs, ys = [], []
     for html in htmlpages.generated(pages, seed):
         page = Page(html)

@@ -28,12 +28,20 @@ class Boosted:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.3, bins: int = 32, ridge: float = 0.3) -> Boosted:
-    """Newton boosting on the logistic loss with histograms of up to `bins` quantile bins a feature."""
+    """Newton boosting on the logistic loss with histograms: a bin for each value of a feature, or up to `bins` quantile bins."""
     n, m = x.shape
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(m)]
+
+    def between(v: np.ndarray) -> np.ndarray:
+        own = np.unique(v)
+        return (own[1:] + own[:-1]) / 2 if len(own) <= bins else np.unique(np.quantile(v, np.linspace(0, 1, bins + 1)[1:-1]))
+
+    edges = [between(x[:, j]) for j in range(m)]
+    two = np.asarray([len(e) < 2 for e in edges])  # features of two bins: sums over the upper one are a matrix product
     binned = np.stack([np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(edges)], axis=1)
     inner, leaves = 2**depth - 1, 2**depth
     feature, cut, leaf = np.zeros((trees, inner), np.int64), np.full((trees, inner), np.inf), np.zeros((trees, leaves))
+    upper, many = (binned[:, two] > 0).astype(np.float64), binned[:, ~two]
+    wide = many.shape[1]
     p0 = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     start = float(np.log(p0 / (1 - p0)))
     score = np.full(n, start)
@@ -43,8 +51,17 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
         at = np.zeros(n, np.int64)
         for level in range(depth):
             width, base = 2**level, 2**level - 1
-            cell = ((at - base)[:, None] * m + np.arange(m)) * bins + binned
-            gs, hs = (np.bincount(cell.ravel(), np.repeat(v, m), width * m * bins).reshape(width, m, bins) for v in (g, h))
+            own = np.zeros((width, n))
+            own[at - base, np.arange(n)] = 1
+            cell = (((at - base)[:, None] * wide + np.arange(wide)) * bins + many).ravel()
+            sums = []
+            for v in (g, h):
+                s = np.zeros((width, m, bins))
+                s[:, ~two] = np.bincount(cell, np.repeat(v, wide), width * wide * bins).reshape(width, wide, bins)
+                s[:, two, 1] = (own * v) @ upper
+                s[:, two, 0] = (own @ v)[:, None] - s[:, two, 1]
+                sums.append(s)
+            gs, hs = sums
             gl, hl = gs.cumsum(axis=2), hs.cumsum(axis=2)
             ga, ha = gl[..., -1:], hl[..., -1:]
             gain = gl**2 / (hl + ridge) + (ga - gl) ** 2 / (ha - hl + ridge) - ga**2 / (ha + ridge)
