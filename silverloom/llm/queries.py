@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,13 @@ from pyspark.sql import functions as F
 from silverloom.llm import bpe, embedjoin, fingerprint, htmltext, langid, linededup, lm, minhash, packing, urlfilter
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
-LISTED = ["http://spam-farm.example.org/", "http://cheap-pills.example.com/"]
+BLOCKLIST = Path(__file__).with_name("blocklist.txt")
+
+
+def blocklist(path: Path = BLOCKLIST) -> list[str]:
+    """The listed URLs of a configuration file: one a line, '#' begins a comment."""
+    lines = (line.split("#")[0].strip() for line in path.read_text(encoding="utf-8").splitlines())
+    return [line for line in lines if line]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,8 +47,8 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocklist = spark.createDataFrame([(u,) for u in LISTED], "url string")
-    return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, blocklist)
+    listed = spark.createDataFrame([(u,) for u in blocklist()], "url string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, listed)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,10 +96,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": OP4_SQL}
+    listed = "\n".join(f"    WHEN site = '{h}' OR ends_with(site, '.{h}') THEN '{h}/'" for h in (u.removeprefix("http://").rstrip("/") for u in blocklist()))
+    return {"op4_url_filter": OP4_SQL.replace("    WHEN listed_hosts", listed)}
 
 
-#: The listed hosts and their subdomains are blocked; written without the filter.
+#: The listed hosts, whose entries have no path, and their subdomains are blocked; written without the filter.
 OP4_SQL = r"""
 WITH p AS (
   SELECT page_id, url,
@@ -110,8 +118,7 @@ WITH p AS (
   FROM p
 ), l AS (
   SELECT *, CASE
-    WHEN site = 'spam-farm.example.org' OR ends_with(site, '.spam-farm.example.org') THEN 'spam-farm.example.org/'
-    WHEN site = 'cheap-pills.example.com' OR ends_with(site, '.cheap-pills.example.com') THEN 'cheap-pills.example.com/'
+    WHEN listed_hosts
   END AS listed
   FROM r
 )

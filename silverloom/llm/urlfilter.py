@@ -14,10 +14,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverloom.llm.common import shuffle_partitions
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: 64-bit words of a block, and bits set for an entry.
 WORDS, PROBES = 8, 8
-#: The filter never has more blocks than this (72 bytes each): at most 9 MB.
+#: The filter never has more blocks than this (72 bytes each): at most 9 MB, 16 bits a key up to 4 million keys.
+#: A longer list fills it more, so that more lookups reach the exact join; results are the same.
 MAX_BLOCKS = 1 << 17
 
 
@@ -105,6 +108,7 @@ def listed(urls: DataFrame, url: str, blocklist: DataFrame, listed_url: str, bit
     blocks = max(1, min(MAX_BLOCKS, -(-n * bits_per_key // (64 * WORDS))))
     table = bloom(keys, "key", blocks)
     asked = urls.select(F.col(url).alias("url")).where("url is not null").distinct()
+    asked = asked.repartition(shuffle_partitions(urls))  # few bytes make many lookups; partitions merged by bytes would be few
     asked = asked.select("url", F.explode(lookups(F.col("url"))).alias("key"))
     block, masks = probe(F.col("key"), blocks)
     asked = asked.withColumns({"block": block} | {f"m{i}": m for i, m in enumerate(masks)})
