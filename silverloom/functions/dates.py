@@ -17,15 +17,20 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    """A date in one of FORMATS, cut at ',', ';' or ' then'; impossible days are clamped to the month's end."""
-    head = F.trim(F.regexp_replace(text, r"(?is)\s*(?:[,;]|\sthen).*$", ""))
-    exact = F.coalesce(*[F.try_to_timestamp(head, F.lit(f)).cast("date") for f in FORMATS])
-    parts = F.transform(F.regexp_extract_all(head, F.lit(r"(\d+)"), 1), lambda x: x.try_cast("int"))
-    a, b, c = (F.get(parts, F.lit(i)) for i in range(3))
+    """A date in one of FORMATS, cut at ',', ';' or ' then'; impossible days are clamped to the month's end.
+
+    What fits no format is a date only if it is three whole numbers between '/', '.' or '-'. Years
+    of two digits are 1969 to 2068 in a format, 2000 to 2099 where a day is clamped.
+    """
+    head = F.trim(F.regexp_replace(text, r"(?s)([,;]|\s+then\b).*$", ""))
+    exact = [F.try_to_timestamp(head, F.lit(f)).cast("date") for f in FORMATS]
+    exact = F.coalesce(*[F.when(F.year(e) >= 2069, F.add_months(e, -1200)).otherwise(e) if f.endswith("/yy") or f.endswith(".yy") else e for e, f in zip(exact, FORMATS)])
+    parts = F.split(head, r"[/.\-]")
+    a, b, c = (F.when(F.size(parts) == 3, F.trim(F.get(parts, F.lit(i)))).try_cast("int") for i in range(3))
     year_first = a > 31
     y, m, d = F.when(year_first, a).otherwise(c), b, F.when(year_first, c).otherwise(a)
     y = F.when(y < 100, y + 2000).otherwise(y)
-    fits = (F.size(parts) >= 3) & m.between(1, 12) & (y > 1900) & (y < 10000) & (d >= 1) & (d <= 31)
+    fits = m.between(1, 12) & (y > 1900) & (y < 10000) & (d >= 1)
     first = F.make_date(F.when(fits, y), F.when(fits, m), F.lit(1))
     clamped = F.date_add(first, F.least(d, F.day(F.last_day(first))) - 1)
     return F.when(head.rlike(r"\d"), F.coalesce(exact, clamped))

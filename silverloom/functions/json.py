@@ -49,6 +49,12 @@ def fenced_json(reply: Column) -> Column:
     return F.coalesce(F.try_parse_json(unfenced(reply)), wrapped)
 
 
+def constant(value: dict) -> Column:
+    """A nested mapping of texts as a map literal: configuration in an expression."""
+    one = lambda v: constant(v) if isinstance(v, dict) else F.lit(v)
+    return F.create_map(*[x for k, v in value.items() for x in (F.lit(k), one(v))])
+
+
 def merged_tables(base: Column, extra: Column) -> Column:
     """Deep merge of two maps of maps; where both have a cell, base wins."""
     empty = F.create_map().cast("map<string,map<string,string>>")

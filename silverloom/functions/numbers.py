@@ -37,7 +37,3 @@ def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
 def walking_minutes(metres: Column) -> Column:
     """At 80 m a minute, half-even rounded, at least 1."""
     return F.greatest(F.lit(1), F.bround(metres / 80).cast("int"))
-
-
-def percent(part: Column, whole: Column) -> Column:
-    return F.when(whole != 0, part * 100.0 / whole)

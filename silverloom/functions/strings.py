@@ -45,10 +45,10 @@ REPORT_MONTHLY = ["monthly", "month-to-month", "month to month"]
 
 
 def classify_renewal(text: Column) -> Column:
-    """Class of an extracted renewal clause: monthly markers first."""
-    t = F.lower(F.coalesce(text, F.lit("")))
+    """Class of an extracted renewal clause: monthly markers first. Only null and '' are unknown."""
+    t = F.lower(text)
     return (
-        F.when(F.trim(t) == "", "unknown").when(_any(t, EXTRACT_MONTHLY), "monthly").when(_any(t, EXTRACT_SAME), "same_period").otherwise("personalized")
+        F.when(text.isNull() | (text == ""), "unknown").when(_any(t, EXTRACT_MONTHLY), "monthly").when(_any(t, EXTRACT_SAME), "same_period_initial_commitment").otherwise("personalized")
     )
 
 
@@ -91,8 +91,9 @@ def label_of(code: Column, labels: dict[int, str], default: str = "Unknown") ->
     return out
 
 
-def contract_status(active: Column, cancelled: Column) -> Column:
-    return F.when(active, "active").when(cancelled, "cancelled").otherwise("inactive")
+def names_of(flags: dict[str, Column]) -> Column:
+    """The names whose flag is 1, in the order given: the amenities of a room."""
+    return F.array_compact(F.array(*[F.when(c == 1, F.lit(n)) for n, c in flags.items()]))
 
 
 def hhmm(minutes: Column) -> Column:

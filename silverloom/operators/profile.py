@@ -2,59 +2,91 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Names of the kinds of JSON values, by the VARIANT's.
+KINDS = {"STRING": "str", "BIGINT": "int", "DOUBLE": "float", "DECIMAL": "float", "BOOLEAN": "bool", "VOID": "NoneType", "OBJECT": "dict", "ARRAY": "list"}
+PATHS = "array<struct<path string, v variant>>"
+
+
+def _inside(v: Column) -> tuple[Column, Column]:
+    """The object whose keys are read at v: v itself, or a list's first element; and what that adds to the path."""
+    is_list = F.schema_of_variant(v).startswith("ARRAY")
+    return F.when(is_list, F.try_variant_get(v, "$[0]", "variant")).otherwise(v), F.when(is_list, "[]").otherwise("")
+
+
+def _walked(v: Column, prefix: Column, depth: int) -> Column:
+    """All keys below v as an array of (path, value), down to `depth` levels; one expression, nothing is read twice."""
+    inner, more = _inside(v)
+    keys = F.map_entries(F.when(F.schema_of_variant(inner).startswith("OBJECT"), F.try_variant_get(inner, "$", "map<string,variant>")))
+
+    def one(e: Column) -> Column:
+        path = F.concat(prefix, more, F.when(prefix != "", ".").otherwise(""), e["key"])
+        own = F.array(F.struct(path.alias("path"), e["value"].alias("v")))
+        return F.concat(own, _walked(e["value"], path, depth - 1)) if depth > 1 else own
+
+    return F.coalesce(F.flatten(F.transform(keys, one)), F.array().cast(PATHS))
+
 
 def key_paths(df: DataFrame, raw: str, keep: list[str], depth: int = 4) -> DataFrame:
     """(keep..., path, kind, value) of all keys down to `depth` levels; lists are read by their first element as 'path[]'.
 
-    Each level is one lateral explode of the VARIANT; malformed JSON has no keys.
+    One pass over df and one explode. Malformed JSON has no keys. value: the first 50
+    characters, '[dict]' or '[list]', null for a JSON null.
+    """
+    found = df.select(*keep, F.inline(_walked(F.try_parse_json(raw), F.lit(""), depth)))
+    word = F.regexp_extract(F.schema_of_variant("v"), r"^[A-Z]+", 0)
+    kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv]), word), word)
+    nested = kind.isin("dict", "list")
+    value = F.when(nested, F.concat(F.lit("["), kind, F.lit("]"))).when(kind != "NoneType", F.left(F.try_variant_get("v", "$", "string"), F.lit(50)))
+    return found.select(*keep, "path", kind.alias("kind"), value.alias("value"))
+
+
+def coverage(df: DataFrame, raw: str, by: list[str] | None = None, depth: int = 4, samples: int = 3, drop: list[str] | None = None, sparse: float = 10.0, complete: str = "") -> DataFrame:
+    """A row for each key path (and group): count, coverage and null share of all records, kinds, samples, flag.
+
+    Samples are the first of the distinct values in order. `drop`: top-level keys that are left
+    out. `sparse`: the coverage in percent under which a path is sparse; `complete`: the mark of
+    paths that all records have and that are never null. Values are made distinct before they
+    are gathered, so a path with very many of them is not held anywhere.
     """
-    level = df.select(*keep, F.try_parse_json(raw).alias("v"), F.lit("").alias("path"))
-    out = []
-    for _ in range(depth):
-        kind = F.schema_of_variant("v")
-        inner = F.when(kind.startswith("ARRAY"), F.try_variant_get("v", "$[0]", "variant")).otherwise(F.col("v"))
-        level = level.select(*keep, inner.alias("v"), F.when(kind.startswith("ARRAY"), F.concat("path", F.lit("[]"))).otherwise(F.col("path")).alias("path"))
-        level = level.where(F.schema_of_variant("v").startswith("OBJECT"))
-        keys = F.json_object_keys(F.to_json("v"))
-        level = level.withColumn("key", F.explode(keys))
-        value = F.variant_get("v", F.lit("$"), "map<string,variant>")
-        level = level.select(*keep, F.try_element_at(value, "key").alias("v"), F.concat_ws(".", F.nullif("path", F.lit("")), F.col("key")).alias("path"))
-        out.append(level)
-    rows = reduce(DataFrame.unionByName, out)
-    kind = F.regexp_extract(F.schema_of_variant("v"), r"^[A-Z]+", 0)
-    value = F.when(kind != "VOID", F.left(F.coalesce(F.try_variant_get("v", "$", "string"), F.to_json("v")), F.lit(50)))
-    return rows.select(*keep, "path", kind.alias("kind"), value.alias("value"))
-
-
-def coverage(df: DataFrame, raw: str, by: list[str] | None = None, depth: int = 4, samples: int = 3) -> DataFrame:
-    """A row for each key path (and group): count, coverage and null share of all records, types, samples, flag."""
     by = by or []
     total = df.groupBy(*by).agg(F.count("*").alias("records"))
     paths = key_paths(df, raw, by, depth)
-    out = paths.groupBy(*by, "path").agg(
-        F.count("*").alias("n"), F.count_if(F.col("kind") == "VOID").alias("nulls"), F.array_sort(F.collect_set("kind")).alias("kinds"),
-        F.count_distinct("value").alias("distinct_values"), F.min("value").alias("lowest"), F.max("value").alias("highest"),
-    )
+    if drop:
+        paths = paths.where(~F.split_part("path", F.lit("."), F.lit(1)).isin(drop))
+    values = paths.groupBy(*by, "path", "value").agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "NoneType").alias("nulls"), F.collect_set("kind").alias("kinds"))
+    out = values.groupBy(*by, "path").agg(
+        F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds")))).alias("kinds"), F.count("value").alias("distinct_values")
+    )
+    place = F.row_number().over(Window.partitionBy(*by, "path").orderBy("value"))
+    first = values.where("value is not null").withColumn("place", place).where(F.col("place") <= samples)
+    first = first.groupBy(*by, "path").agg(F.array_sort(F.collect_list("value")).alias("samples"))
+    out = out.join(first, [*by, "path"], "left")
     out = out.join(total, by) if by else out.withColumn("records", total.scalar())
     share, null_share = F.col("n") * 100.0 / F.col("records"), F.col("nulls") * 100.0 / F.col("records")
     return out.select(
         *by, "path", "n", "records", F.round(share, 1).alias("coverage_pct"), F.round(null_share, 1).alias("null_pct"), "kinds",
-        F.slice(F.array_distinct(F.array_compact(F.array("lowest", "highest"))), 1, samples).alias("samples"), flag(share, null_share, F.col("distinct_values")).alias("flag"),
+        F.coalesce("samples", F.array().cast("array<string>")).alias("samples"), flag(share, null_share, F.col("distinct_values"), sparse, complete).alias("flag"),
     )
 
 
-def flag(share: Column, null_share: Column, distinct: Column, sparse: float = 10.0) -> Column:
-    return F.when(share < sparse, "sparse").when(null_share > 90, "mostly null").when(distinct == 1, "constant").otherwise("")
+def flag(share: Column, null_share: Column, distinct: Column, sparse: float = 10.0, complete: str = "") -> Column:
+    word = "sparse" if sparse >= 10 else "very sparse"
+    full = (share == 100) & (null_share == 0)
+    return F.when(share < sparse, word).when(null_share > 90, "mostly null").when(distinct == 1, "constant").when(full, complete).otherwise("")
+
+
+def profile_by_type(df: DataFrame, raw: str, group: str, drop: list[str]) -> DataFrame:
+    """Coverage by group, three levels deep, without the dropped keys; complete paths are marked, the commonest come first."""
+    own = coverage(df, raw, [group], depth=3, drop=drop, sparse=5.0, complete="complete")
+    return own.orderBy(group, F.desc("n"), "path")
 
 
-def coverage_pivot(df: DataFrame, raw: str, group: str, groups: list, depth: int = 3, spread: float = 20.0) -> DataFrame:
+def coverage_pivot(df: DataFrame, raw: str, group: str, groups: list, depth: int = 3, spread: float = 20.0, drop: list[str] | None = None) -> DataFrame:
     """Coverage of each path by group, where the greatest and least differ by more than `spread` points."""
-    own = coverage(df, raw, [group], depth).groupBy("path").pivot(group, groups).agg(F.first("coverage_pct"))
+    own = coverage(df, raw, [group], depth, drop=drop).groupBy("path").pivot(group, groups).agg(F.first("coverage_pct"))
     own = own.fillna(0.0)
     cols = [F.col(f"`{g}`") for g in groups]
     return own.where(F.greatest(*cols) - F.least(*cols) > spread)

@@ -18,7 +18,8 @@ from silverloom.functions import numbers as N
 from silverloom.functions import strings as S
 from silverloom.operators import profile
 from silverloom.operators import tables as O
-from silverloom.plans import reports
+from silverloom.plans import enrichment, entities, extraction, reports
+from silverloom.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,16 +100,24 @@ def fallback_chain(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "customer").select("c_custkey", S.first_truthy(own, F.col("c_mktsegment"), F.lit("Unknown")).alias("name"))
 
 
-@query("""SELECT o_orderkey, d.n AS day_of_week, d.name AS day_name,
-  CASE WHEN a = 0 AND b = 0 THEN NULL ELSE a END AS open_minutes, CASE WHEN a = 0 AND b = 0 THEN NULL ELSE b END AS close_minutes, d.n = 3 AS is_closed
-FROM (SELECT o_orderkey, CAST(o_orderkey % 3 AS INT) * 300 AS a0, CAST(o_orderkey % 2 AS INT) * 1020 AS b0 FROM orders) o,
-  (VALUES (1, 'Monday'), (2, 'Tuesday'), (3, 'Wednesday')) d(n, name), LATERAL (SELECT a0 * (d.n - 1) AS a, b0 * (d.n - 1) AS b)""")
-def hours_unpivot(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = (F.col("o_orderkey") % 3).cast("int") * 300, (F.col("o_orderkey") % 2).cast("int") * 1020
-    days = [(i, n, a * (i - 1), b * (i - 1), F.lit(i == 3)) for i, n in ((1, "Monday"), (2, "Tuesday"), (3, "Wednesday"))]
+DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+HOURS = f"""SELECT o_orderkey, d.n AS day_of_week, d.name AS day_name,
+  CASE WHEN a = 0 AND b = 0 THEN NULL ELSE a END AS open_minutes, CASE WHEN a = 0 AND b = 0 THEN NULL ELSE b END AS close_minutes, d.n >= 6 AS is_closed
+FROM (SELECT o_orderkey, CAST(o_orderkey % 3 AS INT) * 60 AS a0, CAST(o_orderkey % 2 AS INT) * 170 AS b0 FROM orders) o,
+  (VALUES {", ".join(f"({i + 1}, '{n}')" for i, n in enumerate(DAYS))}) d(n, name), LATERAL (SELECT a0 * (d.n - 1) AS a, b0 * (d.n - 1) AS b)"""
+
+
+def _hours(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = (F.col("o_orderkey") % 3).cast("int") * 60, (F.col("o_orderkey") % 2).cast("int") * 170
+    days = [(i + 1, n, a * i, b * i, F.lit(i >= 5)) for i, n in enumerate(DAYS)]
     return O.unpivot_days(t(spark, sf, "orders"), "o_orderkey", days)
 
 
+@query(HOURS)
+def hours_unpivot(spark: SparkSession, sf: str) -> DataFrame:
+    return _hours(spark, sf)
+
+
 # --- upserts and refreshes -------------------------------------------------------------------
 
 
@@ -168,12 +177,12 @@ def unenriched_anti(spark: SparkSession, sf: str) -> DataFrame:
     return O.missing(t(spark, sf, "customer").where("c_acctbal is not null"), done, ["c_custkey"]).select("c_custkey", "c_name")
 
 
-@query("""SELECT c_custkey, o_orderkey, CASE WHEN o_orderdate IS NOT NULL THEN 'enriched' ELSE 'pending' END AS enrichment FROM customer LEFT JOIN
+@query("""SELECT c_custkey AS source_id, o_orderkey AS run, CASE WHEN o_orderdate IS NOT NULL THEN 'enriched' ELSE 'pending' END AS enrichment FROM customer LEFT JOIN
 (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) rn FROM orders WHERE o_orderpriority = '1-URGENT') o ON o_custkey = c_custkey AND rn = 1""")
 def enrichment_status(spark: SparkSession, sf: str) -> DataFrame:
-    log = O.latest(t(spark, sf, "orders").where("o_orderpriority = '1-URGENT'"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
-    both = t(spark, sf, "customer").join(log, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return both.select("c_custkey", "o_orderkey", F.when(F.col("o_orderdate").isNotNull(), "enriched").otherwise("pending").alias("enrichment"))
+    log = t(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("location_source_id"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("finished_at"))
+    out = enrichment.status(t(spark, sf, "customer").select(F.col("c_custkey").alias("location_source_id")), log)
+    return out.select(F.col("location_source_id").alias("source_id"), F.col("id").alias("run"), "enrichment")
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE list_contains(string_split(p_name, ' '), (SELECT string_split(p_name, ' ')[1] FROM part WHERE p_partkey = (SELECT min(p_partkey) FROM part)))")
@@ -183,6 +192,15 @@ def product_exists_in_list(spark: SparkSession, sf: str) -> DataFrame:
     return parts.where(F.array_contains(F.split("p_name", " "), word)).select("p_partkey", "p_name")
 
 
+@query("""SELECT DISTINCT l_partkey AS product_id, l_orderkey AS source_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' AND l_partkey % 3 = 0""")
+def contracts_of_product(spark: SparkSession, sf: str) -> DataFrame:
+    """Active contracts of every third product, found in their desk lists."""
+    lists = t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.col("l_partkey").cast("string")), ",").alias("floor_plan_desk_ids"))
+    own = lists.join(t(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_orderkey").alias("source_id"), N.flag(F.col("o_orderstatus") == "F").alias("active"), "floor_plan_desk_ids")
+    products = t(spark, sf, "part").where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("source_id"))
+    return reports.contracts_of(own, products).select("product_id", "source_id")
+
+
 @query("""WITH d AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
 SELECT l_orderkey AS source_id, CAST(coalesce(sum(p_size), 0) AS BIGINT) AS capacity FROM d LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1""")
 def list_capacity_sum(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,39 +211,56 @@ def list_capacity_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rooms(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    rooms = t(spark, sf, "customer").select(F.col("c_custkey").alias("room"), F.col("c_nationkey").alias("location_source_id"), F.when(F.col("c_custkey") % 7 != 0, F.left("c_mktsegment", F.lit(4))).alias("resource_type_name"))
+    key = F.col("c_custkey")
+    rooms = t(spark, sf, "customer").select(
+        key.alias("source_id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("location_source_id"), F.when(key % 7 != 0, F.left("c_mktsegment", F.lit(4))).alias("resource_type_name"),
+        (key % 5 + 1).cast("int").alias("item_type"), (key % 9).cast("int").alias("capacity"), F.when(key % 4 != 0, key % 150).alias("resource_id"),
+    )
     services = t(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("service"), F.col("s_nationkey").alias("location_source_id"),
+        F.col("s_name").alias("name"), F.col("s_nationkey").alias("location_source_id"), F.lit("EUR").alias("currency_code"), F.lit(4).alias("charge_period"),
         F.when(F.col("s_suppkey") % 3 == 0, "BUILDING,MACHINERY").when(F.col("s_suppkey") % 3 == 1, "AUTOMOBILE").alias("resource_type_names"), F.col("s_acctbal").alias("price"),
+        (F.col("s_suppkey") % 2).cast("int").alias("is_default_price"), (F.col("s_suppkey") % 3 > 0).cast("int").alias("only_for_members"),
     )
     return rooms, services
 
 
-ROOMS = """WITH r AS (SELECT c_custkey AS room, c_nationkey AS loc, CASE WHEN c_custkey % 7 <> 0 THEN left(c_mktsegment, 4) END AS kind FROM customer),
-s AS (SELECT s_suppkey AS service, s_nationkey AS loc, CASE WHEN s_suppkey % 3 = 0 THEN 'BUILDING,MACHINERY' WHEN s_suppkey % 3 = 1 THEN 'AUTOMOBILE' END AS names, s_acctbal AS price FROM supplier) """
+ROOMS = """WITH r AS (SELECT c_name AS name, c_nationkey AS loc, CASE WHEN c_custkey % 7 <> 0 THEN left(c_mktsegment, 4) END AS kind, CAST(c_custkey % 9 AS INT) AS capacity,
+ CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 150 END AS resource, CAST(c_custkey % 5 + 1 AS INT) AS item_type FROM customer WHERE c_custkey % 5 + 1 IN (4, 5)),
+s AS (SELECT s_name AS tier, s_nationkey AS loc, CASE WHEN s_suppkey % 3 = 0 THEN 'BUILDING,MACHINERY' WHEN s_suppkey % 3 = 1 THEN 'AUTOMOBILE' END AS names, s_acctbal AS price, CAST(s_suppkey % 2 AS INT) AS is_default, CAST(s_suppkey % 3 > 0 AS INT) AS members FROM supplier) """
 
 
-@query(ROOMS + "SELECT room, service, price FROM r JOIN s ON r.loc = s.loc AND (names IS NULL OR contains(names, kind))")
+@query(ROOMS + "SELECT r.loc AS location_source_id, name AS room_name, kind AS resource_type_name, capacity, tier AS price_tier, price, 'EUR' AS currency_code, 4 AS charge_period, members AS only_for_members, is_default AS is_default_price FROM r JOIN s ON r.loc = s.loc AND (names IS NULL OR contains(names, kind))")
 def room_pricing_theta(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.room_prices(*_rooms(spark, sf)).select("room", "service", "price")
+    return reports.room_prices(*_rooms(spark, sf))
 
 
-@query(ROOMS + "SELECT n_name AS location, room, kind AS room_type, service, price FROM r JOIN nation ON n_nationkey = r.loc LEFT JOIN s ON r.loc = s.loc AND (names IS NULL OR contains(names, kind))")
+@query(ROOMS + """SELECT n_name AS location, r.name AS product_name, r.item_type, capacity, p_partkey AS resource_id, tier AS pricing_tier, price, CASE WHEN tier IS NOT NULL THEN 'EUR' END AS currency_code
+FROM r JOIN nation ON n_nationkey = r.loc LEFT JOIN part ON p_partkey = resource AND p_partkey % 2 = 0 LEFT JOIN s ON r.loc = s.loc AND (names IS NULL OR contains(names, kind))""")
 def full_picture(spark: SparkSession, sf: str) -> DataFrame:
     rooms, services = _rooms(spark, sf)
-    r = rooms.join(t(spark, sf, "nation"), F.col("n_nationkey") == F.col("location_source_id")).alias("r")
-    s = services.alias("s")
-    fits = F.col("s.resource_type_names").isNull() | F.col("s.resource_type_names").contains(F.col("r.resource_type_name"))
-    both = r.join(s, (F.col("r.location_source_id") == F.col("s.location_source_id")) & fits, "left")
-    return both.select(F.col("n_name").alias("location"), "room", F.col("r.resource_type_name").alias("room_type"), "service", "price")
+    locations = t(spark, sf, "nation").select(F.col("n_nationkey").alias("source_id"), F.col("n_name").alias("name"))
+    resources = t(spark, sf, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("source_id"))
+    return reports.full_picture(locations, rooms, resources, services)
 
 
 @query("SELECT p_partkey, s_suppkey FROM part JOIN supplier ON CAST(p_size % 25 AS VARCHAR) = CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey || ',' || s_suppkey ELSE CAST(s_nationkey AS VARCHAR) END")
 def multi_value_equality(spark: SparkSession, sf: str) -> DataFrame:
     """Equality with a list text matches lists of one value only."""
-    s = t(spark, sf, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, F.concat_ws(",", F.col("s_nationkey").cast("string"), F.col("s_suppkey").cast("string"))).otherwise(F.col("s_nationkey").cast("string")).alias("names"))
-    p = t(spark, sf, "part").select("p_partkey", (F.col("p_size") % 25).cast("string").alias("names"))
-    return p.join(s, "names").select("p_partkey", "s_suppkey")
+    s = t(spark, sf, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, F.concat_ws(",", F.col("s_nationkey").cast("string"), F.col("s_suppkey").cast("string"))).otherwise(F.col("s_nationkey").cast("string")).alias("resource_type_names"))
+    p = t(spark, sf, "part").select("p_partkey", (F.col("p_size") % 25).cast("string").alias("resource_type_name"))
+    return reports.same_types(p, s).select("p_partkey", "s_suppkey")
+
+
+@query("SELECT s_suppkey, s_acctbal FROM supplier WHERE s_suppkey % 2 = 1 AND s_suppkey % 3 = 0")
+def price_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    """Default prices that aren't for members only."""
+    rows = t(spark, sf, "supplier").withColumns({"is_default_price": F.col("s_suppkey") % 2, "only_for_members": N.flag(F.col("s_suppkey") % 3 > 0)})
+    return reports.tiers(rows, is_default_price=1, only_for_members=0).select("s_suppkey", "s_acctbal")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_mktsegment ILIKE 'mach%'")
+def company_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.companies(t(spark, sf, "customer").withColumn("coworker_company", F.col("c_mktsegment")), "Mach").select("c_custkey")
 
 
 @query("SELECT DISTINCT l_suppkey AS location_id, l_partkey AS resource_id FROM lineitem WHERE l_suppkey <> 0 AND l_partkey <> 0")
@@ -245,14 +280,14 @@ def contracts(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderkey").alias("source_id"), F.col("o_custkey").alias("coworker_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("coworker_name"), start.alias("start_date"),
         F.when(F.col("o_orderkey") % 3 != 0, F.add_months(start, (F.col("o_orderkey") % 40).cast("int"))).alias("contract_term"),
         F.when(F.col("o_orderstatus") == "F", F.date_add(start, (F.col("o_orderkey") % 400).cast("int"))).alias("cancellation_date"),
-        F.col("o_orderpriority").alias("tariff_name"), F.col("o_orderpriority").alias("next_tariff_name"), F.when(F.col("o_orderkey") % 5 != 0, "1,2").alias("floor_plan_desk_ids"),
+        F.col("o_orderpriority").alias("tariff_name"), F.when(F.col("o_orderkey") % 4 == 0, "1-URGENT").otherwise(F.col("o_orderpriority")).alias("next_tariff_name"), F.when(F.col("o_orderkey") % 5 != 0, "1,2").alias("floor_plan_desk_ids"),
     )
 
 
 CONTRACTS = """WITH c AS (SELECT o_orderkey AS source_id, o_custkey AS coworker_id, 'c' || o_custkey AS coworker_name, CAST(o_orderdate AS DATE) AS start_date,
  CASE WHEN o_orderkey % 3 <> 0 THEN CAST(CAST(o_orderdate AS DATE) + to_months(CAST(o_orderkey % 40 AS INT)) AS DATE) END AS contract_term,
  CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INT) END AS cancellation_date,
- o_orderpriority AS tariff_name, CASE WHEN o_orderkey % 5 <> 0 THEN '1,2' END AS desks FROM orders),
+ o_orderpriority AS tariff_name, CASE WHEN o_orderkey % 4 = 0 THEN '1-URGENT' ELSE o_orderpriority END AS next_tariff, CASE WHEN o_orderkey % 5 <> 0 THEN '1,2' END AS desks FROM orders),
 v AS (SELECT * FROM c WHERE tariff_name ILIKE '%urgent%' AND (cancellation_date IS NULL OR start_date <> cancellation_date)),
 w AS (SELECT *, row_number() OVER (PARTITION BY coworker_id ORDER BY start_date, source_id) rf, row_number() OVER (PARTITION BY coworker_id ORDER BY start_date DESC, source_id DESC) rl FROM v),
 fl AS (SELECT l.coworker_id, l.coworker_name, f.start_date AS first_start, l.source_id, l.start_date, l.contract_term, l.cancellation_date FROM w l JOIN w f ON l.coworker_id = f.coworker_id AND f.rf = 1 WHERE l.rl = 1) """
@@ -265,17 +300,32 @@ def first_last_tenure(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("coworker_id", "coworker_name", "first_start", "cancellation_date", F.col("tenure_months").cast("bigint").alias("tenure_months"))
 
 
-@query(CONTRACTS + ", x AS (SELECT coworker_id, date_diff('month', first_start, start_date) AS tenure_months FROM fl) SELECT *, CAST(floor(avg(tenure_months) OVER ()) AS BIGINT) AS average_months FROM x WHERE tenure_months > 0")
+#: First start to last cancellation by next tariff; contracts of no length count too.
+TENURES = CONTRACTS + """, k AS (SELECT *, row_number() OVER (PARTITION BY coworker_id ORDER BY start_date, source_id) ka, row_number() OVER (PARTITION BY coworker_id ORDER BY start_date DESC, source_id DESC) kz FROM c WHERE next_tariff ILIKE '%urgent%'),
+te AS (SELECT a.coworker_id, z.coworker_name, a.start_date AS first_start_date, z.cancellation_date AS last_cancellation_date, date_diff('month', a.start_date, z.cancellation_date) AS tenure_months
+ FROM k a JOIN k z ON a.coworker_id = z.coworker_id AND a.ka = 1 AND z.kz = 1 WHERE z.cancellation_date IS NOT NULL) """
+
+
+@query(TENURES + "SELECT * FROM te")
+def tenure_ad_hoc(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.tenures(contracts(spark, sf), "urgent").withColumn("tenure_months", F.col("tenure_months").cast("bigint"))
+
+
+@query(TENURES + "SELECT *, CAST(trunc(avg(tenure_months) OVER ()) AS BIGINT) AS avg_tenure_months FROM te WHERE tenure_months > 0")
 def tenure_with_avg(spark: SparkSession, sf: str) -> DataFrame:
     """Positive tenures beside their truncated average."""
-    x = reports.first_and_last(reports.valid_contracts(contracts(spark, sf), "urgent"))
-    x = x.select("coworker_id", D.month_boundaries(F.col("first_start"), F.col("start_date")).cast("bigint").alias("tenure_months")).where("tenure_months > 0")
-    return reports.with_average(x, "tenure_months", "average_months")
+    return reports.average_tenures(contracts(spark, sf), "urgent").withColumn("tenure_months", F.col("tenure_months").cast("bigint"))
+
+
+@query(CONTRACTS + """SELECT coworker_id, source_id FROM c WHERE (start_date >= DATE '1997-06-15' OR coalesce(contract_term, DATE '1997-06-15') >= DATE '1997-06-15') AND cancellation_date IS NULL
+ AND next_tariff ILIKE '%urgent%' AND coalesce(contract_term, DATE '1997-12-15') >= DATE '1997-12-15' AND desks IS NOT NULL AND coworker_id = 7""")
+def running_contracts_of_one(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.running(contracts(spark, sf), "urgent", F.lit(AS_OF), coworker=7).select("coworker_id", "source_id")
 
 
 @query(CONTRACTS + """, n AS (SELECT *, row_number() OVER (PARTITION BY coworker_id ORDER BY start_date DESC, source_id DESC) rn FROM c
  WHERE (start_date >= DATE '1997-06-15' OR (start_date < DATE '1997-06-15' AND coalesce(contract_term, DATE '1997-06-15') >= DATE '1997-06-15'))
- AND coalesce(contract_term, DATE '1997-12-15') >= DATE '1997-12-15' AND desks IS NOT NULL AND tariff_name ILIKE '%urgent%'),
+ AND coalesce(contract_term, DATE '1997-12-15') >= DATE '1997-12-15' AND desks IS NOT NULL AND next_tariff ILIKE '%urgent%'),
 f AS (SELECT coworker_id, min(start_date) AS first_start FROM c WHERE tariff_name ILIKE '%urgent%' GROUP BY 1)
 SELECT n.coworker_id, n.source_id, f.first_start, date_diff('month', f.first_start, coalesce(contract_term, DATE '1997-06-15')) AS tenure_months FROM n JOIN f ON n.coworker_id = f.coworker_id WHERE rn = 1""")
 def future_contracts(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,20 +375,30 @@ def roll_forward(spark: SparkSession, sf: str) -> DataFrame:
     return _terms(spark, sf).select("o_orderkey", F.col("m").cast("bigint").alias("months"), F.col("d").cast("bigint").alias("days"), "rolled")
 
 
-@query(TERMS + """, g AS (SELECT *, CASE WHEN date_diff('month', s, DATE '1997-06-15') <= 23 THEN 2 ELSE 6 END AS notice FROM f),
-q AS (SELECT o_orderkey, m, d, notice, rolled AS e, 0 AS k FROM g UNION ALL SELECT o_orderkey, m, d, notice, CAST(e + to_months(CAST(m AS INT)) AS DATE) + CAST(d AS INT), k + 1 FROM q WHERE e < DATE '1997-06-15' + to_months(notice) AND k < 120)
-SELECT o_orderkey, notice AS notice_months, max(e) AS real_end FROM q GROUP BY 1, 2""")
+NOTICE = {"1-11 months": {"0-24": "2 months", "25-74": "2 months"}, "12-23 months": {"0-24": "2 months", "25-74": "3 months", "75+": "N/A"}, "24+ months": {"0-24": "3 months", "75+": "6 months"}}
+NOTICE_SQL = " UNION ALL ".join(f"SELECT '{r}' AS ten, '{c}' AS cap, '{v}' AS label" for r, own in NOTICE.items() for c, v in own.items())
+
+
+@query(TERMS + f""", b AS (SELECT *, date_diff('month', s, DATE '1997-06-15') AS n, o_orderkey % 90 AS desks FROM f),
+w AS (SELECT *, n - CASE WHEN CAST(s + to_months(CAST(n AS INT)) AS DATE) > DATE '1997-06-15' AND s <= DATE '1997-06-15' THEN 1 ELSE 0 END + CASE WHEN s > DATE '1997-06-15' AND CAST(s + to_months(CAST(n AS INT)) AS DATE) < DATE '1997-06-15' THEN 1 ELSE 0 END AS whole FROM b),
+l AS (SELECT w.*, coalesce(label, 'N/A') AS notice_label FROM w LEFT JOIN ({NOTICE_SQL}) x ON ten = CASE WHEN whole <= 11 THEN '1-11 months' WHEN whole <= 23 THEN '12-23 months' ELSE '24+ months' END AND cap = CASE WHEN desks <= 24 THEN '0-24' WHEN desks <= 74 THEN '25-74' ELSE '75+' END),
+g AS (SELECT *, coalesce(try_cast(nullif(regexp_extract(notice_label, '^([0-9]+) *month', 1), '') AS INT), 0) AS notice FROM l),
+q AS (SELECT o_orderkey, m, d, notice_label, notice, rolled AS e, 0 AS k FROM g UNION ALL SELECT o_orderkey, m, d, notice_label, notice, CAST(e + to_months(CAST(m AS INT)) AS DATE) + CAST(d AS INT), k + 1 FROM q WHERE e < DATE '1997-06-15' + to_months(notice) AND k < 120)
+SELECT o_orderkey, notice_label, notice AS notice_months, max(e) AS real_end FROM q GROUP BY 1, 2, 3""")
 def notice_period(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _terms(spark, sf).withColumn("notice", F.when(D.month_boundaries(F.col("s"), F.lit(AS_OF)) <= 23, 2).otherwise(6))
-    return rows.select("o_orderkey", F.col("notice").alias("notice_months"), D.notice_end(F.col("rolled"), F.col("m"), F.col("d"), F.lit(AS_OF), F.col("notice")).alias("real_end"))
+    """The notice by tenure and capacity, looked up in a table, and the end that leaves room for it."""
+    rows = _terms(spark, sf).withColumn("table", J.constant(NOTICE))
+    rows = rows.withColumn("notice_label", reports.notice_of(F.col("table"), D.complete_months(F.col("s"), F.lit(AS_OF)), F.col("o_orderkey") % 90))
+    rows = rows.withColumn("notice", S.notice_months(F.col("notice_label")))
+    return rows.select("o_orderkey", "notice_label", F.col("notice").alias("notice_months"), D.notice_end(F.col("rolled"), F.col("m"), F.col("d"), F.lit(AS_OF), F.col("notice")).alias("real_end"))
 
 
 @query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS iso, CAST(o_orderdate AS DATE) AS dmy, CAST(o_orderdate AS DATE) AS dotted, CAST(o_orderdate AS DATE) AS cut,
- last_day(CAST(o_orderdate AS DATE)) AS clamped, CAST(NULL AS DATE) AS none FROM orders""")
+ last_day(CAST(o_orderdate AS DATE)) AS clamped, CAST(NULL AS DATE) AS none, CAST(NULL AS DATE) AS prose FROM orders""")
 def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Every written form of the order date, a day beyond its month, and a text without a date."""
     f = lambda p: F.date_format("o_orderdate", p)
-    forms = {"iso": f("yyyy-MM-dd"), "dmy": f("d/M/yyyy"), "dotted": f("dd.MM.yyyy"), "cut": F.concat(f("dd.MM.yyyy"), F.lit(", then monthly")), "clamped": F.concat(F.lit("31/"), f("M/yyyy")), "none": F.lit("TBD")}
+    forms = {"iso": f("yyyy-MM-dd"), "dmy": f("d/M/yyyy"), "dotted": f("dd.MM.yyyy"), "cut": F.concat(f("dd.MM.yyyy"), F.lit(", then monthly")), "clamped": F.concat(F.lit("31/"), f("M/yyyy")), "none": F.lit("TBD"), "prose": F.concat(F.lit("30 days after 12 months of "), f("yyyy"))}
     return t(spark, sf, "orders").select("o_orderkey", *[D.parse_date(c).alias(n) for n, c in forms.items()])
 
 
@@ -348,12 +408,12 @@ def parse_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "orders").select("o_orderkey", D.parse_timestamp(text).cast("timestamp_ntz").alias("at"), D.parse_timestamp(F.lit("10:30")).cast("timestamp_ntz").alias("bad"))
 
 
-@query("""WITH x AS (SELECT o_orderkey, ['Month-to-month', 'same period as before', 'by agreement', '', 'monthly; same duration'][CAST(o_orderkey % 5 + 1 AS INT)] AS t FROM orders)
-SELECT o_orderkey, CASE WHEN t = '' THEN 'unknown' WHEN t ILIKE '%month-to-month%' THEN 'monthly' WHEN t ILIKE '%same period%' OR t ILIKE '%same duration%' THEN 'same_period' ELSE 'personalized' END AS extracted,
+@query("""WITH x AS (SELECT o_orderkey, ['Month-to-month', 'same period as before', 'by agreement', '', 'monthly; same duration', '  '][CAST(o_orderkey % 6 + 1 AS INT)] AS t FROM orders)
+SELECT o_orderkey, CASE WHEN t = '' THEN 'unknown' WHEN t ILIKE '%month-to-month%' THEN 'monthly' WHEN t ILIKE '%same period%' OR t ILIKE '%same duration%' THEN 'same_period_initial_commitment' ELSE 'personalized' END AS extracted,
  CASE WHEN t = '' THEN 'unknown' WHEN t ILIKE '%same duration%' THEN 'same_duration' WHEN t ILIKE '%month%' THEN 'monthly' ELSE 'personalized' END AS reported FROM x""")
 def renewal_classify(spark: SparkSession, sf: str) -> DataFrame:
-    texts = F.array(*[F.lit(x) for x in ("Month-to-month", "same period as before", "by agreement", "", "monthly; same duration")])
-    text = F.get(texts, (F.col("o_orderkey") % 5).cast("int"))
+    texts = F.array(*[F.lit(x) for x in ("Month-to-month", "same period as before", "by agreement", "", "monthly; same duration", "  ")])
+    text = F.get(texts, (F.col("o_orderkey") % 6).cast("int"))
     return t(spark, sf, "orders").select("o_orderkey", S.classify_renewal(text).alias("extracted"), S.renewal_category(text).alias("reported"))
 
 
@@ -447,7 +507,7 @@ def haversine_walk(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "customer").select("c_custkey", metres.alias("metres"), N.walking_minutes(metres).alias("minutes"))
 
 
-@query()
+@query("""SELECT n_nationkey, n_name AS neighborhood, lower(n_name) AS district, CAST(n_regionkey AS VARCHAR) AS city, CAST(n_nationkey AS VARCHAR) AS postal_code FROM nation""")
 def geocode_fold(spark: SparkSession, sf: str) -> DataFrame:
     """Ordered fold over address components, by nation; the second sublocality falls through to the district."""
     c = lambda kinds, name: F.struct(F.array(*[F.lit(k) for k in kinds]).alias("types"), name.alias("long_name"))
@@ -459,27 +519,111 @@ def geocode_fold(spark: SparkSession, sf: str) -> DataFrame:
 # --- profiling and quality -------------------------------------------------------------------
 
 
-@query("""SELECT event_type, 'k' AS path, count(*) AS n, count(*) AS records, 100.0::DOUBLE AS coverage_pct, 0.0::DOUBLE AS null_pct,
- CASE WHEN count(DISTINCT json_extract_string(props, '$.k')) = 1 THEN 'constant' ELSE '' END AS flag FROM events GROUP BY 1""")
+@query("""WITH x AS (SELECT event_type, json_extract_string(props, '$.k') AS v FROM events)
+SELECT event_type, 'k' AS path, count(*) AS n, count(*) AS records, 100.0::DOUBLE AS coverage_pct, 0.0::DOUBLE AS null_pct, 'int' AS kinds,
+ array_to_string(list_sort(list(DISTINCT v))[1:3], '|') AS samples, CASE WHEN count(DISTINCT v) = 1 THEN 'constant' ELSE '' END AS flag FROM x GROUP BY 1""")
 def key_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.coverage(t(spark, sf, "events"), "props", ["event_type"]).select("event_type", "path", "n", "records", F.col("coverage_pct").cast("double").alias("coverage_pct"), F.col("null_pct").cast("double").alias("null_pct"), "flag")
+    out = profile.coverage(t(spark, sf, "events"), "props", ["event_type"])
+    return out.select("event_type", "path", "n", "records", *[F.col(c).cast("double").alias(c) for c in ("coverage_pct", "null_pct")], *[F.array_join(c, "|").alias(c) for c in ("kinds", "samples")], "flag")
 
 
-@query("""WITH x AS (SELECT event_type, count(*) AS n, count(*) FILTER (event_id % 4 = 0 OR event_type = 'click') AS m FROM events GROUP BY 1), p AS (SELECT event_type, round(m * 100.0 / n, 1) AS pct FROM x)
-SELECT 'b.c' AS path, max(CASE WHEN event_type = 'click' THEN pct END)::DOUBLE AS click, max(CASE WHEN event_type = 'view' THEN pct END)::DOUBLE AS view FROM p""")
+def _payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with nested payloads: all have 'a', null at times; clicks and some others have 'b' with 'c' inside, and an internal key."""
+    more = F.when((F.col("event_id") % 4 == 0) | (F.col("event_type") == "click"), F.concat(F.lit('{"a": 1, "Is": {"d": 1}, "b": {"c": '), F.col("event_id").cast("string"), F.lit("}}"))).otherwise('{"a": null}')
+    return t(spark, sf, "events").select("event_type", more.alias("raw"))
+
+
+PAYLOADS = "WITH x AS (SELECT event_type, event_id, event_id % 4 = 0 OR event_type = 'click' AS has FROM events), g AS (SELECT event_type, count(*) AS records, count(*) FILTER (has) AS m FROM x GROUP BY 1)"
+
+
+@query(PAYLOADS + """, p AS (SELECT event_type, round(m * 100.0 / records, 1) AS pct FROM g), w AS (SELECT coalesce(max(pct) FILTER (event_type = 'click'), 0)::DOUBLE AS click, coalesce(max(pct) FILTER (event_type = 'view'), 0)::DOUBLE AS view, coalesce(max(pct) FILTER (event_type = 'purchase'), 0)::DOUBLE AS purchase FROM p)
+SELECT path, w.* FROM w, (VALUES ('b'), ('b.c')) v(path) WHERE greatest(click, view, purchase) - least(click, view, purchase) > 20""")
 def coverage_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    """Paths whose coverage differs between two event types by more than 20 points."""
-    more = F.when((F.col("event_id") % 4 == 0) | (F.col("event_type") == "click"), F.concat(F.lit('{"a": 1, "b": {"c": '), F.col("event_id").cast("string"), F.lit("}}"))).otherwise('{"a": null}')
-    rows = t(spark, sf, "events").select("event_type", more.alias("raw"))
-    out = profile.coverage_pivot(rows, "raw", "event_type", ["click", "view"])
-    return out.where("path like '%.c'").select("path", F.col("click").cast("double").alias("click"), F.col("view").cast("double").alias("view"))
+    """Paths whose coverage differs between two event types by more than 20 points, but for internal keys."""
+    groups = ["click", "view", "purchase"]
+    out = profile.coverage_pivot(_payloads(spark, sf), "raw", "event_type", groups, drop=["Is"])
+    return out.select("path", *[F.col(g).cast("double").alias(g) for g in groups])
+
+
+@query(PAYLOADS + """, r AS (SELECT event_type, records, 'a' AS path, records AS n, records - m AS nulls, 'NoneType|int' AS kinds, 1 AS d FROM g
+ UNION ALL SELECT event_type, records, 'b', m, 0, 'dict', 1 FROM g WHERE m > 0 UNION ALL SELECT event_type, records, 'b.c', m, 0, 'int', 2 FROM g WHERE m > 0)
+SELECT event_type, path, n, CASE WHEN path = 'a' AND n = nulls THEN 'NoneType' WHEN path = 'a' AND nulls = 0 THEN 'int' ELSE kinds END AS kinds,
+ CASE WHEN n * 100.0 / records < 5 THEN 'very sparse' WHEN nulls * 100.0 / records > 90 THEN 'mostly null' WHEN d = 1 THEN 'constant' WHEN n = records AND nulls = 0 THEN 'complete' ELSE '' END AS flag FROM r""")
+def profile_by_type(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.profile_by_type(_payloads(spark, sf), "raw", "event_type", ["Is"]).select("event_type", "path", "n", F.array_join("kinds", "|").alias("kinds"), "flag")
 
 
-@query("SELECT l_orderkey, l_linenumber, 'open day without times' AS problem FROM lineitem WHERE l_returnflag = 'N' AND (l_discount = 0 OR l_tax = 0)")
+@query(f"WITH h AS ({HOURS}) SELECT h.o_orderkey AS location_source_id, day_name, o_orderstatus AS location_name FROM h JOIN orders o ON o.o_orderkey = h.o_orderkey WHERE NOT is_closed AND (open_minutes IS NULL OR close_minutes IS NULL)")
 def hours_quality(spark: SparkSession, sf: str) -> DataFrame:
-    rows = t(spark, sf, "lineitem").where("l_returnflag = 'N'")
-    opens, closes = F.nullif(F.col("l_discount"), F.lit(0.0)), F.nullif(F.col("l_tax"), F.lit(0.0))
-    return rows.where(opens.isNull() | closes.isNull()).select("l_orderkey", "l_linenumber", F.lit("open day without times").alias("problem"))
+    """Open days without times, with their location."""
+    hours = _hours(spark, sf).withColumnRenamed("o_orderkey", "location_source_id")
+    locations = t(spark, sf, "orders").select(F.col("o_orderkey").alias("source_id"), F.col("o_orderstatus").alias("name"))
+    return reports.open_hours_without_times(hours, locations).select("location_source_id", "day_name", "location_name")
+
+
+@query("""SELECT CASE WHEN event_id % 10 > 1 THEN event_id END AS source_id, CASE event_id % 10 WHEN 0 THEN 'malformed JSON' WHEN 1 THEN 'missing Id' ELSE 'missing BusinessId' END AS error FROM events WHERE event_id % 10 <= 1 OR event_id % 7 = 0""")
+def bronze_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that bronze keeps and silver reports: not JSON, without id, without a needed key."""
+    e, text = F.col("event_id"), F.col("event_id").cast("string")
+    business = F.when(e % 7 != 0, F.lit('"BusinessId": 1, ')).otherwise("")
+    raw = F.when(e % 10 == 0, F.concat(F.lit("{"), text)).when(e % 10 == 1, F.concat(F.lit("{"), business, F.lit('"x": '), text, F.lit("}")))
+    raw = F.coalesce(raw, F.concat(F.lit("{"), business, F.lit('"Id": '), text, F.lit("}")))
+    bronze = entities.bronze_rows(t(spark, sf, "events").select(raw.alias("raw_json")), "r", F.lit("2025-01-01").cast("timestamp"), {})
+    return entities.rejects(bronze, ["Id", "BusinessId"]).select("source_id", "error")
+
+
+@query("""SELECT c_nationkey AS location_source_id, n_name AS location_name, c_custkey, CAST(c_custkey * 37 % 1500 AS INT) AS distance_meters FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def nearby_places(spark: SparkSession, sf: str) -> DataFrame:
+    pois = t(spark, sf, "customer").select(F.col("c_nationkey").alias("location_source_id"), "c_custkey", (F.col("c_custkey") * 37 % 1500).cast("int").alias("distance_meters"))
+    locations = t(spark, sf, "nation").select(F.col("n_nationkey").alias("source_id"), F.col("n_name").alias("name"))
+    return enrichment.nearby(locations, pois, ["c_custkey", "distance_meters"])
+
+
+@query("""SELECT n_nationkey AS location_source_id, (SELECT CAST(sum(CASE WHEN c_mktsegment = 'BUILDING' AND c_custkey * 37 % 1500 <= 500 THEN 1 ELSE 0 END) AS BIGINT) FROM customer WHERE c_nationkey = n_nationkey) AS restaurants,
+ (SELECT CAST(sum(CASE WHEN c_mktsegment = 'MACHINERY' AND c_custkey * 37 % 1500 <= 500 THEN 1 ELSE 0 END) AS BIGINT) FROM customer WHERE c_nationkey = n_nationkey) AS cafes,
+ (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_suppkey * 41 % 900 <= 500) AS stops, n_name AS city, 'Mark ' || n_name AS landmark, CAST(NULL AS VARCHAR) AS station FROM nation""")
+def neighbourhood_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Address, landmark and what is near each nation, from replies as the service gives them; none has a station."""
+    kind = F.when(F.col("c_mktsegment") == "BUILDING", "restaurant").when(F.col("c_mktsegment") == "MACHINERY", "cafe").otherwise("bar")
+    pois = t(spark, sf, "customer").select(F.col("c_nationkey").alias("location_source_id"), kind.alias("category"), (F.col("c_custkey") * 37 % 1500).alias("distance_meters"))
+    stops = t(spark, sf, "supplier").select(F.col("s_nationkey").alias("location_source_id"), (F.col("s_suppkey") * 41 % 900).alias("distance_meters"))
+    name = F.col("n_name")
+    city = F.concat(F.lit('{"status": "OK", "results": [{"address_components": [{"types": ["locality"], "long_name": "'), name, F.lit('"}]}]}'))
+    mark = F.concat(F.lit('{"status": "OK", "results": [{"place_id": "p", "name": "Mark '), name, F.lit('", "geometry": {"location": {"lat": 1.0, "lng": 2.0}}}]}'))
+    none = F.lit('{"status": "ZERO_RESULTS", "results": []}')
+    asked = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("category"), r.alias("reply")) for k, c, r in (("geocode", "geocode", city), ("nearest", "landmark", mark), ("nearest", "main_station", none))])
+    keys = t(spark, sf, "nation").select(F.col("n_nationkey").alias("location_source_id"), F.lit(0.5).alias("latitude"), F.lit(0.5).alias("longitude"), "n_name")
+    replies = keys.select("location_source_id", "latitude", "longitude", F.inline(asked))
+    out = enrichment.neighbourhoods(keys, replies, pois, stops)
+    return out.select("location_source_id", F.col("total_restaurants_500m").alias("restaurants"), F.col("total_cafes_500m").alias("cafes"), F.col("total_transit_500m").alias("stops"), F.col("city_name").alias("city"), F.col("nearest_landmark_name").alias("landmark"), F.col("nearest_main_station_name").alias("station"))
+
+
+@query("""WITH f AS (SELECT o_orderkey AS id, o_custkey AS coworker_id, CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '0001-01-01' WHEN o_orderkey % 2 = 0 THEN date_trunc('second', o_orderdate) ELSE o_orderdate END AS made FROM orders)
+SELECT coworker_id, id FROM (SELECT *, row_number() OVER (PARTITION BY coworker_id ORDER BY made DESC, id) AS rn FROM f) WHERE rn = 1""")
+def latest_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest file of each customer; times are written in two ways, some not at all."""
+    at = F.col("o_orderdate").cast("timestamp")
+    text = F.when(F.col("o_orderkey") % 5 == 0, "soon").when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("/Date("), F.unix_millis(at).cast("string"), F.lit(")/"))).otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssXXX"))
+    return files.latest_files(t(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("coworker_id"), text.alias("created_on"))).select("coworker_id", "id")
+
+
+@query("SELECT c_custkey, array_to_string(list_filter([CASE WHEN c_custkey % 2 = 0 THEN 'internet' END, CASE WHEN c_custkey % 3 = 0 THEN 'heating' END, CASE WHEN c_nationkey > 12 THEN 'cctv' END], lambda x: x IS NOT NULL), ',') AS amenities FROM customer")
+def amenity_names(spark: SparkSession, sf: str) -> DataFrame:
+    flags = {"internet": N.flag(F.col("c_custkey") % 2 == 0), "heating": N.flag(F.col("c_custkey") % 3 == 0), "cctv": N.flag(F.col("c_nationkey") > 12)}
+    return t(spark, sf, "customer").select("c_custkey", F.array_join(S.names_of(flags), ",").alias("amenities"))
+
+
+@query("SELECT count(*) AS locations, count(*) * 17 AS calls FROM customer WHERE c_custkey % 3 <> 0")
+def api_call_estimate(spark: SparkSession, sf: str) -> DataFrame:
+    rows = t(spark, sf, "customer").select(F.when(F.col("c_custkey") % 3 != 0, 1.0).alias("latitude"), F.lit(2.0).alias("longitude"))
+    return enrichment.api_calls(rows)
+
+
+@query("SELECT o_orderdate AS at, o_orderpriority AS entity, CAST(o_custkey AS VARCHAR) AS error FROM orders WHERE o_orderstatus = 'F' AND o_orderdate > TIMESTAMP '1997-06-15'")
+def recent_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed runs since a day."""
+    rows = t(spark, sf, "orders").select(F.col("o_orderdate").alias("at"), F.col("o_orderpriority").alias("entity"), F.when(F.col("o_orderstatus") == "F", "failed").otherwise("success").alias("status"), F.col("o_custkey").cast("string").alias("error"))
+    return reports.recent_errors(rows, F.lit(AS_OF).cast("timestamp_ntz"))
 
 
 @query("""SELECT event_id, concat_ws(',', CASE WHEN event_id % 10 = 0 THEN 'json' END, CASE WHEN NOT value <= 95 THEN 'range' END) AS broken FROM events WHERE event_id % 10 = 0 OR NOT value <= 95""")
@@ -515,7 +659,7 @@ def small_strings(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "pages").select("page_id", S.safe_filename(F.col("url")).alias("name"), S.masked(F.col("url")).alias("masked"), S.hhmm(F.col("page_id") % 1440).alias("clock"))
 
 
-@query()
+@query("SELECT r_regionkey, CASE WHEN r_regionkey % 2 = 0 THEN r_name END AS name, CASE WHEN r_regionkey % 2 <> 0 THEN r_name END AS raw_response FROM region")
 def fence_json(spark: SparkSession, sf: str) -> DataFrame:
     """Replies in a code fence, and one that is no JSON."""
     reply = F.when(F.col("r_regionkey") % 2 == 0, F.concat(F.lit('```json\n{"name": "'), "r_name", F.lit('"}\n```'))).otherwise(F.col("r_name"))
@@ -523,9 +667,29 @@ def fence_json(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "region").select("r_regionkey", J.field(v, "name").alias("name"), J.field(v, "raw_response").alias("raw_response"))
 
 
-@query()
+@query("""SELECT r_regionkey, 'y' AS "75+", r_name AS "0-24", CASE WHEN r_regionkey % 2 = 0 THEN 'z' END AS other FROM region""")
 def map_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Two notice tables merged; the first wins where both have a cell."""
     a = F.create_map(F.lit("1-11 months"), F.create_map(F.lit("0-24"), F.col("r_name")))
-    b = F.create_map(F.lit("1-11 months"), F.create_map(F.lit("0-24"), F.lit("x"), F.lit("75+"), F.lit("y")), F.lit("24+ months"), F.create_map(F.lit("0-24"), F.lit("z")))
-    return t(spark, sf, "region").select("r_regionkey", F.to_json(J.merged_tables(a, b)).alias("merged"))
+    b = F.create_map(F.lit("1-11 months"), F.create_map(F.lit("0-24"), F.lit("x"), F.lit("75+"), F.lit("y")), F.when(F.col("r_regionkey") % 2 == 0, "24+ months").otherwise("12-23 months"), F.create_map(F.lit("0-24"), F.lit("z")))
+    cell = lambda row, column: F.try_element_at(F.try_element_at("m", F.lit(row)), F.lit(column)).alias(column)
+    merged = t(spark, sf, "region").select("r_regionkey", J.merged_tables(a, b).alias("m"))
+    return merged.select("r_regionkey", cell("1-11 months", "0-24"), cell("1-11 months", "75+"), cell("24+ months", "0-24").alias("other"))
+
+
+@query("""SELECT page_id, page_id || '_' || 'n' AS stem_key, CASE WHEN page_id % 3 = 0 THEN 'new' ELSE 'old' END AS contract_type, CASE WHEN page_id % 3 <> 0 AND page_id % 2 = 0 THEN 4 END AS section_page,
+ CASE WHEN page_id % 3 = 0 THEN '2 months' WHEN page_id % 2 = 0 THEN '5 months' END AS cell, CASE WHEN page_id % 3 = 0 THEN '6 months' WHEN page_id % 2 = 0 THEN '7 months' END AS continued FROM pages""")
+def agreement_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents put together from the replies on their pages: two pages may have the section, the first counts, and the next page goes on."""
+    p = F.col("page_id")
+    old, key = p % 3 != 0, F.concat(p.cast("string"), F.lit("_n_f.pdf"))
+    section = lambda has, months: F.when(has, F.lit(f'{{"has_section_5": true, "renewal_text": "monthly basis", "termination_notice_table": {{"1-11 months": {{"0-24": "{months} months"}}}}}}')).otherwise('{"has_section_5": false}')
+    asked = [
+        (1, "terms", F.lit('```json\n{"start_date": "2025-01-01"}\n```')), (2, "notes", F.lit("no JSON")), (3, "section", section(F.lit(False), 1)), (4, "section", section(p % 2 == 0, 5)),
+        (5, "continuation", F.lit('{"has_table": true, "termination_notice_table": {"1-11 months": {"0-24": "9 months"}, "24+ months": {"75+": "7 months"}}}')), (6, "section", section(p % 2 == 0, 8)),
+    ]
+    rows = F.array(*[F.struct(F.lit(n).alias("page"), F.lit(q).alias("question"), r.alias("reply")) for n, q, r in asked])
+    replies = t(spark, sf, "pages").select(key.alias("path"), F.lit("pdf").alias("kind"), F.when(old, 12).otherwise(3).alias("total_pages"), F.inline(rows), F.lit(None).cast("string").alias("error"))
+    d = extraction.agreements(replies)
+    cell = lambda row, column: F.try_element_at(F.try_element_at("termination_notice_table", F.lit(row)), F.lit(column))
+    return d.select(F.col("coworker_id").cast("bigint").alias("page_id"), F.concat_ws("_", "coworker_id", "coworker_name").alias("stem_key"), "contract_type", F.col("section_5_found_on_page").alias("section_page"), cell("1-11 months", "0-24").alias("cell"), cell("24+ months", "75+").alias("continued"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.functions.dates import complete_months, month_boundaries, notice_end, parse_date, renewal_delta, roll_forward
@@ -56,8 +56,13 @@ def desk_capacity(contracts: DataFrame, products: DataFrame) -> DataFrame:
     return contracts.select("source_id").join(own, "source_id", "left").fillna(0, ["capacity"])
 
 
+def notice_of(table: Column, months: Column, capacity: Column) -> Column:
+    """The cell of a notice table (a map of maps) for a tenure and capacity, 'N/A' if there is none."""
+    return F.coalesce(F.try_element_at(F.try_element_at(table, tenure_bucket(months)), capacity_bucket(capacity)), F.lit("N/A"))
+
+
 def notice_periods(docs: DataFrame, contracts: DataFrame, products: DataFrame, tariff: str, as_of: Column) -> DataFrame:
-    """One row for each agreement document: dates, category, rolled end, notice label and last day to give notice.
+    """One row for each agreement document: the report's 14 columns, then type, category, and last day to give notice.
 
     A missing end is inferred from rolling terms (a month, monthly) or from a number of
     months. Dates that are missing or in the wrong order give a label and no notice. All of
@@ -66,8 +71,7 @@ def notice_periods(docs: DataFrame, contracts: DataFrame, products: DataFrame, t
     kinds = renewal_text(F.col("renewal_system"))
     options, raw_end = F.lower(F.coalesce("page_1.additional_commitment_term_options", F.lit(""))), F.lower(F.coalesce("page_1.end_date", F.lit("")))
     d = docs.withColumns({
-        "start": parse_date(F.col("page_1.start_date")), "given_end": parse_date(F.col("page_1.end_date")), "raw_category": renewal_category(F.coalesce(kinds["category"], kinds["raw_text"])),
-        "renewal_system_display": F.concat_ws(" | ", F.nullif(kinds["category"], F.lit("")), F.when(kinds["raw_text"] != kinds["category"], F.nullif(kinds["raw_text"], F.lit("")))),
+        "start": parse_date(F.col("page_1.start_date")), "given_end": parse_date(F.col("page_1.end_date")), "raw_category": renewal_category(kinds["category"]), "renewal_display": kinds["display"],
     })
     rolling = (F.col("raw_category") == "monthly") | options.contains("rolling month") | (options == "rolling") | raw_end.contains("rolling")
     months = notice_months(options, anchored=False)
@@ -77,24 +81,31 @@ def notice_periods(docs: DataFrame, contracts: DataFrame, products: DataFrame, t
         "end": F.when(no_end & rolling, F.add_months("start", 1)).when(no_end & (months > 0), F.add_months("start", months)).otherwise(F.col("given_end")),
     })
     last = latest(valid_contracts(contracts, tariff), ["coworker_id"], [F.desc("start_date"), F.desc("source_id")])
-    cap = last.join(desk_capacity(last, products), "source_id").select(F.col("coworker_id").cast("string").alias("coworker_id"), "capacity")
+    cap = last.join(desk_capacity(last, products), "source_id").select(F.col("coworker_id").cast("string").alias("coworker_id"), "capacity", "location_name", "floor_plan_desk_ids")
     d = d.join(cap, "coworker_id", "left").withColumn("capacity", F.coalesce("capacity", F.lit(0)))
     d = d.withColumn("dates", F.when(F.col("start").isNull() | F.col("end").isNull(), "N/A (missing dates)").when(F.col("end") <= F.col("start"), "DATA ERROR (end <= start)").otherwise("ok"))
     ok = F.col("dates") == "ok"
     m, days = renewal_delta(F.col("start"), F.col("end"), F.col("category"))
-    row, column = tenure_bucket(complete_months(F.col("start"), as_of)), capacity_bucket(F.col("capacity"))
-    label = F.coalesce(F.try_element_at(F.try_element_at("termination_notice_table", row), column), F.lit("N/A"))
+    label = notice_of(F.col("termination_notice_table"), complete_months(F.col("start"), as_of), F.col("capacity"))
     d = d.withColumns({"m": F.when(ok, m), "days": F.when(ok, days), "notice_label": F.when(ok, label).otherwise(F.col("dates"))})
     d = d.withColumns({"notice": F.when(ok, notice_months(F.col("notice_label"))), "rolled": F.when(ok, roll_forward(F.col("end"), F.col("m"), F.col("days"), as_of))})
     d = d.withColumn("real_end", F.when(F.col("rolled").isNotNull(), notice_end(F.col("rolled"), F.col("m"), F.col("days"), as_of, F.col("notice"))))
+    start, real_end, table = F.col("start"), F.col("real_end"), F.col("termination_notice_table")
     return d.select(
-        "coworker_id", "coworker_name", "file_id", "contract_type", F.col("start").alias("start_date"), F.col("end").alias("end_date"), "category", "renewal_system_display", "capacity",
-        "real_end", "notice_label", F.col("notice").alias("notice_months"), F.add_months("real_end", -F.col("notice")).alias("notice_deadline"), F.to_json("termination_notice_table").alias("notice_table"),
+        F.col("file_id").alias("membership_agreement_id"), "coworker_id", "coworker_name", F.coalesce("location_name", F.lit("")).alias("location_name"),
+        F.coalesce("floor_plan_desk_ids", F.lit("")).alias("contract_floor_plan_desk_ids"), "capacity", F.col("renewal_display").alias("renewal_system"),
+        F.when(F.size(table) > 0, F.to_json(table)).otherwise("").alias("termination_notice_table"), start.alias("start_date"), F.col("end").alias("end_date"), real_end.alias("real_end_date"),
+        F.col("notice_label").alias("notice_period"), F.when(start.isNull() | F.col("end").isNull(), 0).otherwise(complete_months(start, as_of)).alias("tenure_months"),
+        complete_months(start, real_end).alias("total_tenure_months"),
+        "contract_type", "category", F.col("notice").alias("notice_months"), F.add_months("real_end", -F.col("notice")).alias("notice_deadline"),
     )
 
 
-def room_prices(rooms: DataFrame, services: DataFrame) -> DataFrame:
-    """Price tiers of rooms: services of the location that name the room's type or no type.
+ROOMS = (4, 5)
+
+
+def fitting(rooms: DataFrame, services: DataFrame, how: str) -> DataFrame:
+    """Rooms r beside the services s of their location that name the room's type, or no type.
 
     The match on the name is a substring test on the joined rows of a location; a null type
     matches only services for all types.
@@ -102,7 +113,85 @@ def room_prices(rooms: DataFrame, services: DataFrame) -> DataFrame:
     s, r = services.alias("s"), rooms.alias("r")
     names = F.col("s.resource_type_names")
     fits = names.isNull() | names.contains(F.col("r.resource_type_name"))
-    return r.join(s, (F.col("r.location_source_id") == F.col("s.location_source_id")) & fits)
+    return r.join(s, (F.col("r.location_source_id") == F.col("s.location_source_id")) & fits, how)
+
+
+def room_prices(products: DataFrame, services: DataFrame) -> DataFrame:
+    """Price tiers of rooms (item types ROOMS), by location, room and default price first."""
+    out = fitting(products.where(F.col("item_type").isin(*ROOMS)), services, "inner")
+    out = out.select(
+        F.col("r.location_source_id").alias("location_source_id"), F.col("r.name").alias("room_name"), F.col("r.resource_type_name").alias("resource_type_name"), F.col("r.capacity").alias("capacity"),
+        F.col("s.name").alias("price_tier"), F.col("s.price").alias("price"), F.col("s.currency_code").alias("currency_code"), F.col("s.charge_period").alias("charge_period"),
+        F.col("s.only_for_members").alias("only_for_members"), F.col("s.is_default_price").alias("is_default_price"),
+    )
+    return out.orderBy("location_source_id", "room_name", F.desc("is_default_price"))
+
+
+def full_picture(locations: DataFrame, products: DataFrame, resources: DataFrame, services: DataFrame) -> DataFrame:
+    """Location, room, resource and price tier in one row; rooms without resource or tier stay."""
+    own = resources.select(F.col("source_id").alias("resource_id"), F.lit(True).alias("has_resource"))
+    rooms = products.where(F.col("item_type").isin(*ROOMS)).join(own, "resource_id", "left")
+    rooms = rooms.join(locations.select(F.col("source_id").alias("location_source_id"), F.col("name").alias("location")), "location_source_id")
+    return fitting(rooms, services, "left").select(
+        "location", F.col("r.name").alias("product_name"), F.col("r.item_type").alias("item_type"), F.col("r.capacity").alias("capacity"), F.when(F.col("has_resource"), F.col("r.resource_id")).alias("resource_id"),
+        F.col("s.name").alias("pricing_tier"), F.col("s.price").alias("price"), F.col("s.currency_code").alias("currency_code"),
+    )
+
+
+def same_types(resources: DataFrame, services: DataFrame) -> DataFrame:
+    """Services beside the resources whose type is all that the service names."""
+    return services.join(resources, services["resource_type_names"] == resources["resource_type_name"])
+
+
+def contracts_of(contracts: DataFrame, products: DataFrame) -> DataFrame:
+    """Active contracts of each product: (product_id, then the contract), by the ids in its desk list, which aren't trimmed.
+
+    The list is exploded once, so that any number of products is one equi-join; an id that a list repeats counts once.
+    """
+    one = contracts.where("active = 1").withColumn("desk", F.explode(F.array_distinct(F.split("floor_plan_desk_ids", ","))))
+    own = products.select(F.col("source_id").alias("product_id"), F.col("source_id").cast("string").alias("desk"))
+    return one.join(own, "desk").drop("desk")
+
+
+def running(contracts: DataFrame, tariff: str, as_of: Column, coworker: int | None = None) -> DataFrame:
+    """Uncancelled contracts with desks that run or begin later and have half a year or no end to go; of one coworker or all."""
+    start, term, later = F.col("start_date"), F.col("contract_term"), F.add_months(as_of, 6)
+    runs = (start >= as_of) | ((start < as_of) & (F.coalesce(term, as_of) >= as_of))
+    out = contracts.where(runs & F.col("cancellation_date").isNull() & F.lower("next_tariff_name").contains(tariff.lower()) & (F.coalesce(term, later) >= later) & F.col("floor_plan_desk_ids").isNotNull())
+    return out if coworker is None else out.where(F.col("coworker_id") == coworker)
+
+
+def tenures(contracts: DataFrame, tariff: str) -> DataFrame:
+    """First start to last cancellation of each coworker by next tariff, contracts of no length included, longest first."""
+    ends = first_and_last(contracts.where(F.lower("next_tariff_name").contains(tariff.lower()))).where("cancellation_date is not null")
+    months = month_boundaries(F.col("first_start"), F.col("cancellation_date"))
+    return ends.select("coworker_id", "coworker_name", F.col("first_start").alias("first_start_date"), F.col("cancellation_date").alias("last_cancellation_date"), months.alias("tenure_months")).orderBy(F.desc("tenure_months"), "coworker_id")
+
+
+def average_tenures(contracts: DataFrame, tariff: str) -> DataFrame:
+    """Positive tenures beside their truncated average."""
+    return with_average(tenures(contracts, tariff).where("tenure_months > 0"), "tenure_months", "avg_tenure_months")
+
+
+def tiers(services: DataFrame, **flags: int) -> DataFrame:
+    """Price tiers with the given flags, as is_default_price=1."""
+    return services.where(" and ".join(f"`{k}` = {int(v)}" for k, v in flags.items()) or "true")
+
+
+def companies(contracts: DataFrame, prefix: str) -> DataFrame:
+    """Contracts of companies whose name begins with the prefix, in any case."""
+    return contracts.where(F.lower("coworker_company").startswith(prefix.lower()))
+
+
+def open_hours_without_times(hours: DataFrame, locations: DataFrame) -> DataFrame:
+    """Days that are open although a time is missing, with the location's name."""
+    bad = hours.where(~F.col("is_closed") & (F.col("open_minutes").isNull() | F.col("close_minutes").isNull()))
+    return bad.join(locations.select(F.col("source_id").alias("location_source_id"), F.col("name").alias("location_name")), "location_source_id")
+
+
+def recent_errors(runs: DataFrame, since: Column) -> DataFrame:
+    """Failed runs since a time, the latest first."""
+    return runs.where((F.col("status") == "failed") & (F.col("at") > since)).select("at", "entity", "error").orderBy(F.desc("at"))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -114,7 +203,3 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def with_average(df: DataFrame, value: str, name: str) -> DataFrame:
     """df with the truncated whole-table average: a one-row aggregate read as a scalar subquery, not a window over all rows."""
     return df.withColumn(name, df.agg(F.avg(value).cast("bigint")).scalar())
-
-
-def ranked_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    return df.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))

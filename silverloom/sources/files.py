@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverloom.functions.dates import created_on
+from silverloom.operators.tables import latest
+
 AGREEMENT = (
     "coworker_id string, coworker_name string, file_id string, pdf_path string, contract_type string, total_pages int, "
     "page_1 struct<start_date: string, end_date: string, additional_commitment_term_options: string, termination_notice_timeline: string>, "
@@ -32,15 +35,39 @@ def read_agreements(spark: SparkSession, path: str, kind: str | None = None) ->
 
 
 def renewal_text(renewal: Column) -> Column:
-    """(category, raw_text) of a field that is a string or an object with both."""
+    """(category, raw_text, display) of a field that is a string, which is the category, or an object with both."""
     text = F.try_variant_get(renewal, "$", "string")
     is_object = F.schema_of_variant(renewal).startswith("OBJECT")
+    category, raw = (F.try_variant_get(renewal, f"$.{n}", "string") for n in ("category", "raw_text"))
     return F.struct(
-        F.when(is_object, F.try_variant_get(renewal, "$.category", "string")).otherwise(text).alias("category"),
-        F.when(is_object, F.try_variant_get(renewal, "$.raw_text", "string")).otherwise(text).alias("raw_text"),
+        F.when(is_object, category).otherwise(text).alias("category"),
+        F.when(is_object, raw).alias("raw_text"),
+        F.when(is_object & (F.coalesce(raw, F.lit("")) != ""), F.concat(F.coalesce(category, F.lit("")), F.lit(" | "), raw)).when(is_object, category).otherwise(text).alias("display"),
     )
 
 
+def flat_agreements(docs: DataFrame) -> DataFrame:
+    """The 14 columns of the summary, one row a document; what is missing is empty."""
+    renewal = renewal_text(F.col("renewal_system"))
+    cells = {
+        "coworker_id": "coworker_id", "coworker_name": "coworker_name", "file_id": "file_id", "contract_type": "contract_type", "total_pages": "total_pages", "start_date": "page_1.start_date",
+        "end_date": "page_1.end_date", "additional_commitment_term_options": "page_1.additional_commitment_term_options", "termination_notice_timeline": "page_1.termination_notice_timeline",
+        "additional_notes": "page_2.additional_notes", "renewal_system": renewal["category"], "renewal_system_raw_text": renewal["raw_text"], "section_5_found_on_page": "section_5_found_on_page", "pdf_path": "pdf_path",
+    }
+    return docs.select(*[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")).alias(n) for n, c in cells.items()])
+
+
+def scans_with_results(scans: DataFrame, docs: DataFrame) -> DataFrame:
+    """Scanned files beside their extracted documents, matched by the file's stem; files without one are left out."""
+    stem = lambda c: F.regexp_extract(c, r"([^/]*?)(\.[^./]*)?$", 1)
+    return scans.select("path", "kind", stem(F.col("path")).alias("stem")).join(docs.withColumn("stem", stem(F.col("file_name"))), "stem")
+
+
+def latest_files(files: DataFrame, key: str = "coworker_id", created: str = "created_on") -> DataFrame:
+    """The latest file of each coworker; created is '/Date(ms)/' or ISO, unreadable dates come last, ties go by id."""
+    return latest(files.withColumn("created_at", created_on(F.col(created))), [key], [F.desc("created_at"), F.col("id")])
+
+
 def read_scans(spark: SparkSession, path: str) -> DataFrame:
     """PDF and PNG files as (path, kind, content), PDFs first by kind."""
     one = lambda kind, order: spark.read.format("binaryFile").option("pathGlobFilter", f"*.{kind}").load(path).select("path", F.lit(kind).alias("kind"), F.lit(order).alias("kind_order"), "content")

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverloom.functions.strings import extension_of
+from silverloom.sources.rest import paginate
+
 
 def lookup(keys: DataFrame, call: Callable[[dict], object], readers: int = 3, every: int = 10, pause: float = 0.0) -> DataFrame:
     """keys with (reply, error): the JSON of call(row), null reply without error if there is none (404).
@@ -40,6 +43,43 @@ def lookup(keys: DataFrame, call: Callable[[dict], object], readers: int = 3, ev
     return keys.repartition(readers).mapInPandas(run, schema)
 
 
+def paged_lookup(keys: DataFrame, get: Callable[[str, dict], dict], path: str, param: str, key: str, size: int = 25, readers: int = 3) -> DataFrame:
+    """(key, raw_json, error): all records of each key from a paged path, the key given as a parameter of the call.
+
+    A key whose call fails gives one row with the error.
+    """
+    kind = keys.schema[key].dataType
+    schema = T.StructType([T.StructField(key, kind), T.StructField("raw_json", T.StringType()), T.StructField("error", T.StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for k in b[key].tolist():
+                try:
+                    rows = [(k, json.dumps(r, ensure_ascii=False), None) for r in paginate(get, path, {param: k}, size, codes={429}, attempts=6, wait=60)]
+                except Exception as e:  # kept with its key, the other keys go on
+                    rows = [(k, None, f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(rows, columns=[key, "raw_json", "error"])
+
+    return keys.select(key).repartition(readers).mapInPandas(run, schema)
+
+
+def downloads(files: DataFrame, fetch: Callable[[dict], tuple[bytes, str]], readers: int = 3) -> DataFrame:
+    """files with (content, extension, error): fetch(row) -> (bytes, content type), the extension by the type, '.pdf' by default."""
+    schema = T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("content_type", T.StringType()), T.StructField("error", T.StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row in b.to_dict("records"):
+                try:
+                    got = (*fetch(row), None)
+                except Exception as e:  # kept with its file, the others go on
+                    got = (None, None, f"{type(e).__name__}: {e}")
+                yield pd.DataFrame([{**row, **dict(zip(("content", "content_type", "error"), got))}])
+
+    found = files.repartition(readers).mapInPandas(run, schema)
+    return found.withColumn("extension", F.when(F.col("error").isNull(), extension_of(F.col("content_type")))).drop("content_type")
+
+
 def split_errors(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with a reply, rows with an error); rows with neither were not found and are dropped."""
     return found.where("reply is not null").drop("error"), found.where("error is not null").drop("reply")

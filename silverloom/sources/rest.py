@@ -20,27 +20,61 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 RETRIED = {429, 500, 502, 503, 504}
 
 
-def retriable(e: Exception) -> bool:
-    """Overload and gateway errors, lost connections and timeouts are tried again."""
+def retriable(e: Exception, codes: set[int] = RETRIED) -> bool:
+    """Errors of the given codes are tried again, and lost connections and timeouts unless only overload (429) is."""
     if isinstance(e, urllib.error.HTTPError):
-        return e.code in RETRIED
-    return isinstance(e, (ConnectionError, TimeoutError, urllib.error.URLError))
+        return e.code in codes
+    return codes != {429} and isinstance(e, (ConnectionError, TimeoutError, urllib.error.URLError))
 
 
-def with_retry(call: Callable[[], dict], attempts: int = 5, first: float = 4, most: float = 60, wait: float = 15, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """call() with exponential back-off; a 429 first waits for its Retry-After."""
+def with_retry(call: Callable[[], dict], attempts: int = 5, first: float = 4, most: float = 60, wait: float = 15, sleep: Callable[[float], None] = time.sleep, codes: set[int] = RETRIED) -> dict:
+    """call() with exponential back-off; a 429 first waits for its Retry-After.
+
+    With codes={429} nothing else is tried again, and the stated wait is all there is.
+    """
     for k in range(attempts):
         try:
             return call()
         except Exception as e:
-            if not retriable(e) or k == attempts - 1:
+            if not retriable(e, codes) or k == attempts - 1:
                 raise
             if isinstance(e, urllib.error.HTTPError) and e.code == 429:
                 sleep(float((e.headers or {}).get("Retry-After", wait)))
-            sleep(min(most, first * 2**k))
+            if codes != {429}:
+                sleep(min(most, first * 2**k))
     raise AssertionError("not reached")
 
 
+class TokenProvider:
+    """A bearer token: a static one, or one that fetch() -> (token, seconds) gives, kept until a minute before it ends."""
+
+    def __init__(self, static: str | None = None, fetch: Callable[[], tuple[str, float]] | None = None, now: Callable[[], float] = time.time, spare: float = 60) -> None:
+        self.static, self.fetch, self.now, self.spare, self.token, self.ends = static, fetch, now, spare, None, 0.0
+
+    def __call__(self) -> str:
+        if self.static:
+            return self.static
+        if self.token is None or self.now() >= self.ends - self.spare:
+            if self.fetch is None:
+                raise ValueError("neither a token nor a way to fetch one is given")
+            began = self.now()
+            self.token, seconds = self.fetch()
+            self.ends = began + seconds
+        return self.token
+
+
+def password_grant(url: str, username: str, password: str, timeout: float = 30) -> Callable[[], tuple[str, float]]:
+    """fetch() for TokenProvider by the password grant; a reply without a lifetime counts as 20159 seconds."""
+
+    def fetch() -> tuple[str, float]:
+        body = urllib.parse.urlencode({"grant_type": "password", "username": username, "password": password}).encode()
+        with urllib.request.urlopen(urllib.request.Request(url, body), timeout=timeout) as reply:
+            data = json.load(reply)
+        return data["access_token"], float(data.get("expires_in", 20159))
+
+    return fetch
+
+
 def http_client(options: dict) -> Callable[[str, dict], dict]:
     """Client over HTTP with a bearer token from the options."""
 

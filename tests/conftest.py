@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     conf = {
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "4g",
+        "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "4g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="checkpoints-"),
     }
     s = SparkSession.builder.master("local[8]").config(map=conf).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")

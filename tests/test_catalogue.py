@@ -36,14 +36,3 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
-
-
-def test_geocode_fold(spark):
-    row = catalogue.queries()["geocode_fold"](spark, SF).orderBy("n_nationkey").first()
-    assert (row.neighborhood, row.district, row.postal_code) == ("NATION_0", "nation_0", "0")
-
-
-def test_fence_and_merge(spark):
-    fenced = {r.r_regionkey: (r.name, r.raw_response) for r in catalogue.queries()["fence_json"](spark, SF).collect()}
-    assert fenced[0][0] and fenced[0][1] is None and fenced[1][0] is None and fenced[1][1]
-    assert '"75+":"y"' in catalogue.queries()["map_merge"](spark, SF).first().merged

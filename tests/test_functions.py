@@ -11,6 +11,7 @@ from silverloom.functions import dates as D
 from silverloom.functions import json as J
 from silverloom.functions import numbers as N
 from silverloom.functions import strings as S
+from silverloom.operators import profile
 
 
 def one(spark, value, make, kind="string"):
@@ -28,6 +29,7 @@ def test_strings(spark):
     assert one(spark, "12_Ann_f7", S.stem_parts).asDict() == {"coworker_id": "12", "coworker_name": "Ann", "file_id": "f7"}
     assert one(spark, "12_f7", S.stem_parts).asDict() == {"coworker_id": "12", "coworker_name": "", "file_id": "f7"}
     assert one(spark, "unknown", S.renewal_category) == "personalized"
+    assert [one(spark, v, S.classify_renewal) for v in ("The same term", " ", "", None)] == ["same_period_initial_commitment", "personalized", "unknown", "unknown"]
 
 
 def test_numbers(spark):
@@ -42,12 +44,27 @@ def test_json(spark):
     assert [v(lambda x, k=k: J.truthy(x, k)) for k in "acdefgz"] == [True, None, False, True, False, False, None]
     assert v(lambda x: J.has(x, "c")) and not v(lambda x: J.has(x, "z"))
     assert one(spark, "{bad", J.parsed) is None
+    assert spark.range(1).select(J.constant({"a": {"b": "c"}}).alias("m")).first().m == {"a": {"b": "c"}}
+
+
+def test_profile(spark):
+    """Counts, kinds and samples as a plain walk finds them; nested objects count as one value."""
+    raws = ['{"a": 1, "o": {"x": [{"y": 1}], "z": {"w": {"deep": 1}}}}', '{"a": null, "o": {"x": []}, "l": ["s"]}', '{"a": 2.5, "o": {}}', "bad", '{"a": "t"}']
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    got = {r.path: (r.n, r.kinds, r.samples, r.flag) for r in profile.coverage(df, "raw").collect()}
+    want = {
+        "a": (4, ["NoneType", "float", "int", "str"], ["1", "2.5", "t"], ""), "o": (3, ["dict"], ["[dict]"], "constant"), "o.x": (2, ["list"], ["[list]"], "constant"), "o.x[].y": (1, ["int"], ["1"], "constant"),
+        "o.z": (1, ["dict"], ["[dict]"], "constant"), "o.z.w": (1, ["dict"], ["[dict]"], "constant"), "o.z.w.deep": (1, ["int"], ["1"], "constant"), "l": (1, ["list"], ["[list]"], "constant"),
+    }
+    assert got == want
+    assert {r.path for r in profile.coverage(df, "raw", depth=3, drop=["o"]).collect()} == {"a", "l"}
 
 
 def test_parse_date(spark):
     cases = {
         "2025-08-01": dt.date(2025, 8, 1), "1/3/2026": dt.date(2026, 3, 1), "1.1.2025": dt.date(2025, 1, 1), "01/03/26": dt.date(2026, 3, 1), "31/06/2025": dt.date(2025, 6, 30),
         "2028-02-31": dt.date(2028, 2, 29), "01.05.2025, then monthly": dt.date(2025, 5, 1), "TBD": None, "0/5/2025": None, "1/13/2025": None, None: None,
+        "30 days after 12 months of 2025": None, "1 of 3 phases in 2026": None, "1/2/3/2025": None, "45/06/2025": dt.date(2045, 6, 30), "01/03/75": dt.date(1975, 3, 1), "1 / 3 / 2026": dt.date(2026, 3, 1), "2025-8-1 then on": dt.date(2025, 8, 1),
     }
     for text, want in cases.items():
         assert one(spark, text, D.parse_date) == want, text
