@@ -11,222 +11,305 @@ several lines or many words, in which all neighbouring chunks repeat together.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverloom.llm.common import attach, map_texts, materialised, portions
+from silverloom.llm.common import attach, materialised, portions, shuffle_partitions
 
 #: Words of a chunk of lines: a line of so many or more is cut in parts.
 SPACING = 12
 #: A part of a long line begins at the least hash of so many words on either side.
 NEAR, PERIOD = 4, 12
-#: Words with the white space around them.
-WORDS = re.compile(rb"\s*\S+\s*").findall
 #: Words that are enough for a chunk or run of chunks to be removed.
 LONG = 50
 #: Lines with words that a removed run of chunks has at least, unless it has LONG words.
 LINES = 2
-#: 64-bit words of the filter of repeated chunks: 2 MB, whatever the input.
-FILTER = 1 << 18
-MASK = (1 << 64) - 1
-
-
-def line_starts(lines: list[str], words: list[int]) -> list[int]:
-    """Numbers of the lines that chunks of lines begin with."""
-    starts, before = [0], xxhash.xxh3_64_intdigest(lines[0].encode("utf-8", "surrogatepass"))
-    for i in range(1, len(lines)):
-        own = xxhash.xxh3_64_intdigest(lines[i].encode("utf-8", "surrogatepass"))
-        rolled = (before * 0x9E3779B97F4A7C15 + own) & MASK
-        chance = ((rolled ^ (rolled >> 29)) * 0xBF58476D1CE4E5B9 & MASK) >> 40 & 0xFFFF
-        if chance * SPACING < max(words[i - 1], words[i]) << 16:
-            starts.append(i)
-        before = own
-    return starts
-
-
-def cuts(lines: list[bytes]) -> list[list[int]]:
-    """Numbers of the words inside each line that its parts begin with.
+#: 64-bit words of the filter of repeated chunks: 16 bits a chunk, 2 to 16 MB. Its false positives cost time alone.
+FILTER = (1 << 18, 1 << 21)
+#: Digests that a task gathers before it hands them on, and bytes cut up together; bounds of memory.
+GATHER, TOGETHER = 1_000_000, 1 << 20
+MASK = np.uint64((1 << 64) - 1)
+ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Which bytes are white space; words stand between them.
+SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\v\f", np.uint8))
+digest = xxhash.xxh3_64_intdigest
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser."""
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+@dataclass
+class Chunks:
+    """The chunks of several texts, in order: places in raw, text and line numbers, whether a line begins here, words, lines."""
+
+    raw: bytes
+    lo: np.ndarray
+    hi: np.ndarray
+    doc: np.ndarray
+    line: np.ndarray
+    head: np.ndarray
+    size: np.ndarray
+    lines: np.ndarray
+
+    def pieces(self, at: np.ndarray) -> list[bytes]:
+        """The texts of chunks without white space around them."""
+        return [self.raw[a:b].strip() for a, b in zip(self.lo[at].tolist(), self.hi[at].tolist())]
+
+
+def cut_up(texts: list[bytes]) -> Chunks:
+    """Cut texts in chunks of lines and parts of long lines; they hold everything but the line ends between them."""
+    raw = b"\n".join(texts)
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    buf = np.frombuffer(raw, np.uint8)
+    space = SPACE[buf]
+    start = ~space
+    start[1:] &= space[:-1]
+    word, ends = np.flatnonzero(start), np.flatnonzero(buf == 10)
+    line_at = np.concatenate([[0], ends + 1])
+    text_of = np.searchsorted(begins, line_at, "right") - 1
+    h = mixed(np.fromiter(map(crc32, raw.split()), np.uint64, len(word)) * ODD)
+    line_of = np.searchsorted(ends, word)
+    n = np.bincount(line_of, minlength=len(line_at))
+    first = np.cumsum(n) - n
+    place = np.arange(len(word)) - first[line_of]
+    # chunks of lines
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h + place.astype(np.uint64) * ODD))])
+    own = sums[first + n] - sums[first]
+    opens = np.ones(len(line_at), bool)
+    chance = (mixed(own[:-1] * ODD + own[1:]) >> np.uint64(40)) & np.uint64(0xFFFF)
+    opens[1:] = (chance * np.uint64(SPACING) < np.maximum(n[:-1], n[1:]).astype(np.uint64) << np.uint64(16)) | (text_of[1:] != text_of[:-1])
+    heads = np.flatnonzero(opens)
+    cut = parts_of(h, line_of, place, n >= SPACING)
+    # all in order of their places
+    lo = np.concatenate([line_at[heads], word[cut]])
+    order = np.argsort(lo, kind="stable")
+    lo, line = lo[order], np.concatenate([heads, line_of[cut]])[order]
+    words, head = np.concatenate([first[heads], cut])[order], order < len(heads)
+    hi = np.append(lo[1:] - head[1:], len(raw))
+    lines = np.where(head, np.diff(np.append(line, len(line_at))), 0)
+    lines[head] = np.diff(np.append(line[head], len(line_at)))
+    of_first = np.searchsorted(text_of, text_of[line])
+    return Chunks(raw, lo, hi, text_of[line], line - of_first, head, np.diff(np.append(words, len(word))), np.maximum(lines, 1))
+
+
+def parts_of(h: np.ndarray, line_of: np.ndarray, place: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """The words inside long lines that parts begin with.
 
     They are those whose hash, rolled with that of the word before, is less than those of the
     NEAR words on either side; the words of other lines don't count. Where words recur within
     NEAR, so that hashes are equal, parts have PERIOD words, which any such recurrence divides.
     """
-    if not lines:
-        return []
-    gap, values, first = [1 << 32] * NEAR, [], []
-    for line in lines:
-        values += gap
-        first.append(len(values))
-        values.extend(map(crc32, line.split()))
-    own = np.asarray(values + gap, np.uint64)
-    rolled = own.copy()
-    rolled[1:] += own[:-1] * np.uint64(0x9E3779B97F4A7C15)
-    rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    rolled = (rolled ^ (rolled >> np.uint64(32))) >> np.uint64(1)
-    rolled[own == 1 << 32] = MASK
-    n = len(rolled) - NEAR
+    at = np.flatnonzero(long[line_of])
+    if not len(at):
+        return at
+    before = h[at - 1]
+    before[place[at] == 0] = MASK
+    rank = np.cumsum(long)[line_of[at]]
+    to = np.arange(len(at)) + NEAR * rank
+    total = len(at) + NEAR * (int(rank[-1]) + 1)
+    rolled, back = np.full(total, MASK), np.full(total, -1)
+    rolled[to], back[to] = mixed(h[at] + before * ODD) >> np.uint64(1), at
+    n = total - NEAR
     middle = rolled[NEAR:n]
-    least, alone = own[NEAR:n] < 1 << 32, np.ones(len(middle), bool)
-    for k in range(1, NEAR + 1):
-        least &= (middle <= rolled[NEAR - k : n - k]) & (middle <= rolled[NEAR + k : n + k])
-        alone &= middle < rolled[NEAR - k : n - k]
-    at = np.flatnonzero(least)
-    alone, at = alone[at].tolist(), at + NEAR
-    of = np.searchsorted(first, at, "right") - 1
-    at -= np.asarray(first)[of]
-    out: list[list[int]] = [[] for _ in lines]
-    for i, k, a in zip(of.tolist(), at.tolist(), alone):
-        if k and (a or k - (out[i][-1] if out[i] else 0) >= PERIOD):
-            out[i].append(k)
-    return out
-
-
-def parted(line: str, n: int, own: bytes, at: list[int]) -> list[str]:
-    """The parts of a line of n words, own in bytes, that begin at these words; white space stays with the word before."""
-    if line.count(" ") + 1 == n:
-        words = line.split(" ")
-        return [" ".join(words[x:y]) + " " for x, y in zip([0, *at], at)] + [" ".join(words[at[-1] if at else 0 :])]
-    words = WORDS(own)
-    return [b"".join(words[x:y]).decode("utf-8", "surrogatepass") for x, y in zip([0, *at], [*at, len(words)])]
-
-
-def chunks_of(texts: list[str]) -> list[list[tuple[str, int, bool]]]:
-    """For each text: (text, line number, whether a line begins here) of chunks of lines and parts of long lines, in order.
-
-    They hold the whole text but for the line ends between them."""
-    found, long = [], []
-    for text in texts:
-        lines = text.split("\n")
-        words = [len(line.split()) for line in lines]
-        starts = line_starts(lines, words)
-        found.append((lines, words, list(zip(starts, [*starts[1:], len(lines)]))))
-        long += [lines[i].encode("utf-8", "surrogatepass") for i in starts if words[i] >= SPACING]  # each is a chunk of its own
-    parts, every = iter(zip(long, cuts(long))), []
-    for lines, words, ranges in found:
-        out = []
-        for a, b in ranges:
-            if words[a] < SPACING:
-                out.append(("\n".join(lines[a:b]), a, True))
-            else:
-                out += [(t, a, not k) for k, t in enumerate(parted(lines[a], words[a], *next(parts)))]
-        every.append(out)
-    return every
-
-
-def pieces_of(texts: list[str]) -> list[list[str]]:
-    """The texts of the chunks of each text; white space after a part inside a line doesn't count."""
-    out = []
-    for parts in chunks_of(texts):
-        lasts = [*(head for _, _, head in parts[1:]), True]
-        out.append([t if last else t.rstrip() for (t, _, _), last in zip(parts, lasts)])
-    return out
+    two = np.minimum(rolled[:-1], rolled[1:])
+    four = np.minimum(two[:-2], two[2:])  # the least of NEAR hashes from each on
+    left, right = four[: n - NEAR], four[NEAR + 1 : n + 1]
+    least, alone = (middle <= left) & (middle <= right), middle < left
+    found = np.flatnonzero(least)
+    found = found[back[found + NEAR] >= 0]
+    found = found[place[back[found + NEAR]] > 0]
+    alone, cut = alone[found], back[found + NEAR]
+    own, far = line_of[cut], place[cut]
+    ties = np.unique(own[~alone])
+    for a, z in zip(np.searchsorted(own, ties).tolist(), np.searchsorted(own, ties, "right").tolist()):
+        last = 0
+        for k in range(a, z):
+            if alone[k] or far[k] - last >= PERIOD:
+                last, alone[k] = far[k], True
+    return cut[alone]
 
 
 def pieces(text: str) -> list[str]:
-    return pieces_of([text])[0]
-
-
-def whole_lines(parts: list[tuple[str, int, bool]], of: Counter, run: range) -> list[int]:
-    """The chunks of a run that make up whole lines, if LINES of these have words; `of` counts the chunks of each line."""
-    mine = Counter(parts[i][1] for i in run)
-    whole = [i for i in run if mine[parts[i][1]] == of[parts[i][1]]]
-    lines = sum(bool(line.strip()) for i in whole if parts[i][2] for line in parts[i][0].split("\n"))
-    return whole if lines >= LINES else []
+    """The texts of the chunks that have words; their numbers are those that the functions below speak of."""
+    c = cut_up([text.encode("utf-8", "surrogatepass")])
+    return [p.decode("utf-8", "surrogatepass") for p in c.pieces(np.flatnonzero(c.size))]
 
 
-def without(text: str, repeated: set[int], joined: set[int] | None = None, parts: list | None = None) -> tuple[str, int, int]:
+def without(text: str, repeated: set[int], joined: set[int] | None = None) -> tuple[str, int, int]:
     """The text without its removed chunks, its number of lines, and of lines that went or lost a part.
 
     A run of repeated chunks goes if it has LONG words; of a shorter one, LINES or more whole lines
     with words go. `joined`: chunks that repeat together with the one before them, as those of a
-    run must; None is all. `parts`: the text's chunks, if they are known."""
-    parts = parts or chunks_of([text])[0]
-    of = Counter(line for _, line, _ in parts)
-    size = [len(t.split()) for t, _, _ in parts]
+    run must; None is all. Blank chunks go with both their neighbours."""
+    c = cut_up([text.encode("utf-8", "surrogatepass")])
+    worded = np.flatnonzero(c.size).tolist()
+    size, line = c.size.tolist(), c.line.tolist()
+    of = Counter(line[i] for i in worded)
     gone, at = set(), 0
-    while at < len(parts):
+    while at < len(worded):
         to = at
-        while to < len(parts) and to in repeated:
+        while to < len(worded) and to in repeated and (to == at or joined is None or to in joined):
             to += 1
-        breaks = [i for i in range(at + 1, to) if joined is not None and i not in joined]
-        runs = [range(x, y) for x, y in zip([at, *breaks], [*breaks, to])]
-        for run in runs:
-            gone.update(run if sum(size[i] for i in run) >= LONG else whole_lines(parts, of, run))
+        run = worded[at:to]
+        if sum(size[i] for i in run) < LONG:
+            mine = Counter(line[i] for i in run)
+            run = [i for i in run if mine[line[i]] == of[line[i]]]
+            with_words = sum(bool(x.strip()) for i in run if c.head[i] for x in c.raw[c.lo[i] : c.hi[i]].split(b"\n"))
+            run = run if with_words >= LINES else []
+        gone.update(run)
         at = max(to, at + 1)
+    gone.update(i for a, b in zip(worded, worded[1:]) if a in gone and b in gone for i in range(a + 1, b))
     kept, open_ = [], False
-    for i, (t, _, head) in enumerate(parts):
+    for i, head in enumerate(c.head.tolist()):
         open_ = open_ and not head
         if i not in gone:
+            part = c.raw[c.lo[i] : c.hi[i]]
             if open_:
-                kept[-1] += t
+                kept[-1] += part
             else:
-                kept.append(t)
+                kept.append(part)
             open_ = True
-    removed = sum({parts[i][1]: parts[i][0].count("\n") + 1 for i in gone}.values())
-    return "\n".join(kept), text.count("\n") + 1, removed
+    removed = sum({line[i]: int(c.lines[i]) for i in gone}.values())
+    return b"\n".join(kept).decode("utf-8", "surrogatepass"), text.count("\n") + 1, removed
+
+
+def cut_portions(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, Chunks, np.ndarray, np.ndarray]]:
+    """(rows, chunks of their texts, those with words, their digests) of batches without null texts, a bounded number at once."""
+    for b in portions(batches):
+        texts = b.column(column).cast(pa.binary()).to_pylist()
+        at = 0
+        while at < len(texts):
+            to, held = at + 1, len(texts[at])
+            while to < len(texts) and held + len(texts[to]) <= TOGETHER:
+                held += len(texts[to])
+                to += 1
+            c = cut_up(texts[at:to])
+            worded = np.flatnonzero(c.size)
+            yield b.slice(at, to - at), c, worded, np.fromiter(map(digest, c.pieces(worded)), np.uint64, len(worded))
+            at = to
+
+
+def repeated_digests(rows: DataFrame, buckets: int) -> DataFrame:
+    """(key) of all chunk digests that occur more than once in rows (text).
+
+    Tasks hand on their distinct digests packed by bucket; those that repeat within a task are
+    marked, so a chunk that very many rows have is one number for each task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held or [np.zeros(0, np.uint64)]), return_counts=True)
+            held.clear()
+            cols: list[list] = [[], [], []]
+            for again in (False, True):
+                own = keys[n > 1] if again else keys
+                bucket = (own >> np.uint64(20)) % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                own, bucket = own[order], bucket[order]
+                for a, z in zip(ends := np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(own) else [], [*ends[1:], len(own)]):
+                    for col, v in zip(cols, (int(bucket[a]), own[a:z].tobytes(), again)):
+                        col.append(v)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.binary(), pa.bool_()))], names=["bucket", "keys", "again"])
+
+        for _, _, _, keys in cut_portions(batches, "text"):
+            held.append(keys)
+            if sum(map(len, held)) > GATHER:
+                yield out()
+        yield out()
+
+    def again(table: pa.Table) -> pa.Table:
+        once, twice = [], [np.zeros(0, np.uint64)]
+        for k, marked in zip(table.column("keys").to_pylist(), table.column("again").to_pylist()):
+            (twice if marked else once).append(np.frombuffer(k, np.uint64))
+        keys, n = np.unique(np.concatenate(once), return_counts=True)
+        found = np.union1d(keys[n > 1], np.concatenate(twice))
+        return pa.table({"key": pa.array(found.view(np.int64))})
+
+    packed = rows.select("text").mapInArrow(run, "bucket long, keys binary, again boolean")
+    return packed.groupBy("bucket").applyInArrow(again, "key long")
+
+
+def filter_of(again: DataFrame) -> np.ndarray:
+    """The filter: a bit for each key, set by Spark in 64-bit words; the driver gets FILTER[1] words at most."""
+    low, high = FILTER
+    while low < high and low * 4 < again.count():
+        low *= 2
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned("key", 32), F.lit(64)).cast("int"))
+    words = again.groupBy(F.pmod("key", F.lit(low)).alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    table = np.zeros(low, np.int64)
+    table[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return table.view(np.uint64)
 
 
-def repeated_chunks(df: DataFrame) -> DataFrame:
-    """(id, digest, no, joined) of all chunk occurrences of df (id, digest, text) but the first of each repeated chunk, confirmed byte by byte.
+def occurrences(rows: DataFrame, bits: Callable[[], np.ndarray], with_text: bool) -> DataFrame:
+    """The chunks of rows (id, digest, text) that pass the filter: (key, chunk, id, digest, no) each.
 
-    The first has the smallest id, then digest of the text, then number. Several texts of one id
-    have chunks of their own. Digests alone are shuffled to find what
-    repeats; texts are shuffled only for chunks that pass a filter of these digests. joined: the
-    chunk and the one before it stand together elsewhere too, and not here first.
+    Without texts, in arrays by row: (id, digest, no, key, before), before the key of the chunk before if that passes too.
     """
 
-    def digests(texts: list[str]) -> tuple[list[int], list]:
-        rows, keys = [], []
-        for i, own in enumerate(pieces_of(texts)):
-            own = [xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")) for p in own] if texts[i] else []
-            rows += [i] * len(own)
-            keys += own
-        return rows, [np.asarray(keys, np.uint64).view(np.int64)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bits()
+        size = np.uint64(len(table))
+        for b, c, worded, keys in cut_portions(batches, "text"):
+            hit = (table[(keys % size).astype(np.int64)] >> ((keys >> np.uint64(32)) % np.uint64(64))) & np.uint64(1) > 0
+            doc, keep = c.doc[worded], np.flatnonzero(hit)
+            begin = np.searchsorted(doc, np.arange(b.num_rows))
+            no, signed = (np.arange(len(doc)) - begin[doc]).astype(np.int32), keys.view(np.int64)
+            if with_text:
+                own = [b.column(n).take(pa.array(doc[keep])) for n in ("id", "digest")]
+                yield pa.RecordBatch.from_arrays([pa.array(signed[keep]), pa.array(c.pieces(worded[keep]), pa.binary()), *own, pa.array(no[keep])], names=["key", "chunk", "id", "digest", "no"])
+            elif len(keep):
+                n = np.bincount(doc[keep], minlength=b.num_rows)
+                some = np.flatnonzero(n)
+                ends = pa.array(np.concatenate([[0], np.cumsum(n[some])]).astype(np.int32))
+                before = pa.array(signed[keep - 1], mask=(no[keep] == 0) | ~hit[keep - 1])
+                lists = [pa.ListArray.from_arrays(ends, v) for v in (pa.array(no[keep]), pa.array(signed[keep]), before)]
+                yield pa.RecordBatch.from_arrays([*[b.column(x).take(pa.array(some)) for x in ("id", "digest")], *lists], names=["id", "digest", "no", "key", "before"])
+
+    own = "id long, digest long"
+    return rows.select("id", "digest", "text").mapInArrow(run, f"key long, chunk binary, {own}, no int" if with_text else f"{own}, no array<int>, key array<long>, before array<long>")
+
 
+def repeated_chunks(df: DataFrame) -> DataFrame:
+    """(id, digest, no, joined) of the occurrences of df's chunks (id, digest, text) but the first of each repeated chunk, confirmed byte by byte.
+
+    The first has the smallest id, then digest of the text, then number. Several texts of one id
+    have chunks of their own. Digests find what repeats; of chunks that pass a filter texts are
+    compared, the least and greatest of a digest. Should different chunks share one, they all stay. joined: the chunk and the one before it stand
+    together elsewhere too, and not here first.
+    """
     own = ["id", "digest"]
     rows = df.where("id is not null and text is not null")
-    total = rows.count()
-    every = map_texts(rows, own, "text", {"key": "long"}, digests)
-    again = materialised(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned("key", 32), F.lit(64)).cast("int"))
-    words = again.groupBy(F.pmod("key", F.lit(FILTER)).alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    table = np.zeros(FILTER, np.int64)
-    table[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    shared = df.sparkSession.sparkContext.broadcast(table)
-
-    def candidates(texts: list[str]) -> tuple[list[int], list]:
-        bits, rows, out = shared.value.view(np.uint64), [], []
-        for i, own in enumerate(pieces_of(texts)):
-            before = None
-            for no, p in enumerate(own if texts[i] else []):
-                raw = p.encode("utf-8", "surrogatepass")
-                key = xxhash.xxh3_64_intdigest(raw)
-                if int(bits[key % FILTER]) >> (key >> 32) % 64 & 1:
-                    rows.append(i)
-                    out.append((no, key - (key >> 63 << 64), p, None if before is None else xxhash.xxh3_128_digest(before + b"\n" + raw)))
-                    before = raw
-                else:
-                    before = None
-        return rows, list(zip(*out)) or [[]] * 4
-
-    possible = map_texts(rows, own, "text", {"no": "int", "key": "long", "chunk": "string", "joint": "binary"}, candidates)
-    found = materialised(attach(possible, again, ["key"], "n", total, "inner").select(*own, "no", "chunk", "joint"))
+    again = materialised(repeated_digests(rows, 4 * shuffle_partitions(df)))
+    shared = df.sparkSession.sparkContext.broadcast(filter_of(again))
+    bits = lambda: shared.value
     here = F.struct(*own, "no")
-    groups, joints = (found.where(f"{k} is not null").groupBy(k).agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1") for k in ("chunk", "joint"))
-    later = attach(found, groups, ["chunk"], "n", total, "inner").where(here != F.col("first"))
-    place = F.concat_ws(" ", *[F.col(c).cast("string") for c in (*own, "no")]).cast("binary")  # like no digest, deals rows evenly
-    later = later.select(*own, "no", F.coalesce("joint", place).alias("joint"))
-    later = attach(later, joints, ["joint"], "n", total)
-    return later.select(*own, "no", F.coalesce(here != F.col("first"), F.lit(False)).alias("joined"))
+    groups = occurrences(rows, bits, True).groupBy("key").agg(F.min(here).alias("first"), F.count("*").alias("n"), F.min("chunk").alias("least"), F.max("chunk").alias("most"))
+    groups = materialised(groups.where("n > 1 and least = most").select("key", "first", "n"))
+    found = materialised(occurrences(rows, bits, False))
+    total = found.agg(F.coalesce(F.sum(F.size("no")), F.lit(0))).first()[0]
+    found = found.select(*own, F.inline(F.arrays_zip("no", "key", "before")))
+    later = attach(found, groups, ["key"], "n", total, "inner").where(here != F.col("first")).drop("first")
+    joints = found.where("before is not null").groupBy("before", "key").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1")
+    place = F.xxhash64(*own, "no")  # a chunk without one before it is like no joint of its key; this deals such rows evenly
+    later = later.withColumns({"alone": F.col("before").isNull(), "before": F.coalesce("before", place)})
+    later = attach(later, joints, ["before", "key"], "n", total)
+    return later.select(*own, "no", (~F.col("alone") & F.coalesce(here != F.col("first"), F.lit(False))).alias("joined"))
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,24 +321,24 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     different texts they are documents of their own. df's columns may have any names, and come
     back unchanged in the struct.
     """
-    key = [F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text")]
-    later = repeated_chunks(df.select(*key)).groupBy("id", "digest")
+    key = [F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("digest")]
+    later = repeated_chunks(df.select(*key, F.col(text_col).alias("text"))).groupBy("id", "digest")
     later = later.agg(F.collect_set("no").alias("gone"), F.collect_set(F.when(F.col("joined"), F.col("no"))).alias("joined"))
     whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *key)
-    whole = whole.join(later, ["id", "digest"], "left").select("row", "text", "gone", "joined")
+    whole = whole.join(later, ["id", "digest"], "left").select("row", "gone", "joined")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in portions(batches):
-            out, rows = [], list(zip(*(c.to_pylist() for c in b.columns[1:])))
-            parts = iter(chunks_of([text for text, gone, _ in rows if text is not None and gone]))
-            for text, gone, joined in rows:
-                if text is None:
-                    out.append((None, 0, 0))
-                else:
-                    out.append(without(text, set(gone), set(joined), next(parts)) if gone else (text, text.count("\n") + 1, 0))
-            cols = list(zip(*out)) or [[]] * 3
-            made = [pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *made], names=["row", "text", "n_lines", "removed_lines"])
+            row, gone, joined = b.columns
+            texts = row.field(text_col).cast(pa.string())
+            lines = pc.add(pc.fill_null(pc.count_substring(texts, "\n"), -1), 1).cast(pa.int64())
+            removed = np.zeros(b.num_rows, np.int64)
+            hit = pc.and_(gone.is_valid(), texts.is_valid())
+            if (at := np.flatnonzero(hit.to_numpy(zero_copy_only=False))).size:
+                made = [without(texts[i].as_py(), set(gone[i].as_py()), set(joined[i].as_py())) for i in at.tolist()]
+                texts = pc.replace_with_mask(texts, hit, pa.array([m[0] for m in made], pa.string()))
+                removed[at] = [m[2] for m in made]
+            yield pa.RecordBatch.from_arrays([row, texts, lines, pa.array(removed)], names=["row", "text", "n_lines", "removed_lines"])
 
     schema = T.StructType([whole.schema["row"]]).add("text", "string").add("n_lines", "long").add("removed_lines", "long")
     return whole.mapInArrow(run, schema)
