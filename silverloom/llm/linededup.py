@@ -149,41 +149,52 @@ def pieces(text: str) -> list[str]:
 
 
 def without(text: str, repeated: set[int], joined: set[int] | None = None) -> tuple[str, int, int]:
-    """The text without its removed chunks, its number of lines, and of lines that went or lost a part.
+    """The text without its removed chunks, its number of lines, and of lines that went or lost a part; see shortened()."""
+    [(left, removed)] = shortened([text.encode("utf-8", "surrogatepass")], [repeated], [joined])
+    return left.decode("utf-8", "surrogatepass"), text.count("\n") + 1, removed
+
+
+def shortened(texts: list[bytes], repeated: list[set[int]], joined: list[set[int] | None]) -> Iterator[tuple[bytes, int]]:
+    """Each text without its removed chunks, and how many lines went or lost a part.
 
     A run of repeated chunks goes if it has LONG words; of a shorter one, LINES or more whole lines
     with words go. `joined`: chunks that repeat together with the one before them, as those of a
     run must; None is all. Blank chunks go with both their neighbours."""
-    c = cut_up([text.encode("utf-8", "surrogatepass")])
-    worded = np.flatnonzero(c.size).tolist()
-    size, line = c.size.tolist(), c.line.tolist()
-    of = Counter(line[i] for i in worded)
-    gone, at = set(), 0
-    while at < len(worded):
-        to = at
-        while to < len(worded) and to in repeated and (to == at or joined is None or to in joined):
-            to += 1
-        run = worded[at:to]
-        if sum(size[i] for i in run) < LONG:
-            mine = Counter(line[i] for i in run)
-            run = [i for i in run if mine[line[i]] == of[line[i]]]
-            with_words = sum(bool(x.strip()) for i in run if c.head[i] for x in c.raw[c.lo[i] : c.hi[i]].split(b"\n"))
-            run = run if with_words >= LINES else []
-        gone.update(run)
-        at = max(to, at + 1)
-    gone.update(i for a, b in zip(worded, worded[1:]) if a in gone and b in gone for i in range(a + 1, b))
-    kept, open_ = [], False
-    for i, head in enumerate(c.head.tolist()):
-        open_ = open_ and not head
-        if i not in gone:
-            part = c.raw[c.lo[i] : c.hi[i]]
-            if open_:
-                kept[-1] += part
-            else:
-                kept.append(part)
-            open_ = True
-    removed = sum({line[i]: int(c.lines[i]) for i in gone}.values())
-    return b"\n".join(kept).decode("utf-8", "surrogatepass"), text.count("\n") + 1, removed
+    c = cut_up(texts)
+    ends = np.searchsorted(c.doc, np.arange(len(texts) + 1)).tolist()
+    lo, hi, size, line, head, lines = (x.tolist() for x in (c.lo, c.hi, c.size, c.line, c.head, c.lines))
+    for first, end, again, side in zip(ends, ends[1:], repeated, joined):
+        worded = [i for i in range(first, end) if size[i]]
+        of, gone, at = None, set(), 0
+        for no in sorted(again):
+            if no < at:
+                continue
+            at = no + 1
+            while at < len(worded) and at in again and (side is None or at in side):
+                at += 1
+            run = worded[no:at]
+            if sum(size[i] for i in run) < LONG:
+                of = of or Counter(line[i] for i in worded)
+                mine = Counter(line[i] for i in run)
+                run = [i for i in run if mine[line[i]] == of[line[i]]]
+                with_words = sum(bool(x.strip()) for i in run if head[i] for x in c.raw[lo[i] : hi[i]].split(b"\n"))
+                run = run if with_words >= LINES else []
+            gone.update(run)
+        if not gone:
+            yield c.raw[lo[first] : hi[end - 1]], 0
+            continue
+        gone.update(i for a, b in zip(worded, worded[1:]) if b - a > 1 and a in gone and b in gone for i in range(a + 1, b))
+        kept, open_ = [], False
+        for i in range(first, end):
+            open_ = open_ and not head[i]
+            if i not in gone:
+                part = c.raw[lo[i] : hi[i]]
+                if open_:
+                    kept[-1] += part
+                else:
+                    kept.append(part)
+                open_ = True
+        yield b"\n".join(kept), sum({line[i]: lines[i] for i in gone}.values())
 
 
 def cut_portions(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, Chunks, np.ndarray, np.ndarray]]:
@@ -335,9 +346,10 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             removed = np.zeros(b.num_rows, np.int64)
             hit = pc.and_(gone.is_valid(), texts.is_valid())
             if (at := np.flatnonzero(hit.to_numpy(zero_copy_only=False))).size:
-                made = [without(texts[i].as_py(), set(gone[i].as_py()), set(joined[i].as_py())) for i in at.tolist()]
-                texts = pc.replace_with_mask(texts, hit, pa.array([m[0] for m in made], pa.string()))
-                removed[at] = [m[2] for m in made]
+                own = [x.filter(hit).to_pylist() for x in (texts.cast(pa.binary()), gone, joined)]
+                made = list(shortened(own[0], *([set(x) for x in y] for y in own[1:])))
+                texts = pc.replace_with_mask(texts, hit, pa.array([m[0] for m in made], pa.binary()).cast(pa.string()))
+                removed[at] = [m[1] for m in made]
             yield pa.RecordBatch.from_arrays([row, texts, lines, pa.array(removed)], names=["row", "text", "n_lines", "removed_lines"])
 
     schema = T.StructType([whole.schema["row"]]).add("text", "string").add("n_lines", "long").add("removed_lines", "long")
