@@ -188,6 +188,30 @@ def test_lm(spark, docs, odd, empty):
     assert {r.base_score for r in lm.score(odd, F.lit(False)).collect()} == {0.0}
 
 
+def test_lm_score_by_token(spark, docs):
+    """Scores are the sums of the model's log probabilities, each by a softmax over all classes."""
+    table = spark.read.parquet(f"{SF}/documents.parquet").where(queries.fold("doc_id", 7) != 2)
+    words = lm.word_counts(table)
+    c = {bytes(r.word): r.n for r in words.collect()}
+    top = lm.frequent(words)[: lm.CLASSES]
+    classes, bottom = {w: i for i, (w, _) in enumerate(top)}, sum(c.values()) + len(c) + 1
+    held = sum(n + 1 for _, n in top)
+    share = np.asarray([n + 1 for _, n in top] + [max(1, sum(c.values()) - sum(n for _, n in top))], float)
+    m, k = lm.train(table, classes, share / share.sum()), len(top)
+    got = by_id(queries.op3_lm_score(spark, SF))
+    for d in [d for d in sorted(docs) if len(docs[d] or "") < 3000][:40]:
+        one = two = k + 1
+        total = 0.0
+        for w in lm.tokens(docs[d] or ""):
+            x = (m.place[0] * m.context[one] + m.place[1] * m.context[two]) @ m.target.T + m.bias
+            cls = classes.get(w, k)
+            total += (x[cls] - np.log(np.exp(x).sum())) / np.log(10)
+            if cls == k:
+                total += math.log10((c.get(w, 0) + 1) / bottom) - math.log10((bottom - held) / bottom)
+            one, two = cls, one
+        assert got[d].score == pytest.approx(total, rel=1e-6)
+
+
 def test_lm_is_normalised():
     m = lm.Model.start(np.asarray([5.0, 3.0, 2.0]) / 10)
     totals = m.log_totals()
