@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.functions.dates import created_on
-from silverloom.operators.tables import latest
+from silverloom.operators.tables import latest, missing
 
 AGREEMENT = (
     "coworker_id string, coworker_name string, file_id string, pdf_path string, contract_type string, total_pages int, "
@@ -100,3 +100,19 @@ def page_report(counts: DataFrame) -> DataFrame:
 def write_report(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
     """One CSV file with a header: for reports, whose size is bounded by design."""
     (df.select(*fields) if fields else df).coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
+def write_reports(tables: dict[str, DataFrame], path: str) -> None:
+    """The sheets of a workbook: one CSV report a table, in folders by name."""
+    for name, df in tables.items():
+        write_report(df, f"{path}/{name}")
+
+
+def encoded(scans: DataFrame) -> DataFrame:
+    """Scans with their content in base64, as services that read pages want it."""
+    return scans.withColumn("content_base64", F.base64("content"))
+
+
+def write_coworkers_without_files(coworkers: DataFrame, files: DataFrame, path: str) -> None:
+    """The coworkers that have no file, as JSON."""
+    missing(coworkers, files, ["coworker_id"]).coalesce(1).write.mode("overwrite").json(path)

@@ -301,6 +301,17 @@ def test_page_counts(spark, tmp_path):
     assert [(r.path[-5:], r.pages, r.review) for r in got.collect()] == [("c.png", 1, "manual review"), ("a.pdf", 4, "ok"), ("b.pdf", None, "manual review")]
 
 
+def test_report_files(spark, tmp_path):
+    two = spark.createDataFrame([(1, "a"), (2, None)], "coworker_id int, name string")
+    files.write_reports({"one": two, "two": two.limit(0)}, str(tmp_path / "book"))
+    assert [tuple(r) for r in spark.read.csv(str(tmp_path / "book/one"), header=True).collect()] == [("1", "a"), ("2", None)]
+    files.write_coworkers_without_files(two, spark.createDataFrame([(1,), (1,)], "coworker_id int"), str(tmp_path / "none"))
+    assert [r.coworker_id for r in spark.read.json(str(tmp_path / "none")).collect()] == [2]
+    assert files.encoded(spark.createDataFrame([(b"hi",)], "content binary")).first().content_base64 == "aGk="
+    made = spark.createDataFrame([(1, "/Date(1000)/", 5), (1, "2025-01-01", 6), (2, "soon", 7), (2, "soon", 8)], "coworker_id int, created_on string, id int")
+    assert sorted((r.coworker_id, r.id) for r in files.latest_files(made).collect()) == [(1, 6), (2, 7)]
+
+
 def test_streaming_ingest(spark, tmp_path):
     landing, table, bad = str(tmp_path / "landing"), medallion.Table(spark, str(tmp_path / "table")), medallion.Table(spark, str(tmp_path / "bad"))
 
