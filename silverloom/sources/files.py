@@ -65,7 +65,7 @@ def scans_with_results(scans: DataFrame, docs: DataFrame) -> DataFrame:
 
 def latest_files(files: DataFrame, key: str = "coworker_id", created: str = "created_on") -> DataFrame:
     """The latest file of each coworker; created is '/Date(ms)/' or ISO, unreadable dates come last, ties go by id."""
-    return latest(files.withColumn("created_at", created_on(F.col(created))), [key], [F.desc("created_at"), F.col("id")])
+    return latest(files, [key], [F.desc(created_on(F.col(created))), F.col("id")])
 
 
 def read_scans(spark: SparkSession, path: str) -> DataFrame:
