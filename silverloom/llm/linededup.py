@@ -14,12 +14,10 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +40,8 @@ MASK = np.uint64((1 << 64) - 1)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Which bytes are white space; words stand between them.
 SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\v\f", np.uint8))
-digest = xxhash.xxh3_64_intdigest
+#: Bytes that are hashed at once; bounds the memory of long texts.
+BLOCK = 1 << 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -51,9 +50,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1) in 64 bits."""
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(0, n - 1), base, np.uint64)]))[:n]
+
+
+BACK = pow(int(ODD), -1, 1 << 64)
+POWER, INVERSE = powers(int(ODD), BLOCK), powers(BACK, BLOCK)
+#: What a byte adds to a polynomial hash.
+BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
+
+
+def prefixes(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The polynomial hash of buf up to each of the ascending places `at`."""
+    out, carry, scale = np.zeros(len(at), np.uint64), 0, 1
+    for begin in range(0, len(buf), BLOCK):
+        block = buf[begin : begin + BLOCK]
+        sums = np.cumsum(BYTE[block] * POWER[: len(block)])
+        a, z = np.searchsorted(at, [begin, begin + len(block)], "right")
+        out[a:z] = sums[at[a:z] - begin - 1] * np.uint64(scale) + np.uint64(carry)
+        carry = (carry + int(sums[-1]) * scale) & int(MASK)
+        scale = scale * pow(int(ODD), BLOCK, 1 << 64) & int(MASK)
+    return out
+
+
 @dataclass
 class Chunks:
-    """The chunks of several texts, in order: places in raw, text and line numbers, whether a line begins here, words, lines."""
+    """The chunks of several texts, in order: places in raw, text and line numbers, whether a line begins here, words, lines.
+
+    begin and stop are places without white space around the chunk, key the digest of what stands between.
+    """
 
     raw: bytes
     lo: np.ndarray
@@ -63,10 +89,13 @@ class Chunks:
     head: np.ndarray
     size: np.ndarray
     lines: np.ndarray
+    begin: np.ndarray
+    stop: np.ndarray
+    key: np.ndarray
 
     def pieces(self, at: np.ndarray) -> list[bytes]:
         """The texts of chunks without white space around them."""
-        return [self.raw[a:b].strip() for a, b in zip(self.lo[at].tolist(), self.hi[at].tolist())]
+        return [self.raw[a:b] for a, b in zip(self.begin[at].tolist(), self.stop[at].tolist())]
 
 
 def cut_up(texts: list[bytes]) -> Chunks:
@@ -74,13 +103,15 @@ def cut_up(texts: list[bytes]) -> Chunks:
     raw = b"\n".join(texts)
     begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
     buf = np.frombuffer(raw, np.uint8)
-    space = SPACE[buf]
-    start = ~space
-    start[1:] &= space[:-1]
-    word, ends = np.flatnonzero(start), np.flatnonzero(buf == 10)
+    space = np.concatenate([[True], SPACE[buf], [True]])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    word, word_end, ends = edges[::2], edges[1::2], np.flatnonzero(buf == 10)
     line_at = np.concatenate([[0], ends + 1])
     text_of = np.searchsorted(begins, line_at, "right") - 1
-    h = mixed(np.fromiter(map(crc32, raw.split()), np.uint64, len(word)) * ODD)
+    sums = prefixes(buf, edges)
+    to_word, past_word = sums[::2], sums[1::2]
+    shift = INVERSE[word % BLOCK] * powers(pow(BACK, BLOCK, 1 << 64), len(buf) // BLOCK + 1)[word // BLOCK]
+    h = mixed((past_word - to_word) * shift)
     line_of = np.searchsorted(ends, word)
     n = np.bincount(line_of, minlength=len(line_at))
     first = np.cumsum(n) - n
@@ -102,7 +133,11 @@ def cut_up(texts: list[bytes]) -> Chunks:
     lines = np.where(head, np.diff(np.append(line, len(line_at))), 0)
     lines[head] = np.diff(np.append(line[head], len(line_at)))
     of_first = np.searchsorted(text_of, text_of[line])
-    return Chunks(raw, lo, hi, text_of[line], line - of_first, head, np.diff(np.append(words, len(word))), np.maximum(lines, 1))
+    size = np.diff(np.append(words, len(word)))
+    begin, stop, key, some = lo.copy(), lo.copy(), np.zeros(len(lo), np.uint64), np.flatnonzero(size)
+    a, z = words[some], words[some] + size[some] - 1
+    begin[some], stop[some], key[some] = word[a], word_end[z], mixed((past_word[z] - to_word[a]) * shift[a])
+    return Chunks(raw, lo, hi, text_of[line], line - of_first, head, size, np.maximum(lines, 1), begin, stop, key)
 
 
 def parts_of(h: np.ndarray, line_of: np.ndarray, place: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -209,7 +244,7 @@ def cut_portions(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tup
                 to += 1
             c = cut_up(texts[at:to])
             worded = np.flatnonzero(c.size)
-            yield b.slice(at, to - at), c, worded, np.fromiter(map(digest, c.pieces(worded)), np.uint64, len(worded))
+            yield b.slice(at, to - at), c, worded, c.key[worded]
             at = to
 
 

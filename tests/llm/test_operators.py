@@ -469,6 +469,17 @@ def test_line_dedup_inside_lines(spark):
     assert got[2].text.startswith(f"{two}\n{two[::-1]} ") and got[2].text.endswith(f"\tand {two.upper()}") and got[3].text.endswith("\u00a0é")
 
 
+def test_chunk_digests_beyond_a_block():
+    """A passage has the same chunks and digests at any place of a text longer than what is hashed at once."""
+    passage = " ".join(f"p{i * i % 1009}" for i in range(300)).encode()
+    wanted = linededup.cut_up([passage])
+    for at in (0, linededup.BLOCK - 700, 3 * linededup.BLOCK - 5):
+        c = linededup.cut_up([b"x" * at + b"\n" + passage, b"", b" \n", passage])
+        found = c.key[np.isin(c.key, wanted.key)]
+        assert len(found) >= 2 * len(wanted.key) - 4 and set(found) >= set(wanted.key[1:-1])
+        assert all(c.raw[a:b].strip() == p for a, b, p in zip(c.lo, c.hi, c.pieces(np.arange(len(c.lo)))))
+
+
 @pytest.mark.parametrize("unit", ["and", "ha ho", "one two three"])
 def test_parts_of_recurring_words(unit):
     """However a run of few words begins, its parts are alike."""
