@@ -36,6 +36,8 @@ LINES = 2
 FILTER = (1 << 18, 1 << 21)
 #: Digests that a task gathers before it hands them on, and bytes cut up together; bounds of memory.
 GATHER, TOGETHER = 1_000_000, 1 << 20
+#: Repeated chunks that a bucket has about, if they are many; bytes of a text that weigh like a digest.
+BUCKET, BYTES = 50_000, 32
 MASK = np.uint64((1 << 64) - 1)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Which bytes are white space; words stand between them.
@@ -302,33 +304,118 @@ def filter_of(again: DataFrame) -> np.ndarray:
     return table.view(np.uint64)
 
 
-def occurrences(rows: DataFrame, bits: Callable[[], np.ndarray], with_text: bool) -> DataFrame:
-    """The chunks of rows (id, digest, text) that pass the filter: (key, chunk, id, digest, no) each.
+def passing(rows: DataFrame, bits: Callable[[], np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
+    """Of batches of rows (id, digest, text), in portions: (rows, chunks, numbers of those that pass the filter, their
+    keys, the key of the chunk before if that passes too, masked otherwise, their rows, their numbers among chunks with words)."""
 
-    Without texts, in arrays by row: (id, digest, no, key, before), before the key of the chunk before if that passes too.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         table = bits()
         size = np.uint64(len(table))
         for b, c, worded, keys in cut_portions(batches, "text"):
             hit = (table[(keys % size).astype(np.int64)] >> ((keys >> np.uint64(32)) % np.uint64(64))) & np.uint64(1) > 0
             doc, keep = c.doc[worded], np.flatnonzero(hit)
             begin = np.searchsorted(doc, np.arange(b.num_rows))
-            no, signed = (np.arange(len(doc)) - begin[doc]).astype(np.int32), keys.view(np.int64)
-            if with_text:
-                own = [b.column(n).take(pa.array(doc[keep])) for n in ("id", "digest")]
-                yield pa.RecordBatch.from_arrays([pa.array(signed[keep]), pa.array(c.pieces(worded[keep]), pa.binary()), *own, pa.array(no[keep])], names=["key", "chunk", "id", "digest", "no"])
-            elif len(keep):
-                n = np.bincount(doc[keep], minlength=b.num_rows)
-                some = np.flatnonzero(n)
-                ends = pa.array(np.concatenate([[0], np.cumsum(n[some])]).astype(np.int32))
-                before = pa.array(signed[keep - 1], mask=(no[keep] == 0) | ~hit[keep - 1])
-                lists = [pa.ListArray.from_arrays(ends, v) for v in (pa.array(no[keep]), pa.array(signed[keep]), before)]
-                yield pa.RecordBatch.from_arrays([*[b.column(x).take(pa.array(some)) for x in ("id", "digest")], *lists], names=["id", "digest", "no", "key", "before"])
-
-    own = "id long, digest long"
-    return rows.select("id", "digest", "text").mapInArrow(run, f"key long, chunk binary, {own}, no int" if with_text else f"{own}, no array<int>, key array<long>, before array<long>")
+            no, signed = (np.arange(len(doc)) - begin[doc]).astype(np.int32)[keep], keys.view(np.int64)
+            if len(keep):
+                before = np.ma.masked_array(signed[keep - 1], (no == 0) | ~hit[keep - 1])
+                yield b, c, worded[keep], signed[keep], before, doc[keep], no
+
+    return run
+
+
+def occurrences(rows: DataFrame, bits: Callable[[], np.ndarray]) -> DataFrame:
+    """The chunks of rows (id, digest, text) that pass the filter, in arrays by row: (id, digest, no, key, before)."""
+    each = passing(rows, bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, _, _, key, before, doc, no in each(batches):
+            n = np.bincount(doc, minlength=b.num_rows)
+            some = np.flatnonzero(n)
+            ends = pa.array(np.concatenate([[0], np.cumsum(n[some])]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, v) for v in (pa.array(no), pa.array(key), pa.array(before.data, mask=before.mask))]
+            yield pa.RecordBatch.from_arrays([*[b.column(x).take(pa.array(some)) for x in ("id", "digest")], *lists], names=["id", "digest", "no", "key", "before"])
+
+    return rows.select("id", "digest", "text").mapInArrow(run, "id long, digest long, no array<int>, key array<long>, before array<long>")
+
+
+#: What is counted of chunks and of neighbours: their keys, the place of the first, how many there are.
+COUNTED = {"key": pa.int64(), "before": pa.int64(), "id": pa.int64(), "digest": pa.int64(), "no": pa.int32(), "n": pa.int64()}
+
+
+def firsts(what: list[np.ndarray], rows: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Rows of COUNTED alike in `what` as one, that of the first place with the sum of n; and where in rows that stood."""
+    order = np.lexsort((rows["no"], rows["digest"], rows["id"], *what))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for x in what:
+        new[1:] |= x[order][1:] != x[order][:-1]
+    at = np.flatnonzero(new)
+    out = {k: v[order][at] for k, v in rows.items()}
+    out["n"] = np.add.reduceat(rows["n"][order], at) if len(at) else out["n"]
+    return out, order[at]
+
+
+def counted(rows: DataFrame, bits: Callable[[], np.ndarray], buckets: int) -> DataFrame:
+    """(key, before, id, digest, no, n) of chunks that repeat and have one text, before null, and of neighbours that repeat.
+
+    id, digest and no are the first place. Tasks count what they read and hand it on packed by
+    bucket, chunks by their key and with their text, neighbours by both keys, so that no bucket
+    gets more than a few rows a task of a chunk that very many rows have.
+    """
+    each = passing(rows, bits)
+    names = list(COUNTED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[dict[str, np.ndarray], np.ndarray, list[bytes]]] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            all_rows = {k: np.concatenate([h[0][k] for h in held]) for k in names}
+            alone = np.concatenate([h[1] for h in held])
+            texts = pa.array([t for h in held for t in h[2]], pa.binary())
+            held.clear()
+            code = texts.dictionary_encode().indices.to_numpy()
+            chunks, at = firsts([code], all_rows)
+            pairs, _ = firsts([all_rows["before"][~alone], all_rows["key"][~alone]], {k: v[~alone] for k, v in all_rows.items()})
+            for what, chunk in ((chunks, texts.take(pa.array(at))), (pairs, None)):
+                by = what["key"] if chunk is not None else mixed((what["key"].view(np.uint64) + what["before"].view(np.uint64) * ODD)).view(np.int64)
+                bucket = (by.view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.append(np.flatnonzero(np.diff(bucket[order], prepend=np.uint64(buckets))), len(order)).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(ends, pa.array(what[k][order], t)) for k, t in COUNTED.items()]
+                own = pa.ListArray.from_arrays(ends, chunk.take(pa.array(order))) if chunk is not None else pa.nulls(len(ends) - 1, pa.list_(pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][ends[:-1]].astype(np.int64)), *lists, own], names=["bucket", *names, "chunk"])
+
+        size = 0
+        for b, c, at, key, before, doc, no in each(batches):
+            own = [b.column(x).to_numpy(zero_copy_only=False)[doc] for x in ("id", "digest")]
+            held.append((dict(zip(names, (key, before.data, *own, no, np.ones(len(no), np.int64)))), np.ma.getmaskarray(before), c.pieces(at)))
+            size += len(at) + int((c.stop[at] - c.begin[at]).sum()) // BYTES
+            if size > GATHER:
+                yield from out()
+                size = 0
+        if held:
+            yield from out()
+
+    def again(table: pa.Table) -> pa.Table:
+        def flat(part: pa.Table) -> dict[str, np.ndarray]:
+            return {k: part.column(k).combine_chunks().flatten().to_numpy() for k in names}
+
+        with_text = table.filter(table.column("chunk").is_valid())
+        texts = with_text.column("chunk").combine_chunks().flatten()
+        chunks, _ = firsts([texts.dictionary_encode().indices.to_numpy()], flat(with_text))
+        _, which, same = np.unique(chunks["key"], return_inverse=True, return_counts=True)
+        one = (same[which] == 1) & (chunks["n"] > 1)
+        pairs = flat(table.filter(table.column("chunk").is_null()))
+        pairs, _ = firsts([pairs["before"], pairs["key"]], pairs)
+        more = pairs["n"] > 1
+        cols = {k: np.concatenate([chunks[k][one], pairs[k][more]]) for k in names}
+        none = np.arange(len(cols["n"])) < one.sum()
+        return pa.table({k: pa.array(v, COUNTED[k], mask=none if k == "before" else None) for k, v in cols.items()})
+
+    kinds = {pa.int64(): "long", pa.int32(): "int"}
+    packed = ", ".join(f"{k} array<{kinds[t]}>" for k, t in COUNTED.items())
+    packed = rows.select("id", "digest", "text").mapInArrow(run, f"bucket long, {packed}, chunk array<binary>")
+    return packed.groupBy("bucket").applyInArrow(again, ", ".join(f"{k} {kinds[t]}" for k, t in COUNTED.items()))
 
 
 def repeated_chunks(df: DataFrame) -> DataFrame:
@@ -336,22 +423,22 @@ def repeated_chunks(df: DataFrame) -> DataFrame:
 
     The first has the smallest id, then digest of the text, then number. Several texts of one id
     have chunks of their own. Digests find what repeats; of chunks that pass a filter texts are
-    compared, the least and greatest of a digest. Should different chunks share one, they all stay. joined: the chunk and the one before it stand
+    compared. Should different chunks share a digest, they all stay. joined: the chunk and the one before it stand
     together elsewhere too, and not here first.
     """
     own = ["id", "digest"]
     rows = df.where("id is not null and text is not null")
-    again = materialised(repeated_digests(rows, 4 * shuffle_partitions(df)))
+    parts = 4 * shuffle_partitions(df)
+    again = materialised(repeated_digests(rows, parts))
     shared = df.sparkSession.sparkContext.broadcast(filter_of(again))
     bits = lambda: shared.value
     here = F.struct(*own, "no")
-    groups = occurrences(rows, bits, True).groupBy("key").agg(F.min(here).alias("first"), F.count("*").alias("n"), F.min("chunk").alias("least"), F.max("chunk").alias("most"))
-    groups = materialised(groups.where("n > 1 and least = most").select("key", "first", "n"))
-    found = materialised(occurrences(rows, bits, False))
+    counts = materialised(counted(rows, bits, max(parts, again.count() // BUCKET))).select("key", "before", "n", here.alias("first"))
+    groups, joints = counts.where("before is null").drop("before"), counts.where("before is not null")
+    found = materialised(occurrences(rows, bits))
     total = found.agg(F.coalesce(F.sum(F.size("no")), F.lit(0))).first()[0]
     found = found.select(*own, F.inline(F.arrays_zip("no", "key", "before")))
     later = attach(found, groups, ["key"], "n", total, "inner").where(here != F.col("first")).drop("first")
-    joints = found.where("before is not null").groupBy("before", "key").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1")
     place = F.xxhash64(*own, "no")  # a chunk without one before it is like no joint of its key; this deals such rows evenly
     later = later.withColumns({"alone": F.col("before").isNull(), "before": F.coalesce("before", place)})
     later = attach(later, joints, ["before", "key"], "n", total)
