@@ -11,7 +11,6 @@ several lines or many words, in which all neighbouring chunks repeat together.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -187,11 +186,12 @@ def pieces(text: str) -> list[str]:
 
 def without(text: str, repeated: set[int], joined: set[int] | None = None) -> tuple[str, int, int]:
     """The text without its removed chunks, its number of lines, and of lines that went or lost a part; see shortened()."""
-    [(left, removed)] = shortened([text.encode("utf-8", "surrogatepass")], [repeated], [joined])
+    numbers = [None if x is None else np.asarray(sorted(x), np.int64) for x in (repeated, joined)]
+    [(left, removed)] = shortened([text.encode("utf-8", "surrogatepass")], *([x] for x in numbers))
     return left.decode("utf-8", "surrogatepass"), text.count("\n") + 1, removed
 
 
-def shortened(texts: list[bytes], repeated: list[set[int]], joined: list[set[int] | None]) -> Iterator[tuple[bytes, int]]:
+def shortened(texts: list[bytes], repeated: list[np.ndarray], joined: list[np.ndarray | None]) -> Iterator[tuple[bytes, int]]:
     """Each text without its removed chunks, and how many lines went or lost a part.
 
     A run of repeated chunks goes if it has LONG words; of a shorter one, LINES or more whole lines
@@ -199,39 +199,37 @@ def shortened(texts: list[bytes], repeated: list[set[int]], joined: list[set[int
     run must; None is all. Blank chunks go with both their neighbours."""
     c = cut_up(texts)
     ends = np.searchsorted(c.doc, np.arange(len(texts) + 1)).tolist()
-    lo, hi, size, line, head, lines = (x.tolist() for x in (c.lo, c.hi, c.size, c.line, c.head, c.lines))
     for first, end, again, side in zip(ends, ends[1:], repeated, joined):
-        worded = [i for i in range(first, end) if size[i]]
-        of, gone, at = None, set(), 0
-        for no in sorted(again):
-            if no < at:
-                continue
-            at = no + 1
-            while at < len(worded) and at in again and (side is None or at in side):
-                at += 1
-            run = worded[no:at]
-            if sum(size[i] for i in run) < LONG:
-                of = of or Counter(line[i] for i in worded)
-                mine = Counter(line[i] for i in run)
-                run = [i for i in run if mine[line[i]] == of[line[i]]]
-                with_words = sum(bool(x.strip()) for i in run if head[i] for x in c.raw[lo[i] : hi[i]].split(b"\n"))
-                run = run if with_words >= LINES else []
-            gone.update(run)
-        if not gone:
-            yield c.raw[lo[first] : hi[end - 1]], 0
+        size, line, head, lines, lo, hi = (x[first:end] for x in (c.size, c.line, c.head, c.lines, c.lo, c.hi))
+        worded, gone = np.flatnonzero(size), np.zeros(end - first, bool)
+        rep, near = np.zeros(len(worded), bool), np.full(len(worded), side is None)
+        rep[again] = True
+        if side is not None:
+            near[side] = True
+        starts = rep.copy()
+        starts[1:] &= ~(rep[:-1] & near[1:])
+        chunk, run = worded[rep], np.cumsum(starts[rep]) - 1
+        words, whole = np.bincount(run, size[chunk]), np.bincount(run, lines[chunk] * head[chunk])
+        gone[chunk[words[run] >= LONG]] = True
+        parts = None
+        for r in np.flatnonzero((words < LONG) & (whole >= LINES)).tolist():
+            own = chunk[slice(*np.searchsorted(run, [r, r + 1]))]
+            parts = np.bincount(line[worded]) if parts is None else parts
+            own = own[np.bincount(line[own], minlength=len(parts))[line[own]] == parts[line[own]]]
+            if sum(bool(x.strip()) for i in own[head[own]].tolist() for x in c.raw[lo[i] : hi[i]].split(b"\n")) >= LINES:
+                gone[own] = True
+        if not gone.any():
+            yield c.raw[lo[0] : hi[-1]], 0
             continue
-        gone.update(i for a, b in zip(worded, worded[1:]) if b - a > 1 and a in gone and b in gone for i in range(a + 1, b))
-        kept, open_ = [], False
-        for i in range(first, end):
-            open_ = open_ and not head[i]
-            if i not in gone:
-                part = c.raw[lo[i] : hi[i]]
-                if open_:
-                    kept[-1] += part
-                else:
-                    kept.append(part)
-                open_ = True
-        yield b"\n".join(kept), sum({line[i]: lines[i] for i in gone}.values())
+        for i in np.flatnonzero(gone[worded[:-1]] & gone[worded[1:]] & (np.diff(worded) > 1)).tolist():
+            gone[worded[i] : worded[i + 1]] = True
+        edges = np.flatnonzero(np.diff(~gone, prepend=False, append=False))
+        a, z = edges[::2], edges[1::2]
+        block = np.cumsum(head)
+        open_ = np.zeros(len(a), bool)
+        open_[1:] = block[a[1:]] == block[z[:-1] - 1]  # what stood before in this line stays too
+        kept = [(b"" if o or not k else b"\n") + c.raw[x:y] for k, (o, x, y) in enumerate(zip(open_.tolist(), lo[a].tolist(), hi[z - 1].tolist()))]
+        yield b"".join(kept), int(lines[np.flatnonzero(gone)[np.unique(line[gone], return_index=True)[1]]].sum())
 
 
 def cut_portions(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, Chunks, np.ndarray, np.ndarray]]:
@@ -339,12 +337,12 @@ def occurrences(rows: DataFrame, bits: Callable[[], np.ndarray]) -> DataFrame:
 
 
 #: What is counted of chunks and of neighbours: their keys, the place of the first, how many there are.
-COUNTED = {"key": pa.int64(), "before": pa.int64(), "id": pa.int64(), "digest": pa.int64(), "no": pa.int32(), "n": pa.int64()}
+COUNTED = {"key": pa.int64(), "before": pa.int64(), "id": pa.int64(), "mark": pa.int32(), "no": pa.int32(), "n": pa.int64()}
 
 
 def firsts(what: list[np.ndarray], rows: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Rows of COUNTED alike in `what` as one, that of the first place with the sum of n; and where in rows that stood."""
-    order = np.lexsort((rows["no"], rows["digest"], rows["id"], *what))
+    order = np.lexsort((rows["no"], rows["mark"], rows["id"], *what))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for x in what:
@@ -356,9 +354,9 @@ def firsts(what: list[np.ndarray], rows: dict[str, np.ndarray]) -> tuple[dict[st
 
 
 def counted(rows: DataFrame, bits: Callable[[], np.ndarray], buckets: int) -> DataFrame:
-    """(key, before, id, digest, no, n) of chunks that repeat and have one text, before null, and of neighbours that repeat.
+    """(key, before, id, mark, no, n) of chunks that repeat and have one text, before null, and of neighbours that repeat.
 
-    id, digest and no are the first place. Tasks count what they read and hand it on packed by
+    id, mark and no are the first place; the mark is the upper half of the text's digest. Tasks count what they read and hand it on packed by
     bucket, chunks by their key and with their text, neighbours by both keys, so that no bucket
     gets more than a few rows a task of a chunk that very many rows have.
     """
@@ -381,13 +379,15 @@ def counted(rows: DataFrame, bits: Callable[[], np.ndarray], buckets: int) -> Da
                 bucket = (by.view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 ends = np.append(np.flatnonzero(np.diff(bucket[order], prepend=np.uint64(buckets))), len(order)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(ends, pa.array(what[k][order], t)) for k, t in COUNTED.items()]
+                lists = {k: pa.ListArray.from_arrays(ends, pa.array(what[k][order], t)) for k, t in COUNTED.items()}
+                if chunk is not None:
+                    lists["before"] = pa.nulls(len(ends) - 1, pa.list_(pa.int64()))
                 own = pa.ListArray.from_arrays(ends, chunk.take(pa.array(order))) if chunk is not None else pa.nulls(len(ends) - 1, pa.list_(pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][ends[:-1]].astype(np.int64)), *lists, own], names=["bucket", *names, "chunk"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][ends[:-1]].astype(np.int64)), *lists.values(), own], names=["bucket", *names, "chunk"])
 
         size = 0
         for b, c, at, key, before, doc, no in each(batches):
-            own = [b.column(x).to_numpy(zero_copy_only=False)[doc] for x in ("id", "digest")]
+            own = [b.column("id").to_numpy(zero_copy_only=False)[doc], (b.column("digest").to_numpy(zero_copy_only=False)[doc] >> 32).astype(np.int32)]
             held.append((dict(zip(names, (key, before.data, *own, no, np.ones(len(no), np.int64)))), np.ma.getmaskarray(before), c.pieces(at)))
             size += len(at) + int((c.stop[at] - c.begin[at]).sum()) // BYTES
             if size > GATHER:
@@ -397,18 +397,18 @@ def counted(rows: DataFrame, bits: Callable[[], np.ndarray], buckets: int) -> Da
             yield from out()
 
     def again(table: pa.Table) -> pa.Table:
-        def flat(part: pa.Table) -> dict[str, np.ndarray]:
-            return {k: part.column(k).combine_chunks().flatten().to_numpy() for k in names}
+        def flat(part: pa.Table, of: list[str] = names) -> dict[str, np.ndarray]:
+            return {k: part.column(k).combine_chunks().flatten().to_numpy() for k in of}
 
         with_text = table.filter(table.column("chunk").is_valid())
         texts = with_text.column("chunk").combine_chunks().flatten()
-        chunks, _ = firsts([texts.dictionary_encode().indices.to_numpy()], flat(with_text))
+        chunks, _ = firsts([texts.dictionary_encode().indices.to_numpy()], flat(with_text, [k for k in names if k != "before"]))
         _, which, same = np.unique(chunks["key"], return_inverse=True, return_counts=True)
         one = (same[which] == 1) & (chunks["n"] > 1)
         pairs = flat(table.filter(table.column("chunk").is_null()))
         pairs, _ = firsts([pairs["before"], pairs["key"]], pairs)
         more = pairs["n"] > 1
-        cols = {k: np.concatenate([chunks[k][one], pairs[k][more]]) for k in names}
+        cols = {k: np.concatenate([chunks.get(k, chunks["key"])[one], pairs[k][more]]) for k in names}
         none = np.arange(len(cols["n"])) < one.sum()
         return pa.table({k: pa.array(v, COUNTED[k], mask=none if k == "before" else None) for k, v in cols.items()})
 
@@ -423,7 +423,8 @@ def repeated_chunks(df: DataFrame) -> DataFrame:
 
     The first has the smallest id, then digest of the text, then number. Several texts of one id
     have chunks of their own. Digests find what repeats; of chunks that pass a filter texts are
-    compared. Should different chunks share a digest, they all stay. joined: the chunk and the one before it stand
+    compared. Should different chunks share a digest, they all stay; so do first places of two texts of one
+    id whose digests agree in their upper halves. joined: the chunk and the one before it stand
     together elsewhere too, and not here first.
     """
     own = ["id", "digest"]
@@ -432,8 +433,8 @@ def repeated_chunks(df: DataFrame) -> DataFrame:
     again = materialised(repeated_digests(rows, parts))
     shared = df.sparkSession.sparkContext.broadcast(filter_of(again))
     bits = lambda: shared.value
-    here = F.struct(*own, "no")
-    counts = materialised(counted(rows, bits, max(parts, again.count() // BUCKET))).select("key", "before", "n", here.alias("first"))
+    here = F.struct("id", F.shiftright("digest", 32).cast("int").alias("mark"), "no")
+    counts = materialised(counted(rows, bits, max(parts, again.count() // BUCKET))).select("key", "before", "n", F.struct("id", "mark", "no").alias("first"))
     groups, joints = counts.where("before is null").drop("before"), counts.where("before is not null")
     found = materialised(occurrences(rows, bits))
     total = found.agg(F.coalesce(F.sum(F.size("no")), F.lit(0))).first()[0]
@@ -456,20 +457,20 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     key = [F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("digest")]
     later = repeated_chunks(df.select(*key, F.col(text_col).alias("text"))).groupBy("id", "digest")
-    later = later.agg(F.collect_set("no").alias("gone"), F.collect_set(F.when(F.col("joined"), F.col("no"))).alias("joined"))
+    later = later.agg(F.collect_set(F.col("no") * 2 + F.col("joined").cast("int")).alias("gone"))  # a number and whether it is joined
     whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *key)
-    whole = whole.join(later, ["id", "digest"], "left").select("row", "gone", "joined")
+    whole = whole.join(later, ["id", "digest"], "left").select("row", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in portions(batches):
-            row, gone, joined = b.columns
+            row, gone = b.columns
             texts = row.field(text_col).cast(pa.string())
             lines = pc.add(pc.fill_null(pc.count_substring(texts, "\n"), -1), 1).cast(pa.int64())
             removed = np.zeros(b.num_rows, np.int64)
             hit = pc.and_(gone.is_valid(), texts.is_valid())
             if (at := np.flatnonzero(hit.to_numpy(zero_copy_only=False))).size:
-                own = [x.filter(hit).to_pylist() for x in (texts.cast(pa.binary()), gone, joined)]
-                made = list(shortened(own[0], *([set(x) for x in y] for y in own[1:])))
+                again = [np.sort(x.values.to_numpy()) for x in gone.filter(hit)]
+                made = list(shortened(texts.cast(pa.binary()).filter(hit).to_pylist(), [x >> 1 for x in again], [x[x & 1 > 0] >> 1 for x in again]))
                 texts = pc.replace_with_mask(texts, hit, pa.array([m[0] for m in made], pa.binary()).cast(pa.string()))
                 removed[at] = [m[1] for m in made]
             yield pa.RecordBatch.from_arrays([row, texts, lines, pa.array(removed)], names=["row", "text", "n_lines", "removed_lines"])
