@@ -1,8 +1,9 @@
 """Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
 
 Word counts cover all training documents. The model predicts the class of the next token
-from the two before it: one class for each of the most frequent words, and one for all
-others, within which the smoothed counts decide. The vector predicted for the next class
+from the two before it. The most frequent words are classes of their own; the next most
+frequent ones are grouped by spelling, so that words of one language or ending are a class;
+all others are one class. Within a class the smoothed counts decide. The vector predicted for the next class
 is the sum of the context words' vectors, each weighted by its position; its product with
 the class vectors, plus a bias, is the score. Each task trains on its own documents by
 noise-contrastive estimation in numpy, and the tasks' weights are averaged. For scoring,
@@ -11,6 +12,7 @@ batched matrix products normalise the scores of all contexts once.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,6 +26,8 @@ from silverloom.llm.common import map_texts, materialised
 
 #: Words that are classes of their own, and the length of the vectors.
 CLASSES, WIDTH = 512, 24
+#: Held words of a spelling class at least, and spelling classes at most; numbers that describe a spelling, and rounds of grouping.
+MEMBERS, SPELLINGS, TRAITS, ROUNDS = 64, 192, 64, 8
 #: Words whose counts every task holds; a bound of the broadcast. The others' counts are joined.
 HELD = 1 << 17
 #: The end of a text as a token: white space, so no word is like it.
@@ -79,9 +83,62 @@ def frequent(counts: DataFrame, most: int = HELD) -> list[tuple[bytes, int]]:
     return sorted(((bytes(w), int(n)) for w, n in zip(rows["word"], rows["n"])), key=lambda r: (-r[1], r[0]))
 
 
+def spelling(words: list[bytes]) -> np.ndarray:
+    """What pairs of neighbouring bytes each word has, its ends counted as spaces: a row of TRAITS numbers of length 1."""
+    size = np.asarray([len(w) + 2 for w in words], np.int64)
+    buf = np.frombuffer(b"".join(b" " + w + b" " for w in words), np.uint8).astype(np.int64)
+    word = np.repeat(np.arange(len(words)), size)
+    same = word[1:] == word[:-1]
+    pair = (buf[:-1] * 256 + buf[1:])[same] * 40503 % 65536 * TRAITS // 65536
+    found = np.bincount(word[:-1][same] * TRAITS + pair, minlength=len(words) * TRAITS).astype(np.float32).reshape(-1, TRAITS)
+    return found / np.linalg.norm(found, axis=1, keepdims=True)
+
+
+def grouped(words: list[bytes]) -> np.ndarray:
+    """A group of each word, by the means of their spellings; a group for each MEMBERS words, SPELLINGS at most."""
+    n = min(SPELLINGS, len(words) // MEMBERS)
+    if n < 2:
+        return np.zeros(len(words), np.int64)
+    x = spelling(words)
+    rng, first = np.random.default_rng(7), []
+    far = np.ones(len(words))
+    for _ in range(n):  # a word is the likelier to start a group, the less it is like those that do
+        first.append(int(rng.choice(len(words), p=far / far.sum())) if far.any() else 0)
+        far = np.minimum(far, np.maximum(0, 1 - x @ x[first[-1]].astype(np.float64)) ** 2)
+    means = x[first]
+    for _ in range(ROUNDS):
+        group = (x @ means.T).argmax(axis=1)
+        means = np.stack([np.bincount(group, x[:, t], n) for t in range(TRAITS)], axis=1).astype(np.float32)
+        means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+    return np.unique(group, return_inverse=True)[1]
+
+
+@dataclass
+class Classes:
+    """Classes of the held words: `of` each word, how likely each class is, and the log10 share of one count in it; the last class is all other words'."""
+
+    of: np.ndarray
+    share: np.ndarray
+    one: np.ndarray
+
+    @classmethod
+    def made(cls, top: list[tuple[bytes, int]], total: int, distinct: int) -> Classes:
+        """Of the held words in order, the number of training tokens and of distinct ones; one count is for what is unknown."""
+        n = np.asarray([n for _, n in top], np.int64)
+        of = np.arange(len(top))
+        if len(top) > CLASSES:
+            of[CLASSES:] = CLASSES + grouped([w for w, _ in top[CLASSES:]])
+        k = int(of.max(initial=-1)) + 1
+        mass = np.bincount(of, n + 1, k)
+        rest = max(1, total + distinct + 1 - mass.sum())
+        share = np.append(np.bincount(of, n + (of < CLASSES), k), max(1, total - n.sum()))
+        one = -np.log10(np.append(mass, rest))
+        return cls(of, share / share.sum(), one)
+
+
 @dataclass
 class Model:
-    """Weights of the model; contexts are classes, then 'other', then 'before the start'."""
+    """Weights of the model; contexts are classes, then 'before the start'."""
 
     context: np.ndarray  # (classes + 2) x width
     place: np.ndarray  # 2 x width: how the last and the last but one word count
@@ -147,9 +204,9 @@ def train_step(m: Model, squares: list[np.ndarray], one: np.ndarray, two: np.nda
         w += RATE * g / np.sqrt(s + 1e-8)
 
 
-def classed(texts: list[str], classes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def classed(texts: list[str], classes: dict[bytes, int], other: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of all tokens of the texts, and of the last and the last but one token before each."""
-    other, start = len(classes), len(classes) + 1
+    start = other + 1
     one, two, word = [], [], []
     for t in texts:
         ids = [classes.get(w, other) for w in tokens(t)]
@@ -167,6 +224,7 @@ def train(df: DataFrame, classes: dict[bytes, int], share: np.ndarray, text_col:
     """
     first = Model.start(share)
     log_noise = np.log(share)
+    shared = df.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = first.filled(first.flat().copy())
@@ -175,7 +233,7 @@ def train(df: DataFrame, classes: dict[bytes, int], share: np.ndarray, text_col:
         for b in batches:
             texts = [t or "" for t in b.column(0).to_pylist()]
             for at in range(0, len(texts), 512):
-                word, one, two = classed(texts[at : at + 512], classes)
+                word, one, two = classed(texts[at : at + 512], shared.value, len(share) - 1)
                 order = rng.permutation(len(word))
                 for lo in range(0, len(word), STEP):
                     s = order[lo : lo + STEP]
@@ -213,24 +271,21 @@ def score(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     bottom = total + distinct + 1
     top = frequent(counts)
-    classes = {w: i for i, (w, _) in enumerate(top[:CLASSES])}
-    rest = (bottom - sum(n + 1 for _, n in top[:CLASSES])) / bottom
-    share = np.asarray([n + 1 for _, n in top[:CLASSES]] + [max(1, total - sum(n for _, n in top[:CLASSES]))], float)
-    model = train(rows.where("trained"), classes, share / share.sum())
+    words, classes = {w: i for i, (w, _) in enumerate(top)}, Classes.made(top, total, distinct)
+    k = len(classes.share) - 1
+    model = train(rows.where("trained"), dict(zip(words, classes.of.tolist())), classes.share)
     shared = df.sparkSession.sparkContext.broadcast(
-        (model, model.log_totals(), {w: i for i, (w, _) in enumerate(top)}, np.log10([n + 1 for _, n in top] or [1]) - np.log10(bottom))
+        (model, model.log_totals(), words, np.append(classes.of, k), np.log10([*(n + 1 for _, n in top), bottom]), classes.one)
     )
-    k = len(classes)
-    log_rest = np.log10(max(rest, 1 / bottom))
 
     def parts(texts: list[str]) -> tuple[list[int], list]:
-        m, totals, known, logs = shared.value
+        m, totals, known, class_of, logs, share = shared.value
         words = [tokens(t) for t in texts]
         sizes = np.asarray([len(w) for w in words], np.int64)
         ends = np.cumsum(sizes)
         doc = np.repeat(np.arange(len(texts)), sizes)
         at = np.fromiter((known.get(w, -1) for ws in words for w in ws), np.int64, int(sizes.sum()))
-        cls = np.where((at >= 0) & (at < k), at, k)
+        cls = class_of[at]  # words that aren't held are -1: the last
         one = np.concatenate([[k + 1], cls[:-1]]) if len(cls) else cls
         first = ends - sizes
         one[first] = k + 1
@@ -241,8 +296,8 @@ def score(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str
             s = slice(lo, lo + 200_000)
             ln[s] = (m.predicted(one[s], two[s]) * m.target[cls[s]]).sum(axis=1) + m.bias[cls[s]] - totals[one[s], two[s]]
         held = at >= 0
-        base = np.where(held, logs[np.maximum(at, 0)], 0.0)
-        within = np.where(cls == k, np.where(held, base, 0.0) - log_rest, 0.0)
+        base = np.where(held, logs[at] - math.log10(bottom), 0.0)
+        within = logs[at] + share[cls]
         sums = [np.bincount(doc, x, len(texts)) for x in (held, base, ln / np.log(10) + within)]
         at_rows = list(range(len(texts)))
         columns = [[None] * len(texts), [0] * len(texts), sizes.tolist(), sums[0].astype(np.int64).tolist(), sums[1].tolist(), sums[2].tolist()]

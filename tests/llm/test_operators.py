@@ -189,15 +189,19 @@ def test_lm(spark, docs, odd, empty):
 
 
 def test_lm_score_by_token(spark, docs):
-    """Scores are the sums of the model's log probabilities, each by a softmax over all classes."""
+    """Scores are the sums of the model's log probabilities, each by a softmax over all classes, and of those within the classes."""
     table = spark.read.parquet(f"{SF}/documents.parquet").where(queries.fold("doc_id", 7) != 2)
     words = lm.word_counts(table)
     c = {bytes(r.word): r.n for r in words.collect()}
-    top = lm.frequent(words)[: lm.CLASSES]
-    classes, bottom = {w: i for i, (w, _) in enumerate(top)}, sum(c.values()) + len(c) + 1
-    held = sum(n + 1 for _, n in top)
-    share = np.asarray([n + 1 for _, n in top] + [max(1, sum(c.values()) - sum(n for _, n in top))], float)
-    m, k = lm.train(table, classes, share / share.sum()), len(top)
+    top, bottom = lm.frequent(words), sum(c.values()) + len(c) + 1
+    made = lm.Classes.made(top, sum(c.values()), len(c))
+    classes, k = {w: int(of) for (w, _), of in zip(top, made.of)}, len(made.share) - 1
+    assert k > lm.CLASSES and sorted({*classes.values()}) == list(range(k)) and [classes[w] for w, _ in top[: lm.CLASSES]] == list(range(lm.CLASSES))
+    inside = Counter()
+    for w, of in classes.items():
+        inside[of] += c[w] + 1
+    inside[k] = bottom - sum(inside.values())
+    m = lm.train(table, classes, made.share)
     got = by_id(queries.op3_lm_score(spark, SF))
     for d in [d for d in sorted(docs) if len(docs[d] or "") < 3000][:40]:
         one = two = k + 1
@@ -206,12 +210,20 @@ def test_lm_score_by_token(spark, docs):
             x = (m.place[0] * m.context[one] + m.place[1] * m.context[two]) @ m.target.T + m.bias
             cls = classes.get(w, k)
             total += (x[cls] - np.log(np.exp(x).sum())) / np.log(10)
-            if cls == k:
-                total += math.log10((c.get(w, 0) + 1) / bottom) - math.log10((bottom - held) / bottom)
+            total += math.log10((c.get(w, 0) + 1) / inside[cls])
             one, two = cls, one
         assert got[d].score == pytest.approx(total, rel=1e-6)
 
 
+def test_words_are_grouped_by_spelling():
+    rng = np.random.default_rng(2)
+    words = [bytes(rng.choice(list(letters), 12).tolist()) for letters in (b"ab", b"yz") for _ in range(lm.MEMBERS)]
+    got = lm.grouped(words)
+    assert len(set(got[: lm.MEMBERS])) == len(set(got[lm.MEMBERS :])) == 1 and got[0] != got[-1]
+    assert lm.grouped([]).tolist() == [] and set(lm.grouped(words[:5])) == {0}
+    assert np.isfinite(lm.spelling([b"", b"\n", b"x" * 100_000])).all()
+
+
 def test_lm_is_normalised():
     m = lm.Model.start(np.asarray([5.0, 3.0, 2.0]) / 10)
     totals = m.log_totals()
