@@ -178,27 +178,33 @@ class Model:
 
 def _spread(ids: np.ndarray, grad: np.ndarray, n: int) -> np.ndarray:
     """Sums of the gradient rows of each id."""
-    out = np.zeros((n, grad.shape[1]))
-    order = np.argsort(ids, kind="stable")
+    out = np.zeros((n, grad.shape[1]), grad.dtype)
+    order = np.argsort(ids.astype(np.uint16) if n <= 1 << 16 else ids, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) > 0]))
     out[ids[order][first]] = np.add.reduceat(grad[order], first, axis=0)
     return out
 
 
 def train_step(m: Model, squares: list[np.ndarray], one: np.ndarray, two: np.ndarray, word: np.ndarray, noise: np.ndarray, log_noise: np.ndarray) -> None:
-    """One step of noise-contrastive estimation with shared noise samples and adaptive rates."""
-    q = m.predicted(one, two)
-    k = np.log(len(noise))
-    good = (q * m.target[word]).sum(axis=1) + m.bias[word] - log_noise[word] - k
-    bad = q @ m.target[noise].T + m.bias[noise] - log_noise[noise] - k
+    """One step of noise-contrastive estimation with shared noise samples and adaptive rates, in the weights' precision."""
+    last, target, samples = m.context[one], m.target[word], m.target[noise]
+    before = m.context[two]
+    q = m.place[0] * last + m.place[1] * before
+    shift = m.bias - log_noise - math.log(len(noise))
+    good = np.einsum("ij,ij->i", q, target) + shift[word]
+    bad = q @ samples.T
+    bad += shift[noise]
     d_good = 1 / (1 + np.exp(np.clip(good, -30, 30)))
-    d_bad = -1 / (1 + np.exp(-np.clip(bad, -30, 30)))
-    dq = d_good[:, None] * m.target[word] + d_bad @ m.target[noise]
+    np.clip(bad, -30, 30, out=bad)
+    np.exp(np.negative(bad, out=bad), out=bad)
+    bad += 1
+    d_bad = np.divide(-1, bad, out=bad)
+    dq = d_good[:, None] * target + d_bad @ samples
     n = len(m.bias)
     g_target = _spread(word, d_good[:, None] * q, n) + _spread(noise, d_bad.T @ q, n)
     g_bias = np.bincount(word, d_good, n) + np.bincount(noise, d_bad.sum(axis=0), n)
     g_context = _spread(one, dq * m.place[0], n + 1) + _spread(two, dq * m.place[1], n + 1)
-    g_place = np.stack([(dq * m.context[one]).sum(axis=0), (dq * m.context[two]).sum(axis=0)])
+    g_place = np.stack([np.einsum("ij,ij->j", dq, last), np.einsum("ij,ij->j", dq, before)])
     for w, g, s in zip((m.context, m.place, m.target, m.bias), (g_context, g_place, g_target, g_bias), squares, strict=True):
         s += g * g
         w += RATE * g / np.sqrt(s + 1e-8)
@@ -223,11 +229,11 @@ def train(df: DataFrame, classes: dict[bytes, int], share: np.ndarray, text_col:
     numbers as the model has weights, whatever the input.
     """
     first = Model.start(share)
-    log_noise = np.log(share)
+    log_noise = np.log(share).astype(np.float32)
     shared = df.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = first.filled(first.flat().copy())
+        m = first.filled(first.flat().astype(np.float32))
         squares = [np.full_like(x, 1.0) for x in (m.context, m.place, m.target, m.bias)]
         rng, seen = np.random.default_rng(5), 0
         for b in batches:
@@ -240,7 +246,7 @@ def train(df: DataFrame, classes: dict[bytes, int], share: np.ndarray, text_col:
                     train_step(m, squares, one[s], two[s], word[s], rng.choice(len(share), NOISE, p=share), log_noise)
                 seen += len(word)
         if seen:
-            w = m.flat()
+            w = m.flat().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w))), pa.array(w * seen), pa.array(np.full(len(w), float(seen)))], names=["i", "w", "n"])
 
     if len(share) < 2:
