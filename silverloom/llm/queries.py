@@ -1,4 +1,4 @@
-"""The queries op1_... to op10_... over the test tables, and their SQL."""
+"""The queries op1_... to op13_... over the test tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, embedjoin, fingerprint, htmltext, langid, linededup, lm, minhash, packing, urlfilter
+from silverloom.llm import bpe, embedjoin, fingerprint, htmltext, langid, linededup, lm, minhash, packing, urlfilter, vectorcodes
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 BLOCKLIST = Path(__file__).with_name("blocklist.txt")
@@ -80,6 +80,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -92,12 +96,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_text": op8_html_text,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     listed = "\n".join(f"    WHEN site = '{h}' OR ends_with(site, '.{h}') THEN '{h}/'" for h in (u.removeprefix("http://").rstrip("/") for u in blocklist()))
-    return {"op4_url_filter": OP4_SQL.replace("    WHEN listed_hosts", listed)}
+    return {"op4_url_filter": OP4_SQL.replace("    WHEN listed_hosts", listed), "op13_vector_codes": op13_sql()}
 
 
 #: The listed hosts, whose entries have no path, and their subdomains are blocked; written without the filter.
@@ -128,3 +133,37 @@ SELECT page_id, host, path, rule,
   listed
 FROM l
 """
+
+
+def op13_sql(rounds: int = 6) -> str:
+    """Every round in SQL, with all entries compared: parts as rows (vec_id, p, q), codebooks as rows (p, e, c)."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        "parts AS MATERIALIZED (SELECT vec_id, p, v[p * len(v) // 8 + 1 : (p + 1) * len(v) // 8] AS q FROM kept, range(8) t(p))",
+        "book0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, q AS c FROM parts QUALIFY e < 16)",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+  SELECT vec_id, p, q, e, d FROM (
+    SELECT vec_id, p, q, e, d, row_number() OVER (PARTITION BY vec_id, p ORDER BY d, e) AS rn
+    FROM (SELECT vec_id, p, q, e, list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i] - c[i]) * (q[i] - c[i]))) AS d FROM parts JOIN book{i} USING (p)) x
+  ) y WHERE rn = 1
+)""")
+        if i < rounds:
+            steps.append(f"""book{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{i} b LEFT JOIN (
+    SELECT p, e, list(m ORDER BY i) AS c FROM (
+      SELECT p, e, i, CAST(floor(sum(q[i]) / count(*)) AS BIGINT) AS m FROM near{i}, range(1, 9) t(i) GROUP BY p, e, i
+    ) z GROUP BY p, e
+  ) m USING (p, e)
+)""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM (
+  SELECT vec_id, label, string_agg('0' || substr('0123456789abcdef', CAST(e AS INT) + 1, 1), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} JOIN kept USING (vec_id) GROUP BY vec_id, label
+) r"""
