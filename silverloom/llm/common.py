@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,13 +21,19 @@ def materialised(df: DataFrame) -> DataFrame:
     executors don't see each other's folders. Spark removes a checkpoint with its DataFrame
     if spark.cleaner.referenceTracking.cleanCheckpoints is set.
     """
-    sc = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, set as materialised() says."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp())
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
 
 
 ARROW = {

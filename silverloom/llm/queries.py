@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -9,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, embedjoin, fingerprint, htmltext, langid, linededup, lm, minhash, packing, urlfilter, vectorcodes
+from silverloom.llm import bpe, embedjoin, fingerprint, htmltext, langid, linededup, lm, minhash, packing, urlfilter, vectorcodes, warc
+from silverloom.llm.common import shared_folder
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 BLOCKLIST = Path(__file__).with_name("blocklist.txt")
@@ -80,6 +82,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    found = warc.round_trip(table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    warc.delete(folder)
+    return found
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -96,13 +105,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_text": op8_html_text,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
+        "op12_warc": op12_warc,
         "op13_vector_codes": op13_vector_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     listed = "\n".join(f"    WHEN site = '{h}' OR ends_with(site, '.{h}') THEN '{h}/'" for h in (u.removeprefix("http://").rstrip("/") for u in blocklist()))
-    return {"op4_url_filter": OP4_SQL.replace("    WHEN listed_hosts", listed), "op13_vector_codes": op13_sql()}
+    return {"op4_url_filter": OP4_SQL.replace("    WHEN listed_hosts", listed), "op12_warc": OP12_SQL, "op13_vector_codes": op13_sql()}
 
 
 #: The listed hosts, whose entries have no path, and their subdomains are blocked; written without the filter.
@@ -134,6 +144,20 @@ SELECT page_id, host, path, rule,
 FROM l
 """
 
+#: Base 32 of SHA-1: its 160 bits in groups of five.
+OP12_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+b AS (SELECT page_id, payload, octet_length(payload) AS payload_bytes, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p),
+d AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, CAST(i * 5 + 1 AS INT), 5) AS BIGINT)) AS words FROM b
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((words[k // 4 + 1] >> CAST(15 - 5 * (k % 4) AS BIGINT)) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d
+"""
+
 
 def op13_sql(rounds: int = 6) -> str:
     """Every round in SQL, with all entries compared: parts as rows (vec_id, p, q), codebooks as rows (p, e, c)."""
