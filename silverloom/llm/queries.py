@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, embedjoin, fingerprint, htmltext, langid, linededup, lm, minhash, packing, urlfilter, vectorcodes, warc
+from silverloom.llm import align, bpe, embedjoin, fingerprint, htmltext, langid, linededup, lm, minhash, packing, urlfilter, vectorcodes, warc
 from silverloom.llm.common import shared_folder
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -82,6 +82,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.link(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     found = warc.round_trip(table(spark, sf_dir, "pages"), folder, least_bytes=0)
@@ -105,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_text": op8_html_text,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
+        "op11_token_alignment": op11_token_alignment,
         "op12_warc": op12_warc,
         "op13_vector_codes": op13_vector_codes,
     }
