@@ -10,6 +10,8 @@ pages (htmlpages.py), never on the pages that they judge.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -31,6 +33,8 @@ BLOCK = set(BLOCKS)
 ENDS = {t: ({"p"}, {"table", "td", "th"}) for t in BLOCKS if t not in ("html", "body", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "legend", "summary", "figcaption")}
 ENDS |= {"li": ({"p", "li"}, {"ul", "ol", "menu"}), "dt": ({"p", "dt", "dd"}, {"dl"}), "dd": ({"p", "dt", "dd"}, {"dl"})}
 ENDS |= {"tr": ({"p", "tr", "td", "th"}, {"table"}), "td": ({"p", "td", "th"}, {"table", "tr"}), "th": ({"p", "td", "th"}, {"table", "tr"}), "option": ({"option"}, {"select"})}
+#: What a start tag doesn't look beyond, for each of ENDS: the third kind, and other blocks but lists and table parts.
+BARRIER = {t: until | {b for b in BLOCKS if b not in ends and b not in ("ul", "ol", "tbody", "thead", "tfoot")} for t, (ends, until) in ENDS.items()}
 #: Words in class, id and role, by what they tell.
 GROUPS = [
     "nav navbar navigation menu breadcrumb breadcrumbs toc pagination pager",
@@ -50,6 +54,10 @@ TAGS = {t: i for i, t in enumerate(BLOCKS)}
 UNDER = ["article", "main", "nav", "header", "footer", "aside", "form", "table", "ul", "section"]
 
 
+#: Elements that are judged at once; a bound of memory.
+NODES = 1 << 15
+
+
 class Page(HTMLParser):
     """The block-level elements of a page with their texts, links and attribute words."""
 
@@ -59,24 +67,23 @@ class Page(HTMLParser):
         self.text, self.link, self.spans = [0], [0], [0]  # own characters, of them in links; elements
         self.runs: list[tuple[int, str]] = []  # (node, text) in page order; an empty text is a break
         self.open: list[tuple[str, int]] = [("html", 0)]  # open elements with their block node
+        self.at: dict[str, list[int]] = defaultdict(list)  # places in `open`, but the first, by tag
+        self.blocks_at: list[int] = []  # and of blocks
         self.hidden = self.links = 0
         self.feed(re.sub(r"<!\[[^>]*>?", " ", html))
         self.close()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ("html", "body") and any(t == tag for t, _ in self.open):
+        if tag == "html" or tag == "body" and self.at["body"]:
             return
         if tag in VOID:
             if not self.hidden and tag != "wbr":  # a place where a word may be broken isn't a space
                 self.runs.append((self.open[-1][1], " ") if tag != "hr" else (self.open[-1][1], ""))
             return
-        ends, until = ENDS.get(tag, ((), ()))
-        for i in range(len(self.open) - 1, 0, -1):
-            t = self.open[i][0]
-            if t in ends:
-                self.cut(i)
-            elif t in until or t in BLOCK and t not in ends and t not in ("ul", "ol", "tbody", "thead", "tfoot"):
-                break
+        if tag in ENDS:
+            ends = ENDS[tag][0]
+            while (last := self.last(ends)) and last > self.last(BARRIER[tag]):
+                self.cut(last)
         node = self.open[-1][1]
         self.spans[node] += 1
         if tag in BLOCK and not self.hidden:
@@ -94,24 +101,30 @@ class Page(HTMLParser):
             self.runs.append((node, ""))
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
+        self.at[tag].append(len(self.open))
+        if tag in BLOCK:
+            self.blocks_at.append(len(self.open))
         self.open.append((tag, node))
 
+    def last(self, tags: set[str]) -> int:
+        """The place of the last open element of the tags, 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at[t]), default=0)
+
     def cut(self, at: int) -> None:
         """Close the open elements from `at` on."""
         for tag, node in self.open[at:]:
             self.hidden -= tag in HIDDEN
             self.links -= tag == "a"
-            if tag in BLOCK and not self.hidden:
-                self.runs.append((node, ""))
+            self.at[tag].pop()
+            if tag in BLOCK:
+                self.blocks_at.pop()
+                if not self.hidden:
+                    self.runs.append((node, ""))
         del self.open[at:]
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                self.cut(i)
-                break
-            if tag not in BLOCK and self.open[i][0] in BLOCK:
-                break
+        if self.at[tag] and (tag in BLOCK or not self.blocks_at or self.at[tag][-1] > self.blocks_at[-1]):
+            self.cut(self.at[tag][-1])
 
     def handle_data(self, data: str) -> None:
         if not self.hidden and data:
@@ -124,8 +137,11 @@ class Page(HTMLParser):
         """Sections that HTML doesn't know are skipped."""
 
 
-def features(page: Page) -> np.ndarray:
-    """One row for each block-level element: tag, subtree sizes and densities, attribute words, depth, place, siblings."""
+def features(page: Page) -> Iterator[np.ndarray]:
+    """One row for each block-level element: tag, subtree sizes and densities, attribute words, depth, place, siblings.
+
+    The rows of NODES elements at a time, so that a page of very many elements fills no memory with them.
+    """
     n = len(page.tag)
     parent = page.parent
     text, link, spans = (np.asarray(x, float) for x in (page.text, page.link, page.spans))
@@ -135,8 +151,8 @@ def features(page: Page) -> np.ndarray:
         stops[node] += s.count(".") + s.count(",") + s.count("?") + s.count("!")
     begin = np.concatenate([[0.0], np.cumsum(text)[:-1]])
     total_stops, nodes = stops.copy(), np.ones(n)
-    has = np.zeros((n, 3))
-    above, under = np.zeros(n, np.int64), np.zeros((n, len(UNDER)))
+    has = np.zeros((n, 3), np.float32)
+    above, under = np.zeros(n, np.int64), np.zeros((n, len(UNDER)), bool)
     index = {t: i for i, t in enumerate(UNDER)}
     child: list[list[int]] = [[] for _ in range(n)]
     for i in range(1, n):
@@ -163,24 +179,26 @@ def features(page: Page) -> np.ndarray:
     place, before, after, alike, share = (np.zeros(n) for _ in range(5))
     for c in child:
         if c:
-            sizes, tags = text[c], [page.tag[i] for i in c]
+            sizes, times = text[c], Counter(page.tag[i] for i in c)
+            total = max(1.0, sizes.sum())
             for k, i in enumerate(c):
                 place[i] = k / len(c)
                 before[i] = sizes[k - 1] if k else -1
                 after[i] = sizes[k + 1] if k + 1 < len(c) else -1
-                alike[i] = tags.count(tags[k]) / len(c)
-                share[i] = sizes[k] / max(1.0, sizes.sum())
+                alike[i] = times[page.tag[i]] / len(c)
+                share[i] = sizes[k] / total
     siblings = np.asarray([kids[p] if p >= 0 else 1 for p in parent])
-    bits = np.asarray(page.groups)[:, None] >> np.arange(len(GROUPS)) & 1
-    bits_above = above[:, None] >> np.arange(len(GROUPS)) & 1
-    tags = np.zeros((n, len(BLOCKS)))
-    tags[np.arange(n), [TAGS[t] for t in page.tag]] = 1
+    groups, kinds, depth = np.asarray(page.groups), np.asarray([TAGS[t] for t in page.tag]), np.asarray(page.depth, float)
     log = np.log1p
-    plain = [
-        log(text), log(own), link / np.maximum(text, 1), log(link), log(spans), text / (spans + nodes), log(nodes), np.asarray(page.depth, float), kids, place,
-        siblings, log(before + 1), log(after + 1), alike, share, total_stops / np.maximum(text, 1), begin / whole, (begin + text) / whole, text / whole, *has.T,
-    ]
-    return np.column_stack([*plain, bits, bits_above, under, tags]).astype(np.float32)
+    for at in range(0, n, NODES):
+        s = slice(at, at + NODES)
+        bits, bits_above = (x[s, None] >> np.arange(len(GROUPS)) & 1 for x in (groups, above))
+        tags = kinds[s, None] == np.arange(len(BLOCKS))
+        plain = [
+            log(text[s]), log(own[s]), link[s] / np.maximum(text[s], 1), log(link[s]), log(spans[s]), text[s] / (spans[s] + nodes[s]), log(nodes[s]), depth[s], kids[s], place[s],
+            siblings[s], log(before[s] + 1), log(after[s] + 1), alike[s], share[s], total_stops[s] / np.maximum(text[s], 1), begin[s] / whole, (begin[s] + text[s]) / whole, text[s] / whole, *has[s].T,
+        ]
+        yield np.column_stack([*plain, bits, bits_above, under[s], tags]).astype(np.float32)
 
 
 def decoded(page: Page, odds: np.ndarray) -> np.ndarray:
@@ -222,18 +240,25 @@ def model(pages: int = 1000, seed: int = 3) -> trees.Boosted:
         for i in range(len(label) - 1, 0, -1):
             label[page.parent[i]] |= label[i]
         page.runs = [(n, s.replace(htmlpages.MARK, "")) for n, s in page.runs]
-        xs.append(features(page))
+        xs += features(page)
         ys.append(label)
     return trees.fit(np.concatenate(xs), np.concatenate(ys).astype(float))
 
 
 def main_texts(pages: list[str], fitted: trees.Boosted) -> list[str]:
+    """The main text of each page; small pages are judged together, up to NODES elements."""
     parsed = [Page(p) for p in pages]
-    if not parsed:
-        return []
-    xs = [features(p) for p in parsed]
-    odds = np.split(fitted.log_odds(np.concatenate(xs)), np.cumsum([len(x) for x in xs])[:-1])
-    return ["\n\n".join(blocks(p, decoded(p, o))) for p, o in zip(parsed, odds)]
+    odds, waiting, size = [], [], 0
+    for p in parsed:
+        for x in features(p):
+            waiting.append(x)
+            size += len(x)
+            if size >= NODES:
+                odds.append(fitted.log_odds(np.concatenate(waiting)))
+                waiting, size = [], 0
+    odds = np.concatenate([np.empty(0), *odds, *([fitted.log_odds(np.concatenate(waiting))] if waiting else [])])
+    ends = np.cumsum([len(p.tag) for p in parsed])[:-1] if parsed else []
+    return ["\n\n".join(blocks(p, decoded(p, o))) for p, o in zip(parsed, np.split(odds, ends))]
 
 
 def extract(df: DataFrame, keep: list[str], html_col: str = "html", fitted: trees.Boosted | None = None, at_once: int = 256) -> DataFrame:
