@@ -3,12 +3,13 @@
 The list of URLs may be of any size. Its canonical entries set bits in a blocked
 Bloom filter: a table of 512-bit blocks whose number is capped, so that the table can
 be broadcast. Each URL is looked up under the host suffixes and path prefixes of its
-canonical form; only what the filter passes goes on to an exact hash join with the
-list, which removes the false positives.
+canonical form that have the length of an entry's; only what the filter passes goes on to
+an exact hash join with the list, which removes the false positives.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -60,26 +61,32 @@ def listed_key(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path))
 
 
-def lookups(url: Column) -> Column:
-    """All forms under which a URL may be listed: every host suffix of two labels or more
-    (the whole host if it has one), with the whole path and every path prefix that ends in '/'."""
-    host, path = canonical(url)
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
-    hosts = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)), lambda i: F.array_join(F.slice(labels, i, n), ".")
-    )
-    parts = F.split(path, "/")
-    m = F.size(parts)
-    paths = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), m - 1)),
-        lambda i: F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/")),
-    )
-    paths = F.array_distinct(F.array_append(paths, path))
+def lookups(host: Column, path: Column, host_lengths: list[int], path_lengths: list[int]) -> Column:
+    """All forms of a canonical URL under which an entry of these lengths may be listed: every host suffix
+    of two labels or more (the whole host if it has one), with the whole path and every path prefix that ends in '/'.
+
+    Lengths that no entry has are never cut out, so a long URL makes no more than the list has lengths."""
+
+    def fitting(lengths: list[int], whole: Column, fits: Callable[[Column], Column], cut: Callable[[Column], Column]) -> Column:
+        own = F.filter(F.lit(lengths).cast("array<int>"), lambda n: (n <= F.length(whole)) & ((n == F.length(whole)) | fits(n)))
+        return F.transform(own, cut)
+
+    def suffix(n: Column) -> Column:
+        return F.substring(host, F.length(host) - n + 1, n)
+
+    hosts = fitting(host_lengths, host, lambda n: (F.substring(host, F.length(host) - n, F.lit(1)) == ".") & F.contains(suffix(n), F.lit(".")), suffix)
+    paths = fitting(path_lengths, path, lambda n: F.substring(path, n, F.lit(1)) == "/", lambda n: F.substring(path, F.lit(1), n))
     both = F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p))))
     return F.when(host != "", both).otherwise(F.array().cast("array<string>"))
 
 
+def lengths(keys: DataFrame) -> tuple[list[int], list[int]]:
+    """The lengths of the hosts and of the paths that the list's keys have; no more numbers than the longest key has characters."""
+    n = F.instr("key", "/") - 1
+    got = keys.agg(F.array_sort(F.collect_set(n)), F.array_sort(F.collect_set(F.length("key") - n))).first()
+    return list(got[0]), list(got[1])
+
+
 def probe(key: Column, blocks: int) -> tuple[Column, list[Column]]:
     """Block number and the masks of its 64-bit words for a key."""
     at, bits = F.xxhash64(key, F.lit(1)), F.xxhash64(key, F.lit(2))
@@ -108,8 +115,10 @@ def listed(urls: DataFrame, url: str, blocklist: DataFrame, listed_url: str, bit
     blocks = max(1, min(MAX_BLOCKS, -(-n * bits_per_key // (64 * WORDS))))
     table = bloom(keys, "key", blocks)
     asked = urls.select(F.col(url).alias("url")).where("url is not null").distinct()
+    host, path = canonical(F.col("url"))
+    asked = asked.select("url", host.alias("host"), path.alias("path"))
     asked = asked.repartition(shuffle_partitions(urls))  # few bytes make many lookups; partitions merged by bytes would be few
-    asked = asked.select("url", F.explode(lookups(F.col("url"))).alias("key"))
+    asked = asked.select("url", F.explode(lookups(F.col("host"), F.col("path"), *lengths(keys))).alias("key"))
     block, masks = probe(F.col("key"), blocks)
     asked = asked.withColumns({"block": block} | {f"m{i}": m for i, m in enumerate(masks)})
     hit = reduce(lambda x, y: x & y, [F.col(f"w{i}").bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}") for i in range(WORDS)])
