@@ -16,10 +16,11 @@ from functools import lru_cache
 from struct import pack as pack_ints
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverloom.llm.bpe import byte_alphabet
 from silverloom.llm.common import map_texts, materialised
@@ -251,10 +252,12 @@ def _give(poor: int, others: list[int], bins: list[list[int]], sizes: list[int],
     return False
 
 
-def _pack_shard(limit: int, id_col: str, first: bool):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([id_col, "piece", "start", "length", "ids_crc32"], kind="stable").reset_index(drop=True)
-        sizes = [int(x) for x in pdf["length"]]
+def _pack_shard(limit: int, first: bool):
+    """Rows stay in Arrow, so ids of any type come back as they are, nulls beside large numbers too."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in ("_id", "piece", "start", "length", "ids_crc32")])
+        sizes = rows["length"].to_pylist()
         bins = local_search(best_fit(sizes, limit), sizes, limit)
         number, offset, open_ = (np.zeros(len(sizes), t) for t in (np.int64, np.int64, bool))
         for k, b in enumerate(bins):
@@ -263,10 +266,11 @@ def _pack_shard(limit: int, id_col: str, first: bool):
                 number[i], offset[i] = k, at
                 at += sizes[i]
             open_[b] = at < limit * 15 // 16
-        shard = int(pdf["shard"].iloc[0])
-        pdf["sequence_id"] = (shard * 2 + (not first)) * (1 << 32) + number
-        pdf["offset"], pdf["is_open"] = offset, open_
-        return pdf
+        shard = rows["_shard"][0].as_py()
+        made = {"sequence_id": (shard * 2 + (not first)) * (1 << 32) + number, "offset": offset, "is_open": open_}
+        for name, values in made.items():
+            rows = rows.append_column(name, pa.array(values))
+        return rows
 
     return run
 
@@ -279,18 +283,17 @@ def pack(items: DataFrame, limit: int = 4096, id_col: str = "doc_id", shard_size
     leaves a shard with a bin or two that are not full; these are dealt to shards once
     more and packed together, so a thousand shards share their last bins.
     """
-    cols = [id_col, "piece", "start", "length", "ids_crc32"]
-    items = materialised(items.select(*cols))
+    cols = ["_id", "piece", "start", "length", "ids_crc32"]
+    items = materialised(items.select(items[id_col].alias("_id"), *cols[1:]))
     shards = max(1, -(-items.count() // shard_size))
     key = F.pmod(F.xxhash64(*cols, F.monotonically_increasing_id()), F.lit(shards))
-    kinds = ", ".join(f"`{c}` {items.schema[c].dataType.simpleString()}" for c in cols)
-    schema = f"{kinds}, shard long, sequence_id long, offset long, is_open boolean"
-    packed = materialised(items.withColumn("shard", key).groupBy("shard").applyInPandas(_pack_shard(limit, id_col, True), schema))
+    schema = T.StructType(items.schema.fields).add("_shard", "long").add("sequence_id", "long").add("offset", "long").add("is_open", "boolean")
+    packed = materialised(items.withColumn("_shard", key).groupBy("_shard").applyInArrow(_pack_shard(limit, True), schema))
     rest = packed.where("is_open").select(*cols)
     again = max(1, -(-packed.where("is_open").count() // shard_size))
     key = F.pmod(F.xxhash64(*cols, F.monotonically_increasing_id()), F.lit(again))
-    rest = rest.withColumn("shard", key).groupBy("shard").applyInPandas(_pack_shard(limit, id_col, False), schema)
-    return packed.where("not is_open").unionByName(rest).select(*cols, "sequence_id", "offset")
+    rest = rest.withColumn("_shard", key).groupBy("_shard").applyInArrow(_pack_shard(limit, False), schema)
+    return packed.where("not is_open").unionByName(rest).select(F.col("_id").alias(id_col), *cols[1:], "sequence_id", "offset")
 
 
 def pack_documents(df: DataFrame, path: str, limit: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
