@@ -40,6 +40,16 @@ GAP, READ = 1 << 16, 8 << 20
 CAPTURE = "key string, id string, kind string, digest string, archive string, offset long, length long"
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(n, types[k]) for n, k in (f.split() for f in ddl.split(", "))])
+
+
+def typed_rows(rows: list, schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+
+
 def opened(folder: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder (local or shared path, hdfs, s3, gs) and its path there."""
     uri = re.sub(r"^file:/+", "/", re.sub(r"^s3[an]://", "s3://", folder))
@@ -179,11 +189,10 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, date: str = "2000
                 own = record_id(r["id"], r["url"], r["digest"]) if not r["revisit"] and len(payload) >= least_bytes else str(uuid.uuid4())
                 member = record(kind, r["url"], payload, own, r["id"], to, date, digest)
                 made.append((url_key(r["url"]), r["id"], kind, digest, *archives.add(member)))
-            yield pa.RecordBatch.from_pylist([dict(zip(names, m)) for m in made], schema=kinds)
+            yield typed_rows(made, kinds)
         archives.close()
 
-    kinds = pa.schema([(n, pa.int64() if k == "long" else pa.string()) for n, k in (f.split() for f in CAPTURE.split(", "))])
-    names = kinds.names
+    kinds = arrow_schema(CAPTURE)
     texts = [F.col(c).cast("string").alias(c) for c in ("id", "first_id")]
     found = _with_originals(rows, least_bytes).select(*texts, "url", "payload", "digest", "revisit", "first_url")
     return materialised(found.mapInArrow(run, CAPTURE))
@@ -310,15 +319,19 @@ def lookup(index: Index, keys: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(to, pa.string())], names=["part", "key"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, part = None, None
+        number, part, rows = None, None, []
         for b in batches:
             for p, key in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if p != number:
                     number, part = p, Part(folder, shared.value[p][2])
-                for rows in part.find(key):
-                    yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in rows], schema=kinds)
-
-    kinds = pa.schema([(n, pa.int64() if k == "long" else pa.string()) for n, k in (f.split() for f in CAPTURE.split(", "))])
+                for found in part.find(key):
+                    rows += found
+                    if len(rows) >= BLOCK:
+                        yield typed_rows(rows, kinds)
+                        rows = []
+        yield typed_rows(rows, kinds)
+
+    kinds = arrow_schema(CAPTURE)
     dealt = keys.select("key").where("key is not null").mapInArrow(deal, "part int, key string")
     ordered = dealt.repartitionByRange(shuffle_partitions(keys), "part", "key").sortWithinPartitions("part", "key")
     return ordered.mapInArrow(read, CAPTURE)
@@ -349,15 +362,16 @@ def fetch(captures: DataFrame, folder: str, payload: bool = True) -> DataFrame:
                 if places[i][0] != name:
                     name = places[i][0]
                     file = fs.open_input_file(f"{root}/{name}")
-                data = file.read_at(end - places[i][1], places[i][1])
+                start = places[i][1]
+                data = file.read_at(end - start, start)
                 found, held = [], 0
                 for _, at, length in places[i:j]:
-                    found.append(read(data[at - places[i][1] :][:length]))
+                    found.append(read(data[at - start : at - start + length]))
                     held += len(found[-1][-1] or b"")
                     if held > READ:
-                        yield batch(found)
+                        yield typed_rows(found, kinds)
                         found, held = [], 0
-                yield batch(found)
+                yield typed_rows(found, kinds)
                 i = j
 
     def read(member: bytes) -> tuple:
@@ -369,11 +383,7 @@ def fetch(captures: DataFrame, folder: str, payload: bool = True) -> DataFrame:
         row_id, to = (unquote(h[c]) if c in h else None for c in ("X-Row-Id", "X-Refers-To-Row-Id"))
         return row_id, h["WARC-Type"], h.get("WARC-Target-URI"), plain("WARC-Record-ID"), plain("WARC-Refers-To"), to, stated, len(body) if own else None, body if own and payload else None
 
-    def batch(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in found], schema=kinds)
-
-    types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
-    kinds = pa.schema([(n, types[k]) for n, k in (f.split() for f in RECORD.split(", "))])
+    kinds = arrow_schema(RECORD)
     ordered = captures.select("archive", "offset", "length").repartitionByRange(shuffle_partitions(captures), "archive", "offset").sortWithinPartitions("archive", "offset")
     return ordered.mapInArrow(run, RECORD)
 
@@ -403,7 +413,7 @@ def round_trip(pages: DataFrame, folder: str, least_bytes: int = 0, id_col: str
     """
     captures = write(pages, folder, least_bytes, id_col=id_col, url_col=url_col, payload_col=payload_col)
     index = build_index(captures, f"{folder}/index")
-    found = lookup(index, with_key(pages, url_col))
+    found = materialised(lookup(index, materialised(with_key(pages, url_col))))
     records = resolved(fetch(found, folder, payload=False).drop("payload"))
     return materialised(records.select(
         as_type("id", pages, id_col).alias(id_col), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), as_type("refers_to", pages, id_col).alias("refers_to")
