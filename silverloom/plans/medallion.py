@@ -6,6 +6,7 @@ it by its greatest number, so readers never see half a write.
 
 from __future__ import annotations
 
+import json
 import time
 import traceback
 import uuid
@@ -97,10 +98,19 @@ def current_runs(events: DataFrame) -> DataFrame:
     return latest(events, ["run_id"], [F.desc("at"), (F.col("status") == "running").asc()])
 
 
-def scan(spark: SparkSession, entity: str, **options: str) -> DataFrame:
-    """All records of an entity (raw_json) from the paged API; options as of the paged_rest source."""
+#: Types of the key columns.
+KEY_TYPES = {"item_type": "int"}
+
+
+def scan(spark: SparkSession, entity: str, where: Column | None = None, **options: str) -> DataFrame:
+    """Records of an entity (raw_json) from the paged API; options as of the paged_rest source.
+
+    where: a condition on the entity's keys, as item_type = 5; with option `push` it becomes parameters of the calls.
+    """
     spark.dataSource.register(PagedRest)
-    return spark.read.format("paged_rest").options(path=ENTITIES[entity].path, **options).load()
+    keys = {c: [field, KEY_TYPES.get(c, "bigint")] for c, field in ENTITIES[entity].keys.items() if field}
+    found = spark.read.format("paged_rest").options(path=ENTITIES[entity].path, keys=json.dumps(keys), **options).load()
+    return (found if where is None else found.where(where)).select("raw_json")
 
 
 def scan_resources(spark: SparkSession, root: str, call: Callable[[dict], object], readers: int = 3) -> tuple[DataFrame, DataFrame]:

@@ -6,8 +6,15 @@ from pyspark.sql import SparkSession
 
 
 def session(app: str = "silverloom", **conf: str) -> SparkSession:
-    """A session in UTC with ANSI casts and adaptive execution; conf overrides, dots written as '__'."""
-    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
+    """A session in UTC with ANSI casts and adaptive execution; conf overrides, dots written as '__'.
+
+    Sources written in Python are asked for filters, and the state of streams is kept in RocksDB, not in the executors' heaps.
+    """
+    own = {
+        "spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.python.filterPushdown.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+    builder = SparkSession.builder.appName(app).config(map=own)
     for k, v in conf.items():
         builder = builder.config(k.replace("__", "."), v)
     return builder.getOrCreate()

@@ -3,44 +3,58 @@
 from __future__ import annotations
 
 import json
-import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverloom.functions.strings import extension_of
-from silverloom.sources.rest import paginate
+from silverloom.sources.rest import Pace, paginate
+
+#: Rows of an Arrow batch that are handed to the client before they go on.
+AT_ONCE = 64
+TEXT, BYTES = pa.string(), pa.binary()
+
+
+def _called(rows: DataFrame, extra: dict[str, tuple[T.DataType, pa.DataType]], answers: Callable[[dict], list[tuple]], readers: int, per_second: float = 0) -> DataFrame:
+    """Each row beside each of its answers, a tuple of the extra columns' values. Rows stay in Arrow, so a null
+    beside large whole numbers changes neither; the readers share one rate."""
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(n, kind) for n, (kind, _) in extra.items())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pace = Pace(per_second, readers)
+        for b in batches:
+            for at in range(0, b.num_rows, AT_ONCE):
+                part = b.slice(at, AT_ONCE)
+                own, made = [], []
+                for i, row in enumerate(part.to_pylist()):
+                    pace()
+                    found = answers(row)
+                    own += [i] * len(found)
+                    made += found
+                columns = zip(*made) if made else [[]] * len(extra)
+                arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, extra.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(own, pa.int64())) for c in part.columns), *arrays], names=schema.names)
+
+    return rows.repartition(readers).mapInArrow(run, schema)
 
 
 def lookup(keys: DataFrame, call: Callable[[dict], object], readers: int = 3, every: int = 10, pause: float = 0.0) -> DataFrame:
     """keys with (reply, error): the JSON of call(row), null reply without error if there is none (404).
 
-    `readers` partitions call at the same time; after each `every` calls a task sleeps `pause` seconds.
+    `readers` partitions call at the same time, all together at most `every` times in `pause` seconds.
     """
-    names = keys.columns
-    schema = T.StructType([*keys.schema.fields, T.StructField("reply", T.StringType()), T.StructField("error", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        done = 0
-        for b in batches:
-            replies, errors = [], []
-            for row in b[names].to_dict("records"):
-                try:
-                    got = call(row)
-                    replies.append(None if got is None else json.dumps(got, ensure_ascii=False))
-                    errors.append(None)
-                except Exception as e:  # kept with its key, the other rows go on
-                    replies.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-                done += 1
-                if pause and done % every == 0:
-                    time.sleep(pause)
-            yield b.assign(reply=replies, error=errors)
-
-    return keys.repartition(readers).mapInPandas(run, schema)
+    def answers(row: dict) -> list[tuple]:
+        try:
+            got = call(row)
+            return [(None if got is None else json.dumps(got, ensure_ascii=False), None)]
+        except Exception as e:  # kept with its key, the other rows go on
+            return [(None, f"{type(e).__name__}: {e}")]
+
+    return _called(keys, {"reply": (T.StringType(), TEXT), "error": (T.StringType(), TEXT)}, answers, readers, every / pause if pause else 0)
 
 
 def paged_lookup(keys: DataFrame, get: Callable[[str, dict], dict], path: str, param: str, key: str, size: int = 25, readers: int = 3) -> DataFrame:
@@ -48,35 +62,27 @@ def paged_lookup(keys: DataFrame, get: Callable[[str, dict], dict], path: str, p
 
     A key whose call fails gives one row with the error.
     """
-    kind = keys.schema[key].dataType
-    schema = T.StructType([T.StructField(key, kind), T.StructField("raw_json", T.StringType()), T.StructField("error", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for k in b[key].tolist():
-                try:
-                    rows = [(k, json.dumps(r, ensure_ascii=False), None) for r in paginate(get, path, {param: k}, size, codes={429}, attempts=6, wait=60)]
-                except Exception as e:  # kept with its key, the other keys go on
-                    rows = [(k, None, f"{type(e).__name__}: {e}")]
-                yield pd.DataFrame(rows, columns=[key, "raw_json", "error"])
+    def answers(row: dict) -> list[tuple]:
+        try:
+            return [(json.dumps(r, ensure_ascii=False), None) for r in paginate(get, path, {param: row[key]}, size, codes={429}, attempts=6, wait=60)]
+        except Exception as e:  # kept with its key, the other keys go on
+            return [(None, f"{type(e).__name__}: {e}")]
 
-    return keys.select(key).repartition(readers).mapInPandas(run, schema)
+    return _called(keys.select(key), {"raw_json": (T.StringType(), TEXT), "error": (T.StringType(), TEXT)}, answers, readers)
 
 
 def downloads(files: DataFrame, fetch: Callable[[dict], tuple[bytes, str]], readers: int = 3) -> DataFrame:
     """files with (content, extension, error): fetch(row) -> (bytes, content type), the extension by the type, '.pdf' by default."""
-    schema = T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("content_type", T.StringType()), T.StructField("error", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for row in b.to_dict("records"):
-                try:
-                    got = (*fetch(row), None)
-                except Exception as e:  # kept with its file, the others go on
-                    got = (None, None, f"{type(e).__name__}: {e}")
-                yield pd.DataFrame([{**row, **dict(zip(("content", "content_type", "error"), got))}])
-
-    found = files.repartition(readers).mapInPandas(run, schema)
+    def answers(row: dict) -> list[tuple]:
+        try:
+            return [(*fetch(row), None)]
+        except Exception as e:  # kept with its file, the others go on
+            return [(None, None, f"{type(e).__name__}: {e}")]
+
+    extra = {"content": (T.BinaryType(), BYTES), "content_type": (T.StringType(), TEXT), "error": (T.StringType(), TEXT)}
+    found = _called(files, extra, answers, readers)
     return found.withColumn("extension", F.when(F.col("error").isNull(), extension_of(F.col("content_type")))).drop("content_type")
 
 

@@ -34,12 +34,12 @@ def test_retry():
             raise ConnectionError("lost")
         return {"ok": 1}
 
-    assert rest.with_retry(call, sleep=waits.append) == {"ok": 1} and waits == [4, 8]
+    assert rest.with_retry(call, sleep=waits.append) == {"ok": 1} and waits == [4, 4]
     limit = urllib.error.HTTPError("u", 429, "slow", {"Retry-After": "7"}, None)
     waits.clear()
     with pytest.raises(urllib.error.HTTPError):
         rest.with_retry(lambda: (_ for _ in ()).throw(limit), sleep=waits.append)
-    assert waits == [7, 4, 7, 8, 7, 16, 7, 32]
+    assert waits == [7, 4, 7, 4, 7, 8, 7, 16]
     waits.clear()
     with pytest.raises(urllib.error.HTTPError):
         rest.with_retry(lambda: (_ for _ in ()).throw(limit), sleep=waits.append, codes={429}, attempts=3)
