@@ -57,6 +57,27 @@ def renewal_delta(start: Column, end: Column, category: Column) -> tuple[Column,
     return F.when(monthly, 1).otherwise(months), F.when(monthly, 0).otherwise(days)
 
 
+def moved(end: Column, months: Column, k: Column) -> Column:
+    """end moved on k times by so many months, clamped to month ends on the way.
+
+    A day up to the 28th stays; a later one falls to the least last day of the months that are met,
+    which is found within 48 moves, since months and leap years repeat after them (dates from 1901 to 2099).
+    """
+    first = F.trunc(end, "MM")
+    last = F.transform(F.sequence(F.lit(1), F.least(k, F.lit(48))), lambda i: F.day(F.last_day(F.add_months(first, (months * i).cast("int")))))
+    kept = F.when(F.day(end) <= 28, F.day(end)).otherwise(F.least(F.day(end), F.array_min(last)))
+    return F.when(k <= 0, end).otherwise(F.date_add(F.add_months(first, (months * k).cast("int")), kept - 1))
+
+
+def jumped(end: Column, months: Column, days: Column, until: Column, most: Column | None = None) -> Column:
+    """As rolled() with enough steps, or `most` of them, where either months or days is 0: by arithmetic, however far."""
+    limit = (lambda k: k) if most is None else (lambda k: F.least(k, most))
+    by_days = F.date_add(end, (days * limit(F.ceil(F.greatest(F.lit(0), F.datediff(until, end)) / F.greatest(days, F.lit(1))))).cast("int"))
+    whole = F.greatest(F.lit(0), F.ceil(month_boundaries(end, until) / F.greatest(months, F.lit(1)))).cast("int")
+    need = F.when(end >= until, 0).when(moved(end, months, whole) >= until, whole).otherwise(whole + 1)  # month `whole` is until's or later
+    return F.when(months == 0, by_days).otherwise(moved(end, months, limit(need)))
+
+
 def rolled(end: Column, months: Column, days: Column, until: Column, steps: Column) -> Column:
     """end moved on step by step, clamped to month ends on the way, while before `until`."""
     move = lambda e, _: F.when(e < until, F.date_add(F.add_months(e, months), days)).otherwise(e)
@@ -64,16 +85,25 @@ def rolled(end: Column, months: Column, days: Column, until: Column, steps: Colu
 
 
 def roll_forward(end: Column, months: Column, days: Column, as_of: Column) -> Column:
-    """The first end on or after as_of; null if the delta isn't positive."""
+    """The first end on or after as_of; null if the delta isn't positive.
+
+    Terms of whole months or of days alone are moved by arithmetic; those of both change the day
+    with each step, and are stepped through: a step is a month or more.
+    """
     need = F.greatest(F.lit(0), F.datediff(as_of, end))
     pace = 28 * months + days
     steps = 1 + F.ceil(need / F.greatest(F.lit(1), pace)).cast("int")
-    return F.when(pace > 0, rolled(end, months, days, as_of, steps))
+    return F.when(pace > 0, F.when(_plain(months, days), jumped(end, months, days, as_of)).otherwise(rolled(end, months, days, as_of, steps)))
+
+
+def _plain(months: Column, days: Column) -> Column:
+    return ((months == 0) & (days > 0)) | ((months > 0) & (days == 0))
 
 
 def notice_end(end: Column, months: Column, days: Column, as_of: Column, notice: Column) -> Column:
     """The rolled end that leaves `notice` months from as_of, after STEPS steps at most."""
-    return rolled(end, months, days, F.add_months(as_of, notice), F.lit(STEPS))
+    until = F.add_months(as_of, notice)
+    return F.when(_plain(months, days), jumped(end, months, days, until, F.lit(STEPS))).otherwise(rolled(end, months, days, until, F.lit(STEPS)))
 
 
 def created_on(text: Column) -> Column:

@@ -28,11 +28,12 @@ def has(v: Column, name: str) -> Column:
 
 
 def truthy(v: Column, name: str) -> Column:
-    """False for false, 0 and '', true for other values, null for null or missing."""
+    """False for false, 0, '', [] and {}, true for other values, null for null or missing."""
     own = F.try_variant_get(v, f"$.{name}", "variant")
     kind, plain = F.schema_of_variant(own), field(v, name)
     yes = (
-        F.when(kind == "BOOLEAN", plain == "true").when(kind == "STRING", plain != "").when(kind == "VOID", F.lit(None)).otherwise(F.coalesce(plain.try_cast("double") != 0, F.lit(True)))
+        F.when(kind == "BOOLEAN", plain == "true").when(kind == "STRING", plain != "").when(kind == "VOID", F.lit(None))
+        .when(kind.startswith("ARRAY"), F.try_variant_get(own, "$[0]", "variant").isNotNull()).when(kind.startswith("OBJECT"), kind != "OBJECT<>").otherwise(F.coalesce(plain.try_cast("double") != 0, F.lit(True)))
     )
     return F.when(own.isNotNull(), yes)
 

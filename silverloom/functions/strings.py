@@ -91,6 +91,11 @@ def label_of(code: Column, labels: dict[int, str], default: str = "Unknown") ->
     return out
 
 
+def contract_status(active: Column, cancelled: Column) -> Column:
+    """ACTIVE, CANCELLED or INACTIVE of a contract's flags; an active one is active whether or not it is cancelled, null counts as 0."""
+    return F.when(F.coalesce(active, F.lit(0)) != 0, "ACTIVE").when(F.coalesce(cancelled, F.lit(0)) != 0, "CANCELLED").otherwise("INACTIVE")
+
+
 def names_of(flags: dict[str, Column]) -> Column:
     """The names whose flag is 1, in the order given: the amenities of a room."""
     return F.array_compact(F.array(*[F.when(c == 1, F.lit(n)) for n, c in flags.items()]))

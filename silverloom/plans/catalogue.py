@@ -18,7 +18,8 @@ from silverloom.functions import numbers as N
 from silverloom.functions import strings as S
 from silverloom.operators import profile
 from silverloom.operators import tables as O
-from silverloom.plans import enrichment, entities, extraction, reports
+from silverloom.operators.distinct import distinct_counts, distinct_state
+from silverloom.plans import enrichment, entities, extraction, medallion, reports
 from silverloom.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,10 +41,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from silverloom.plans import runs  # noqa: F401  registers the queries of whole runs
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
 
 
@@ -433,7 +437,12 @@ def buckets(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT o_orderstatus, o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS customers, count(DISTINCT CAST(o_orderdate AS DATE)) AS days FROM orders GROUP BY 1, 2")
 def distinct_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return t(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"), F.count_distinct("o_custkey").alias("customers"), F.count_distinct(day()).alias("days"))
+    """Distinct counts from bitmaps that are built by day and merged, as stored states would be."""
+    by, o = ["o_orderstatus", "o_orderpriority"], t(spark, sf, "orders").withColumn("day", F.datediff(day(), F.lit("1970-01-01")))
+    out = o.groupBy(*by).agg(F.count("*").alias("n"))
+    for name, number in (("customers", "o_custkey"), ("days", "day")):
+        out = out.join(distinct_counts(distinct_state(o, [*by, "day"], F.col(number)), by, name), by)
+    return out
 
 
 @query("SELECT o_orderpriority, count(*) AS n, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS finished, count(CASE WHEN o_totalprice > 100000 THEN 1 END) AS large FROM orders GROUP BY 1")
@@ -636,8 +645,10 @@ def rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn FROM events) SELECT user_id, event_id, event_type, ts FROM r WHERE rn = 1 AND event_type = 'click'""")
 def run_log_current(spark: SparkSession, sf: str) -> DataFrame:
-    """The current state of each run, where it failed."""
-    return O.latest(t(spark, sf, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]).where("event_type = 'click'").select("user_id", "event_id", "event_type", "ts")
+    """The current state of each run, where it failed: events are the run log, a view is a run that goes on."""
+    log = t(spark, sf, "events").select(F.col("user_id").alias("run_id"), "event_id", "event_type", F.when(F.col("event_type") == "view", "running").otherwise("failed").alias("status"), F.col("ts").alias("at"))
+    now = medallion.current_runs(log)
+    return now.where("event_type = 'click'").select(F.col("run_id").alias("user_id"), "event_id", "event_type", F.col("at").alias("ts"))
 
 
 @query("""SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS total, min(n_chars) AS least, max(n_chars) AS most, round(avg(n_chars), 1) AS mean, count(*) FILTER (n_chars < 300) AS review FROM documents GROUP BY 1""")

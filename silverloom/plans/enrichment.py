@@ -149,23 +149,54 @@ def chosen(locations: DataFrame, log: DataFrame, force: bool, ids: list[int] | N
     return own
 
 
+def status_counts(states: DataFrame) -> DataFrame:
+    """(enriched, pending): how many locations are in each state."""
+    return states.agg(F.count_if(F.col("enrichment") == "enriched").alias("enriched"), F.count_if(F.col("enrichment") == "pending").alias("pending"))
+
+
+def _located(locations: DataFrame) -> DataFrame:
+    return locations.select(F.col("source_id").alias("location_source_id"), F.col("name").alias("location_name"), "latitude", "longitude")
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    log = Table(spark, f"{root}/meta/enrichment_log").read()
+    return spark.createDataFrame([], LOG) if log is None else log
+
+
+def _replies(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored replies of a run, None if it has none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark.read.parquet(path) if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop) else None
+
+
+def dry_run(spark: SparkSession, locations: DataFrame, root: str, force: bool = False, ids: list[int] | None = None) -> DataFrame:
+    """(location_source_id, location_name, calls): what a run would enrich, and the calls that it would make; nothing is called or written."""
+    todo = chosen(_located(locations), _log(spark, root), force, ids)
+    calls = search_plan(todo, searches(spark)).groupBy("location_source_id").agg(F.count("*").alias("calls"))
+    return todo.select("location_source_id", "location_name").join(calls, "location_source_id", "left").fillna(0, ["calls"])
+
+
 def enrich(spark: SparkSession, locations: DataFrame, call: Callable[[dict], object], root: str, run_id: str, force: bool = False, ids: list[int] | None = None, readers: int = 3, pause: float = 1.0) -> dict[str, int]:
     """Enrich silver locations (source_id, name, latitude, longitude): {enriched, skipped, failed}.
 
     call gets a row (kind, category, type, radius, max_results, latitude, longitude, ...) and returns
-    the service's reply. Replies are stored by run_id before anything is made of them, so no call is
-    made twice; a run that is repeated replaces its own. skipped: locations that have been enriched.
+    the service's reply. Replies are stored by run_id before anything is made of them. A run that is
+    repeated, after a failure or not, makes only the calls that have no reply yet, writes the rows and
+    log entries of all its locations once more, and so mends what was left half done.
+    skipped: locations that other runs have enriched.
     """
     log_table = Table(spark, f"{root}/meta/enrichment_log")
-    log = log_table.read()
-    log = spark.createDataFrame([], LOG) if log is None else log
-    own = locations.select(F.col("source_id").alias("location_source_id"), F.col("name").alias("location_name"), "latitude", "longitude")
+    log = _log(spark, root)
+    own = _located(locations)
     usable = own.where("latitude is not null and longitude is not null")
-    todo = chosen(own, log, force, ids)
+    todo = chosen(own, log.where(F.col("id") != run_id), force, ids)
     at, path = F.current_timestamp(), f"{root}/landing/places/{run_id}"
-    plan = search_plan(todo, searches(spark))
-    lookup(plan, call, readers, pause=pause).withColumn("started_at", at).write.mode("overwrite").parquet(path)
-    replies = spark.read.parquet(path)
+    plan, call_of = search_plan(todo, searches(spark)), ["location_source_id", "kind", "ordinal"]
+    stored = _replies(spark, path)
+    left = plan if stored is None else missing(plan, stored.where("error is null"), call_of)
+    lookup(left, call, readers, pause=pause).withColumn("started_at", at).write.mode("append").parquet(path)
+    replies = latest(_replies(spark, path), call_of, [F.col("error").isNotNull().asc(), F.desc("started_at"), F.col("reply")])
+    replies = replies.join(todo.select("location_source_id"), "location_source_id", "left_semi")
     errors = replies.where("error is not null").groupBy("location_source_id").agg(F.min("error").alias("error_message"))
     nowhere = missing(todo, search_plan(todo, searches(spark)).select("location_source_id"), ["location_source_id"])
     errors = errors.unionByName(nowhere.select("location_source_id", F.lit("no coordinates").alias("error_message")))
@@ -193,6 +224,7 @@ def enrich(spark: SparkSession, locations: DataFrame, call: Callable[[dict], obj
         "location_source_id", "location_name", F.when(ok, "success").otherwise("failed").alias("status"), *[F.when(ok, F.coalesce(c, F.lit(0))).cast("long").alias(c) for c in ("pois_found", "transit_found")],
         "error_message", F.coalesce("started_at", at).alias("started_at"), at.alias("finished_at"), F.lit(run_id).alias("id"),
     )
-    done = log_table.write(log.where(F.col("id") != run_id).unionByName(entry)).where(F.col("id") == run_id)
+    earlier = log.where(F.col("id") != run_id).unionByName(missing(log.where(F.col("id") == run_id), entry, ["location_source_id"]))
+    done = log_table.write(earlier.unionByName(entry)).where(F.col("id") == run_id)
     n = {r.status: r["count"] for r in done.groupBy("status").count().collect()}
     return {"enriched": n.get("success", 0), "skipped": usable.count() - done.join(usable, "location_source_id", "left_semi").count(), "failed": n.get("failed", 0)}

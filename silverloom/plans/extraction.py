@@ -11,12 +11,14 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.functions import json as J
 from silverloom.functions.strings import classify_renewal, stem_parts
 from silverloom.operators.tables import missing
+from silverloom.sources.documents import read_documents, write_documents
+from silverloom.sources.files import AGREEMENT
 
 #: Documents of fewer pages are new ones; what holds for these.
 NEW_BELOW = 10
@@ -101,6 +103,27 @@ def agreements(replies: DataFrame) -> DataFrame:
     )
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """Documents as (name, json): the scan's stem and the document, as one file each."""
+    return docs.select(F.regexp_extract("pdf_path", r"([^/]*?)(\.[^./]*)?$", 1).alias("name"), F.to_json(F.struct(*docs.columns)).alias("json"))
+
+
+def extract_new(spark: SparkSession, scans: DataFrame, path: str, pages: Callable[[bytes], int], ask: Callable[[bytes, int, str], str], again: bool = False) -> dict[str, int]:
+    """Read the scans without a document under path and write one JSON file each: {processed, skipped, failed}.
+
+    What is there isn't read again, so a run that was stopped goes on; with `again` long documents that
+    lack the section are read once more and replaced. A scan that fails has no document, and the others go on.
+    """
+    done = read_documents(spark, path).select(F.from_json("json", AGREEMENT).alias("d")).select("d.pdf_path", "d.contract_type", "d.section_5_found_on_page")
+    todo = not_yet_read(scans, done, again)
+    replies = page_replies(todo, pages, ask).persist()
+    new = agreements(replies)
+    n, failed = todo.count(), replies.where("error is not null").select("path").distinct().count()
+    write_documents(named(new), path)
+    replies.unpersist()
+    return {"processed": n - failed, "skipped": scans.count() - n, "failed": failed}
+
+
 def not_yet_read(scans: DataFrame, done: DataFrame, again: bool = False) -> DataFrame:
     """Scanned files without a document in done (pdf_path); with `again` also those whose long document lacks the section."""
     if again:

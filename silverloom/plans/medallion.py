@@ -23,7 +23,7 @@ from silverloom.sources.files import write_snapshot
 from silverloom.sources.lookups import lookup, resource_pairs, split_errors
 from silverloom.sources.rest import PagedRest
 
-RUN_SCHEMA = "run_id string, source string, entity string, layer string, triggered_by string, status string, rows_read long, rows_written long, error string, at timestamp"
+RUN_SCHEMA = "run_id string, source string, entity string, layer string, triggered_by string, metadata string, status string, rows_read long, rows_written long, rows_skipped long, error string, at timestamp"
 
 
 @dataclass(frozen=True)
@@ -72,15 +72,15 @@ class Table:
 
 
 class RunTracker:
-    """Context manager that appends a 'running' event and then 'success' or 'failed'; errors pass on."""
+    """Context manager that appends a 'running' event and then 'success' or 'failed'; errors pass on. metadata: any text, as the run that caused this one."""
 
-    def __init__(self, spark: SparkSession, path: str, source: str, entity: str, layer: str, triggered_by: str = "cron") -> None:
+    def __init__(self, spark: SparkSession, path: str, source: str, entity: str, layer: str, triggered_by: str = "cron", metadata: str | None = None) -> None:
         self.spark, self.path = spark, path
-        self.row = {"run_id": str(uuid.uuid4()), "source": source, "entity": entity, "layer": layer, "triggered_by": triggered_by}
-        self.rows_read = self.rows_written = 0
+        self.row = {"run_id": str(uuid.uuid4()), "source": source, "entity": entity, "layer": layer, "triggered_by": triggered_by, "metadata": metadata}
+        self.rows_read = self.rows_written = self.rows_skipped = 0
 
     def _event(self, status: str, error: str | None = None) -> None:
-        row = [*self.row.values(), status, self.rows_read, self.rows_written, error]
+        row = [*self.row.values(), status, self.rows_read, self.rows_written, self.rows_skipped, error]
         df = self.spark.createDataFrame([tuple(row)], RUN_SCHEMA.rsplit(",", 1)[0])
         df.withColumn("at", F.current_timestamp()).write.mode("append").parquet(self.path)
 
@@ -136,7 +136,7 @@ def run_bronze(spark: SparkSession, entity: str, records: DataFrame, root: str,
     A run that is repeated replaces its own rows.
     """
     at = F.lit(time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())).cast("timestamp")
-    with RunTracker(spark, f"{root}/meta/sync_runs", source, entity, "bronze") as run:
+    with RunTracker(spark, f"{root}/meta/sync_runs", source, entity, "bronze", metadata=run_id) as run:
         write_snapshot(records, f"{root}/landing", source, entity, run_id, at)
         rows = entities.bronze_rows(records, run_id, at, ENTITIES[entity].keys)
         target = f"{root}/bronze/{entity}/{run_id}"

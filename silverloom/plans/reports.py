@@ -104,16 +104,41 @@ def notice_periods(docs: DataFrame, contracts: DataFrame, products: DataFrame, t
 ROOMS = (4, 5)
 
 
+#: Characters of a piece by which names are looked for in lists.
+GRAM = 3
+
+
+def named_types(types: DataFrame, lists: DataFrame) -> DataFrame:
+    """(location, kind, names): the types beside the lists of their location that hold them as a substring.
+
+    types (location, kind) and lists (location, names) are distinct. A type's first characters are joined
+    with all pieces of the lists, and only these pairs are compared, so no task gets a location as a whole.
+    """
+    first = types.where("kind is not null").withColumn("gram", F.left("kind", F.lit(GRAM)))
+
+    def pieces(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("names") - n + 1)), lambda i: F.substring(F.col("names"), i, F.lit(n)))
+
+    grams = F.array_distinct(F.concat(F.array(F.lit("")), *[pieces(n) for n in range(1, GRAM + 1)]))
+    pairs = first.join(lists.where("names is not null").withColumn("gram", F.explode(grams)), ["location", "gram"])
+    return pairs.where(F.contains("names", F.col("kind"))).select("location", "kind", "names")
+
+
 def fitting(rooms: DataFrame, services: DataFrame, how: str) -> DataFrame:
     """Rooms r beside the services s of their location that name the room's type, or no type.
 
-    The match on the name is a substring test on the joined rows of a location; a null type
-    matches only services for all types.
+    A null type matches only services for all types. Each type of a location is held against each
+    list of names once, whatever the number of rooms and services that have them; rooms are then
+    joined by location and type, a key that Spark can split where it is skewed.
     """
-    s, r = services.alias("s"), rooms.alias("r")
-    names = F.col("s.resource_type_names")
-    fits = names.isNull() | names.contains(F.col("r.resource_type_name"))
-    return r.join(s, (F.col("r.location_source_id") == F.col("s.location_source_id")) & fits, how)
+    types = rooms.select(F.col("location_source_id").alias("location"), F.col("resource_type_name").alias("kind")).distinct().where("location is not null")
+    lists = services.select(F.col("location_source_id").alias("location"), F.col("resource_type_names").alias("names")).distinct()
+    pairs = named_types(types, lists).unionByName(types.join(lists.where("names is null"), "location"))
+    own = services.withColumns({"location": F.col("location_source_id"), "names": F.col("resource_type_names")})
+    same = pairs.withColumnsRenamed({"location": "p_location", "names": "p_names"})
+    s = own.join(same, (F.col("location") == F.col("p_location")) & F.col("names").eqNullSafe(F.col("p_names")))
+    s, r = s.drop("location", "names", "p_location", "p_names").alias("s"), rooms.alias("r")
+    return r.join(s, (F.col("r.location_source_id") == F.col("s.location_source_id")) & F.col("r.resource_type_name").eqNullSafe(F.col("s.kind")), how)
 
 
 def room_prices(products: DataFrame, services: DataFrame) -> DataFrame:

@@ -27,9 +27,14 @@ def write_snapshot(records: DataFrame, path: str, source: str, entity: str, run_
     return target
 
 
+def file_name() -> Column:
+    """The name of a row's file as it is on the store; Spark's metadata percent-encodes it."""
+    return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+
+
 def read_agreements(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
     """Extracted agreement documents, one JSON file each, summaries left out; optionally of one contract type."""
-    docs = spark.read.schema(AGREEMENT).option("multiLine", True).json(path).withColumn("file_name", F.col("_metadata.file_name"))
+    docs = spark.read.schema(AGREEMENT).option("multiLine", True).json(path).withColumn("file_name", file_name())
     docs = docs.where(~F.col("file_name").contains("summary"))
     return docs if kind is None else docs.where(F.col("contract_type") == kind)
 
