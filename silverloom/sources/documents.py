@@ -35,7 +35,7 @@ class Written(WriterCommitMessage):
 
 
 class JsonDocuments(DataSource):
-    """Columns name, the file's name without '.json', and json, its text; a null text is an empty file. Names mustn't hold '/'."""
+    """Columns name, the file's name without '.json', and json, its text; a null or empty text is the JSON null. Names mustn't hold '/'."""
 
     @classmethod
     def name(cls) -> str:
@@ -62,7 +62,7 @@ class DocumentWriter(DataSourceWriter):
             if not n:
                 fs.create_dir(f"{root}/.{self.run}/{folder}", recursive=True)
             with fs.open_output_stream(f"{root}/.{self.run}/{folder}/{name}.json") as out:
-                out.write((text or "").encode())
+                out.write((text or "null").encode())
             n += 1
         return Written(folder, n)
 
