@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,18 +24,27 @@ def parse_date(text: Column) -> Column:
     What fits no format is a date only if it is three whole numbers between '/', '.' or '-'. Years
     of two digits are 1969 to 2068 in a format, 2000 to 2099 where a day is clamped.
     """
-    head = F.trim(F.regexp_replace(text, r"(?s)([,;]|\s+then\b).*$", ""))
-    exact = [F.try_to_timestamp(head, F.lit(f)).cast("date") for f in FORMATS]
-    exact = F.coalesce(*[F.when(F.year(e) >= 2069, F.add_months(e, -1200)).otherwise(e) if f.endswith("/yy") or f.endswith(".yy") else e for e, f in zip(exact, FORMATS)])
-    parts = F.split(head, r"[/.\-]")
-    a, b, c = (F.when(F.size(parts) == 3, F.trim(F.get(parts, F.lit(i)))).try_cast("int") for i in range(3))
-    year_first = a > 31
-    y, m, d = F.when(year_first, a).otherwise(c), b, F.when(year_first, c).otherwise(a)
-    y = F.when(y < 100, y + 2000).otherwise(y)
-    fits = m.between(1, 12) & (y > 1900) & (y < 10000) & (d >= 1)
-    first = F.make_date(F.when(fits, y), F.when(fits, m), F.lit(1))
-    clamped = F.date_add(first, F.least(d, F.day(F.last_day(first))) - 1)
-    return F.when(head.rlike(r"\d"), F.coalesce(exact, clamped))
+
+    def whole(x: Column) -> Column:
+        """The date of three numbers, its day clamped."""
+        year_first = x["a"] > 31
+        y, m, d = F.when(year_first, x["a"]).otherwise(x["c"]), x["b"], F.when(year_first, x["c"]).otherwise(x["a"])
+        return _bound(clamped, y=F.when(y < 100, y + 2000).otherwise(y), m=m, d=d)
+
+    def clamped(x: Column) -> Column:
+        fits = x["m"].between(1, 12) & (x["y"] > 1900) & (x["y"] < 10000) & (x["d"] >= 1)
+        first = F.make_date(F.when(fits, x["y"]), F.when(fits, x["m"]), F.lit(1))
+        return F.date_add(first, F.least(x["d"], F.day(F.last_day(first))) - 1)
+
+    def of(x: Column) -> Column:
+        head = x["head"]
+        exact = [F.try_to_timestamp(head, F.lit(f)).cast("date") for f in FORMATS]
+        exact = F.coalesce(*[F.when(F.year(e) >= 2069, F.add_months(e, -1200)).otherwise(e) if f.endswith("/yy") or f.endswith(".yy") else e for e, f in zip(exact, FORMATS)])
+        parts = F.split(head, r"[/.\-]")
+        a, b, c = (F.when(F.size(parts) == 3, F.trim(F.get(parts, F.lit(i)))).try_cast("int") for i in range(3))
+        return F.when(head.rlike(r"\d"), F.coalesce(exact, _bound(whole, a=a, b=b, c=c)))
+
+    return _bound(of, head=F.trim(F.regexp_replace(text, r"(?s)([,;]|\s+then\b).*$", "")))
 
 
 def month_boundaries(a: Column, b: Column) -> Column:
@@ -90,10 +101,20 @@ def roll_forward(end: Column, months: Column, days: Column, as_of: Column) -> Co
     Terms of whole months or of days alone are moved by arithmetic; those of both change the day
     with each step, and are stepped through: a step is a month or more.
     """
-    need = F.greatest(F.lit(0), F.datediff(as_of, end))
-    pace = 28 * months + days
-    steps = 1 + F.ceil(need / F.greatest(F.lit(1), pace)).cast("int")
-    return F.when(pace > 0, F.when(_plain(months, days), jumped(end, months, days, as_of)).otherwise(rolled(end, months, days, as_of, steps)))
+
+    def of(x: Column) -> Column:
+        pace = 28 * x["months"] + x["days"]
+        need = F.greatest(F.lit(0), F.datediff(x["until"], x["end"]))
+        steps = 1 + F.ceil(need / F.greatest(F.lit(1), pace)).cast("int")
+        own = x["end"], x["months"], x["days"], x["until"]
+        return F.when(pace > 0, F.when(_plain(*own[1:3]), jumped(*own)).otherwise(rolled(*own, steps)))
+
+    return _bound(of, end=end, months=months, days=days, until=as_of)
+
+
+def _bound(of: Callable[[Column], Column], **values: Column) -> Column:
+    """of() a struct of the values, each of which is computed once and named, so that expressions made of expressions stay small."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(n) for n, v in values.items()])), of), F.lit(0))
 
 
 def _plain(months: Column, days: Column) -> Column:
@@ -102,8 +123,12 @@ def _plain(months: Column, days: Column) -> Column:
 
 def notice_end(end: Column, months: Column, days: Column, as_of: Column, notice: Column) -> Column:
     """The rolled end that leaves `notice` months from as_of, after STEPS steps at most."""
-    until = F.add_months(as_of, notice)
-    return F.when(_plain(months, days), jumped(end, months, days, until, F.lit(STEPS))).otherwise(rolled(end, months, days, until, F.lit(STEPS)))
+
+    def of(x: Column) -> Column:
+        own = x["end"], x["months"], x["days"], x["until"]
+        return F.when(_plain(*own[1:3]), jumped(*own, F.lit(STEPS))).otherwise(rolled(*own, F.lit(STEPS)))
+
+    return _bound(of, end=end, months=months, days=days, until=F.add_months(as_of, notice))
 
 
 def created_on(text: Column) -> Column:

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.functions import dates as D
+from silverloom.functions import json as J
 from silverloom.functions import strings as S
 
-from silverloom.plans import enrichment, entities, extraction, medallion
-from silverloom.plans.catalogue import SQL, _split_orders, day, query, t
+from silverloom.plans import enrichment, entities, extraction, medallion, reports
+from silverloom.plans.catalogue import AS_OF, CONTRACTS, NOTICE, NOTICE_SQL, SQL, TERMS, _split_orders, _terms, contracts, day, query, t
 from silverloom.session import scratch
 from silverloom.sources import files, rest
 from silverloom.sources.documents import read_documents, write_documents
@@ -317,3 +318,36 @@ def roll_forward_days(spark: SparkSession, sf: str) -> DataFrame:
 def enrichment_counts(spark: SparkSession, sf: str) -> DataFrame:
     log = t(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("location_source_id"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("finished_at"))
     return enrichment.status_counts(enrichment.status(t(spark, sf, "customer").select(F.col("c_custkey").alias("location_source_id")), log))
+
+
+#: What the notice report says of agreements that are orders (see TERMS): capacity is that of the customer's last valid contract.
+REPORT = TERMS + ", " + CONTRACTS.removeprefix("WITH ") + f""", cap AS (SELECT w.coworker_id, desks AS desk_ids, CASE WHEN desks IS NULL THEN 0 ELSE (SELECT CAST(sum(p_size) AS BIGINT) FROM part WHERE p_partkey IN (1, 2)) END AS capacity FROM w WHERE rl = 1),
+b AS (SELECT f.*, o_custkey, date_diff('month', s, DATE '1997-06-15') AS n, coalesce(capacity, 0) AS desks, coalesce(desk_ids, '') AS desk_ids, cap.coworker_id IS NOT NULL AS has FROM f JOIN orders USING (o_orderkey) LEFT JOIN cap ON cap.coworker_id = o_custkey),
+t AS (SELECT *, n - CASE WHEN CAST(s + to_months(CAST(n AS INT)) AS DATE) > DATE '1997-06-15' AND s <= DATE '1997-06-15' THEN 1 ELSE 0 END + CASE WHEN s > DATE '1997-06-15' AND CAST(s + to_months(CAST(n AS INT)) AS DATE) < DATE '1997-06-15' THEN 1 ELSE 0 END AS whole FROM b),
+l AS (SELECT t.*, coalesce(label, 'N/A') AS notice_label FROM t LEFT JOIN ({NOTICE_SQL}) k ON ten = CASE WHEN whole <= 11 THEN '1-11 months' WHEN whole <= 23 THEN '12-23 months' ELSE '24+ months' END AND cap = CASE WHEN desks <= 24 THEN '0-24' WHEN desks <= 74 THEN '25-74' ELSE '75+' END),
+g AS (SELECT *, coalesce(try_cast(nullif(regexp_extract(notice_label, '^([0-9]+) *month', 1), '') AS INT), 0) AS notice FROM l),
+q AS (SELECT o_orderkey, m, d, notice, rolled AS e, 0 AS k FROM g UNION ALL SELECT o_orderkey, m, d, notice, CAST(e + to_months(CAST(m AS INT)) AS DATE) + CAST(d AS INT), k + 1 FROM q WHERE e < DATE '1997-06-15' + to_months(notice) AND k < 120),
+last AS (SELECT o_orderkey, max(e) AS real_end FROM q GROUP BY 1)
+SELECT 'f' || g.o_orderkey AS membership_agreement_id, CAST(o_custkey AS VARCHAR) AS coworker_id, CASE WHEN has THEN 'Town' ELSE '' END AS location_name, desk_ids AS contract_floor_plan_desk_ids, desks AS capacity,
+ CASE WHEN g.o_orderkey % 2 = 0 THEN 'monthly' ELSE 'same_period | its own term' END AS renewal_system, s AS start_date, real_end AS real_end_date, notice_label AS notice_period, whole AS tenure_months,
+ date_diff('month', s, real_end) - CASE WHEN CAST(s + to_months(CAST(date_diff('month', s, real_end) AS INT)) AS DATE) > real_end THEN 1 ELSE 0 END AS total_tenure_months FROM g JOIN last USING (o_orderkey)"""
+
+
+@query(REPORT)
+def notice_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report on agreement files: each order an agreement of its customer, written as JSON, one file each, and read back."""
+    terms = _terms(spark, sf).join(t(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    text = lambda c: F.date_format(c, "yyyy-MM-dd")
+    renewal = F.when(F.col("category") == "monthly", F.to_variant_object(F.struct(F.lit("monthly").alias("category")))).otherwise(F.to_variant_object(F.struct(F.lit("same_period").alias("category"), F.lit("its own term").alias("raw_text"))))
+    raw = terms.select(F.to_json(F.struct(
+        F.col("o_custkey").cast("string").alias("coworker_id"), F.lit("n").alias("coworker_name"), F.concat(F.lit("f"), "o_orderkey").alias("file_id"), F.lit("old").alias("contract_type"),
+        F.struct(text("s").alias("start_date"), text("e").alias("end_date")).alias("page_1"), renewal.alias("renewal_system"), J.constant(NOTICE).alias("termination_notice_table"),
+    )).alias("json"))
+    docs = raw.select(F.from_json("json", files.AGREEMENT).alias("d")).select("d.*")
+    own = contracts(spark, sf).withColumn("location_name", F.lit("Town"))
+    products = t(spark, sf, "part").select(F.col("p_partkey").alias("source_id"), F.col("p_size").alias("capacity"))
+    out = reports.notice_periods(docs, own, products, "urgent", F.lit(AS_OF))
+    return out.select(
+        "membership_agreement_id", "coworker_id", "location_name", "contract_floor_plan_desk_ids", F.col("capacity").cast("bigint").alias("capacity"), "renewal_system", "start_date", "real_end_date", "notice_period",
+        F.col("tenure_months").cast("bigint").alias("tenure_months"), F.col("total_tenure_months").cast("bigint").alias("total_tenure_months"),
+    )
