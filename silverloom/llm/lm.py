@@ -65,22 +65,24 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def frequent(counts: DataFrame, most: int = HELD) -> list[tuple[bytes, int]]:
-    """The most frequent words with their counts, in order: at most `most`, and all down to some count.
+    """The most frequent words with their counts, in order: `most` of them, or all if there are fewer.
 
-    Counts are put in steps of about one in a hundred; whole steps are taken while they fit, so
-    neither the few thousand sums of the steps nor the words that the driver gets grow with the input.
+    Counts are put in steps of about one in a hundred; whole steps are taken while they fit, then the first
+    words of the next one. Neither the few thousand sums of the steps nor the words that the driver gets
+    grow with the input.
     """
     step = F.floor(F.log2("n") * 64).cast("int")
     sums = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
-    taken, least = 0, None
+    taken, whole, part = 0, [], None
     for s, n in sums:
         if taken + n > most:
+            part = s
             break
-        taken, least = taken + n, s
-    if least is None:
-        return []
-    rows = counts.where(step >= least).select("word", "n").toPandas()
-    return sorted(((bytes(w), int(n)) for w, n in zip(rows["word"], rows["n"])), key=lambda r: (-r[1], r[0]))
+        taken, whole = taken + n, [*whole, s]
+    rows = counts.where(step >= min(whole)).select("word", "n").collect() if whole else []
+    if part is not None and taken < most:
+        rows += counts.where(step == part).select("word", "n").orderBy(F.desc("n"), "word").limit(most - taken).collect()
+    return sorted(((bytes(w), int(n)) for w, n in rows), key=lambda r: (-r[1], r[0]))
 
 
 def spelling(words: list[bytes]) -> np.ndarray:

@@ -7,7 +7,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from silverloom.llm import embedjoin, htmltext, packing, queries, urlfilter
+from silverloom.llm import embedjoin, htmltext, lm, packing, queries, urlfilter
 
 
 @pytest.mark.parametrize(
@@ -73,6 +73,15 @@ def test_large_ids_beside_nulls(spark):
     assert Counter(r.shard for r in got) == Counter(ids) and len({r.ids_crc32 for r in got}) == len(ids)
 
 
+def test_frequent_words_fill_up(spark):
+    """A step of counts that doesn't fit gives its first words, whatever its size."""
+    counts = spark.createDataFrame([(f"w{i:03d}".encode(), 7 if i < 300 else 1000 + i % 2) for i in range(310)], "word binary, n long").repartition(4)
+    want = sorted(((r.word, r.n) for r in counts.collect()), key=lambda r: (-r[1], bytes(r[0])))
+    for most in (0, 3, 10, 100, 310, 1000):
+        assert lm.frequent(counts, most) == [(bytes(w), n) for w, n in want[:most]]
+    assert lm.frequent(counts.where("n = 7"), 50) == [(f"w{i:03d}".encode(), 7) for i in range(50)]
+
+
 def test_names_that_clash(spark):
     vectors = [(i, [1.0, i / 10, 0.0], 1, 1, 2, 3, 4) for i in range(6)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int, cells int, salt int, a int, b int")
