@@ -49,17 +49,24 @@ EXCLUDING = ("locations", "products")
 
 
 class Table:
-    """A versioned Parquet table; the list of versions is read with Spark, so any store will do."""
+    """A versioned Parquet table; the list of versions is read with Spark, so any store will do.
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+    One writer at a time: of two that write at once the later one fails, since its version is there. The
+    last `keep` versions stay, for readers that have begun.
+    """
 
-    def version(self) -> int:
+    def __init__(self, spark: SparkSession, path: str, keep: int = 5) -> None:
+        self.spark, self.path, self.keep = spark, path, keep
+
+    def versions(self) -> list[int]:
+        """The numbers of the versions that were written whole, in order."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         root = hadoop.Path(self.path)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = [int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if fs.exists(hadoop.Path(s.getPath(), "_SUCCESS"))] if fs.exists(root) else []
-        return max(done, default=0)
+        return sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if fs.exists(hadoop.Path(s.getPath(), "_SUCCESS"))) if fs.exists(root) else []
+
+    def version(self) -> int:
+        return max(self.versions(), default=0)
 
     def read(self) -> DataFrame | None:
         n = self.version()
@@ -68,6 +75,10 @@ class Table:
     def write(self, df: DataFrame) -> DataFrame:
         to = f"{self.path}/v{self.version() + 1}"
         df.write.parquet(to)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for n in self.versions()[: -self.keep]:
+            old = hadoop.Path(f"{self.path}/v{n}")
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
         return self.spark.read.parquet(to)
 
 

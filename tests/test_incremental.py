@@ -248,6 +248,15 @@ def test_profile_states_are_bounded(spark):
     assert got[0, "deep.list[].k"].n == 1500 and got[0, "deep.list"].samples == ["[list]"] and got[0, "id"].coverage_pct == 100
 
 
+def test_old_versions_go(spark, tmp_path):
+    table = medallion.Table(spark, str(tmp_path / "t"), keep=2)
+    for i in range(4):
+        old = table.read()
+        new = spark.createDataFrame([(i,)], "i int")
+        table.write(new if old is None else old.unionByName(new))
+    assert table.versions() == [3, 4] and sorted(r.i for r in table.read().collect()) == [0, 1, 2, 3]
+
+
 def test_truth_and_status(spark):
     df = spark.createDataFrame([('{"a": [], "b": {}, "c": [0], "d": {"x": null}, "e": null, "f": 0, "g": "", "h": "0", "i": false, "j": 0.5}',)], "raw string")
     v = F.try_parse_json("raw")
