@@ -28,7 +28,7 @@ from silverloom.llm.common import map_texts, materialised
 #: Pieces of a shard: enough that the one open bin a shard may leave doesn't count.
 SHARD = 16_384
 #: Words of a generation that a worker remembers, and their characters at most; bounds of memory, results don't depend on them.
-CACHE, KEPT = 250_000, 64
+CACHE, KEPT = 100_000, 64
 #: Code points below this one are the same kind of character in all Unicode versions.
 LATIN = "\u0250"
 #: Pairs of bins that the local search looks at for each item before it stops.
