@@ -37,6 +37,8 @@ FILTER = (1 << 18, 1 << 21)
 GATHER, TOGETHER = 1_000_000, 1 << 20
 #: Repeated chunks that a bucket has about, if they are many; bytes of a text that weigh like a digest.
 BUCKET, BYTES = 50_000, 32
+#: Bytes of text, of all rows, whose digests are a bucket at most, where texts repeat little.
+TEXT = 128 << 20
 MASK = np.uint64((1 << 64) - 1)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Which bytes are white space; words stand between them.
@@ -429,7 +431,8 @@ def repeated_chunks(df: DataFrame) -> DataFrame:
     """
     own = ["id", "digest"]
     rows = df.where("id is not null and text is not null")
-    parts = 4 * shuffle_partitions(df)
+    held = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(4 * shuffle_partitions(df), held // TEXT)  # a bucket of digests stays small, whatever the session's setting
     again = materialised(repeated_digests(rows, parts))
     shared = df.sparkSession.sparkContext.broadcast(filter_of(again))
     bits = lambda: shared.value
