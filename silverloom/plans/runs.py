@@ -20,7 +20,7 @@ from silverloom.functions import strings as S
 from silverloom.plans import enrichment, entities, extraction, medallion, reports
 from silverloom.plans.catalogue import AS_OF, CONTRACTS, NOTICE, NOTICE_SQL, SQL, TERMS, _split_orders, _terms, contracts, day, query, t
 from silverloom.session import scratch
-from silverloom.sources import files, rest
+from silverloom.sources import files, lookups, rest
 from silverloom.sources.documents import read_documents, write_documents
 from silverloom.sources.hashed import HashedTable
 from silverloom.streaming import newest as N
@@ -351,3 +351,91 @@ def notice_report(spark: SparkSession, sf: str) -> DataFrame:
         "membership_agreement_id", "coworker_id", "location_name", "contract_floor_plan_desk_ids", F.col("capacity").cast("bigint").alias("capacity"), "renewal_system", "start_date", "real_end_date", "notice_period",
         F.col("tenure_months").cast("bigint").alias("tenure_months"), F.col("total_tenure_months").cast("bigint").alias("total_tenure_months"),
     )
+
+
+# --- keyed calls, files, logs ----------------------------------------------------------------
+
+
+@query("SELECT n_nationkey, c_custkey AS source_id, CAST(NULL AS VARCHAR) AS error FROM nation JOIN customer ON c_nationkey = n_nationkey")
+def paged_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """All records of each key from a paged service, the key a parameter of the call."""
+    get = table_client(_service(sf, "customer", {"Id": "c_custkey", "NationId": "c_nationkey"}, 25))
+    found = lookups.paged_lookup(t(spark, sf, "nation").select("n_nationkey"), get, "customers", "NationId", "n_nationkey")
+    return found.select("n_nationkey", F.get_json_object("raw_json", "$.Id").cast("bigint").alias("source_id"), "error")
+
+
+def one_record(row: dict) -> dict | None:
+    """A stand-in for a service of single records: keys 0 mod 5 aren't found, 0 mod 7 fail."""
+    if row["p_partkey"] % 7 == 0:
+        raise RuntimeError(f"down at {row['p_partkey']}")
+    return None if row["p_partkey"] % 5 == 0 else {"Id": row["p_partkey"], "Beside": row["beside"]}
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 3 = 0 THEN 9007199254740993 + p_partkey END END AS beside, CASE WHEN p_partkey % 7 = 0 THEN 'RuntimeError: down at ' || p_partkey END AS error
+FROM part WHERE p_partkey % 7 = 0 OR p_partkey % 5 <> 0""")
+def record_lookups(spark: SparkSession, sf: str) -> DataFrame:
+    """One call a key: replies and errors apart, what isn't found left out; large numbers beside nulls reach the service as they are."""
+    keys = t(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 3 == 0, F.lit(9007199254740993) + F.col("p_partkey")).alias("beside"))
+    ok, bad = lookups.split_errors(lookups.lookup(keys, one_record))
+    ok = ok.select("p_partkey", F.get_json_object("reply", "$.Beside").cast("bigint").alias("beside"), F.lit(None).cast("string").alias("error"))
+    return ok.unionByName(bad.select("p_partkey", F.lit(None).cast("bigint").alias("beside"), "error"))
+
+
+def one_file(row: dict) -> tuple[bytes, str]:
+    if row["s_suppkey"] % 7 == 0:
+        raise RuntimeError("gone")
+    return row["s_name"].encode(), ("image/png", "image/jpeg", "application/pdf", "text/plain")[row["s_suppkey"] % 4]
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 7 <> 0 THEN s_name END AS content, CASE WHEN s_suppkey % 7 <> 0 THEN CASE s_suppkey % 4 WHEN 0 THEN '.png' WHEN 1 THEN '.jpg' WHEN 2 THEN '.pdf' ELSE '.plain' END END AS extension,
+ CASE WHEN s_suppkey % 7 = 0 THEN 'RuntimeError: gone' END AS error FROM supplier""")
+def file_downloads(spark: SparkSession, sf: str) -> DataFrame:
+    found = lookups.downloads(t(spark, sf, "supplier").select("s_suppkey", "s_name"), one_file)
+    return found.select("s_suppkey", F.col("content").cast("string").alias("content"), "extension", "error")
+
+
+@query("SELECT 'silver' AS layer, 'success' AS status, 2 * count(*) FILTER (p_partkey % 4 <> 1) AS rows_written, 'part' AS entity FROM part UNION ALL SELECT 'bronze', 'success', count(*) + count(*) FILTER (p_partkey % 3 = 0), 'part' FROM part")
+def run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows written by layer, from the log of two bronze and two silver runs, each with its last state."""
+    root = scratch(spark)
+    for i, records in enumerate(_product_runs(spark, sf)):
+        medallion.run_bronze(spark, "products", records, root, f"run{i}")
+        medallion.run_silver(spark, "products", root, [1])
+    now = medallion.current_runs(spark.read.parquet(f"{root}/meta/sync_runs"))
+    return now.groupBy("layer", "status").agg(F.sum("rows_written").alias("rows_written"), F.lit("part").alias("entity"))
+
+
+@query("""SELECT c_custkey AS coworker_id, c_name AS name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 2 = 0)""")
+def coworkers_without_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Written as JSON and read back."""
+    path = f"{scratch(spark)}/missing"
+    coworkers = t(spark, sf, "customer").select(F.col("c_custkey").alias("coworker_id"), F.col("c_name").alias("name"))
+    own = t(spark, sf, "orders").where("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("coworker_id"))
+    files.write_coworkers_without_files(coworkers, own, path)
+    return spark.read.schema("coworker_id bigint, name string").json(path)
+
+
+@query("""SELECT 'parts' AS sheet, CAST(p_partkey AS VARCHAR) AS id, p_name AS name FROM part UNION ALL SELECT 'suppliers', CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 2 = 0 THEN s_name END FROM supplier""")
+def report_book(spark: SparkSession, sf: str) -> DataFrame:
+    """The sheets of a workbook, written as CSV reports and read back; an empty cell is null."""
+    path = f"{scratch(spark)}/book"
+    sheets = {"parts": t(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")), "suppliers": t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).alias("name"))}
+    files.write_reports(sheets, path)
+    one = [spark.read.csv(f"{path}/{n}", header=True).select(F.lit(n).alias("sheet"), "id", "name") for n in sheets]
+    return one[0].unionByName(one[1])
+
+
+@query("""SELECT s_suppkey AS k, s_suppkey % 3 AS pages, 'manual review' AS review, CASE WHEN s_suppkey % 3 = 0 THEN 'ERROR: no pages' END AS error FROM supplier WHERE s_suppkey % 2 = 1
+UNION ALL SELECT s_suppkey, s_suppkey + 3, 'ok', NULL FROM supplier WHERE s_suppkey % 2 = 0""")
+def page_counts_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Page counts of stand-in scans with a review flag; short and unreadable ones are to be reviewed."""
+    k = F.col("s_suppkey")
+    scans = t(spark, sf, "supplier").select(k.cast("string").alias("path"), F.lit("pdf").alias("kind"), F.when(k % 2 == 0, k + 3).otherwise(k % 3).cast("string").cast("binary").alias("content"))
+    out = files.page_report(files.page_counts(scans, some_pages))
+    return out.select(F.col("path").cast("bigint").alias("k"), F.coalesce(F.col("pages"), F.lit(0)).cast("bigint").alias("pages"), "review", "error")
+
+
+def some_pages(content: bytes) -> int:
+    if not int(content):
+        raise ValueError("no pages")
+    return int(content)
