@@ -144,26 +144,27 @@ def _with_originals(rows: DataFrame, least_bytes: int) -> DataFrame:
     That is the row of the smallest id, then url; rows without id come last. Of rows that agree in
     all of it one is the response. Payloads are grouped by SHA-256; counts are summed in tasks first.
     """
-    rows = rows.withColumn("digest", F.unhex(F.sha2(F.col("payload").cast("binary"), 256)))
-    large = rows.where(F.octet_length("payload") >= least_bytes)
-    same = large.groupBy("digest", "id", "url").agg(F.count("*").alias("same"))
+    rows, small = rows.withColumn("digest", F.unhex(F.sha2(F.col("payload").cast("binary"), 256))), None
+    if least_bytes > 0:  # small payloads are looked for nowhere, so however many there are, they stay where they are
+        large = F.octet_length("payload") >= least_bytes
+        rows, small = rows.where(large), rows.where(~large).withColumns({"revisit": F.lit(False), "first_id": F.lit(None).cast(rows.schema["id"].dataType), "first_url": F.lit(None).cast("string")})
+    same = rows.groupBy("digest", "id", "url").agg(F.count("*").alias("same"))
     by = F.struct(F.col("id").isNull().alias("none"), "id", F.coalesce("url", F.lit("")).alias("u"), "url", "same")
     groups = same.groupBy("digest").agg(F.min(by).alias("first"), F.sum("same").alias("n")).where("n > 1")
     groups = materialised(groups.select("digest", "n", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"), F.col("first.same").alias("same")))
     total, tied = groups.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("same"), F.lit(0))).first()
-    key = F.when(F.octet_length("payload") >= least_bytes, F.col("digest"))
-    found = attach(rows.withColumn("own", F.col("digest")).withColumn("digest", key), groups.withColumn("hit", F.lit(True)), ["digest"], "n", total)
-    found = found.withColumn("digest", F.col("own")).drop("own")
+    found = attach(rows, groups.withColumn("hit", F.lit(True)), ["digest"], "n", total)
     is_first = F.col("hit").isNull() | (F.col("id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url")))
     found = found.withColumn("revisit", ~is_first)
     out = ["id", "url", "payload", "digest", "revisit", "first_id", "first_url"]
+    whole = lambda df: df.select(*out) if small is None else df.select(*out).unionByName(small.select(*out))
     if tied < 2:
-        return found.select(*out)
+        return whole(found)
     again = ~F.col("revisit") & (F.coalesce("same", F.lit(1)) > 1)
     copies = found.where(again).groupBy("id", "url", "digest", "first_id", "first_url").agg(F.max("payload").alias("payload"), F.count("*").alias("same"))
     spread = copies.withColumn("from", F.explode(F.sequence(F.lit(0), F.col("same") - 1, F.lit(1000)))).repartition(shuffle_partitions(rows))
     spread = spread.withColumn("k", F.explode(F.sequence("from", F.least(F.col("from") + 999, F.col("same") - 1)))).withColumn("revisit", F.col("k") > 0)
-    return found.where(~again).select(*out).unionByName(spread.select(*out))
+    return whole(found.where(~again).select(*out).unionByName(spread.select(*out)))
 
 
 def write(pages: DataFrame, folder: str, least_bytes: int = 0, date: str = "2000-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
