@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +103,17 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], weight: str, tota
     return by_broadcast.unionByName(rest.select(*by_broadcast.columns))
 
 
+def attach_once(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, deal: Column, shares: int = 1000) -> DataFrame:
+    """attach() as a left join that reads `left` once, for one that is costly: rows of broadcast keys are shuffled too, dealt by `deal`."""
+    floor = max(2, total // shares)
+    new = [c for c in right.columns if c not in (*keys, weight)]
+    hot = right.where(F.col(weight) > floor).select(*keys, F.struct(*new).alias("_hot"))
+    cold = right.where(F.col(weight) <= floor).select(*keys, F.struct(*new).alias("_cold"), F.lit(0).cast("long").alias("_deal"))
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("_deal", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(deal).cast("long"))
+    found = dealt.join(cold, [*keys, "_deal"], "left").withColumn("_new", F.coalesce("_hot", "_cold"))
+    return found.select(*left.columns, *[F.col("_new")[c].alias(c) for c in new])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", per_task: int = 50_000) -> DataFrame:
     """Connected components of an undirected graph: (node, component), component = smallest node.
 

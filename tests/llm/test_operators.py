@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from decimal import Decimal
@@ -12,6 +13,7 @@ from html import unescape
 import duckdb
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -492,6 +494,25 @@ def test_chunk_digests_beyond_a_block():
         assert all(c.raw[a:b].strip() == p for a, b, p in zip(c.lo, c.hi, c.pieces(np.arange(len(c.lo)))))
 
 
+def test_chunks_are_cut_within_a_cache():
+    """However many texts a batch has, what is cut at once takes so little memory that it stays in a core's cache."""
+    texts = pa.array([" ".join(f"w{i * i % 1009}" for i in range(k, k + 300)) for k in range(2000)])
+    tracemalloc.start()
+    for _ in linededup.cut_portions(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text"):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * (1 << 18)
+
+
+def test_filter_of_repeated_chunks(spark, monkeypatch):
+    """Every repeated digest passes the filter, and few others, which would be shuffled with their texts."""
+    monkeypatch.setattr(linededup, "FILTER", (1 << 8, 1 << 12))
+    keys = linededup.mixed(np.arange(1, 40_001, dtype=np.uint64) * linededup.ODD)
+    table = linededup.filter_of(spark.createDataFrame(pa.table({"key": keys[:4000].view(np.int64)})))
+    assert len(table) == 1 << 10 and linededup.passed(table, keys[:4000]).all() and linededup.passed(table, keys[4000:]).mean() < 0.025
+
+
 @pytest.mark.parametrize("unit", ["and", "ha ho", "one two three"])
 def test_parts_of_recurring_words(unit):
     """However a run of few words begins, its parts are alike."""
