@@ -41,6 +41,8 @@ GATHER, TOGETHER = 1_000_000, 1 << 18
 BUCKET, BYTES = 50_000, 32
 #: Bytes of text, of all rows, whose digests are a bucket at most, where texts repeat little.
 TEXT = 128 << 20
+#: Bytes of text, of all rows, for each task whose rows become a file; a file starts a helper process of the executor's size on some file systems.
+FILE = 16 << 20
 MASK = np.uint64((1 << 64) - 1)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Which bytes are white space (1, others 0); words stand between them.
@@ -477,8 +479,13 @@ def counted(rows: DataFrame, bits: Callable[[], np.ndarray], buckets: int) -> Da
     return packed.groupBy("bucket").applyInArrow(again, ", ".join(f"{k} {kinds[t]}" for k, t in COUNTED.items()))
 
 
-def repeated_chunks(df: DataFrame) -> DataFrame:
-    """(id, digest, no, joined) of the occurrences of df's chunks (id, digest, text) but the first of each repeated chunk, confirmed byte by byte.
+def in_files(df: DataFrame, held: int) -> DataFrame:
+    """df in no more partitions than so many bytes of text and all cores are worth."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, held // FILE))
+
+
+def repeated_chunks(df: DataFrame, held: int) -> DataFrame:
+    """(id, digest, no, joined) of the occurrences of df's chunks (id, digest, text) but the first of each repeated chunk, confirmed byte by byte; held: the texts' bytes.
 
     The first has the smallest id, then digest of the text, then number. Several texts of one id
     have chunks of their own. Digests find what repeats; of chunks that pass a filter texts are
@@ -488,22 +495,22 @@ def repeated_chunks(df: DataFrame) -> DataFrame:
     """
     own = ["id", "digest"]
     rows = df.where("id is not null and text is not null")
-    held = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(4 * shuffle_partitions(df), held // TEXT)  # a bucket of digests stays small, whatever the session's setting
-    again = materialised(repeated_digests(rows, parts))
+    again = materialised(in_files(repeated_digests(rows, parts), held))
     shared = df.sparkSession.sparkContext.broadcast(filter_of(again))
     bits = lambda: shared.value
     here = F.struct("id", F.shiftright("digest", 32).cast("int").alias("mark"), "no")
-    counts = materialised(counted(rows, bits, max(parts, again.count() // BUCKET))).select("key", "before", "n", F.struct("id", "mark", "no").alias("first"))
+    counts = materialised(in_files(counted(rows, bits, max(parts, again.count() // BUCKET)), held))
+    counts = counts.select("key", "before", "n", F.struct("id", "mark", "no").alias("first"))
     groups, joints = counts.where("before is null").drop("before"), counts.where("before is not null")
-    found = materialised(occurrences(rows, bits))
-    total = found.agg(F.coalesce(F.sum(F.size("no")), F.lit(0))).first()[0]
-    found = found.select(*own, F.inline(F.arrays_zip("no", "key", "before")))
+    # what is counted nowhere stands once, so these sums bound what a common key has
+    of_groups, of_joints = (x.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for x in (groups, joints))
+    found = occurrences(rows, bits).select(*own, F.inline(F.arrays_zip("no", "key", "before")))
     place = F.xxhash64(*own, "no")
-    later = attach_once(found, groups, ["key"], "n", total, place).where(here != F.col("first")).drop("first")
+    later = attach_once(found, groups, ["key"], "n", of_groups, place).where(here != F.col("first")).drop("first")
     # a chunk without one before it is like no joint of its key; this deals such rows evenly
     later = later.withColumns({"alone": F.col("before").isNull(), "before": F.coalesce("before", place)})
-    later = attach_once(later, joints, ["before", "key"], "n", total, place)
+    later = attach_once(later, joints, ["before", "key"], "n", of_joints, place)
     return later.select(*own, "no", (~F.col("alone") & F.coalesce(here != F.col("first"), F.lit(False))).alias("joined"))
 
 
@@ -517,7 +524,8 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     back unchanged in the struct.
     """
     key = [F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("digest")]
-    later = repeated_chunks(df.select(*key, F.col(text_col).alias("text"))).groupBy("id", "digest")
+    held = df.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+    later = repeated_chunks(df.select(*key, F.col(text_col).alias("text")), held).groupBy("id", "digest")
     later = later.agg(F.collect_set(F.col("no") * 2 + F.col("joined").cast("int")).alias("gone"))  # a number and whether it is joined
     whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *key)
     whole = whole.join(later, ["id", "digest"], "left").select("row", "gone")
@@ -537,4 +545,4 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             yield pa.RecordBatch.from_arrays([row, texts, lines, pa.array(removed)], names=["row", "text", "n_lines", "removed_lines"])
 
     schema = T.StructType([whole.schema["row"]]).add("text", "string").add("n_lines", "long").add("removed_lines", "long")
-    return whole.mapInArrow(run, schema)
+    return in_files(whole.mapInArrow(run, schema), held)

@@ -530,6 +530,27 @@ def test_line_dedup_of_lines_that_meet_once(spark):
     assert got == {d: (t, 0) for d, t in texts.items() if d < 4} | {4: (texts[4][:1] + texts[4][3:], 2)}
 
 
+def test_line_dedup_of_a_small_table_makes_few_files(spark, monkeypatch):
+    """However many partitions shuffles have, digests and counts alone are written, in a file a core at most, and so is the result."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    made, cores = [], spark.sparkContext.defaultParallelism
+    want = {(r.row.doc_id, r.text, r.removed_lines) for r in linededup.deduplicate(docs).collect()}
+    with monkeypatch.context() as m:
+        write = linededup.materialised
+        m.setattr(linededup, "materialised", lambda df: made.append(write(df)) or made[-1])
+        settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+        before = {k: spark.conf.get(k) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            got = linededup.deduplicate(docs)
+            assert {(r.row.doc_id, r.text, r.removed_lines) for r in got.collect()} == want
+            assert len(made) == 2 and all(d.rdd.getNumPartitions() <= cores for d in [*made, got])
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+
+
 def test_line_dedup_of_texts_that_share_an_id(spark):
     """What repeats in one text of an id isn't cut out of another text of that id."""
     p, q = ("\n".join(f"{x} {i} has words {i * 7} of its own {i * i}" for i in range(12)) for x in "pq")
