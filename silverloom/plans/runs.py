@@ -7,9 +7,13 @@ resources; their rows become JSON as the service gives it. Runs write below scra
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+from bisect import bisect_left, bisect_right
+from functools import lru_cache, reduce
+from itertools import accumulate
+from operator import and_
 
-import pyarrow.parquet as pq
+import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,18 +166,41 @@ def silver_resources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @lru_cache(maxsize=4)
-def _records(path: str) -> list[dict]:
-    return pq.read_table(path).to_pylist()
+def _row_groups(table: str) -> list[ds.Fragment]:
+    return [g for f in ds.dataset(table, format="parquet").get_fragments() for g in f.split_by_row_group()]
+
+
+def _fits(wanted: tuple) -> ds.Expression | None:
+    return reduce(and_, [ds.field(c) == v for c, v in wanted]) if wanted else None
+
+
+@lru_cache(maxsize=64)
+def _ends(table: str, wanted: tuple) -> list[int]:
+    """How many rows that fit `wanted`, pairs (column, value), each row group and all before it hold. Nothing fits a null."""
+    return list(accumulate(g.to_table(columns=[], filter=_fits(wanted)).num_rows for g in _row_groups(table)))
+
+
+@lru_cache(maxsize=2)
+def _fitting(table: str, wanted: tuple, fields: tuple, group: int) -> pa.Table:
+    """The records of a row group's rows that fit: readers go forward, so each reads a group about once, whatever its pages are."""
+    return _row_groups(table)[group].to_table(columns={k: ds.field(c) for k, c in fields}, filter=_fits(wanted)).combine_chunks()
 
 
 def table_client(options: dict):
-    """A service over a table's file: pages of records of `field`: column, and filters by the same names; options table, fields (JSON)."""
-    fields = json.loads(options["fields"])
+    """A service over a table's files: pages of records of `field`: column, and filters by the same names; options table, fields (JSON).
+
+    A page costs its own records: its place is found by the row groups' counts, and no more than two row groups' fields are held.
+    """
+    table, fields = options["table"], tuple(json.loads(options["fields"]).items())
 
     def get(path: str, params: dict) -> dict:
-        rows = [r for r in _records(options["table"]) if all(k not in params or r[c] == params[k] for k, c in fields.items())]
-        at = (params["page"] - 1) * params["size"]
-        return {"Records": [{k: r[c] for k, c in fields.items()} for r in rows[at : at + params["size"]]], "HasNextPage": at + params["size"] < len(rows), "TotalPages": -(-len(rows) // params["size"])}
+        wanted = tuple((c, params[k]) for k, c in fields if k in params)
+        ends, at = _ends(table, wanted), (params["page"] - 1) * params["size"]
+        total, stop, records = (ends or [0])[-1], at + params["size"], []
+        for group in range(bisect_right(ends, at), bisect_left(ends, min(stop, total)) + 1) if at < total else ():
+            start = ends[group - 1] if group else 0
+            records += _fitting(table, wanted, fields, group).slice(max(at - start, 0), stop - max(at, start)).to_pylist()
+        return {"Records": records, "HasNextPage": stop < total, "TotalPages": -(-total // params["size"])}
 
     return get
 
