@@ -267,8 +267,12 @@ class PageStream(DataSource):
     """The page numbers of a paged path as a stream, for records_of() to read in tasks. Options as of paged_rest; batch_pages (30).
 
     The offset is the last page that was dealt, so a stopped scan goes on after its last
-    complete batch. A batch asks for its last page only, to see whether the pages end before it;
-    in that case their end is found by halving.
+    complete batch. The first batch has batch_pages pages. What a batch costs besides its pages is
+    the same for few and many, so after one that took less than QUICK seconds the next has twice
+    the pages, after one of more than SLOW half of them, batch_pages at least. A batch asks for its
+    last page only, to see whether the pages end before it; in that case their end is found by
+    halving. If such a look fails, the batch has batch_pages pages, so pages before a broken one
+    are dealt.
     """
 
     @classmethod
@@ -282,9 +286,13 @@ class PageStream(DataSource):
         return PageStreamReader(dict(self.options))
 
 
+#: Seconds of a batch below which the next one is larger, above which it is smaller.
+QUICK, SLOW = 2.0, 8.0
+
+
 class PageStreamReader(SimpleDataSourceStreamReader):
     def __init__(self, options: dict) -> None:
-        self.options = options
+        self.options, self.times, self.dealt_at, self.ended = options, 1, None, None
 
     def initialOffset(self) -> dict:
         return {"page": 0}
@@ -294,14 +302,31 @@ class PageStreamReader(SimpleDataSourceStreamReader):
         params = {**_params(o), "page": page, "size": int(o.get("page_size", 100))}
         return bool(page_records(with_retry(lambda: client_of(o)(o["path"], params)))[0])
 
+    def last(self, done: int, end: int) -> int:
+        """The last page up to `end` that has records, `done` if none after it has any."""
+        if self.has(end):
+            return end
+        low, high = done, end  # page `low` has records or was dealt before, page `high` has none
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self.has(middle) else (low, middle)
+        return low
+
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        done, end = start["page"], start["page"] + int(self.options.get("batch_pages", 30))
-        if not self.has(end):
-            low, high = done, end  # page `low` has records or was dealt before, page `high` has none
-            while high - low > 1:
-                middle = (low + high) // 2
-                low, high = (middle, high) if self.has(middle) else (low, middle)
-            end = low
+        done, size = start["page"], int(self.options.get("batch_pages", 30))
+        if self.dealt_at is not None:
+            took = time.monotonic() - self.dealt_at
+            self.times = self.times * 2 if took < QUICK else max(1, self.times // 2) if took > SLOW else self.times
+        if done == self.ended and not self.has(done + 1):  # the pages ended here at the last look
+            return iter([]), start
+        try:
+            end = self.last(done, done + size * self.times)
+        except Exception:
+            if self.times == 1:
+                raise
+            self.times, end = 1, self.last(done, done + size)
+        whole = end == done + size * self.times
+        self.ended, self.times, self.dealt_at = (None, self.times, time.monotonic()) if whole else (end, 1, None)
         return self.readBetweenOffsets(start, {"page": end}), {"page": end}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
@@ -328,13 +353,23 @@ def resumable_scan(spark: SparkSession, options: dict[str, str], target: str, ch
 
     Call it again with the same checkpoint after a failure: it goes on after the last batch that
     was landed whole. A batch that is tried again replaces its own rows, so none is there twice.
+    Of a batch that fails the pages before the failure are landed, in steps of batch_pages.
     each(batch) is called after each batch.
     """
     spark.dataSource.register(PageStream)
-    pages = spark.readStream.format("rest_pages").options(**options).load()
+    pages, size = spark.readStream.format("rest_pages").options(**options).load(), int(options.get("batch_pages", 30))
 
     def land(batch: DataFrame, number: int) -> None:
-        records_of(batch, options, readers).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        write = lambda df, mode: records_of(df, options, readers).write.mode(mode).parquet(f"{target}/batch={number}")
+        try:
+            write(batch, "overwrite")
+        except Exception:
+            numbers = sorted(r.page for r in batch.collect())
+            if len(numbers) <= size:
+                raise
+            for at in range(0, len(numbers), size):
+                part = batch.sparkSession.createDataFrame([(p,) for p in numbers[at : at + size]], "page int")
+                write(part, "append" if at else "overwrite")
         each(number)
 
     query = pages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).start()

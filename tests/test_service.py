@@ -1,11 +1,14 @@
 """The stand-in service pages large tables in proportion to their rows, and gives what SQL gives."""
 
+import json
 import time
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from silverloom.plans import catalogue, runs
 from silverloom.sources import rest
@@ -55,3 +58,59 @@ def test_scan_by_readers(tmp_path):
     reader = rest.PagedReader({"path": "customers", "keys": '{"source_id": ["Id", "bigint"]}', **runs._service(customers(tmp_path, 300_000, row_group_size=70_000), "customer", FIELDS, 100)})
     found = within(30, (row for p in reader.partitions() for row in reader.read(p)))
     assert sorted(r[1] for r in found) == list(range(300_000))
+
+
+def numbered(options):
+    """500 pages of one record each; while the file `broken` in the folder of option `log` is there, its page fails."""
+
+    def get(path, params):
+        if (broken := Path(options["log"], "broken")).exists() and params["page"] == int(broken.read_text()):
+            raise ValueError("down")
+        return {"Records": [{"Id": params["page"]}] if params["page"] <= 500 else [], "HasNextPage": params["page"] < 500}
+
+    return get
+
+
+def dealt(options, monkeypatch, seconds):
+    """Pages of each batch of a stream whose batches take so long."""
+    clock, reader, at, out = [0.0], rest.PageStreamReader(options), {"page": 0}, []
+    monkeypatch.setattr(rest.time, "monotonic", lambda: clock[0])
+    while True:
+        pages, end = reader.read(at)
+        if end == at:
+            assert not list(pages) and reader.read(at)[1] == at
+            return out
+        out.append([p for (p,) in pages])
+        at, clock[0] = end, clock[0] + seconds(len(out[-1]))
+
+
+def test_quick_batches_grow(tmp_path, monkeypatch):
+    """Batches of which each costs little are few; slow ones keep batch_pages; all pages are dealt once, in order, even before one that is looked at and fails."""
+    options = {"path": "x", "client": "test_service:numbered", "log": str(tmp_path), "batch_pages": "3"}
+    quick = dealt(options, monkeypatch, lambda n: 0.3)
+    assert sum(quick, []) == list(range(1, 501)) and len(quick) <= 9 and len(quick[0]) == 3
+    assert [len(b) for b in dealt(options, monkeypatch, lambda n: 10.0)] == [3] * 166 + [2]
+    even = dealt(options, monkeypatch, lambda n: 0.3 + n / 10)
+    assert sum(even, []) == list(range(1, 501)) and max(map(len, even)) * 0.1 <= 2 * rest.QUICK + 1
+    (tmp_path / "broken").write_text("45")  # the end of a batch of 24 pages after 3, 6 and 12
+    reader, at, steps = rest.PageStreamReader(options), {"page": 0}, []
+    monkeypatch.setattr(rest.time, "monotonic", lambda: 0.0)
+    while at["page"] < 42:
+        at = reader.read(at)[1]
+        steps.append(at["page"])
+    assert steps[:4] == [3, 9, 21, 24] and steps[-1] == 42 and 45 not in steps
+
+
+def test_failure_in_a_large_batch(spark, tmp_path):
+    """Pages before one that fails are landed up to a step of batch_pages, whatever the batch; then the scan goes on, and each page is there once."""
+    options = {"path": "x", "client": "test_service:numbered", "log": str(tmp_path), "batch_pages": "3"}
+    (tmp_path / "broken").write_text("200")
+    target, scan = str(tmp_path / "out"), lambda: rest.resumable_scan(spark, options, str(tmp_path / "out"), str(tmp_path / "cp"))
+    ids = lambda: sorted(json.loads(r.raw_json)["Id"] for r in spark.read.parquet(target).collect())
+    for _ in range(2):  # it fails at the same page again, and nothing is there twice
+        with pytest.raises(Exception, match="down"):
+            scan()
+        assert ids() == list(range(1, 199))
+    (tmp_path / "broken").unlink()
+    scan()
+    assert ids() == list(range(1, 501)) and len(list((tmp_path / "out").glob("batch=*"))) < 60
