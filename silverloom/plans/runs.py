@@ -25,7 +25,7 @@ from silverloom.plans import enrichment, entities, extraction, medallion, report
 from silverloom.plans.catalogue import AS_OF, CONTRACTS, NOTICE, NOTICE_SQL, SQL, TERMS, _split_orders, _terms, contracts, day, query, t
 from silverloom.session import scratch
 from silverloom.sources import files, lookups, rest
-from silverloom.sources.documents import read_documents, write_documents
+from silverloom.sources.documents import opened, read_documents, write_documents
 from silverloom.sources.hashed import HashedTable
 from silverloom.streaming import newest as N
 
@@ -167,7 +167,8 @@ def silver_resources(spark: SparkSession, sf: str) -> DataFrame:
 
 @lru_cache(maxsize=4)
 def _row_groups(table: str) -> list[ds.Fragment]:
-    return [g for f in ds.dataset(table, format="parquet").get_fragments() for g in f.split_by_row_group()]
+    fs, root = opened(table)
+    return [g for f in ds.dataset(root, filesystem=fs, format="parquet").get_fragments() for g in f.split_by_row_group()]
 
 
 def _fits(wanted: tuple) -> ds.Expression | None:
@@ -205,8 +206,11 @@ def table_client(options: dict):
     return get
 
 
-def _service(sf: str, name: str, fields: dict[str, str], size: int) -> dict[str, str]:
-    return {"client": "silverloom.plans.runs:table_client", "table": f"{sf}/{name}.parquet", "fields": json.dumps(fields), "page_size": str(size)}
+def _service(spark: SparkSession, sf: str, name: str, fields: dict[str, str], size: int) -> dict[str, str]:
+    """Options of a service over a table's fields, which Spark, as it reads paths that others can't, writes below scratch()."""
+    path = f"{scratch(spark)}/{name}"
+    t(spark, sf, name).select(*dict.fromkeys(fields.values())).write.parquet(path)
+    return {"client": "silverloom.plans.runs:table_client", "table": path, "fields": json.dumps(fields), "page_size": str(size)}
 
 
 @query("SELECT c_custkey AS source_id, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation FROM customer WHERE c_nationkey IN (3, 4) AND c_custkey > 20")
@@ -214,7 +218,7 @@ def rest_scan_filtered(spark: SparkSession, sf: str) -> DataFrame:
     """Records of a paged service: the filter on the nation is a parameter of its calls where the session pushes filters down."""
     spark.dataSource.register(rest.PagedRest)
     push = {"push": '{"nation": "NationId"}'} if spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") == "true" else {}
-    options = _service(sf, "customer", {"Id": "c_custkey", "Name": "c_name", "NationId": "c_nationkey"}, 100)
+    options = _service(spark, sf, "customer", {"Id": "c_custkey", "Name": "c_name", "NationId": "c_nationkey"}, 100)
     found = spark.read.format("paged_rest").options(path="customers", keys='{"source_id": ["Id", "bigint"], "nation": ["NationId", "bigint"]}', **push, **options).load()
     return found.where("nation in (3, 4) and source_id > 20").select("source_id", F.get_json_object("raw_json", "$.Name").alias("name"), "nation")
 
@@ -223,7 +227,7 @@ def rest_scan_filtered(spark: SparkSession, sf: str) -> DataFrame:
 def rest_scan_resumed(spark: SparkSession, sf: str) -> DataFrame:
     """All records of a paged service, landed by a stream of pages that is called twice: the second call finds nothing new."""
     root = scratch(spark)
-    options = {"path": "orders", **_service(sf, "orders", {"Id": "o_orderkey", "Price": "o_totalprice"}, 1000), "batch_pages": "8"}
+    options = {"path": "orders", **_service(spark, sf, "orders", {"Id": "o_orderkey", "Price": "o_totalprice"}, 1000), "batch_pages": "8"}
     for _ in range(2):
         rest.resumable_scan(spark, options, f"{root}/landing", f"{root}/checkpoint")
     raw = spark.read.parquet(f"{root}/landing")
@@ -386,7 +390,7 @@ def notice_report(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT n_nationkey, c_custkey AS source_id, CAST(NULL AS VARCHAR) AS error FROM nation JOIN customer ON c_nationkey = n_nationkey")
 def paged_keys(spark: SparkSession, sf: str) -> DataFrame:
     """All records of each key from a paged service, the key a parameter of the call."""
-    get = table_client(_service(sf, "customer", {"Id": "c_custkey", "NationId": "c_nationkey"}, 25))
+    get = table_client(_service(spark, sf, "customer", {"Id": "c_custkey", "NationId": "c_nationkey"}, 25))
     found = lookups.paged_lookup(t(spark, sf, "nation").select("n_nationkey"), get, "customers", "NationId", "n_nationkey")
     return found.select("n_nationkey", F.get_json_object("raw_json", "$.Id").cast("bigint").alias("source_id"), "error")
 

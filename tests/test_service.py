@@ -9,6 +9,7 @@ import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from conftest import SF
 
 from silverloom.plans import catalogue, runs
 from silverloom.sources import rest
@@ -23,6 +24,11 @@ def customers(folder, n, nations=25, nulls=0, **how):
     return str(folder)
 
 
+def service(folder, size):
+    """Options of a service over the folder's customers."""
+    return {"client": "silverloom.plans.runs:table_client", "table": f"{folder}/customer.parquet", "fields": json.dumps(FIELDS), "page_size": str(size)}
+
+
 def within(seconds, records):
     """The records, or a failure as soon as it takes longer."""
     began, out = time.monotonic(), []
@@ -34,7 +40,7 @@ def within(seconds, records):
 
 def test_pages_of_a_key(tmp_path):
     """All pages of one key among 300,000 rows, in their order over row groups."""
-    get = runs.table_client(runs._service(customers(tmp_path, 300_000, nations=3, row_group_size=70_000), "customer", FIELDS, 25))
+    get = runs.table_client(service(customers(tmp_path, 300_000, nations=3, row_group_size=70_000), 25))
     found = within(15, rest.paginate(get, "customers", {"NationId": 2}, 25))
     assert [r["Id"] for r in found] == list(range(2, 300_000, 3)) and found[0] == {"Id": 2, "Name": "c2", "NationId": 2}
 
@@ -55,7 +61,7 @@ def test_keys_are_those_of_sql(spark, tmp_path):
 
 def test_scan_by_readers(tmp_path):
     """A scan of 300,000 rows without a filter in the calls: each record once, whatever the readers."""
-    reader = rest.PagedReader({"path": "customers", "keys": '{"source_id": ["Id", "bigint"]}', **runs._service(customers(tmp_path, 300_000, row_group_size=70_000), "customer", FIELDS, 100)})
+    reader = rest.PagedReader({"path": "customers", "keys": '{"source_id": ["Id", "bigint"]}', **service(customers(tmp_path, 300_000, row_group_size=70_000), 100)})
     found = within(30, (row for p in reader.partitions() for row in reader.read(p)))
     assert sorted(r[1] for r in found) == list(range(300_000))
 
@@ -114,3 +120,15 @@ def test_failure_in_a_large_batch(spark, tmp_path):
     (tmp_path / "broken").unlink()
     scan()
     assert ids() == list(range(1, 501)) and len(list((tmp_path / "out").glob("batch=*"))) < 60
+
+
+def test_tables_that_only_spark_reads(spark):
+    """The queries give what SQL gives where Spark's readers alone can open the path."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.service.link./in", f"file://{SF}")
+    con = duckdb.connect()
+    for t in ("customer", "orders", "nation"):
+        con.execute(f"CREATE VIEW {t} AS FROM '{SF}/{t}.parquet'")
+    for name in ("paged_keys", "rest_scan_resumed", "rest_scan_filtered"):
+        got = catalogue.queries()[name](spark, "viewfs://service/in")
+        want = con.sql(catalogue.SQL[name]).select(*got.columns)
+        assert Counter(map(tuple, got.collect())) == Counter(want.fetchall())
